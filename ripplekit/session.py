@@ -27,6 +27,9 @@ def local_session(cores: int | None = None, app: str = "ripplekit",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # Python workers and the streaming state server talk to the JVM
+         # over unix sockets, not loopback ports.
+         .config("spark.python.unix.domain.socket.enabled", "true")
          .config("spark.driver.memory", os.environ.get("RIPPLEKIT_DRIVER_MEM", "16g"))
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
