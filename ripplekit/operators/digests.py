@@ -33,7 +33,10 @@ def salted_digest(df: DataFrame, col: str, salt: Column | None = None,
     """Add ``out`` = ``$s2$<salt>$<sha256(salt || value)>`` for every row.
     ``salt`` must be lowercase hex; by default a random one per row."""
     salt = random_salt() if salt is None else salt
-    return df.withColumn(out, digest_expr(F.col(col), salt))
+    # The salt is a column of its own so a random salt is drawn once per row
+    # and used both in the text form and in the hashed input.
+    return (df.withColumn("_salt", salt)
+            .withColumn(out, digest_expr(F.col(col), F.col("_salt"))).drop("_salt"))
 
 
 def verify_digest(values: DataFrame, stored: DataFrame, on: str, col: str,
