@@ -69,14 +69,18 @@ def room_deltas(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
 
 def room_timeline(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
     """Every count or capacity update of a room with the room's state after
-    it: ``seq, sub, room, delta, cnt long, seen long, cap int``; ``seen > 0``
-    once the room has a count, ``cap`` null when no capacity is set."""
-    d = room_deltas(log, chunk_width)
-    s = ordered_scan(d, ["room"], ["seq", "sub"], chunk_by_width(F.col("seq"), chunk_width),
+    it: ``seq, sub, room, delta, cnt long, seen long, cap int, _rck``;
+    ``seen > 0`` once the room has a count, ``cap`` null when no capacity is
+    set.  ``_rck`` is the order chunk, kept so later scans per room reuse
+    the partitioning."""
+    d = room_deltas(log, chunk_width).withColumn(
+        "_rck", chunk_by_width(F.col("seq"), chunk_width))
+    s = ordered_scan(d, ["room"], ["seq", "sub"], "_rck",
                      [Scan("cnt", "sum", F.col("delta").cast("long")),
                       Scan("seen", "sum", F.abs(F.col("delta")).cast("long")),
                       Scan("lc", "last", F.col("capu"))])
-    return s.select("seq", "sub", "room", "delta", "cnt", "seen", F.col("lc.cap").alias("cap"))
+    return s.select("seq", "sub", "room", "delta", "cnt", "seen", F.col("lc.cap").alias("cap"),
+                    "_rck")
 
 
 def room_counts(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
@@ -85,18 +89,24 @@ def room_counts(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
     return t.where(F.col("delta") != 0).select("seq", "sub", "room", "cnt")
 
 
+def _joined(log: DataFrame, chunk_width: int) -> DataFrame:
+    t = room_timeline(log, chunk_width)
+    return (t.where((F.col("seen") > 0) & F.col("cap").isNotNull())
+            .select("seq", "sub", "room", "cap", "cnt", "_rck"))
+
+
 def room_status(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
     """The inner join of capacities and counts, one row per update of
     either side while both exist: ``seq, sub, room, cap, cnt``."""
-    t = room_timeline(log, chunk_width)
-    return (t.where((F.col("seen") > 0) & F.col("cap").isNotNull())
-            .select("seq", "sub", "room", "cap", "cnt"))
+    return _joined(log, chunk_width).drop("_rck")
 
 
 def alerts_from_status(status: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
     """C4 on joined rows: ``seq, sub, room, value`` with ``value`` the count
     (as text) or ``OK``."""
-    s = ordered_scan(status, ["room"], ["seq", "sub"], chunk_by_width(F.col("seq"), chunk_width),
+    if "_rck" not in status.columns:
+        status = status.withColumn("_rck", chunk_by_width(F.col("seq"), chunk_width))
+    s = ordered_scan(status, ["room"], ["seq", "sub"], "_rck",
                      [Scan("prev", "lag", F.struct("cap", "cnt"))])
     over = F.col("cnt") > F.col("cap")
     prev_over = F.col("prev.cnt") > F.col("prev.cap")
@@ -108,4 +118,4 @@ def alerts_from_status(status: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataF
 
 def alerts(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
     """C4: overload and recovery alerts, ``seq, sub, room, value``."""
-    return alerts_from_status(room_status(log, chunk_width), chunk_width)
+    return alerts_from_status(_joined(log, chunk_width), chunk_width)

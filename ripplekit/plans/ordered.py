@@ -9,14 +9,19 @@ of the job.  Instead the order axis is cut into chunks (for example
 
 1. a window over ``(key, chunk)``: every window partition is bounded by the
    chunk width, whatever the key skew;
-2. one summary row per ``(key, chunk)`` (last row, total, last non-null,
-   maximum), combined across chunks with a window over ``key`` whose
-   partitions hold one row per chunk, i.e. ``rows / width`` at most;
-3. an equi-join of the per-chunk carries back onto the rows.
-
-Step 2 reads the output of step 1, whose shuffle Spark reuses, so the input
-is exchanged once.  Keys must be non-null and the order columns must be
-unique within a key.
+2. the last (or first) row of every ``(key, chunk)`` carries the chunk's
+   summary (its inclusive running values); these rows alone are combined
+   across chunks with a window over ``key`` whose partitions hold one row
+   per chunk, i.e. ``rows / width`` at most;
+3. an equi-join of the per-chunk carries back onto the rows (broadcast by
+   the planner while the carries are small, a shuffle join beyond).
+
+No aggregation is needed, and the input is exchanged once: step 2 reads the
+output of step 1.  When ``chunk`` names an existing column it is kept in the
+output, so a second scan over the same keys and chunk column reuses the
+first one's partitioning instead of shuffling again.
+
+Keys must be non-null and the order columns must be unique within a key.
 """
 
 from __future__ import annotations
@@ -53,49 +58,65 @@ def chunk_by_width(order_col: Column, width: int) -> Column:
 
 
 def ordered_scan(df: DataFrame, keys: list[str], order: list[str],
-                 chunk: Column, specs: list[Scan]) -> DataFrame:
-    """Add the columns described by ``specs`` to ``df``; see module doc."""
+                 chunk: Column | str, specs: list[Scan]) -> DataFrame:
+    """Add the columns described by ``specs`` to ``df``; see module doc.
+    ``chunk`` is an expression, or the name of an existing column (kept)."""
     for s in specs:
         if s.kind not in KINDS:
             raise ValueError(f"unknown scan kind {s.kind!r}")
-    ck = "_ck"
-    base = df.withColumn(ck, chunk)
+    if isinstance(chunk, str):
+        ck, base = chunk, df
+    else:
+        ck, base = "_ck", df.withColumn("_ck", chunk)
     for i, s in enumerate(specs):
         base = base.withColumn(f"_e{i}", s.expr)
 
     w = Window.partitionBy(*keys, ck).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    ord_struct = F.struct(*[F.col(c) for c in order])
 
     local = base
-    summary_aggs = []
+    need_first = any(s.kind == "lead" for s in specs)
+    need_last = any(s.kind != "lead" for s in specs)
+    if need_last:
+        local = local.withColumn("_islast", F.lead(F.lit(1)).over(w).isNull())
+    if need_first:
+        local = local.withColumn("_isfirst", F.lag(F.lit(1)).over(w).isNull())
     for i, s in enumerate(specs):
         e = F.col(f"_e{i}")
+        inclusive = None      # chunk summary, read on the chunk's last row
         if s.kind == "lag":
             loc = F.lag(F.struct(e.alias("v"))).over(w)
-            summ = F.max_by(F.struct(e.alias("v")), ord_struct)
+            inclusive = F.struct(e.alias("v"))
         elif s.kind == "lead":
             loc = F.lead(F.struct(e.alias("v"))).over(w)
-            summ = F.min_by(F.struct(e.alias("v")), ord_struct)
         elif s.kind == "sum":
             loc = F.sum(e).over(upto)
-            summ = F.sum(e)
         elif s.kind == "last":
             loc = F.last(e, ignorenulls=True).over(upto)
-            summ = F.max_by(e, F.when(e.isNotNull(), ord_struct))
         elif s.kind == "last_before":
             loc = F.last(e, ignorenulls=True).over(before)
-            summ = F.max_by(e, F.when(e.isNotNull(), ord_struct))
+            inclusive = F.coalesce(e, F.col(f"_l{i}"))
         else:  # max_before
             loc = F.max(e).over(before)
-            summ = F.max(e)
+            inclusive = F.greatest(e, F.col(f"_l{i}"))
         local = local.withColumn(f"_l{i}", loc)
-        summary_aggs.append(summ.alias(f"_s{i}"))
+        if s.kind == "lead":
+            local = local.withColumn(f"_s{i}", F.when(F.col("_isfirst"), F.struct(e.alias("v"))))
+        else:
+            summ = F.col(f"_l{i}") if inclusive is None else inclusive
+            local = local.withColumn(f"_s{i}", F.when(F.col("_islast"), summ))
+
+    edge = F.lit(False)
+    if need_last:
+        edge = edge | F.col("_islast")
+    if need_first:
+        edge = edge | F.col("_isfirst")
+    summary = local.where(edge).select(*keys, ck, *[f"_s{i}" for i in range(len(specs))])
+    summary = summary.groupBy(*keys, ck).agg(
+        *[F.first(f"_s{i}", ignorenulls=True).alias(f"_s{i}") for i in range(len(specs))]) \
+        if need_first and need_last else summary
 
-    # One row per (key, chunk); built from the windowed rows so the input
-    # exchange is shared with step 1.
-    summary = local.groupBy(*keys, ck).agg(*summary_aggs)
     wk = Window.partitionBy(*keys).orderBy(ck)
     wk_before = wk.rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = []

@@ -97,10 +97,13 @@ def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Pass 1: every operation learns the latest write before it on its key
     # (for a write, that is its predecessor).  Pass 2: every operation learns
     # the latest earlier write together with that write's predecessor.
-    s1 = ordered_scan(ops, ["k"], ["event_id"], chunk,
+    # Both passes share the chunk column, so the second reuses the first's
+    # partitioning by (k, chunk).
+    ops = ops.withColumn("_eck", chunk)
+    s1 = ordered_scan(ops, ["k"], ["event_id"], "_eck",
                       [Scan("pw", "last_before", F.when(is_w, wval))])
     marker = F.when(is_w, F.struct(wval.alias("w1"), F.col("pw").alias("w2")))
-    scanned = ordered_scan(s1, ["k"], ["event_id"], chunk, [Scan("lw", "last_before", marker)])
+    scanned = ordered_scan(s1, ["k"], ["event_id"], "_eck", [Scan("lw", "last_before", marker)])
     e = F.col("event_id")
     read_val = (F.when(e % 101 == 0, F.concat(F.lit("junk-"), e.cast("string")))
                 .when((e % 97 == 0) & F.col("lw.w2").isNotNull(), F.col("lw.w2"))

@@ -1,6 +1,7 @@
 """The occupancy alerts as a Structured Streaming query.
 
-Two keyed stateful operators (``transformWithStateInPandas``) in one query:
+Two keyed stateful operators (``applyInPandasWithState``, append mode) in
+one query; the state of a key travels with its rows as Arrow batches:
 
 1. per student: the current room (C1); every update emits ``-1`` for the
    old room (``sub = 0``) and ``+1`` for the new one (``sub = 1``);
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +59,8 @@ ALERT_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 
+_STUDENT_STATE = T.StructType([T.StructField("room", T.StringType())])
+
 _ROOM_STATE = T.StructType([
     T.StructField("cnt", T.LongType()),
     T.StructField("seen", T.BooleanType()),
@@ -65,39 +69,46 @@ _ROOM_STATE = T.StructType([
 ])
 
 
-class StudentRooms(StatefulProcessor):
-    """Stage 1, keyed by student: turns moves into room count deltas."""
+def _nullable(x):
+    return None if x is None or (isinstance(x, float) and pd.isna(x)) or x is pd.NA else x
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.room = handle.getValueState("room", T.StructType([T.StructField("room", T.StringType())]))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        cur = self.room.get()[0] if self.room.exists() else None
-        out_seq, out_sub, out_room, out_delta = [], [], [], []
-        for seq, val in zip(batch["seq"].tolist(), batch["val"].tolist()):
-            new = None if val is None or (isinstance(val, float) and pd.isna(val)) else val
-            if cur is not None:
-                out_seq.append(seq); out_sub.append(0); out_room.append(cur); out_delta.append(-1)
-            if new is not None:
-                out_seq.append(seq); out_sub.append(1); out_room.append(new); out_delta.append(1)
-            cur = new
-        if cur is None:
-            self.room.clear()
-        else:
-            self.room.update((cur,))
-        if out_seq:
-            yield pd.DataFrame({
-                "seq": pd.Series(out_seq, dtype="int64"),
-                "sub": pd.Series(out_sub, dtype="int32"),
-                "room": pd.Series(out_room, dtype="object"),
-                "delta": pd.Series(out_delta, dtype="int32"),
-                "is_cap": pd.Series([False] * len(out_seq), dtype="bool"),
-                "cap": pd.Series([None] * len(out_seq), dtype="Int32"),
-            })
+def _ordered(pdfs: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
+    """The rows of one key in ``by`` order (usually a single, sorted frame)."""
+    parts = list(pdfs)
+    batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    keys = batch[by[0]]
+    if len(by) == 1 and keys.is_monotonic_increasing:
+        return batch
+    return batch.sort_values(by, kind="stable")
 
-    def close(self) -> None:
-        pass
+
+def student_rooms(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """Stage 1, keyed by student: turns moves into room count deltas."""
+    batch = _ordered(pdfs, ["seq"])
+    cur = state.get[0] if state.exists else None
+    out_seq, out_sub, out_room = [], [], []
+    for seq, val in zip(batch["seq"].tolist(), batch["val"].tolist()):
+        new = _nullable(val)
+        if cur is not None:
+            out_seq.append(seq); out_sub.append(0); out_room.append(cur)
+        if new is not None:
+            out_seq.append(seq); out_sub.append(1); out_room.append(new)
+        cur = new
+    if cur is None:
+        if state.exists:
+            state.remove()
+    else:
+        state.update((cur,))
+    if out_seq:
+        sub = np.array(out_sub, dtype=np.int32)
+        n = len(out_seq)
+        yield pd.DataFrame({
+            "seq": np.array(out_seq, dtype=np.int64), "sub": sub, "room": out_room,
+            "delta": np.where(sub == 0, -1, 1).astype(np.int32),
+            "is_cap": np.zeros(n, dtype=bool),
+            "cap": pd.array([None] * n, dtype="Int32"),
+        })
 
 
 class RoomAlerts(StatefulProcessor):
@@ -108,17 +119,16 @@ class RoomAlerts(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         room = key[0]
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["seq", "sub"], kind="stable")
-        if self.state.exists():
-            cnt, seen, cap, prev_over = self.state.get()
-        else:
-            cnt, seen, cap, prev_over = 0, False, None, None
+        batch = _ordered(rows, ["seq", "sub"])
+        got = self.state.get()
+        cnt, seen, cap, prev_over = got if got is not None else (0, False, None, None)
         out_seq, out_sub, out_val = [], [], []
         for seq, sub, delta, is_cap, new_cap in zip(
                 batch["seq"].tolist(), batch["sub"].tolist(), batch["delta"].tolist(),
                 batch["is_cap"].tolist(), batch["cap"].tolist()):
             if is_cap:
-                cap = None if new_cap is None or pd.isna(new_cap) else int(new_cap)
+                new_cap = _nullable(new_cap)
+                cap = None if new_cap is None else int(new_cap)
             else:
                 cnt += int(delta)
                 seen = True
@@ -132,11 +142,11 @@ class RoomAlerts(StatefulProcessor):
                 prev_over = None
             else:
                 prev_over = None
-        self.state.update((cnt, seen, cap, prev_over))
+        self.state.update((int(cnt), bool(seen), cap, prev_over))
         if out_seq:
             yield pd.DataFrame({
-                "seq": pd.Series(out_seq, dtype="int64"),
-                "sub": pd.Series(out_sub, dtype="int32"),
+                "seq": np.array(out_seq, dtype=np.int64),
+                "sub": np.array(out_sub, dtype=np.int32),
                 "room": [room] * len(out_seq),
                 "value": out_val,
             })
@@ -148,9 +158,9 @@ class RoomAlerts(StatefulProcessor):
 def alerts_stream(log: DataFrame) -> DataFrame:
     """Streaming ``seq, sub, room, value`` alerts from a streaming log."""
     students = log.where(F.col("src") == "student").select("seq", "key", "val")
-    deltas = students.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=StudentRooms(), outputStructType=UPDATE_SCHEMA,
-        outputMode="Append", timeMode="None")
+    deltas = students.groupBy("key").applyInPandasWithState(
+        student_rooms, outputStructType=UPDATE_SCHEMA, stateStructType=_STUDENT_STATE,
+        outputMode="append", timeoutConf="NoTimeout")
     caps = log.where(F.col("src") == "class").select(
         "seq", F.lit(0).alias("sub"), F.col("key").alias("room"), F.lit(0).alias("delta"),
         F.lit(True).alias("is_cap"), strict_int(F.col("val"), "capacity").alias("cap"))
@@ -178,32 +188,51 @@ def start_alerts(spark: SparkSession, log: DataFrame, out_dir: str, checkpoint:
     return w.start()
 
 
-def replay_log(spark: SparkSession, log: DataFrame, workdir: str, batches: int = 4) -> DataFrame:
+def _run_once(spark: SparkSession, in_dir: str, out_dir: str, ckpt: str):
+    # One file per micro-batch, oldest first: the files are offered in log
+    # order, so micro-batches arrive in log order.
+    stream = (spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1)
+              .parquet(f"{in_dir}/*"))
+    q = start_alerts(spark, stream, out_dir, ckpt, available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return q
+
+
+def replay_log(spark: SparkSession, log: DataFrame, workdir: str, rows_per_batch: int = 1_000_000,
+               min_batches: int = 4, restart_each_batch: bool = False) -> DataFrame:
     """Replay a batch log through the stream and return the alerts.
 
-    The log is staged once, split into ``batches`` consecutive ``seq``
-    ranges; each range is then offered as new files and consumed by one
-    ``availableNow`` run that restarts from the same checkpoint, so the
-    state crosses micro-batches and restarts exactly as in a long-running
-    query.  ``workdir`` must be on shared storage on a cluster (use
-    ``plans.lineage.scratch_path``)."""
+    The log is staged once, cut into consecutive ``seq`` ranges of about
+    ``rows_per_batch`` rows (at least ``min_batches``), and each range is
+    offered as one new file, in order; one ``availableNow`` run consumes a
+    file per micro-batch, so state crosses micro-batches as in a
+    long-running query.  ``restart_each_batch`` instead stops and restarts
+    the query from its checkpoint after every file (recovery test).
+    ``workdir`` must be on shared storage on a cluster (use
+    ``plans.lineage.scratch_path``).  This is a test harness; production
+    reads the topics with the Kafka source."""
     ensure_checkpoint_dir(spark)
-    lo_hi = log.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
     out_dir, ckpt, in_dir = f"{workdir}/out", f"{workdir}/checkpoint", f"{workdir}/in"
-    if lo_hi["lo"] is None:
-        return spark.createDataFrame([], ALERT_SCHEMA)
-    lo, hi = int(lo_hi["lo"]), int(lo_hi["hi"])
-    span = hi - lo + 1
+    # Materialise the log once; bounds and slices are read from the copy.
     staged = f"{workdir}/staged"
-    (log.select(*[F.col(f.name).cast(f.dataType) for f in LOG_SCHEMA.fields],
-                F.floor((F.col("seq") - lo) * batches / span).cast("int").alias("b"))
-     .write.partitionBy("b").parquet(staged))
+    log.select(*[F.col(f.name).cast(f.dataType) for f in LOG_SCHEMA.fields]).write.parquet(staged)
+    copy = spark.read.schema(LOG_SCHEMA).parquet(staged)
+    stats = copy.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"),
+                     F.count(F.lit(1)).alias("n")).first()
+    if stats["lo"] is None:
+        return spark.createDataFrame([], ALERT_SCHEMA)
+    lo, hi = int(stats["lo"]), int(stats["hi"])
+    batches = max(min_batches, -(-int(stats["n"]) // rows_per_batch))
+    step = -(-(hi - lo + 1) // batches)
     for b in range(batches):
-        part = spark.read.parquet(staged).where(F.col("b") == b).drop("b")
-        part.write.parquet(f"{in_dir}/b{b:06d}")
-        stream = spark.readStream.schema(LOG_SCHEMA).parquet(f"{in_dir}/*")
-        q = start_alerts(spark, stream, out_dir, ckpt, available_now=True)
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+        # a bounded slice (about rows_per_batch rows) written as one file;
+        # the seq range is pushed down to the parquet scan
+        part = copy.where((F.col("seq") >= lo + b * step) & (F.col("seq") < lo + (b + 1) * step))
+        part.coalesce(1).write.parquet(f"{in_dir}/b{b:06d}")
+        if restart_each_batch:
+            _run_once(spark, in_dir, out_dir, ckpt)
+    if not restart_each_batch:
+        _run_once(spark, in_dir, out_dir, ckpt)
     return spark.read.schema(ALERT_SCHEMA).parquet(out_dir)

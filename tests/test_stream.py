@@ -26,7 +26,15 @@ def random_log(seed, n=300):
 def test_stream_equals_batch_across_restarts(spark):
     log = spark.createDataFrame(random_log(5), LOG)
     want = rows(occupancy.alerts(log), "seq", "sub", "room", "value")
-    got = rows(replay_log(spark, log, scratch_path(spark, "stream-test"), batches=3),
+    got = rows(replay_log(spark, log, scratch_path(spark, "stream-test"), min_batches=3,
+                          restart_each_batch=True), "seq", "sub", "room", "value")
+    assert got == want and len(want) > 10
+
+
+def test_stream_equals_batch_in_one_run(spark):
+    log = spark.createDataFrame(random_log(6), LOG)
+    want = rows(occupancy.alerts(log), "seq", "sub", "room", "value")
+    got = rows(replay_log(spark, log, scratch_path(spark, "stream-one"), min_batches=5),
                "seq", "sub", "room", "value")
     assert got == want and len(want) > 10
 
@@ -34,7 +42,7 @@ def test_stream_equals_batch_across_restarts(spark):
 def test_rerun_on_same_checkpoint_adds_nothing(spark):
     work = scratch_path(spark, "stream-rerun")
     log = spark.createDataFrame(random_log(9, 120), LOG)
-    first = rows(replay_log(spark, log, work, batches=2))
+    first = rows(replay_log(spark, log, work, min_batches=2))
     # a new run over the same input folder and checkpoint sees no new files
     stream = spark.readStream.schema(LOG_SCHEMA).parquet(f"{work}/in/*")
     q = start_alerts(spark, stream, f"{work}/out", f"{work}/checkpoint")
