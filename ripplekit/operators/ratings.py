@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ripplekit.plans.lineage import cut_lineage
+from ripplekit.plans.lineage import materialize
 
 
 def long_form(parsed: DataFrame) -> DataFrame:
@@ -83,8 +83,8 @@ def similarity(parsed: DataFrame, tile_titles: int = 2048, include_zero: bool =
     block takes part in, and tiles are equi-joined on ``(p, q)``: every task
     compares two bounded blocks with a JVM expression, every pair is formed
     exactly once, and the shuffle carries ``titles * B`` rows instead of the
-    quadratic output.  Title vectors are checkpointed once, since both join
-    sides and the size check read them.
+    quadratic output.  Title vectors are written once to the checkpoint
+    folder, since both join sides and the size check read them.
 
     Titles must be unique; duplicates raise with the titles listed.  Rows of
     different width are compared position by position, a missing cell
@@ -92,7 +92,7 @@ def similarity(parsed: DataFrame, tile_titles: int = 2048, include_zero: bool =
     """
     vec = parsed.select("title",
                         F.transform("ratings", lambda x: F.coalesce(x, F.lit(0))).alias("v"))
-    vec = cut_lineage(vec)
+    vec = materialize(vec, "title-vectors")
     stats = vec.groupBy("title").agg(F.count(F.lit(1)).alias("c")) \
         .agg(F.sum("c").alias("n"), F.max("c").alias("dup"),
              F.min(F.lit(0)).alias("_z")).first()

@@ -46,3 +46,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     of recomputing the whole upstream plan."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table under the checkpoint folder and read it
+    back: later plans start from a scan (column pruning and filter pushdown
+    still apply), and task retries or lost executors never recompute the
+    upstream lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

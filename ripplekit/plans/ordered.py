@@ -65,57 +65,58 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str],
         if s.kind not in KINDS:
             raise ValueError(f"unknown scan kind {s.kind!r}")
     if isinstance(chunk, str):
-        ck, base = chunk, df
+        ck, ck_col = chunk, []
     else:
-        ck, base = "_ck", df.withColumn("_ck", chunk)
-    for i, s in enumerate(specs):
-        base = base.withColumn(f"_e{i}", s.expr)
+        ck, ck_col = "_ck", [chunk.alias("_ck")]
+    # Every step is one select: PySpark analyses the whole plan per step.
+    base = df.select("*", *ck_col, *[s.expr.alias(f"_e{i}") for i, s in enumerate(specs)])
 
     w = Window.partitionBy(*keys, ck).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
 
-    local = base
     need_first = any(s.kind == "lead" for s in specs)
     need_last = any(s.kind != "lead" for s in specs)
-    if need_last:
-        local = local.withColumn("_islast", F.lead(F.lit(1)).over(w).isNull())
-    if need_first:
-        local = local.withColumn("_isfirst", F.lag(F.lit(1)).over(w).isNull())
+    is_last = F.lead(F.lit(1)).over(w).isNull()
+    is_first = F.lag(F.lit(1)).over(w).isNull()
+    cols = []
     for i, s in enumerate(specs):
         e = F.col(f"_e{i}")
-        inclusive = None      # chunk summary, read on the chunk's last row
         if s.kind == "lag":
             loc = F.lag(F.struct(e.alias("v"))).over(w)
-            inclusive = F.struct(e.alias("v"))
+            summ = F.when(is_last, F.struct(e.alias("v")))
         elif s.kind == "lead":
             loc = F.lead(F.struct(e.alias("v"))).over(w)
+            summ = F.when(is_first, F.struct(e.alias("v")))
         elif s.kind == "sum":
             loc = F.sum(e).over(upto)
+            summ = F.when(is_last, loc)
         elif s.kind == "last":
             loc = F.last(e, ignorenulls=True).over(upto)
+            summ = F.when(is_last, loc)
         elif s.kind == "last_before":
             loc = F.last(e, ignorenulls=True).over(before)
-            inclusive = F.coalesce(e, F.col(f"_l{i}"))
+            summ = F.when(is_last, F.last(e, ignorenulls=True).over(upto))
         else:  # max_before
             loc = F.max(e).over(before)
-            inclusive = F.greatest(e, F.col(f"_l{i}"))
-        local = local.withColumn(f"_l{i}", loc)
-        if s.kind == "lead":
-            local = local.withColumn(f"_s{i}", F.when(F.col("_isfirst"), F.struct(e.alias("v"))))
-        else:
-            summ = F.col(f"_l{i}") if inclusive is None else inclusive
-            local = local.withColumn(f"_s{i}", F.when(F.col("_islast"), summ))
+            summ = F.when(is_last, F.max(e).over(upto))
+        cols += [loc.alias(f"_l{i}"), summ.alias(f"_s{i}")]
+    edge = []
+    if need_last:
+        edge.append(is_last.alias("_islast"))
+    if need_first:
+        edge.append(is_first.alias("_isfirst"))
+    local = base.select("*", *edge, *cols)
 
-    edge = F.lit(False)
+    cond = F.lit(False)
     if need_last:
-        edge = edge | F.col("_islast")
+        cond = cond | F.col("_islast")
     if need_first:
-        edge = edge | F.col("_isfirst")
-    summary = local.where(edge).select(*keys, ck, *[f"_s{i}" for i in range(len(specs))])
-    summary = summary.groupBy(*keys, ck).agg(
-        *[F.first(f"_s{i}", ignorenulls=True).alias(f"_s{i}") for i in range(len(specs))]) \
-        if need_first and need_last else summary
+        cond = cond | F.col("_isfirst")
+    summary = local.where(cond).select(*keys, ck, *[f"_s{i}" for i in range(len(specs))])
+    if need_first and need_last:
+        summary = summary.groupBy(*keys, ck).agg(
+            *[F.first(f"_s{i}", ignorenulls=True).alias(f"_s{i}") for i in range(len(specs))])
 
     wk = Window.partitionBy(*keys).orderBy(ck)
     wk_before = wk.rowsBetween(Window.unboundedPreceding, -1)

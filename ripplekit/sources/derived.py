@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ripplekit.plans.lineage import materialize
 from ripplekit.plans.ordered import Scan, chunk_by_width, ordered_scan
 from ripplekit.sources.tables import table
 
@@ -113,7 +114,9 @@ def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = scanned.where(~F.col("pending")).select(
         F.col("finish").alias("t"), "tid", F.lit("res").alias("phase"), "op", "k",
         F.when(~is_w, read_val).alias("v"))
-    return inv.unionByName(res)
+    # The log is the input table of the log jobs: write it once to the shared
+    # checkpoint folder so pairing and history plans start from a scan.
+    return materialize(inv.unionByName(res), "oplog")
 
 
 def diff_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
