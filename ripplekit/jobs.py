@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ripplekit.operators import compare, digests, history, kvlog, occupancy, ratings, words
 from ripplekit.plans.lineage import scratch_path
+from ripplekit.plans.parallel import spread_if_narrow
 from ripplekit.sources import derived
 from ripplekit.sources.tables import table
 from ripplekit.sources.text import lines_of_column, parse_matrix
@@ -17,7 +18,7 @@ from ripplekit.sources.text import lines_of_column, parse_matrix
 # -- W1 ----------------------------------------------------------------------
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("text")
+    docs = spread_if_narrow(table(spark, sf_dir, "documents").select("text"))
     return words.word_count(lines_of_column(docs, "text"))
 
 

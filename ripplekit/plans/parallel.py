@@ -1,0 +1,22 @@
+"""Scan parallelism.
+
+A narrow input (a small file, one row group) is read by one task, and the
+row-local work fused into that scan stage (tokenising text, exploding,
+partial aggregation) then runs on one core.  ``spread_if_narrow`` adds a
+round-robin exchange only when the planned scan has fewer partitions than
+the cluster's default parallelism; on large inputs the scan already has
+many splits and the data is never shuffled for this.  Worth it only where
+the fused row-local work is heavy (tokenising whole documents); a scan of a
+few narrow columns is cheaper than the extra exchange.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
