@@ -1,0 +1,50 @@
+"""Plan shape checks that guard the scale design."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+from conftest import SF_SMALL
+
+CHUNK = re.compile(r"\b_(?:r|e)?ck#")
+
+
+def windows(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    out = []
+    for line in plan.splitlines():
+        m = re.search(r"Window \[.*\], \[([^\]]*)\], \[([^\]]*)\]$", line.strip())
+        if m:
+            out.append((m.group(1), m.group(2)))
+    return out
+
+
+@pytest.mark.parametrize("name", ["room_counts", "alerts", "op_pairing", "history_check"])
+def test_no_window_over_a_whole_key(spark, name):
+    """Row-level windows are partitioned by (key, chunk); windows keyed by
+    the key alone only order chunk summaries."""
+    ws = windows(entry.queries()[name](spark, SF_SMALL))
+    assert ws
+    for part, order in ws:
+        assert CHUNK.search(part) or CHUNK.search(order), (part, order)
+
+
+def test_similarity_has_no_cross_join(spark):
+    df = entry.queries()["similarity"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["word_count", "ratings_per_user", "latest_by_key",
+                                  "output_diff", "hash_audit"])
+def test_aggregations_combine_before_the_shuffle(spark, name):
+    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"(HashAggregate|SortAggregate|ObjectHashAggregate)\(keys?=\[[^\]]*\], "
+                     r"functions=\[partial_", plan), plan
+
+
+def test_scans_read_only_needed_columns(spark):
+    plan = entry.queries()["word_count"](spark, SF_SMALL)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "ReadSchema: struct<text:string>" in plan
