@@ -80,19 +80,20 @@ def pair_operations(oplog: DataFrame, chunk_width: int = T_CHUNK) -> DataFrame:
 
 
 def throughput_report(ops: DataFrame, by: list[str]) -> DataFrame:
-    """Per group: completed and pending operations, total and mean
-    latency of completed ones (mean truncated to 2 decimals) and throughput
-    ``floor(1000 * completed / span)`` with ``span`` from the first start to
-    the last finish of the group (log instants taken as milliseconds)."""
+    """Per group, with log instants in microseconds: completed and
+    pending operations, total latency of completed ones (µs), their mean
+    latency in milliseconds truncated to 2 decimals, and the throughput in
+    operations per second, ``floor(1e6 * completed / span)``, with ``span``
+    from the first start to the last finish of the group."""
     done = F.col("status") == "ok"
     lat = F.when(done, F.col("finish") - F.col("start"))
     agg = ops.groupBy(*by).agg(
         F.count(F.when(done, 1)).alias("n_ok"),
         F.count(F.when(~done, 1)).alias("n_pending"),
-        F.sum(lat).cast("long").alias("total_latency"),
+        F.sum(lat).cast("long").alias("total_latency_us"),
         F.min("start").alias("_t0"), F.max("finish").alias("_t1"))
     span = F.col("_t1") - F.col("_t0")
     return agg.select(
-        *by, "n_ok", "n_pending", "total_latency",
-        truncate2(F.col("total_latency") / F.col("n_ok")).alias("avg_latency"),
-        F.floor(F.lit(1000.0) * F.col("n_ok") / span).cast("long").alias("throughput"))
+        *by, "n_ok", "n_pending", "total_latency_us",
+        truncate2(F.col("total_latency_us") / F.col("n_ok") / F.lit(1000.0)).alias("avg_latency_ms"),
+        F.floor(F.lit(1e6) * F.col("n_ok") / span).cast("long").alias("throughput_per_s"))

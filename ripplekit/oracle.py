@@ -122,11 +122,12 @@ def _report(by: str) -> str:
     return f"""WITH {_OPLOG}
 SELECT {by}, count(CASE WHEN status = 'ok' THEN 1 END) AS n_ok,
        count(CASE WHEN status <> 'ok' THEN 1 END) AS n_pending,
-       CAST(sum(CASE WHEN status = 'ok' THEN finish - start END) AS BIGINT) AS total_latency,
+       CAST(sum(CASE WHEN status = 'ok' THEN finish - start END) AS BIGINT) AS total_latency_us,
        floor(CAST(sum(CASE WHEN status = 'ok' THEN finish - start END) AS DOUBLE)
-             / count(CASE WHEN status = 'ok' THEN 1 END) * 100) / 100.0 AS avg_latency,
-       CAST(floor(1000.0::DOUBLE * count(CASE WHEN status = 'ok' THEN 1 END)
-                  / (max(finish) - min(start))) AS BIGINT) AS throughput
+             / count(CASE WHEN status = 'ok' THEN 1 END) / 1000.0::DOUBLE * 100) / 100.0
+         AS avg_latency_ms,
+       CAST(floor(1e6::DOUBLE * count(CASE WHEN status = 'ok' THEN 1 END)
+                  / (max(finish) - min(start))) AS BIGINT) AS throughput_per_s
 FROM pairs GROUP BY {by}"""
 
 
