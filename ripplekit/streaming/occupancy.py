@@ -170,6 +170,33 @@ def alerts_stream(log: DataFrame) -> DataFrame:
         outputMode="Append", timeMode="None")
 
 
+def topic_log(spark: SparkSession, bootstrap: str, student_topic: str, class_topic: str,
+              starting_offsets: str = "earliest") -> DataFrame:
+    """The streaming log from two Kafka topics of ``key`` / ``value``
+    strings (a null value deletes), as produced by console producers with
+    ``parse.key=true`` and ``key.separator=,``.
+
+    Records are ordered by broker timestamp, then offset: ``seq =
+    unix_millis(timestamp) * 2^20 + offset mod 2^20`` (unique while a topic
+    partition takes fewer than 2^20 records per millisecond).  Needs the
+    Kafka connector on the classpath."""
+    def one(topic: str, src: str) -> DataFrame:
+        try:
+            raw = (spark.readStream.format("kafka")
+                   .option("kafka.bootstrap.servers", bootstrap)
+                   .option("subscribe", topic)
+                   .option("startingOffsets", starting_offsets).load())
+        except Exception as e:  # connector missing
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka connector "
+                               "on the classpath; use a file source instead") from e
+        seq = (F.unix_millis("timestamp") * F.lit(1 << 20)
+               + F.col("offset") % F.lit(1 << 20))
+        return raw.select(seq.alias("seq"), F.lit(src).alias("src"),
+                          F.col("key").cast("string").alias("key"),
+                          F.col("value").cast("string").alias("val"))
+    return one(student_topic, "student").unionByName(one(class_topic, "class"))
+
+
 def _use_rocksdb(spark: SparkSession) -> None:
     key = "spark.sql.streaming.stateStore.providerClass"
     want = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -5,7 +5,9 @@ import random
 from conftest import rows
 from ripplekit.operators import occupancy
 from ripplekit.plans.lineage import scratch_path
-from ripplekit.streaming.occupancy import LOG_SCHEMA, replay_log, start_alerts
+import pytest
+
+from ripplekit.streaming.occupancy import LOG_SCHEMA, replay_log, start_alerts, topic_log
 
 LOG = "seq long, src string, key string, val string"
 
@@ -49,3 +51,12 @@ def test_rerun_on_same_checkpoint_adds_nothing(spark):
     q.awaitTermination()
     again = rows(spark.read.parquet(f"{work}/out"))
     assert again == first
+
+
+def test_kafka_source_needs_the_connector(spark):
+    try:
+        topic_log(spark, "localhost:1", "students", "classrooms")
+    except RuntimeError as e:
+        assert "connector" in str(e)
+    else:  # connector present: the log has the stream schema
+        pytest.skip("Kafka connector available")
