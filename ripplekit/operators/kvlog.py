@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ripplekit.functions.strings import truncate2
 from ripplekit.plans.ordered import Scan, chunk_by_width, ordered_scan
 
-# Log instants per chunk of the per-thread scan (bounded window partitions).
-T_CHUNK = 1 << 28
+# Log instants (µs) per chunk of the per-thread scan: about 4 s of log time,
+# so even a hot thread or key keeps window partitions to a few million rows.
+T_CHUNK = 1 << 22
 
 
 def latest_by_key(log: DataFrame, key: str = "key", value: str = "value",
