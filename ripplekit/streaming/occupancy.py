@@ -24,6 +24,7 @@ files.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +34,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from pyspark import cloudpickle
+
 from ripplekit.functions.strings import strict_int
 from ripplekit.plans.lineage import ensure_checkpoint_dir
 
+# The per-key functions below run in Python workers.  They are shipped by
+# value, so workers need not have this package installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LOG_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("src", T.StringType()),
