@@ -34,6 +34,12 @@ def comma_fields(line) -> Column:
     return F.split(_c(line), ",", -1)
 
 
+def first_field(line) -> Column:
+    """The text before the first comma (the whole line without one): the
+    title of a matrix line, read without splitting the rest."""
+    return F.substring_index(_c(line), ",", 1)
+
+
 def strict_int(cell, what: str = "cell") -> Column:
     """Parse a decimal integer the way ``Integer.parseInt`` does: optional
     sign and digits only (no blanks, no decimal point); anything else fails

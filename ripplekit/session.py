@@ -33,6 +33,10 @@ def local_session(cores: int | None = None, app: str = "ripplekit",
          .config("spark.driver.memory", os.environ.get("RIPPLEKIT_DRIVER_MEM", "16g"))
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
+    env = os.environ.get("RIPPLEKIT_CONF", "")
+    for kv in filter(None, env.split(",")):
+        k, v = kv.split("=", 1)
+        b = b.config(k, v)
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()

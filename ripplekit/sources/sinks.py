@@ -27,6 +27,11 @@ def render_lines(df: DataFrame, cols: list[str] | None = None, sep: str = ",") -
 
 
 def write_lines(df: DataFrame, path: str, cols: list[str] | None = None, sep: str = ",",
-                mode: str = "errorifexists") -> None:
-    """K1 (``cols`` = key and value) and K2 (``cols`` = the value only)."""
+                mode: str = "errorifexists", sort_by: list[str] | None = None) -> None:
+    """K1 (``cols`` = key and value) and K2 (``cols`` = the value only).
+    ``sort_by`` sorts every output file by those columns, like the
+    per-reducer key order of a MapReduce job (no global sort, no extra
+    shuffle)."""
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
     render_lines(df, cols, sep).write.mode(mode).text(path)

@@ -23,3 +23,16 @@ def test_existing_result_is_kept_unless_overwritten(spark):
         write_lines(df, path)
     write_lines(df.selectExpr("k", "n + 1 AS n"), path, mode="overwrite")
     assert [r.value for r in read_lines(spark, path).collect()] == ["a,2"]
+
+
+def test_sorted_output_files(spark):
+    path = scratch_path(spark, "sink-sorted")
+    df = spark.createDataFrame([(k, 1) for k in "dbca"], "k string, n long").repartition(1)
+    write_lines(df, path, sort_by=["k"])
+    assert [r.value for r in read_lines(spark, path).collect()] == ["a,1", "b,1", "c,1", "d,1"]
+
+
+def test_first_field(spark):
+    from ripplekit.functions.strings import first_field
+    df = spark.createDataFrame([("A,1,2",), ("B",), ("",)], "value string")
+    assert [r.t for r in df.select(first_field("value").alias("t")).collect()] == ["A", "B", ""]
