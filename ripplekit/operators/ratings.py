@@ -93,30 +93,44 @@ def similarity(parsed: DataFrame, tile_titles: int = 2048, include_zero: bool =
     vec = parsed.select("title",
                         F.transform("ratings", lambda x: F.coalesce(x, F.lit(0))).alias("v"))
     vec = materialize(vec, "title-vectors")
-    stats = vec.groupBy("title").agg(F.count(F.lit(1)).alias("c")) \
-        .agg(F.sum("c").alias("n"), F.max("c").alias("dup"),
-             F.min(F.lit(0)).alias("_z")).first()
+    stats = vec.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("title").alias("nd"),
+                    F.min(F.size("v")).alias("lo"), F.max(F.size("v")).alias("hi")).first()
     n = int(stats["n"] or 0)
-    if stats["dup"] is not None and stats["dup"] > 1:
+    if n != int(stats["nd"] or 0):
         dups = [r["title"] for r in vec.groupBy("title").count().where("count > 1")
                 .select("title").limit(20).collect()]
         raise DuplicateTitles(f"titles must be unique; repeated: {dups}")
-    if on_ragged == "error":
-        widths = vec.agg(F.min(F.size("v")).alias("lo"), F.max(F.size("v")).alias("hi")).first()
-        if widths["lo"] != widths["hi"]:
-            raise ValueError(f"rows differ in width ({widths['lo']}..{widths['hi']})")
+    if on_ragged == "error" and stats["lo"] != stats["hi"]:
+        raise ValueError(f"rows differ in width ({stats['lo']}..{stats['hi']})")
 
-    par = vec.sparkSession.sparkContext.defaultParallelism
+    spark = vec.sparkSession
+    par = spark.sparkContext.defaultParallelism
     blocks = max(1, math.ceil(n / tile_titles), math.ceil(math.sqrt(2 * par)))
+    tiles = blocks * (blocks + 1) // 2
+    # The join input is small but its output is quadratic: fix the number of
+    # join partitions from the tile count so adaptive coalescing cannot put
+    # all tiles into one task.
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(tiles, max(par, shuffle)))
     blk = F.pmod(F.xxhash64("title"), F.lit(blocks)).cast("int")
     left = vec.select(F.col("title").alias("ta"), F.col("v").alias("va"), blk.alias("p")) \
-        .withColumn("q", F.explode(F.sequence(F.col("p"), F.lit(blocks - 1))))
+        .withColumn("q", F.explode(F.sequence(F.col("p"), F.lit(blocks - 1)))) \
+        .repartition(parts, "p", "q")
     right = vec.select(F.col("title").alias("tb"), F.col("v").alias("vb"), blk.alias("q")) \
-        .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("q"))))
+        .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("q")))) \
+        .repartition(parts, "p", "q")
     pairs = left.join(right, on=["p", "q"], how="inner") \
         .where((F.col("p") < F.col("q")) | (F.col("ta") < F.col("tb")))
-    score = F.size(F.filter(F.arrays_zip("va", "vb"),
-                            lambda z: (z["va"] == z["vb"]) & (z["va"] != 0)))
+    width = int(stats["hi"] or 0)
+    if width <= 64:
+        # narrow rows: an unrolled sum stays in generated code (no lambda,
+        # no per-pair array); a missing cell of a ragged row is null
+        score = sum((F.when((F.try_element_at("va", F.lit(i)) == F.try_element_at("vb", F.lit(i)))
+                            & (F.try_element_at("va", F.lit(i)) != 0), 1).otherwise(0)
+                     for i in range(1, width + 1)), F.lit(0))
+    else:
+        score = F.size(F.filter(F.arrays_zip("va", "vb"),
+                                lambda z: (z["va"] == z["vb"]) & (z["va"] != 0)))
     out = pairs.select(F.least("ta", "tb").alias("m1"), F.greatest("ta", "tb").alias("m2"),
                        score.cast("long").alias("n"))
     if not include_zero:
