@@ -216,7 +216,12 @@ def start_alerts(spark: SparkSession, log: DataFrame, out_dir: str, checkpoint:
     """Start the alert query on a streaming log with an exactly-once
     parquet sink; returns the ``StreamingQuery``."""
     _use_rocksdb(spark)
-    w = (alerts_stream(log).writeStream.format("parquet").outputMode("append")
+    # Per micro-batch counts in the query progress (``observedMetrics``),
+    # the monitoring counterpart of printing every update.
+    out = alerts_stream(log).observe(
+        "alerts", F.count(F.lit(1)).alias("alerts"),
+        F.count(F.when(F.col("value") == "OK", 1)).alias("recoveries"))
+    w = (out.writeStream.format("parquet").outputMode("append")
          .option("path", out_dir).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start()

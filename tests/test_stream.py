@@ -53,6 +53,19 @@ def test_rerun_on_same_checkpoint_adds_nothing(spark):
     assert again == first
 
 
+def test_observed_metrics_count_alerts(spark):
+    from ripplekit.plans.lineage import scratch_path as sp
+    work = sp(spark, "stream-observe")
+    data = random_log(11, 150)
+    spark.createDataFrame(data, LOG).write.parquet(f"{work}/in/b0")
+    stream = spark.readStream.schema(LOG_SCHEMA).parquet(f"{work}/in/*")
+    q = start_alerts(spark, stream, f"{work}/out", f"{work}/checkpoint")
+    q.awaitTermination()
+    seen = sum(p["observedMetrics"]["alerts"]["alerts"] for p in q.recentProgress
+               if "alerts" in p.get("observedMetrics", {}))
+    assert seen == spark.read.parquet(f"{work}/out").count() > 0
+
+
 def test_kafka_source_needs_the_connector(spark):
     try:
         topic_log(spark, "localhost:1", "students", "classrooms")
