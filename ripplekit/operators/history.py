@@ -30,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ripplekit.plans.lineage import materialize
 from ripplekit.plans.ordered import Scan, chunk_by_width, ordered_scan
 
 NEG_INF = -(1 << 62)
@@ -69,7 +70,9 @@ def clusters(ops: DataFrame) -> DataFrame:
 
 def check_history(ops: DataFrame, chunk_width: int = ZONE_CHUNK) -> DataFrame:
     """``k, v, score int, reason string``: one row per offending cluster."""
-    c = clusters(ops)
+    # One row per cluster, written once: the zone scan's two branches and the
+    # junk report read it instead of re-running the pairing.
+    c = materialize(clusters(ops), "history-clusters")
     junk = c.where(~F.col("has_write")).select(
         "k", "v", F.lit(2).alias("score"), F.lit("junk").alias("reason"))
     z = c.where(F.col("has_write")).select(

@@ -22,7 +22,8 @@ every update is visible downstream):
 
 All per-key order runs through ``plans.ordered.ordered_scan``, whose window
 partitions are bounded by the chunk width, so one hot student or room does
-not serialise the job.
+not serialise the job.  The output of one scan that feeds another is
+written to the checkpoint folder first (deltas, joined updates).
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripplekit.functions.strings import strict_int
+from ripplekit.plans.lineage import materialize
 from ripplekit.plans.ordered import Scan, chunk_by_width, ordered_scan
 
 SEQ_CHUNK = 1 << 18
@@ -73,8 +75,10 @@ def room_timeline(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
     ``seen > 0`` once the room has a count, ``cap`` null when no capacity is
     set.  ``_rck`` is the order chunk, kept so later scans per room reuse
     the partitioning."""
-    d = room_deltas(log, chunk_width).withColumn(
-        "_rck", chunk_by_width(F.col("seq"), chunk_width))
+    # The deltas come out of the per-student scan: written once, so the
+    # per-room scan's two branches read a table, not the student scan.
+    d = materialize(room_deltas(log, chunk_width).withColumn(
+        "_rck", chunk_by_width(F.col("seq"), chunk_width)), "room-deltas")
     s = ordered_scan(d, ["room"], ["seq", "sub"], "_rck",
                      [Scan("cnt", "sum", F.col("delta").cast("long")),
                       Scan("seen", "sum", F.abs(F.col("delta")).cast("long")),
@@ -117,5 +121,6 @@ def alerts_from_status(status: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataF
 
 
 def alerts(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
-    """C4: overload and recovery alerts, ``seq, sub, room, value``."""
-    return alerts_from_status(_joined(log, chunk_width), chunk_width)
+    """C4: overload and recovery alerts, ``seq, sub, room, value``.  The
+    joined updates are written before the alert scan reads them."""
+    return alerts_from_status(materialize(_joined(log, chunk_width), "room-status"), chunk_width)

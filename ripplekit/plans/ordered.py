@@ -5,23 +5,23 @@ far" per key in a total order (room occupancy, operation logs, history
 zones).  A window ``partitionBy(key).orderBy(seq)`` puts every row of a key
 into one task, so a key holding a third of the data would serialise a third
 of the job.  Instead the order axis is cut into chunks (for example
-``floor(seq / width)``) and the scan runs in three steps:
-
-1. a window over ``(key, chunk)``: every window partition is bounded by the
-   chunk width, whatever the key skew;
-2. the last (or first) row of every ``(key, chunk)`` carries the chunk's
-   summary (its inclusive running values); these rows alone are combined
-   across chunks with a window over ``key`` whose partitions hold one row
-   per chunk, i.e. ``rows / width`` at most;
+``floor(seq / width)``) and the scan runs as:
+
+1. rows: a window over ``(key, chunk)``; every window partition is bounded
+   by the chunk width, whatever the key skew.  This is the only exchange of
+   full rows;
+2. summaries: one row per ``(key, chunk)`` (total, last row, last non-null,
+   maximum) from a ``groupBy(key, chunk)`` on the same input, aggregated
+   map-side, so only summary rows are shuffled; they are combined across
+   chunks with a window over ``key`` whose partitions hold one row per chunk;
 3. an equi-join of the per-chunk carries back onto the rows (broadcast by
    the planner while the carries are small, a shuffle join beyond).
 
-No aggregation is needed, and the input is exchanged once: step 2 reads the
-output of step 1.  When ``chunk`` names an existing column it is kept in the
-output, so a second scan over the same keys and chunk column reuses the
-first one's partitioning instead of shuffling again.
-
-Keys must be non-null and the order columns must be unique within a key.
+The two branches read the input separately (column-pruned).  For a table
+scan that is cheap; an input that is itself the result of another scan
+should be written first (``plans.lineage.materialize``) so its work is not
+repeated in both branches.  Keys must be non-null and the order columns
+must be unique within a key.
 """
 
 from __future__ import annotations
@@ -60,7 +60,8 @@ def chunk_by_width(order_col: Column, width: int) -> Column:
 def ordered_scan(df: DataFrame, keys: list[str], order: list[str],
                  chunk: Column | str, specs: list[Scan]) -> DataFrame:
     """Add the columns described by ``specs`` to ``df``; see module doc.
-    ``chunk`` is an expression, or the name of an existing column (kept)."""
+    ``chunk`` is an expression, or the name of an existing column (kept, so
+    a later scan on the same keys can reuse the row partitioning)."""
     for s in specs:
         if s.kind not in KINDS:
             raise ValueError(f"unknown scan kind {s.kind!r}")
@@ -74,49 +75,33 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str],
     w = Window.partitionBy(*keys, ck).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
+    ord_struct = F.struct(*[F.col(c) for c in order])
 
-    need_first = any(s.kind == "lead" for s in specs)
-    need_last = any(s.kind != "lead" for s in specs)
-    is_last = F.lead(F.lit(1)).over(w).isNull()
-    is_first = F.lag(F.lit(1)).over(w).isNull()
-    cols = []
+    cols, aggs = [], []
     for i, s in enumerate(specs):
         e = F.col(f"_e{i}")
         if s.kind == "lag":
             loc = F.lag(F.struct(e.alias("v"))).over(w)
-            summ = F.when(is_last, F.struct(e.alias("v")))
+            summ = F.max_by(F.struct(e.alias("v")), ord_struct)
         elif s.kind == "lead":
             loc = F.lead(F.struct(e.alias("v"))).over(w)
-            summ = F.when(is_first, F.struct(e.alias("v")))
+            summ = F.min_by(F.struct(e.alias("v")), ord_struct)
         elif s.kind == "sum":
             loc = F.sum(e).over(upto)
-            summ = F.when(is_last, loc)
+            summ = F.sum(e)
         elif s.kind == "last":
             loc = F.last(e, ignorenulls=True).over(upto)
-            summ = F.when(is_last, loc)
+            summ = F.max_by(e, F.when(e.isNotNull(), ord_struct))
         elif s.kind == "last_before":
             loc = F.last(e, ignorenulls=True).over(before)
-            summ = F.when(is_last, F.last(e, ignorenulls=True).over(upto))
+            summ = F.max_by(e, F.when(e.isNotNull(), ord_struct))
         else:  # max_before
             loc = F.max(e).over(before)
-            summ = F.when(is_last, F.max(e).over(upto))
-        cols += [loc.alias(f"_l{i}"), summ.alias(f"_s{i}")]
-    edge = []
-    if need_last:
-        edge.append(is_last.alias("_islast"))
-    if need_first:
-        edge.append(is_first.alias("_isfirst"))
-    local = base.select("*", *edge, *cols)
-
-    cond = F.lit(False)
-    if need_last:
-        cond = cond | F.col("_islast")
-    if need_first:
-        cond = cond | F.col("_isfirst")
-    summary = local.where(cond).select(*keys, ck, *[f"_s{i}" for i in range(len(specs))])
-    if need_first and need_last:
-        summary = summary.groupBy(*keys, ck).agg(
-            *[F.first(f"_s{i}", ignorenulls=True).alias(f"_s{i}") for i in range(len(specs))])
+            summ = F.max(e)
+        cols.append(loc.alias(f"_l{i}"))
+        aggs.append(summ.alias(f"_s{i}"))
+    local = base.select("*", *cols)
+    summary = base.groupBy(*keys, ck).agg(*aggs)
 
     wk = Window.partitionBy(*keys).orderBy(ck)
     wk_before = wk.rowsBetween(Window.unboundedPreceding, -1)

@@ -101,11 +101,11 @@ def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Pass 1: every operation learns the latest write before it on its key
     # (for a write, that is its predecessor).  Pass 2: every operation learns
     # the latest earlier write together with that write's predecessor.
-    # Both passes share the chunk column, so the second reuses the first's
-    # partitioning by (k, chunk).
+    # Pass 1 is written before pass 2 reads it: both branches of pass 2 (rows
+    # and chunk summaries) then scan a table instead of repeating pass 1.
     ops = ops.withColumn("_eck", chunk)
-    s1 = ordered_scan(ops, ["k"], ["event_id"], "_eck",
-                      [Scan("pw", "last_before", F.when(is_w, wval))])
+    s1 = materialize(ordered_scan(ops, ["k"], ["event_id"], "_eck",
+                                  [Scan("pw", "last_before", F.when(is_w, wval))]), "oplog-pass1")
     marker = F.when(is_w, F.struct(wval.alias("w1"), F.col("pw").alias("w2")))
     scanned = ordered_scan(s1, ["k"], ["event_id"], "_eck", [Scan("lw", "last_before", marker)])
     e = F.col("event_id")
