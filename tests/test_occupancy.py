@@ -104,3 +104,17 @@ def test_random_histories_match_model(spark, seed):
                         None if rnd.random() < 0.1 else f"R{rnd.randint(0, 3)}"))
     # a small chunk width forces many chunks per room and per student
     assert alerts_of(spark, log, width=16) == simulate(log)
+
+
+def test_hot_student_and_hot_room_match_model(spark):
+    rnd = random.Random(42)
+    log = []
+    for seq in range(600):
+        if rnd.random() < 0.15:
+            log.append((seq, "class", rnd.choice(["HOT", "R1", "R2"]),
+                        None if rnd.random() < 0.1 else str(rnd.randint(0, 6))))
+        else:
+            student = "hot" if rnd.random() < 0.4 else f"s{rnd.randint(0, 20)}"
+            room = "HOT" if rnd.random() < 0.5 else f"R{rnd.randint(1, 2)}"
+            log.append((seq, "student", student, None if rnd.random() < 0.05 else room))
+    assert alerts_of(spark, log, width=8) == simulate(log)
