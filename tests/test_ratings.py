@@ -121,3 +121,34 @@ def test_similarity_tiles_match_brute_force(spark, tile):
     assert got == _brute_similarity(matrix)
     nz = rows(ratings.similarity(parsed(spark, lines), tile_titles=tile, include_zero=False))
     assert nz == [r for r in _brute_similarity(matrix) if r[2] > 0]
+
+
+def _top_users_text(line):
+    """Step-by-step model of the original per-row loop (running maximum
+    starting at 1; a tie appends a comma and the index)."""
+    cells = line.split(",")
+    out, mx = "", 1
+    for i, c in enumerate(cells[1:], start=1):
+        if c == "":
+            continue
+        v = int(c)
+        if v > mx:
+            mx, out = v, str(i)
+        elif v == mx:
+            out += "," + str(i)
+    return cells[0] + "," + out
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["", "0", "1", "2", "5", "-1"]), max_size=7),
+                min_size=1, max_size=25))
+def test_top_users_legacy_text_matches_loop_model(spark, rows_cells):
+    lines = [f"t{i}," + ",".join(cells) if cells else f"t{i}"
+             for i, cells in enumerate(rows_cells)]
+    top = ratings.top_users(parsed(spark, lines))
+    got = sorted(r.value for r in ratings.render_top_users(top, legacy_comma=True).collect())
+    assert got == sorted(_top_users_text(x) for x in lines)

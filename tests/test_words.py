@@ -20,3 +20,39 @@ def test_multiset_diff(spark):
     assert rows(multiset_diff(a, b)) == [("x", "<", 1), ("y", "<", 1), ("z", ">", 2)]
     assert same_rows(a, a)
     assert not same_rows(a, b)
+
+
+def _java_split_space(line):
+    """Java's String.split(" ") with limit 0."""
+    if line == "":
+        return [""]
+    parts = line.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+from collections import Counter  # noqa: E402
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.text(alphabet=" ab\t.", max_size=12), min_size=1, max_size=60))
+def test_word_count_matches_java_split(spark, lines):
+    want = Counter(w for line in lines for w in _java_split_space(line))
+    got = dict(rows(word_count(lines_df(spark, lines))))
+    assert got == dict(want)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.sampled_from(["x", "y", "z", ""]), max_size=30),
+       st.lists(st.sampled_from(["x", "y", "w"]), max_size=30))
+def test_multiset_diff_matches_counters(spark, a, b):
+    da = spark.createDataFrame([(x,) for x in a], "line string")
+    db = spark.createDataFrame([(x,) for x in b], "line string")
+    ca, cb = Counter(a), Counter(b)
+    want = sorted([(k, "<", n) for k, n in (ca - cb).items()]
+                  + [(k, ">", n) for k, n in (cb - ca).items()])
+    assert rows(multiset_diff(da, db)) == want
