@@ -4,24 +4,26 @@ Several jobs need "previous row", "running sum" or "last non-null value so
 far" per key in a total order (room occupancy, operation logs, history
 zones).  A window ``partitionBy(key).orderBy(seq)`` puts every row of a key
 into one task, so a key holding a third of the data would serialise a third
-of the job.  Instead the order axis is cut into chunks (for example
-``floor(seq / width)``) and the scan runs as:
-
-1. rows: a window over ``(key, chunk)``; every window partition is bounded
-   by the chunk width, whatever the key skew.  This is the only exchange of
-   full rows;
-2. summaries: one row per ``(key, chunk)`` (total, last row, last non-null,
-   maximum) from a ``groupBy(key, chunk)`` on the same input, aggregated
-   map-side, so only summary rows are shuffled; they are combined across
-   chunks with a window over ``key`` whose partitions hold one row per chunk;
-3. an equi-join of the per-chunk carries back onto the rows (broadcast by
-   the planner while the carries are small, a shuffle join beyond).
-
-The two branches read the input separately (column-pruned).  For a table
-scan that is cheap; an input that is itself the result of another scan
-should be written first (``plans.lineage.materialize``) so its work is not
-repeated in both branches.  Keys must be non-null and the order columns
-must be unique within a key.
+of the job.  The scan therefore runs as:
+
+1. hot keys: a map-side ``count`` per key finds the keys with more than
+   ``max(hot_rows, total / MAX_HOT_KEYS)`` rows.  There are at most
+   ``MAX_HOT_KEYS`` of them whatever the data size, so that list is
+   broadcast; every other key holds at most ``1 / MAX_HOT_KEYS`` of the rows
+   (or ``hot_rows``) and is one window partition;
+2. rows: a window over ``(key, chunk)`` where the chunk is the caller's
+   order chunk (for example ``floor(seq / width)``) for hot keys and 0
+   otherwise.  This is the only exchange of full rows, and every window
+   partition is bounded;
+3. hot keys only: one summary row per ``(key, chunk)`` (total, last row,
+   last non-null, maximum) from a map-side ``groupBy``, combined across
+   chunks with a window over the key (one row per chunk), and joined back
+   as carries.  Other keys need no carry.
+
+The branches read the input separately (column-pruned).  For a table scan
+that is cheap; an input that is itself the result of another scan should be
+written first (``plans.lineage.materialize``) so its work is not repeated.
+Keys must be non-null and the order columns must be unique within a key.
 """
 
 from __future__ import annotations
@@ -33,6 +35,12 @@ from pyspark.sql import functions as F
 
 KINDS = ("lag", "lead", "sum", "last", "last_before", "max_before")
 
+# A key with more rows than max(HOT_ROWS, total / MAX_HOT_KEYS) is split into
+# order chunks; so at most MAX_HOT_KEYS keys are hot, and any other key holds
+# at most a 1 / MAX_HOT_KEYS share of the rows.
+HOT_ROWS = 1 << 20
+MAX_HOT_KEYS = 10_000
+
 
 @dataclass(frozen=True)
 class Scan:
@@ -58,19 +66,29 @@ def chunk_by_width(order_col: Column, width: int) -> Column:
 
 
 def ordered_scan(df: DataFrame, keys: list[str], order: list[str],
-                 chunk: Column | str, specs: list[Scan]) -> DataFrame:
+                 chunk: Column | str, specs: list[Scan],
+                 hot_rows: int | None = None) -> DataFrame:
     """Add the columns described by ``specs`` to ``df``; see module doc.
-    ``chunk`` is an expression, or the name of an existing column (kept, so
-    a later scan on the same keys can reuse the row partitioning)."""
+    ``chunk`` is the order chunk used for hot keys: an expression, or the
+    name of an existing column."""
     for s in specs:
         if s.kind not in KINDS:
             raise ValueError(f"unknown scan kind {s.kind!r}")
-    if isinstance(chunk, str):
-        ck, ck_col = chunk, []
-    else:
-        ck, ck_col = "_ck", [chunk.alias("_ck")]
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    fine = F.col(chunk) if isinstance(chunk, str) else chunk
+    ck = "_ck"
     # Every step is one select: PySpark analyses the whole plan per step.
-    base = df.select("*", *ck_col, *[s.expr.alias(f"_e{i}") for i, s in enumerate(specs)])
+    base = df.select("*", fine.alias("_fine"),
+                     *[s.expr.alias(f"_e{i}") for i, s in enumerate(specs)])
+
+    # Hot keys: counted map-side; the threshold is a scalar subquery, and at
+    # most MAX_HOT_KEYS keys can exceed it, so the list may be broadcast.
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    limit = counts.agg(F.greatest(F.lit(hot_rows),
+                                  F.sum("_n") / F.lit(MAX_HOT_KEYS))).scalar()
+    hot = counts.where(F.col("_n") > limit).select(*keys, F.lit(True).alias("_hot"))
+    tagged = base.join(F.broadcast(hot), on=keys, how="left").select(
+        "*", F.when(F.col("_hot"), F.col("_fine")).otherwise(F.lit(0)).cast("long").alias(ck))
 
     w = Window.partitionBy(*keys, ck).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -100,8 +118,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str],
             summ = F.max(e)
         cols.append(loc.alias(f"_l{i}"))
         aggs.append(summ.alias(f"_s{i}"))
-    local = base.select("*", *cols)
-    summary = base.groupBy(*keys, ck).agg(*aggs)
+    local = tagged.select("*", *cols)
+    summary = tagged.where(F.col("_hot")).groupBy(*keys, ck).agg(*aggs)
 
     wk = Window.partitionBy(*keys).orderBy(ck)
     wk_before = wk.rowsBetween(Window.unboundedPreceding, -1)

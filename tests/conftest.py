@@ -25,3 +25,11 @@ def lines_df(spark, lines):
 def rows(df, *cols):
     cols = cols or tuple(df.columns)
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+@pytest.fixture
+def small_hot(monkeypatch):
+    """Treat every key with more than 4 rows as hot, so small inputs go
+    through the chunked path of the ordered scans."""
+    import ripplekit.plans.ordered as ordered
+    monkeypatch.setattr(ordered, "HOT_ROWS", 4)

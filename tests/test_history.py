@@ -64,7 +64,7 @@ def random_history(rnd, n_ops, pending_writes=False):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_zone_check_matches_brute_force(spark, seed):
+def test_zone_check_matches_brute_force(spark, small_hot, seed):
     rnd = random.Random(seed)
     histories = [random_history(rnd, rnd.randint(2, 6), pending_writes=seed % 2 == 1)
                  for _ in range(60)]

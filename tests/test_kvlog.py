@@ -38,7 +38,7 @@ def _log(spark, entries):
     return spark.createDataFrame(entries, OPLOG_SCHEMA)
 
 
-def test_pairing_and_report(spark):
+def test_pairing_and_report(spark, small_hot):
     entries = [
         (0, 1, "inv", "w", "k", "v1"), (5, 1, "res", "w", "k", None),
         (10, 1, "inv", "r", "k", None), (30, 1, "res", "r", "k", "v1"),

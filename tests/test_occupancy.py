@@ -92,7 +92,7 @@ def simulate(log):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_histories_match_model(spark, seed):
+def test_random_histories_match_model(spark, small_hot, seed):
     rnd = random.Random(seed)
     log = []
     for seq in range(400):
@@ -106,7 +106,7 @@ def test_random_histories_match_model(spark, seed):
     assert alerts_of(spark, log, width=16) == simulate(log)
 
 
-def test_hot_student_and_hot_room_match_model(spark):
+def test_hot_student_and_hot_room_match_model(spark, small_hot):
     rnd = random.Random(42)
     log = []
     for seq in range(600):

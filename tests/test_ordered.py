@@ -28,8 +28,8 @@ def _brute(data):
     return out
 
 
-@pytest.mark.parametrize("width", [1, 7, 1000])
-def test_scan_matches_brute_force(spark, width):
+@pytest.mark.parametrize("width, hot_rows", [(1, 4), (7, 4), (1000, 4), (7, 10 ** 9)])
+def test_scan_matches_brute_force(spark, width, hot_rows):
     rnd = random.Random(width)
     data = []
     for seq in range(300):
@@ -40,7 +40,7 @@ def test_scan_matches_brute_force(spark, width):
         Scan("lag", "lag", F.col("x")), Scan("lead", "lead", F.col("x")),
         Scan("run", "sum", F.coalesce(F.col("x"), F.lit(0)).cast("long")),
         Scan("last", "last", F.col("x")), Scan("lb", "last_before", F.col("x")),
-        Scan("mb", "max_before", F.col("x"))])
+        Scan("mb", "max_before", F.col("x"))], hot_rows=hot_rows)
     got = {(r.k, r.seq): (r.lag, r.lead, r.run, r.last, r.lb, r.mb) for r in out.collect()}
     assert got == _brute(data)
     assert out.count() == len(data)
