@@ -73,8 +73,7 @@ def room_timeline(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
     """Every count or capacity update of a room with the room's state after
     it: ``seq, sub, room, delta, cnt long, seen long, cap int, _rck``;
     ``seen > 0`` once the room has a count, ``cap`` null when no capacity is
-    set.  ``_rck`` is the order chunk, kept so later scans per room reuse
-    the partitioning."""
+    set.  ``_rck`` is the order chunk of hot rooms, kept for the alert scan."""
     # The deltas come out of the per-student scan: written once, so the
     # per-room scan's two branches read a table, not the student scan.
     d = materialize(room_deltas(log, chunk_width).withColumn(
