@@ -23,3 +23,12 @@ def test_long_form(spark):
     p = parse_matrix(lines_df(spark, ["A,3,,1", "B"]))
     assert rows(long_form(p), "title", "usr", "cell", "rating") == [
         ("A", 1, "3", 3), ("A", 2, "", None), ("A", 3, "1", 1)]
+
+
+def test_spread_only_narrow_scans(spark):
+    from ripplekit.plans.parallel import spread_if_narrow
+    par = spark.sparkContext.defaultParallelism
+    narrow = spark.range(0, 100, numPartitions=1)
+    assert spread_if_narrow(narrow).rdd.getNumPartitions() == par
+    wide = spark.range(0, 100, numPartitions=par + 3)
+    assert spread_if_narrow(wide).rdd.getNumPartitions() == par + 3

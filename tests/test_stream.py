@@ -73,3 +73,9 @@ def test_kafka_source_needs_the_connector(spark):
         assert "connector" in str(e)
     else:  # connector present: the log has the stream schema
         pytest.skip("Kafka connector available")
+
+
+def test_replay_of_empty_log(spark):
+    empty = spark.createDataFrame([], LOG)
+    out = replay_log(spark, empty, scratch_path(spark, "stream-empty"))
+    assert out.count() == 0 and out.columns == ["seq", "sub", "room", "value"]
