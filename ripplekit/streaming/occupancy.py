@@ -1,7 +1,10 @@
 """The occupancy alerts as a Structured Streaming query.
 
-Two keyed stateful operators (``applyInPandasWithState``, append mode) in
-one query; the state of a key travels with its rows as Arrow batches:
+Two keyed stateful operators in one query, both in append mode: the
+student stage uses ``applyInPandasWithState`` (the state of a key travels
+with its rows as Arrow batches) and the room stage
+``transformWithStateInPandas`` (Spark allows only one
+``applyInPandasWithState`` per query):
 
 1. per student: the current room (C1); every update emits ``-1`` for the
    old room (``sub = 0``) and ``+1`` for the new one (``sub = 1``);
@@ -13,7 +16,8 @@ Every input update is emitted downstream, not only the last one per
 micro-batch (C5), so the output equals the batch job
 ``operators.occupancy.alerts`` row for row.  Inside a micro-batch the rows
 of a key are handled in ``(seq, sub)`` order; micro-batches are processed
-in arrival order.  Offsets, state (RocksDB) and the sink's commit log live
+in arrival order.  Offsets, state (RocksDB, set on the session when
+starting) and the sink's commit log live
 in the checkpoint folder, which gives exactly-once output across restarts
 (C6, C7); a fresh checkpoint folder starts a run afresh (C8).
 
@@ -29,13 +33,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from pyspark import cloudpickle
-
 from ripplekit.functions.strings import strict_int
 from ripplekit.plans.lineage import ensure_checkpoint_dir
 
