@@ -152,3 +152,27 @@ def test_top_users_legacy_text_matches_loop_model(spark, rows_cells):
     top = ratings.top_users(parsed(spark, lines))
     got = sorted(r.value for r in ratings.render_top_users(top, legacy_comma=True).collect())
     assert got == sorted(_top_users_text(x) for x in lines)
+
+
+def test_text_files_end_to_end(spark):
+    """The original flow: a text file in, ``key,value`` text files out."""
+    from ripplekit.plans.lineage import scratch_path
+    from ripplekit.sources.sinks import write_lines
+    from ripplekit.sources.text import read_lines
+
+    src = scratch_path(spark, "matrix-in")
+    lines_df(spark, SAMPLE).coalesce(1).write.text(src)
+    p = parse_matrix(read_lines(spark, src))
+    outs = {}
+    for name, df, cols in [
+            ("top", ratings.top_users(p), ["title", "top_users"]),
+            ("total", ratings.total_ratings(p), ["n"]),
+            ("per_user", ratings.ratings_per_user(p), ["usr", "n"]),
+            ("sim", ratings.similarity(p), ["m1", "m2", "n"])]:
+        path = scratch_path(spark, f"matrix-out-{name}")
+        write_lines(df, path, cols)
+        outs[name] = sorted(r.value for r in read_lines(spark, path).collect())
+    assert outs["top"] == sorted(SAMPLE_TOP)
+    assert outs["total"] == [str(SAMPLE_TOTAL)]
+    assert outs["per_user"] == sorted(f"{u},{n}" for u, n in SAMPLE_PER_USER)
+    assert outs["sim"] == sorted(f"{a},{b},{n}" for a, b, n in SAMPLE_SIM)
