@@ -79,3 +79,13 @@ def test_replay_of_empty_log(spark):
     empty = spark.createDataFrame([], LOG)
     out = replay_log(spark, empty, scratch_path(spark, "stream-empty"))
     assert out.count() == 0 and out.columns == ["seq", "sub", "room", "value"]
+
+
+@pytest.mark.parametrize("seed", [5, 8])
+def test_batched_stream_equals_batch(spark, small_hot, seed):
+    from ripplekit.streaming.batched import replay_log_batched
+    log = spark.createDataFrame(random_log(seed), LOG)
+    want = rows(occupancy.alerts(log), "seq", "sub", "room", "value")
+    got = rows(replay_log_batched(spark, log, scratch_path(spark, "stream-batched"),
+                                  min_batches=4), "seq", "sub", "room", "value")
+    assert got == want and len(want) > 10
