@@ -28,11 +28,12 @@ STUDENTS = "key string, room string"
 ROOMS = "room string, cnt long, seen boolean, cap int, prev_over long"
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # no state yet
+def _state(spark: SparkSession, workdir: str, name: str, schema: str, batch_id: int) -> DataFrame:
+    """State after the previous batch; batch 0 starts empty, and every later
+    batch finds the version its predecessor wrote."""
+    if batch_id == 0:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{workdir}/state/{name}/v={batch_id - 1}")
 
 
 def solve_batch(log: DataFrame, students: DataFrame, rooms: DataFrame
@@ -103,8 +104,8 @@ def start_batched_alerts(spark: SparkSession, log: DataFrame, workdir: str):
     """Start the query; alerts land in ``{workdir}/alerts/batch=<id>``."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        students = _read(spark, f"{workdir}/state/students/v={batch_id - 1}", STUDENTS)
-        rooms = _read(spark, f"{workdir}/state/rooms/v={batch_id - 1}", ROOMS)
+        students = _state(spark, workdir, "students", STUDENTS, batch_id)
+        rooms = _state(spark, workdir, "rooms", ROOMS, batch_id)
         alerts, students_new, rooms_new = solve_batch(batch, students, rooms)
         alerts.write.mode("overwrite").parquet(f"{workdir}/alerts/batch={batch_id}")
         students_new.write.mode("overwrite").parquet(f"{workdir}/state/students/v={batch_id}")
