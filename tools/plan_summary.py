@@ -32,7 +32,7 @@ PATTERNS = {
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or [n for n in jobs.JOBS if n != "stream_alerts"]
+    names = sys.argv[2:] or [n for n in jobs.JOBS if not n.startswith("stream_")]
     spark = local_session(8)
     print(f"{'job':22s} " + " ".join(f"{k:>8s}" for k in PATTERNS))
     for name in names:
