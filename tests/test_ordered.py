@@ -44,3 +44,21 @@ def test_scan_matches_brute_force(spark, width, hot_rows):
     got = {(r.k, r.seq): (r.lag, r.lead, r.run, r.last, r.lb, r.mb) for r in out.collect()}
     assert got == _brute(data)
     assert out.count() == len(data)
+
+
+def test_hot_threshold_scales_with_total(spark, monkeypatch):
+    """With MAX_HOT_KEYS = 2 only a key holding more than half the rows is
+    hot; results are the same either way."""
+    import ripplekit.plans.ordered as ordered
+    monkeypatch.setattr(ordered, "HOT_ROWS", 1)
+    monkeypatch.setattr(ordered, "MAX_HOT_KEYS", 2)
+    rnd = random.Random(3)
+    data = [("big" if rnd.random() < 0.6 else f"k{rnd.randint(0, 5)}", seq, rnd.randint(0, 9))
+            for seq in range(400)]
+    df = spark.createDataFrame(data, "k string, seq long, x int")
+    out = ordered_scan(df, ["k"], ["seq"], chunk_by_width(F.col("seq"), 5), [
+        Scan("lag", "lag", F.col("x")), Scan("lead", "lead", F.col("x")),
+        Scan("run", "sum", F.col("x").cast("long")), Scan("last", "last", F.col("x")),
+        Scan("lb", "last_before", F.col("x")), Scan("mb", "max_before", F.col("x"))])
+    got = {(r.k, r.seq): (r.lag, r.lead, r.run, r.last, r.lb, r.mb) for r in out.collect()}
+    assert got == _brute(data)
