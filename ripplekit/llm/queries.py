@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplekit.llm import fingerprints, substring_dedup, topk
+from ripplekit.llm import fingerprints, simhash, substring_dedup, topk
 from ripplekit.sources.tables import table
 
 
@@ -34,7 +34,13 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.topk_search(vectors.where(F.col("vec_id") % 20 == 0), vectors, k=20)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op5_document_fingerprints, op6_exact_topk)}
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op5_document_fingerprints, op6_exact_topk,
+                                   op7_simhash_near_dedup)}
 
 ORACLE = {
     "op1_substring_dedup": r"""
