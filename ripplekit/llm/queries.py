@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplekit.llm import fingerprints, simhash, substring_dedup, topk
+from ripplekit.llm import fingerprints, packing, simhash, substring_dedup, topk
 from ripplekit.sources.tables import table
 
 
@@ -39,8 +39,13 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op5_document_fingerprints, op6_exact_topk,
-                                   op7_simhash_near_dedup)}
+                                   op7_simhash_near_dedup, op9_packing)}
 
 ORACLE = {
     "op1_substring_dedup": r"""
