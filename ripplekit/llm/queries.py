@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplekit.llm import fingerprints, packing, simhash, substring_dedup, topk
+from ripplekit.llm import fingerprints, packing, quality, simhash, substring_dedup, topk
 from ripplekit.sources.tables import table
 
 
@@ -19,6 +19,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", _sha("kept_text").alias("kept_sha256"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.with_quality(docs.select("doc_id", "text"), model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
     return f.select(
@@ -44,7 +52,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op5_document_fingerprints, op6_exact_topk,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op4_quality_classifier, op5_document_fingerprints, op6_exact_topk,
                                    op7_simhash_near_dedup, op9_packing)}
 
 ORACLE = {
