@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplekit.llm import fingerprints, packing, quality, simhash, substring_dedup, topk
+from ripplekit.llm import fingerprints, packing, pii, quality, simhash, substring_dedup, topk
 from ripplekit.sources.tables import table
 
 
@@ -52,8 +52,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find_pii(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", *[pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS],
+                      F.sha2(F.encode(pii.spans_text(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
+                      pii.spans_text(F.col("spans")).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op4_quality_classifier, op5_document_fingerprints, op6_exact_topk,
-                                   op7_simhash_near_dedup, op9_packing)}
+                                   op7_simhash_near_dedup, op9_packing, op10_pii)}
 
 ORACLE = {
     "op1_substring_dedup": r"""
