@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplekit.llm import fingerprints, packing, pii, quality, simhash, substring_dedup, topk
+from ripplekit.llm import fingerprints, lm_scoring, mixing, packing, pii, quality, simhash, substring_dedup, topk
 from ripplekit.sources.tables import table
 
 
@@ -19,6 +19,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", _sha("kept_text").alias("kept_sha256"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "score")
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -47,6 +51,25 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# Token shares that the mix aims at, by the language that the labelled
+# documents are marked with.
+MIX = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
+
+
+def mix_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, label``: the language of the documents in the labelled table."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label"))
+    return table(spark, sf_dir, "labels").select("doc_id").join(docs, "doc_id")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, fitted = mixing.mix(docs, mix_labels(spark, sf_dir), MIX)
+    return mixing.rated(docs, model, fitted).select(
+        "doc_id", "tokens", *[F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(model.classes)],
+        "rate", "copies")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -59,8 +82,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.spans_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op4_quality_classifier, op5_document_fingerprints, op6_exact_topk,
-                                   op7_simhash_near_dedup, op9_packing, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op4_quality_classifier, op5_document_fingerprints, op6_exact_topk,
+                                   op7_simhash_near_dedup, op8_mixing, op9_packing, op10_pii)}
 
 ORACLE = {
     "op1_substring_dedup": r"""
@@ -79,6 +102,37 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_rem
   sha256(CASE WHEN ps IS NULL THEN array_to_string(ws, ' ')
     ELSE coalesce(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(ps, i)), ' '), '') END) AS kept_sha256
 FROM words LEFT JOIN gone USING (doc_id)""",
+    "op2_lm_scoring": r"""
+WITH tok AS (
+  SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents)),
+total AS (SELECT count(*) AS n FROM tok),
+vocab AS (SELECT w FROM tok GROUP BY w HAVING count(*) * 65536 >= (SELECT n FROM total)),
+t AS (SELECT doc_id, i, CASE WHEN v.w IS NULL THEN '' ELSE tok.w END AS w FROM tok LEFT JOIN vocab v USING (w)),
+own1 AS (SELECT doc_id, w, count(*) AS o FROM t GROUP BY ALL),
+c1 AS (SELECT w, sum(o) AS c FROM own1 GROUP BY w),
+len AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+uni AS (
+  SELECT doc_id, w, c - o AS rest,
+    round(1e6 * ln(greatest(c - o, 1)))::BIGINT
+      - round(1e6 * ln(greatest((SELECT n FROM total) - len.n, 1)))::BIGINT AS u
+  FROM own1 JOIN c1 USING (w) JOIN len USING (doc_id)),
+own2 AS (
+  SELECT a.doc_id, a.w AS v, b.w, count(*) AS o
+  FROM t a JOIN t b ON a.doc_id = b.doc_id AND b.i = a.i + 1 GROUP BY ALL),
+c2 AS (SELECT v, w, sum(o) AS c FROM own2 GROUP BY ALL),
+terms AS (
+  SELECT own2.doc_id, own2.o * CASE WHEN c2.c > own2.o
+      THEN round(1e6 * ln(c2.c - own2.o))::BIGINT - round(1e6 * ln(greatest(x.rest, 1)))::BIGINT
+      ELSE round(1e6 * ln(0.4))::BIGINT + y.u END AS s
+  FROM own2 JOIN c2 USING (v, w)
+  JOIN uni x ON x.doc_id = own2.doc_id AND x.w = own2.v
+  JOIN uni y ON y.doc_id = own2.doc_id AND y.w = own2.w
+  UNION ALL
+  SELECT t.doc_id, u AS s FROM t JOIN uni USING (doc_id, w) WHERE i = 0)
+SELECT d.doc_id, coalesce(any_value(len.n), 0)::BIGINT AS n_words, coalesce(sum(s), 0)::BIGINT AS score
+FROM documents d LEFT JOIN terms USING (doc_id) LEFT JOIN len USING (doc_id)
+GROUP BY d.doc_id""",
     "op6_exact_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
