@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplekit.llm import fingerprints, lm_scoring, mixing, packing, pii, quality, simhash, substring_dedup, topk
+from ripplekit.llm import fingerprints, lm_scoring, mixing, packing, pii, quality, simhash, substring_dedup, suffix_dedup, topk
 from ripplekit.sources.tables import table
 
 
@@ -23,6 +23,11 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "score")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), length=400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -82,7 +87,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.spans_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op4_quality_classifier, op5_document_fingerprints, op6_exact_topk,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_suffix_dedup, op4_quality_classifier, op5_document_fingerprints, op6_exact_topk,
                                    op7_simhash_near_dedup, op8_mixing, op9_packing, op10_pii)}
 
 ORACLE = {
