@@ -1,19 +1,78 @@
-"""Corpus pipeline: stages over the documents table, each an operator of
-``ripplekit.llm``."""
+"""Corpus pipeline over the documents table: reject low quality, keep one of
+each group of near-duplicates, redact personal data, mix languages to target
+weights, pack into token sequences.
+
+Each stage takes ``(spark, docs, sf_dir)``, works on all that the stage
+before kept, and calls one operator of ``ripplekit.llm``; its result is
+written as Parquet and read again.  All stages but the last return the
+columns of ``docs``.  Rows without a ``doc_id`` pass the first four stages as
+they are; the last leaves them out.  An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ripplekit.llm import mixing, packing, pii, quality, simhash
+from ripplekit.llm.queries import MIX
 from ripplekit.plans.lineage import materialize
 from ripplekit.sources.tables import table
 
-STAGES = []
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a score of at least 0.5 stay."""
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.with_quality(docs, model, out="_score").where("_score >= 0.5").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group stays."""
+    groups = simhash.near_duplicates(docs, shingle=3, distance=2)
+    losers = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind in brackets; rows
+    that share an id must share their text."""
+    spans = pii.find_pii(docs).where(F.size("spans") > 0).select("doc_id", F.col("spans").alias("_spans")) \
+        .dropDuplicates(["doc_id"])
+    return docs.join(spans, "doc_id", "left").withColumn("text", F.when(
+        F.col("_spans").isNull(), F.col("text")).otherwise(pii.redacted(F.col("text"), F.col("_spans")))) \
+        .select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated or dropped so that the languages' shares of all
+    tokens match the targets."""
+    labelled = table(spark, sf_dir, "labels").select("doc_id").distinct() \
+        .join(docs.select("doc_id", F.col("lang").alias("label")), "doc_id")
+    model, fitted = mixing.mix(docs, labelled, MIX)
+    rated = mixing.with_copies(docs, model, fitted)
+    return rated.select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their token ids and their place in
+    sequences of 2048 tokens."""
+    return packing.pack(docs, with_ids=True)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("SimHash near-dedup", near_dedup),
+    ("PII", redact_pii),
+    ("mixing sources to target weights", mix_sources),
+    ("packing", pack_sequences),
+]
+
+# Trained models, XXH64 and tokenizers are beyond SQL: tested stage by stage.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = materialize(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return docs

@@ -125,3 +125,12 @@ def rated(docs: DataFrame, model: subword.Model, fitted: Mix) -> DataFrame:
     columns of those names are replaced."""
     r = with_posterior(docs, model).withColumn("rate", fitted.rate(F.col("posterior")))
     return r.withColumn("copies", copies(F.col("rate")))
+
+
+def with_copies(docs: DataFrame, model: subword.Model, fitted: Mix) -> DataFrame:
+    """``docs`` as often as their rates say; other columns as they are."""
+    p = docs.withColumn("_posterior", F.transform(
+        subword.posterior_column(model), lambda x: F.round(x / GRAIN) * GRAIN))
+    n = copies(fitted.rate(F.col("_posterior")))
+    return p.withColumn("_n", n).where("_n > 0") \
+        .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
