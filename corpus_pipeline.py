@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplekit.llm import mixing, packing, pii, quality, simhash
+from ripplekit.llm.common import unused
 from ripplekit.llm.queries import MIX
 from ripplekit.plans.lineage import materialize
 from ripplekit.sources.tables import table
@@ -23,7 +24,8 @@ from ripplekit.sources.tables import table
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of at least 0.5 stay."""
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
-    return quality.with_quality(docs, model, out="_score").where("_score >= 0.5").select(*docs.columns)
+    score = unused(docs, "score")
+    return quality.with_quality(docs, model, out=score).where(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,11 +38,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind in brackets; rows
     that share an id must share their text."""
-    spans = pii.find_pii(docs).where(F.size("spans") > 0).select("doc_id", F.col("spans").alias("_spans")) \
+    name = unused(docs, "spans")
+    spans = pii.find_pii(docs).where(F.size("spans") > 0).select("doc_id", F.col("spans").alias(name)) \
         .dropDuplicates(["doc_id"])
-    return docs.join(spans, "doc_id", "left").withColumn("text", F.when(
-        F.col("_spans").isNull(), F.col("text")).otherwise(pii.redacted(F.col("text"), F.col("_spans")))) \
-        .select(*docs.columns)
+    return docs.join(spans, "doc_id", "left") \
+        .withColumn("text", pii.redacted(F.col("text"), F.col(name))).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

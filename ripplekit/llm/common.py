@@ -34,6 +34,14 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def segments_for(docs: DataFrame, chars: int, least: int, text_col: str = "text") -> int:
     """How many hash segments hold about ``chars`` characters of text each;
     one count over the whole table."""

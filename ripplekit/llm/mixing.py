@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripplekit.llm import subword
+from ripplekit.llm.common import unused
 from ripplekit.plans.lineage import materialize
 
 GRAIN = 0.01      # posteriors are rounded to this
@@ -129,8 +130,8 @@ def rated(docs: DataFrame, model: subword.Model, fitted: Mix) -> DataFrame:
 
 def with_copies(docs: DataFrame, model: subword.Model, fitted: Mix) -> DataFrame:
     """``docs`` as often as their rates say; other columns as they are."""
-    p = docs.withColumn("_posterior", F.transform(
+    p, n = unused(docs, "posterior"), unused(docs, "copies")
+    rated = docs.withColumn(p, F.transform(
         subword.posterior_column(model), lambda x: F.round(x / GRAIN) * GRAIN))
-    n = copies(fitted.rate(F.col("_posterior")))
-    return p.withColumn("_n", n).where("_n > 0") \
-        .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    return rated.withColumn(n, copies(fitted.rate(F.col(p)))).where(F.col(n) > 0) \
+        .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)

@@ -136,9 +136,13 @@ def train(docs: DataFrame, labelled: DataFrame, classes: tuple, rows: int = SAMP
               .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows))
     texts = C.id_and_text(docs, text_col=text_col).join(F.broadcast(picked), "doc_id")
     fitted = (texts.mapInArrow(_sample_rows(ngrams, bits), "doc_id long, label string, idx binary, weight binary")
-              .repartition(1).mapInArrow(_fit(classes, bits), "weights binary, bias binary")).collect()[0]
-    return Model(tuple(classes), np.frombuffer(fitted["weights"], np.float32).reshape(-1, len(classes)),
-                 np.frombuffer(fitted["bias"], np.float64), ngrams, bits)
+              .repartition(1).mapInArrow(_fit(classes, bits), "weights binary, bias binary")).collect()
+    if fitted:
+        weights = np.frombuffer(fitted[0]["weights"], np.float32).reshape(-1, len(classes))
+        bias = np.frombuffer(fitted[0]["bias"], np.float64)
+    else:   # no partition at all
+        weights, bias = sgd([], len(classes), bits)
+    return Model(tuple(classes), weights, bias, ngrams, bits)
 
 
 def posteriors(text: pa.Array, model: Model) -> np.ndarray:
