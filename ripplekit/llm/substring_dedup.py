@@ -33,6 +33,7 @@ from ripplekit.llm import common as C
 
 SEGMENT_CHARS = 1 << 24   # characters of text whose windows meet in one segment
 FLUSH = 3_000_000         # windows that a task packs together
+EXACT_SHARE = 4           # segments of the first pass that share one of the second
 DEPTH = 2                 # rows of the count-min sketch
 CELLS_PER_WINDOW = 4      # width of a row, in cells per window of the segment
 
@@ -247,7 +248,7 @@ def substring_dedup(docs: DataFrame, n: int = 13, id_col: str = "doc_id",
     repeated = (sketch.groupBy("seg").applyInArrow(_merge_sketches, "doc_id long, cells binary")
                 .groupBy("doc_id").agg(F.collect_list("cells").alias("cells")))
     asked = d.join(repeated, "doc_id").select("doc_id", "text", "cells") \
-        .mapInArrow(_candidates(n, n_seg), _EXACT)
+        .mapInArrow(_candidates(n, max(16, n_seg // EXACT_SHARE)), _EXACT)
     gone = (asked.groupBy("seg").applyInArrow(_exact_groups, "doc_id long, pos binary")
             .groupBy("doc_id").agg(F.collect_list("pos").alias("pos")))
     return d.join(gone, "doc_id", "left").select("doc_id", "text", "pos") \
