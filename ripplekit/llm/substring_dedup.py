@@ -12,7 +12,7 @@ a window whose words also start in a document with a smaller id.
    sketch and answers every document with the cells whose estimate is two
    documents or more.  A sketch never underestimates, so no repeated window
    is lost.
-3. *Exact pass.*  Only windows estimated repeated are grouped by 128 bits of
+3. *Exact pass.*  Only windows estimated repeated are grouped by 96 bits of
    their words; the smallest document of each group keeps its words.
 
 Nothing is broadcast or collected.  A segment holds about ``SEGMENT_CHARS``
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ripplekit.llm import common as C
 
 SEGMENT_CHARS = 1 << 24   # characters of text whose windows meet in one segment
-FLUSH = 3_000_000         # windows that a task packs together
+FLUSH = 2_000_000         # windows that a task packs together
 EXACT_SHARE = 4           # segments of the first pass that share one of the second
 DEPTH = 2                 # rows of the count-min sketch
 CELLS_PER_WINDOW = 4      # width of a row, in cells per window of the segment
@@ -179,7 +179,7 @@ def _candidates(n, n_seg):
                     continue
                 mine = doc.astype(np.uint64) << np.uint64(32) | _cell_of(h1).astype(np.uint64)
                 hit = np.flatnonzero(np.isin(mine, np.concatenate(keys)))
-                parts.append((h1[hit], h2[hit], pos[hit].astype(np.uint32), ids[lo:hi][doc[hit]]))
+                parts.append((h1[hit], _cell_of(h2[hit]), pos[hit].astype(np.uint32), ids[lo:hi][doc[hit]]))
                 held += len(hit)
                 if held >= FLUSH:
                     yield from flush(*map(np.concatenate, zip(*parts)))
@@ -190,7 +190,7 @@ def _candidates(n, n_seg):
 
 
 def _exact_groups(table: pa.Table) -> pa.Table:
-    k1, k2 = C.joined(table, "k1", np.uint64), C.joined(table, "k2", np.uint64)
+    k1, k2 = C.joined(table, "k1", np.uint64), C.joined(table, "k2", np.uint32)
     pos = C.joined(table, "pos", np.uint32)
     docs = np.repeat(C.joined(table, "docs", np.int64), C.joined(table, "lens", np.int32))
     order = np.lexsort((docs, k2, k1))
