@@ -17,9 +17,10 @@ grow with the corpus.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -34,7 +35,12 @@ from ripplekit.plans.lineage import materialize
 WINDOW = 2048
 END_ID = 1
 BUCKET_PIECES = 1 << 13
-KNOWN_WORDS = 500_000   # a Python worker that knows more words begins anew
+KNOWN_WORDS = 1_000_000   # a Python worker that knows more words begins anew
+
+
+# A full stop or comma between an ASCII letter and white space is a token
+# group of its own, so it may as well be a word.
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D]|$)")
 
 
 class WordIds:
@@ -44,8 +50,7 @@ class WordIds:
     so the ids of a text are those of its lower-case words (runs without
     ASCII white space) in order, and it is asked for a word once.  Words of
     letters only are one token group each: many are given to it in one text,
-    and the ids that end a group tell them apart.  A full stop or comma
-    behind letters is a group of its own."""
+    and the ids that end a group tell them apart."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark runs the tasks side by side
@@ -59,51 +64,52 @@ class WordIds:
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat = np.zeros(0, np.uint32)
-        self.lens = np.zeros(0, np.int64)
-        self.first = np.zeros(0, np.int64)
-
-    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of words, each as the tokenizer gives them for the word alone."""
-        out: dict[bytes, np.ndarray] = {}
-        texts = [w.decode() for w in words]
-        letters = [w for w, t in zip(words, texts) if t.isalpha() and t.lower().isalpha()]
-        for lo in range(0, len(letters), 1000):
-            part = letters[lo:lo + 1000]
-            ids = np.array(self._ids([b" ".join(part).decode()])[0], np.uint32)
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) == len(part):
-                out.update(zip(part, np.split(ids, last[:-1])))
-        rest = [w for w in words if w not in out]
-        out.update((w, np.array(i, np.uint32)) for w, i in zip(rest, self._ids([w.decode() for w in rest])))
-        return [out[w] for w in words]
+        self.first, self.lens = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, new: list[bytes]) -> None:
-        cut = [w[:-1] if w[-1] in b".," and w[:-1].isalpha() else w for w in new]
-        bases = list({*cut, b".", b","})
-        ids = dict(zip(bases, self._encode(bases)))
-        full = [ids[c] if c is w else np.concatenate([ids[c], ids[w[-1:]]]) for c, w in zip(cut, new)]
-        lens = np.fromiter(map(len, full), np.int64, len(full))
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(lens) - lens])
-        self.flat = np.concatenate([self.flat, *full])
-        self.lens = np.concatenate([self.lens, lens])
+        """Take in words with their ids, each as the tokenizer gives them for
+        the word alone."""
+        flats, lens, names, rest = [self.flat], [self.lens], [], []
+        letters = []
+        for w in new:
+            t = w.decode()
+            (letters if t.isalpha() and t.lower().isalpha() else rest).append(w)
+        for lo in range(0, len(letters), 1000):
+            part = letters[lo:lo + 1000]
+            ids = np.array(self._ids([b" ".join(part).decode()])[0], np.uint32)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(part):
+                names += part
+                flats.append(ids)
+                lens.append(np.diff(last, prepend=-1))
+            else:
+                rest += part
+        if rest:
+            each = self._ids([w.decode() for w in rest])
+            names += rest
+            flats.append(np.fromiter(chain.from_iterable(each), np.uint32))
+            lens.append(np.fromiter(map(len, each), np.int64, len(each)))
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
+        self.flat, self.lens = np.concatenate(flats), np.concatenate(lens)
+        self.first = np.cumsum(self.lens) - self.lens
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of every text."""
-        words = [t.lower().split() for t in texts]   # bytes: A-Z only
-        every = set(chain.from_iterable(words))
         if len(self.known) > KNOWN_WORDS:
             self.forget()
-        if new := [w for w in every if w not in self.known]:
-            self.learn(new)
-        n = sum(map(len, words))
-        codes = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, n)
+        words = [_STOP.sub(rb" \1", t.lower()).split() for t in texts]   # bytes: A-Z only
+        every = list(chain.from_iterable(words))
+        codes = np.fromiter(map(self.known.get, every, repeat(-1)), np.int64, len(every))
+        missing = np.flatnonzero(codes < 0).tolist()
+        if missing:
+            self.learn(list({every[i] for i in missing}))
+            codes[missing] = [self.known[every[i]] for i in missing]
         lens = self.lens[codes]
         ends = np.cumsum(lens)
-        total = int(ends[-1]) if n else 0
+        total = int(ends[-1]) if len(every) else 0
         ids = self.flat[np.arange(total) + np.repeat(self.first[codes] - (ends - lens), lens)]
         at = np.concatenate([[0], ends])[np.cumsum([0, *map(len, words)])]
         return [ids[a:b] for a, b in zip(at[:-1], at[1:])]
@@ -130,6 +136,7 @@ def _pieces(path: str, window: int, end_id: int, with_ids: bool):
     def run(batches):
         tok = _tokenizer(path)
         end = np.array([end_id], np.uint32)
+        kept = "<u2" if len(tok.ends) <= 1 << 16 else "<u4"
         for b in batches:
             rows = [[], [], [], [], [], []]
             doc_ids = iter(b.column("doc_id").to_pylist())
@@ -138,9 +145,8 @@ def _pieces(path: str, window: int, end_id: int, with_ids: bool):
                     doc, ids = next(doc_ids), np.concatenate([ids, end])
                     for start in range(0, len(ids), window):
                         part = ids[start:start + window]
-                        raw = part.astype("<u4").tobytes()
-                        for col, v in zip(rows, (doc, start, len(part), zlib.crc32(raw), len(ids),
-                                                 raw if with_ids else None)):
+                        for col, v in zip(rows, (doc, start, len(part), zlib.crc32(part.astype("<u4").tobytes()),
+                                                 len(ids), part.astype(kept).tobytes() if with_ids else None)):
                             col.append(v)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.int64()) for c in rows[:5]), pa.array(rows[5], pa.binary())],
@@ -213,7 +219,8 @@ def _pack(window: int):
 def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, tokenizer: str | None = None,
          with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens[, ids], sequence_id,
-    offset``: one row per piece; ``ids`` are little-endian 32-bit.
+    offset``: one row per piece; ``ids`` are little-endian, of 16 bits if all
+    ids of the tokenizer fit, else of 32; ``ids_crc32`` is of 32-bit ids.
 
     A null text is empty: its only id is the end id.  Rows without an id are
     left out; a row that repeats is packed again; other columns are not read.
