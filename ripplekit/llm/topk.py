@@ -57,29 +57,29 @@ def _search(k):
         order = np.argsort(ids, kind="stable")
         ids, m = ids[order], m[order]
         dim = min(q.shape[1], m.shape[1])
+        most = (float(np.abs(q).max()) * float(np.abs(m).max()) * dim) if q.size and m.size else 0.0
+        wide = m.dtype == object or q.dtype == object or most >= _SAFE
+        kind = object if wide else np.int32 if most < 2**31 else np.int64
+        # A term of more than half the block is kept as a full column.
         posts = [np.flatnonzero(m[:, t]) for t in range(dim)]
-        wide = m.dtype == object or q.dtype == object or (
-            q.size and m.size and float(np.abs(q).max()) * float(np.abs(m).max()) * dim >= _SAFE)
-        kind = object if wide else np.int64
-        weights = [m[p, t].astype(kind) for t, p in enumerate(posts)]
+        posts = [p if 2 * len(p) < len(ids) else slice(None) for p in posts]
+        weights = [np.ascontiguousarray(m[p, t].astype(kind)) for t, p in enumerate(posts)]
+        spare = np.empty(len(ids), kind)
         for lo in range(0, len(qids) if len(ids) else 0, QUERY_BLOCK):
             part = q[lo:lo + QUERY_BLOCK].astype(kind)
             scores = np.zeros((len(part), len(ids)), kind)
-            for i, row in enumerate(part):
+            for row, dense in zip(part, scores):
                 for t in np.flatnonzero(row[:dim]):
-                    if len(posts[t]) == len(ids):
-                        scores[i] += row[t] * weights[t]
-                    else:
-                        scores[i, posts[t]] += row[t] * weights[t]
+                    w = weights[t]
+                    dense[posts[t]] += np.multiply(w, row[t], out=spare[:len(w)])
             for i, qid in enumerate(qids[lo:lo + QUERY_BLOCK]):
                 s = scores[i]
                 if wide:
                     s = np.array([max(-2**63, min(2**63 - 1, x)) for x in s], np.int64)
-                own = ids == qid
-                at = np.flatnonzero(~own)
+                at = np.flatnonzero(ids != qid)
                 if len(at) > k:
                     # ties at the border go to the smaller id: ids ascend
-                    edge = -np.partition(-s[at], k - 1)[k - 1] if not wide else np.sort(s[at])[-k]
+                    edge = np.partition(s[at], len(at) - k)[-k]
                     above, level = at[s[at] > edge], at[s[at] == edge]
                     at = np.concatenate([above, level[:k - len(above)]])
                 out_q.append(np.full(len(at), qid))
