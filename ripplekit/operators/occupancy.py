@@ -21,9 +21,9 @@ every update is visible downstream):
   and a recovery gives one ``OK``.
 
 All per-key order runs through ``plans.ordered.ordered_scan``, whose window
-partitions are bounded by the chunk width, so one hot student or room does
-not serialise the job.  The output of one scan that feeds another is
-written to the checkpoint folder first (deltas, joined updates).
+partitions are bounded, so one hot student or room does not serialise the
+job.  The output of one scan that feeds another is written to the checkpoint
+folder first (deltas, joined updates).
 """
 
 from __future__ import annotations
@@ -33,9 +33,7 @@ from pyspark.sql import functions as F
 
 from ripplekit.functions.strings import strict_int
 from ripplekit.plans.lineage import materialize
-from ripplekit.plans.ordered import Scan, chunk_by_width, ordered_scan
-
-SEQ_CHUNK = 1 << 18
+from ripplekit.plans.ordered import Scan, ordered_scan
 
 
 def latest_state(log: DataFrame, by: tuple[str, ...] = ("src", "key")) -> DataFrame:
@@ -46,7 +44,7 @@ def latest_state(log: DataFrame, by: tuple[str, ...] = ("src", "key")) -> DataFr
     return newest.where(F.col("_l.val").isNotNull()).select(*by, F.col("_l.val").alias("val"))
 
 
-def room_deltas(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
+def room_deltas(log: DataFrame, partitions: int | None = None) -> DataFrame:
     """Count deltas and capacity updates per room:
     ``seq, sub, room, delta int, capu struct<cap:int>``.
 
@@ -54,8 +52,7 @@ def room_deltas(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
     one; class rows carry ``capu = struct(cap)`` (``cap`` null = deleted)
     and delta 0."""
     students = log.where(F.col("src") == "student").select("seq", "key", "val")
-    moved = ordered_scan(students, ["key"], ["seq"], chunk_by_width(F.col("seq"), chunk_width),
-                         [Scan("old", "lag", F.col("val"))])
+    moved = ordered_scan(students, ["key"], ["seq"], [Scan("old", "lag", F.col("val"))], partitions)
     capu_null = F.lit(None).cast("struct<cap:int>")
     both = F.array(
         F.struct(F.lit(0).alias("sub"), F.col("old").alias("room"), F.lit(-1).alias("delta")),
@@ -69,48 +66,38 @@ def room_deltas(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
     return stud.unionByName(caps)
 
 
-def room_timeline(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
+def room_timeline(log: DataFrame, partitions: int | None = None) -> DataFrame:
     """Every count or capacity update of a room with the room's state after
-    it: ``seq, sub, room, delta, cnt long, seen long, cap int, _rck``;
-    ``seen > 0`` once the room has a count, ``cap`` null when no capacity is
-    set.  ``_rck`` is the order chunk of hot rooms, kept for the alert scan."""
-    # The deltas come out of the per-student scan: written once, so the
-    # per-room scan's two branches read a table, not the student scan.
-    d = materialize(room_deltas(log, chunk_width).withColumn(
-        "_rck", chunk_by_width(F.col("seq"), chunk_width)), "room-deltas")
-    s = ordered_scan(d, ["room"], ["seq", "sub"], "_rck",
+    it: ``seq, sub, room, delta, cnt long, seen long, cap int``; ``seen > 0``
+    once the room has a count, ``cap`` null when no capacity is set."""
+    # The deltas come out of the per-student scan: written once, so that the
+    # per-room scan samples and moves a table, not the student scan.
+    d = materialize(room_deltas(log, partitions), "room-deltas")
+    s = ordered_scan(d, ["room"], ["seq", "sub"],
                      [Scan("cnt", "sum", F.col("delta").cast("long")),
                       Scan("seen", "sum", F.abs(F.col("delta")).cast("long")),
-                      Scan("lc", "last", F.col("capu"))])
-    return s.select("seq", "sub", "room", "delta", "cnt", "seen", F.col("lc.cap").alias("cap"),
-                    "_rck")
+                      Scan("lc", "last", F.col("capu"))], partitions)
+    return s.select("seq", "sub", "room", "delta", "cnt", "seen", F.col("lc.cap").alias("cap"))
 
 
-def room_counts(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
+def room_counts(log: DataFrame, partitions: int | None = None) -> DataFrame:
     """The count table's update stream, ``seq, sub, room, cnt``."""
-    t = room_timeline(log, chunk_width)
+    t = room_timeline(log, partitions)
     return t.where(F.col("delta") != 0).select("seq", "sub", "room", "cnt")
 
 
-def _joined(log: DataFrame, chunk_width: int) -> DataFrame:
-    t = room_timeline(log, chunk_width)
-    return (t.where((F.col("seen") > 0) & F.col("cap").isNotNull())
-            .select("seq", "sub", "room", "cap", "cnt", "_rck"))
-
-
-def room_status(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
+def room_status(log: DataFrame, partitions: int | None = None) -> DataFrame:
     """The inner join of capacities and counts, one row per update of
     either side while both exist: ``seq, sub, room, cap, cnt``."""
-    return _joined(log, chunk_width).drop("_rck")
+    return room_timeline(log, partitions).where((F.col("seen") > 0) & F.col("cap").isNotNull()) \
+        .select("seq", "sub", "room", "cap", "cnt")
 
 
-def alerts_from_status(status: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
+def alerts_from_status(status: DataFrame, partitions: int | None = None) -> DataFrame:
     """C4 on joined rows: ``seq, sub, room, value`` with ``value`` the count
     (as text) or ``OK``."""
-    if "_rck" not in status.columns:
-        status = status.withColumn("_rck", chunk_by_width(F.col("seq"), chunk_width))
-    s = ordered_scan(status, ["room"], ["seq", "sub"], "_rck",
-                     [Scan("prev", "lag", F.struct("cap", "cnt"))])
+    s = ordered_scan(status, ["room"], ["seq", "sub"],
+                     [Scan("prev", "lag", F.struct("cap", "cnt"))], partitions)
     over = F.col("cnt") > F.col("cap")
     prev_over = F.col("prev.cnt") > F.col("prev.cap")
     value = (F.when(over, F.col("cnt").cast("string"))
@@ -119,7 +106,7 @@ def alerts_from_status(status: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataF
             .where(F.col("value").isNotNull()))
 
 
-def alerts(log: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
+def alerts(log: DataFrame, partitions: int | None = None) -> DataFrame:
     """C4: overload and recovery alerts, ``seq, sub, room, value``.  The
     joined updates are written before the alert scan reads them."""
-    return alerts_from_status(materialize(_joined(log, chunk_width), "room-status"), chunk_width)
+    return alerts_from_status(materialize(room_status(log, partitions), "room-status"), partitions)

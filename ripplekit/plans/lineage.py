@@ -1,14 +1,18 @@
-"""Lineage cuts and scratch locations.
+"""Intermediate tables.
 
 Results that are read several times, or whose recomputation after an
-executor loss would be expensive, are written with ``checkpoint()`` to the
-shared folder named by ``spark.checkpoint.dir``.  On a cluster that setting
-comes from the launcher; only a local session without it (tests, the bench)
-gets a fresh folder of its own.
+executor loss would be expensive, are written to the shared folder named by
+``spark.checkpoint.dir`` and read back.  The library never picks a folder
+itself: a session without the setting gets an error, except that tests, the
+bench and the driver's entry call :func:`own_checkpoint_dir` first.  All
+tables of an application lie in one folder, which :func:`drop_scratch`
+removes when the application is done with its results.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,41 +22,49 @@ _CONF = "spark.checkpoint.dir"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating one only when the
-    session is local and none is configured."""
+    """The session's checkpoint folder."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf = spark.conf.get(_CONF, None) or sc.getConf().get(_CONF, None)
-    if conf:
-        sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; a shared folder is required on a cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="ripplekit-ckpt-"))
+    if not sc.getCheckpointDir():
+        folder = spark.conf.get(_CONF, None)
+        if not folder:
+            raise RuntimeError(f"{_CONF} is not set: name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
+def own_checkpoint_dir(spark: SparkSession) -> str:
+    """Like :func:`ensure_checkpoint_dir`, but a session without the setting
+    gets a temporary folder that goes with the process: for local sessions
+    (tests, the bench, the driver's checks) only."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir() and not spark.conf.get(_CONF, None):
+        folder = tempfile.mkdtemp(prefix="ripplekit-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
+    return ensure_checkpoint_dir(spark)
+
+
+def _root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ripplekit-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the checkpoint folder for an intermediate table."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the application's folder for an intermediate table."""
+    return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder (never a
-    machine-local one) so later stages and task retries read it back instead
-    of recomputing the whole upstream plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; results that were
+    not yet collected or written elsewhere can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a parquet table under the checkpoint folder and read it
+    """Write ``df`` as a parquet table in the application's folder and read it
     back: later plans start from a scan (column pruning and filter pushdown
     still apply), and task retries or lost executors never recompute the
     upstream lineage."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,25 +4,19 @@ Several jobs need "previous row", "running sum" or "last non-null value so
 far" per key in a total order (room occupancy, operation logs, history
 zones).  A window ``partitionBy(key).orderBy(seq)`` puts every row of a key
 into one task, so a key holding a third of the data would serialise a third
-of the job.  The scan therefore runs as:
-
-1. hot keys: a map-side ``count`` per key finds the keys with more than
-   ``max(hot_rows, total / MAX_HOT_KEYS)`` rows.  There are at most
-   ``MAX_HOT_KEYS`` of them whatever the data size, so that list is
-   broadcast; every other key holds at most ``1 / MAX_HOT_KEYS`` of the rows
-   (or ``hot_rows``) and is one window partition;
-2. rows: a window over ``(key, chunk)`` where the chunk is the caller's
-   order chunk (for example ``floor(seq / width)``) for hot keys and 0
-   otherwise.  This is the only exchange of full rows, and every window
-   partition is bounded;
-3. hot keys only: one summary row per ``(key, chunk)`` (total, last row,
-   last non-null, maximum) from a map-side ``groupBy``, combined across
-   chunks with a window over the key (one row per chunk), and joined back
-   as carries.  Other keys need no carry.
-
-The branches read the input separately (column-pruned).  For a table scan
-that is cheap; an input that is itself the result of another scan should be
-written first (``plans.lineage.materialize``) so its work is not repeated.
+of the job.  The scan has one path for all keys and sizes:
+
+1. *place*: the rows are range-partitioned by (key, order) into partitions of
+   about equal size, and written with the number of their partition.  A key
+   takes up a run of consecutive partitions, in order.  This reads the input
+   twice: Spark samples it for the bounds, then moves it;
+2. *scan*: a window over (key, partition); none has more rows than one
+   partition;
+3. *carry*: one summary row per (key, partition) from a map-side ``groupBy``
+   (total, last row, last non-null, maximum), combined across the partitions
+   of a key with a window that has at most as many rows per key as there are
+   partitions, and joined back.
+
 Keys must be non-null and the order columns must be unique within a key.
 """
 
@@ -33,13 +27,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-KINDS = ("lag", "lead", "sum", "last", "last_before", "max_before")
+from ripplekit.plans.lineage import materialize
 
-# A key with more rows than max(HOT_ROWS, total / MAX_HOT_KEYS) is split into
-# order chunks; so at most MAX_HOT_KEYS keys are hot, and any other key holds
-# at most a 1 / MAX_HOT_KEYS share of the rows.
-HOT_ROWS = 1 << 20
-MAX_HOT_KEYS = 10_000
+KINDS = ("lag", "lead", "sum", "last", "last_before", "max_before")
 
 
 @dataclass(frozen=True)
@@ -49,7 +39,8 @@ class Scan:
     kind:
       ``lag``          value of the previous row (null on the first row)
       ``lead``         value of the next row (null on the last row)
-      ``sum``          running sum up to and including this row
+      ``sum``          running sum up to and including this row, nulls
+                       skipped (null before the first value)
       ``last``         last non-null value up to and including this row
       ``last_before``  last non-null value strictly before this row
       ``max_before``   maximum strictly before this row
@@ -60,97 +51,60 @@ class Scan:
     expr: Column
 
 
-def chunk_by_width(order_col: Column, width: int) -> Column:
-    """Chunk id for a numeric order column: consecutive ranges of ``width``."""
-    return F.floor(order_col / F.lit(width)).cast("long")
-
-
-def ordered_scan(df: DataFrame, keys: list[str], order: list[str],
-                 chunk: Column | str, specs: list[Scan],
-                 hot_rows: int | None = None) -> DataFrame:
+def ordered_scan(df: DataFrame, keys: list[str], order: list[str], specs: list[Scan],
+                 partitions: int | None = None) -> DataFrame:
     """Add the columns described by ``specs`` to ``df``; see module doc.
-    ``chunk`` is the order chunk used for hot keys: an expression, or the
-    name of an existing column."""
+    ``partitions`` is the number of range partitions (by default the
+    session's shuffle partitions, fewer for a small input)."""
     for s in specs:
         if s.kind not in KINDS:
             raise ValueError(f"unknown scan kind {s.kind!r}")
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    fine = F.col(chunk) if isinstance(chunk, str) else chunk
-    ck = "_ck"
-    # Every step is one select: PySpark analyses the whole plan per step.
-    base = df.select("*", fine.alias("_fine"),
-                     *[s.expr.alias(f"_e{i}") for i, s in enumerate(specs)])
-
-    # Hot keys: counted map-side; the threshold is a scalar subquery, and at
-    # most MAX_HOT_KEYS keys can exceed it, so the list may be broadcast.
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = counts.agg(F.greatest(F.lit(hot_rows),
-                                  F.sum("_n") / F.lit(MAX_HOT_KEYS))).scalar()
-    hot = counts.where(F.col("_n") > limit).select(*keys, F.lit(True).alias("_hot"))
-    tagged = base.join(F.broadcast(hot), on=keys, how="left").select(
-        "*", F.when(F.col("_hot"), F.col("_fine")).otherwise(F.lit(0)).cast("long").alias(ck))
-
-    w = Window.partitionBy(*keys, ck).orderBy(*order)
+    part = "_part"
+    base = df.select("*", *[s.expr.alias(f"_e{i}") for i, s in enumerate(specs)])
+    ranged = base.repartitionByRange(partitions, *keys, *order) if partitions \
+        else base.repartitionByRange(*keys, *order)
+    placed = materialize(ranged.select("*", F.spark_partition_id().alias(part)), "ordered")
+
+    w = Window.partitionBy(*keys, part).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    ord_struct = F.struct(*[F.col(c) for c in order])
+    at = F.struct(*[F.col(c) for c in order])
+    # The values before (for lead: after) a partition, over its key's partitions.
+    wk = Window.partitionBy(*keys).orderBy(part)
+    past = wk.rowsBetween(Window.unboundedPreceding, -1)
 
-    cols, aggs = [], []
+    cols, aggs, carries = [], [], []
     for i, s in enumerate(specs):
-        e = F.col(f"_e{i}")
-        if s.kind == "lag":
-            loc = F.lag(F.struct(e.alias("v"))).over(w)
-            summ = F.max_by(F.struct(e.alias("v")), ord_struct)
-        elif s.kind == "lead":
-            loc = F.lead(F.struct(e.alias("v"))).over(w)
-            summ = F.min_by(F.struct(e.alias("v")), ord_struct)
-        elif s.kind == "sum":
-            loc = F.sum(e).over(upto)
-            summ = F.sum(e)
-        elif s.kind == "last":
-            loc = F.last(e, ignorenulls=True).over(upto)
-            summ = F.max_by(e, F.when(e.isNotNull(), ord_struct))
-        elif s.kind == "last_before":
-            loc = F.last(e, ignorenulls=True).over(before)
-            summ = F.max_by(e, F.when(e.isNotNull(), ord_struct))
-        else:  # max_before
-            loc = F.max(e).over(before)
-            summ = F.max(e)
-        cols.append(loc.alias(f"_l{i}"))
-        aggs.append(summ.alias(f"_s{i}"))
-    local = tagged.select("*", *cols)
-    summary = tagged.where(F.col("_hot")).groupBy(*keys, ck).agg(*aggs)
-
-    wk = Window.partitionBy(*keys).orderBy(ck)
-    wk_before = wk.rowsBetween(Window.unboundedPreceding, -1)
-    carry_cols = []
-    for i, s in enumerate(specs):
-        sc = F.col(f"_s{i}")
-        if s.kind == "lag":
-            c = F.lag(sc).over(wk)
-        elif s.kind == "lead":
-            c = F.lead(sc).over(wk)
-        elif s.kind == "sum":
-            c = F.sum(sc).over(wk_before)
-        elif s.kind in ("last", "last_before"):
-            c = F.last(sc, ignorenulls=True).over(wk_before)
-        else:
-            c = F.max(sc).over(wk_before)
-        carry_cols.append(c.alias(f"_c{i}"))
-    carry = summary.select(*keys, ck, *carry_cols)
-
-    joined = local.join(carry, on=[*keys, ck], how="left")
-    out_cols = []
+        e, summary = F.col(f"_e{i}"), F.col(f"_s{i}")
+        row = F.struct(e.alias("v"))
+        non_null = F.max_by(e, F.when(e.isNotNull(), at))
+        local, total, carry = {
+            "lag": lambda: (F.lag(row).over(w), F.max_by(row, at), F.lag(summary).over(wk)),
+            "lead": lambda: (F.lead(row).over(w), F.min_by(row, at), F.lead(summary).over(wk)),
+            "sum": lambda: (F.sum(e).over(upto), F.sum(e), F.sum(summary).over(past)),
+            "last": lambda: (F.last(e, ignorenulls=True).over(upto), non_null,
+                             F.last(summary, ignorenulls=True).over(past)),
+            "last_before": lambda: (F.last(e, ignorenulls=True).over(before), non_null,
+                                    F.last(summary, ignorenulls=True).over(past)),
+            "max_before": lambda: (F.max(e).over(before), F.max(e), F.max(summary).over(past)),
+        }[s.kind]()
+        cols.append(local.alias(f"_l{i}"))
+        aggs.append(total.alias(f"_s{i}"))
+        carries.append(carry.alias(f"_c{i}"))
+    scanned = placed.select("*", *cols)
+    carry = placed.groupBy(*keys, part).agg(*aggs).select(*keys, part, *carries)
+    joined = scanned.join(carry, on=[*keys, part])
+
+    out = []
     for i, s in enumerate(specs):
-        loc, car = F.col(f"_l{i}"), F.col(f"_c{i}")
+        local, carried = F.col(f"_l{i}"), F.col(f"_c{i}")
         if s.kind in ("lag", "lead"):
-            v = F.coalesce(loc, car).getField("v")
+            v = F.coalesce(local, carried).getField("v")
         elif s.kind == "sum":
-            v = loc + F.coalesce(car, F.lit(0))
-        elif s.kind in ("last", "last_before"):
-            v = F.coalesce(loc, car)
+            v = F.coalesce(local + carried, local, carried)
+        elif s.kind == "max_before":
+            v = F.greatest(local, carried)
         else:
-            v = F.greatest(loc, car)
-        out_cols.append(v.alias(s.out))
-    keep = [F.col(c) for c in df.columns]
-    return joined.select(*keep, *out_cols)
+            v = F.coalesce(local, carried)
+        out.append(v.alias(s.out))
+    return joined.select(*[F.col(c) for c in df.columns], *out)

@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import SparkSession
 
-from ripplekit.plans.lineage import ensure_checkpoint_dir
+from ripplekit.plans.lineage import own_checkpoint_dir
 
 
 def local_session(cores: int | None = None, app: str = "ripplekit",
@@ -41,5 +41,5 @@ def local_session(cores: int | None = None, app: str = "ripplekit",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    own_checkpoint_dir(spark)
     return spark

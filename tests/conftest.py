@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from ripplekit.plans.lineage import drop_scratch  # noqa: E402
 from ripplekit.session import local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -15,6 +16,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     s = local_session(4, app="ripplekit-tests", shuffle_partitions=4)
     yield s
+    drop_scratch(s)
     s.stop()
 
 
@@ -26,10 +28,3 @@ def rows(df, *cols):
     cols = cols or tuple(df.columns)
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
-
-@pytest.fixture
-def small_hot(monkeypatch):
-    """Treat every key with more than 4 rows as hot, so small inputs go
-    through the chunked path of the ordered scans."""
-    import ripplekit.plans.ordered as ordered
-    monkeypatch.setattr(ordered, "HOT_ROWS", 4)

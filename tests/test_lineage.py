@@ -1,34 +1,26 @@
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import lines_df, rows
-from ripplekit.operators.ratings import long_form
-from ripplekit.plans.lineage import (cut_lineage, ensure_checkpoint_dir, materialize,
-                                     scratch_path)
-from ripplekit.sources.text import parse_matrix
+from conftest import rows
+from ripplekit.plans import lineage
+from ripplekit.plans.lineage import ensure_checkpoint_dir, materialize, scratch_path
 
 
 def test_checkpoint_folder_is_kept(spark):
     first = ensure_checkpoint_dir(spark)
     assert first and ensure_checkpoint_dir(spark) == first
-    assert scratch_path(spark, "x").startswith(first.rstrip("/") + "/x-")
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0]
+    assert a.startswith(first.rstrip("/") + "/ripplekit-")
 
 
-def test_materialize_and_cut_lineage_keep_rows(spark):
+def test_materialize_keeps_rows(spark):
     df = spark.range(0, 1000).select((F.col("id") % 7).alias("k"), F.col("id"))
     assert rows(materialize(df, "lineage-test")) == rows(df)
-    assert rows(cut_lineage(df)) == rows(df)
 
 
-def test_long_form(spark):
-    p = parse_matrix(lines_df(spark, ["A,3,,1", "B"]))
-    assert rows(long_form(p), "title", "usr", "cell", "rating") == [
-        ("A", 1, "3", 3), ("A", 2, "", None), ("A", 3, "1", 1)]
-
-
-def test_spread_only_narrow_scans(spark):
-    from ripplekit.plans.parallel import spread_if_narrow
-    par = spark.sparkContext.defaultParallelism
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert spread_if_narrow(narrow).rdd.getNumPartitions() == par
-    wide = spark.range(0, 100, numPartitions=par + 3)
-    assert spread_if_narrow(wide).rdd.getNumPartitions() == par + 3
+def test_no_folder_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            lineage.scratch_path(spark, "x")

@@ -10,9 +10,9 @@ from ripplekit.operators import occupancy
 LOG = "seq long, src string, key string, val string"
 
 
-def alerts_of(spark, log, width=1 << 18):
+def alerts_of(spark, log, partitions=None):
     df = spark.createDataFrame(log, LOG)
-    return rows(occupancy.alerts(df, chunk_width=width), "seq", "room", "value")
+    return rows(occupancy.alerts(df, partitions=partitions), "seq", "room", "value")
 
 
 def test_hand_trace(spark):
@@ -92,7 +92,7 @@ def simulate(log):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_histories_match_model(spark, small_hot, seed):
+def test_random_histories_match_model(spark, seed):
     rnd = random.Random(seed)
     log = []
     for seq in range(400):
@@ -102,11 +102,11 @@ def test_random_histories_match_model(spark, small_hot, seed):
         else:
             log.append((seq, "student", f"s{rnd.randint(0, 12)}",
                         None if rnd.random() < 0.1 else f"R{rnd.randint(0, 3)}"))
-    # a small chunk width forces many chunks per room and per student
-    assert alerts_of(spark, log, width=16) == simulate(log)
+    # many partitions cut rooms and students
+    assert alerts_of(spark, log, partitions=16) == simulate(log)
 
 
-def test_hot_student_and_hot_room_match_model(spark, small_hot):
+def test_hot_student_and_hot_room_match_model(spark):
     rnd = random.Random(42)
     log = []
     for seq in range(600):
@@ -117,4 +117,4 @@ def test_hot_student_and_hot_room_match_model(spark, small_hot):
             student = "hot" if rnd.random() < 0.4 else f"s{rnd.randint(0, 20)}"
             room = "HOT" if rnd.random() < 0.5 else f"R{rnd.randint(1, 2)}"
             log.append((seq, "student", student, None if rnd.random() < 0.05 else room))
-    assert alerts_of(spark, log, width=8) == simulate(log)
+    assert alerts_of(spark, log, partitions=8) == simulate(log)

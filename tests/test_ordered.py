@@ -1,12 +1,12 @@
-"""The chunked ordered scan equals a plain per-key scan, including a hot
-key spread over many chunks."""
+"""The ordered scan equals a plain per-key scan, including a hot key spread
+over many partitions."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from ripplekit.plans.ordered import Scan, chunk_by_width, ordered_scan
+from ripplekit.plans.ordered import Scan, ordered_scan
 
 
 def _brute(data):
@@ -15,50 +15,54 @@ def _brute(data):
         by_key.setdefault(k, []).append((seq, x))
     out = {}
     for k, items in by_key.items():
-        run, last_nn, mx = 0, None, None
+        run, last_nn, mx = None, None, None
         for i, (seq, x) in enumerate(items):
             lag = items[i - 1][1] if i > 0 else None
             lead = items[i + 1][1] if i + 1 < len(items) else None
             before_last, before_max = last_nn, mx
-            run += x if x is not None else 0
             if x is not None:
+                run = (run or 0) + x
                 last_nn = x
                 mx = x if mx is None else max(mx, x)
             out[(k, seq)] = (lag, lead, run, last_nn, before_last, before_max)
     return out
 
 
-@pytest.mark.parametrize("width, hot_rows", [(1, 4), (7, 4), (1000, 4), (7, 10 ** 9)])
-def test_scan_matches_brute_force(spark, width, hot_rows):
-    rnd = random.Random(width)
+@pytest.mark.parametrize("partitions", [1, 2, 7, 40, None])
+def test_scan_matches_brute_force(spark, partitions):
+    rnd = random.Random(partitions)
     data = []
     for seq in range(300):
         k = "hot" if rnd.random() < 0.4 else f"k{rnd.randint(0, 9)}"
-        data.append((k, seq * 3 + rnd.randint(0, 2), rnd.choice([None, 1, 2, 5, -3])))
+        data.append((k, seq * 3 + rnd.randint(0, 2), rnd.choice([None, None, 1, 2, 5, -3])))
     df = spark.createDataFrame(data, "k string, seq long, x int")
-    out = ordered_scan(df, ["k"], ["seq"], chunk_by_width(F.col("seq"), width), [
+    out = ordered_scan(df, ["k"], ["seq"], [
         Scan("lag", "lag", F.col("x")), Scan("lead", "lead", F.col("x")),
-        Scan("run", "sum", F.coalesce(F.col("x"), F.lit(0)).cast("long")),
+        Scan("run", "sum", F.col("x").cast("long")),
         Scan("last", "last", F.col("x")), Scan("lb", "last_before", F.col("x")),
-        Scan("mb", "max_before", F.col("x"))], hot_rows=hot_rows)
-    got = {(r.k, r.seq): (r.lag, r.lead, r.run, r.last, r.lb, r.mb) for r in out.collect()}
+        Scan("mb", "max_before", F.col("x"))], partitions).collect()
+    got = {(r.k, r.seq): (r.lag, r.lead, r.run, r.last, r.lb, r.mb) for r in out}
     assert got == _brute(data)
-    assert out.count() == len(data)
+    assert len(out) == len(data)
 
 
-def test_hot_threshold_scales_with_total(spark, monkeypatch):
-    """With MAX_HOT_KEYS = 2 only a key holding more than half the rows is
-    hot; results are the same either way."""
-    import ripplekit.plans.ordered as ordered
-    monkeypatch.setattr(ordered, "HOT_ROWS", 1)
-    monkeypatch.setattr(ordered, "MAX_HOT_KEYS", 2)
-    rnd = random.Random(3)
-    data = [("big" if rnd.random() < 0.6 else f"k{rnd.randint(0, 5)}", seq, rnd.randint(0, 9))
-            for seq in range(400)]
-    df = spark.createDataFrame(data, "k string, seq long, x int")
-    out = ordered_scan(df, ["k"], ["seq"], chunk_by_width(F.col("seq"), 5), [
-        Scan("lag", "lag", F.col("x")), Scan("lead", "lead", F.col("x")),
-        Scan("run", "sum", F.col("x").cast("long")), Scan("last", "last", F.col("x")),
-        Scan("lb", "last_before", F.col("x")), Scan("mb", "max_before", F.col("x"))])
-    got = {(r.k, r.seq): (r.lag, r.lead, r.run, r.last, r.lb, r.mb) for r in out.collect()}
-    assert got == _brute(data)
+@pytest.mark.parametrize("partitions", [1, 2, 5])
+def test_running_sum_skips_nulls(spark, partitions):
+    df = spark.createDataFrame([("a", i, x) for i, x in enumerate([None, 5, None, None, None, 2])],
+                               "k string, seq long, x int")
+    out = ordered_scan(df, ["k"], ["seq"], [Scan("s", "sum", F.col("x"))], partitions)
+    assert [r.s for r in sorted(out.collect(), key=lambda r: r.seq)] == [None, 5, 5, 5, 5, 7]
+
+
+def test_a_key_takes_up_partitions_of_bounded_size(spark):
+    from ripplekit.plans import ordered
+    placed = []
+    keep = ordered.materialize
+    ordered.materialize = lambda df, name: placed.append(keep(df, name)) or placed[-1]
+    try:
+        df = spark.range(0, 4000).select(F.lit("only").alias("k"), "id")
+        ordered_scan(df, ["k"], ["id"], [Scan("p", "lag", F.col("id"))], 8).collect()
+    finally:
+        ordered.materialize = keep
+    sizes = [r["count"] for r in placed[0].groupBy("_part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 3 * 4000 / 8

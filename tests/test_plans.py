@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-CHUNK = re.compile(r"\b_(?:r|e)?ck#")
+PART = re.compile(r"\b_part#")
 
 
 def windows(df):
@@ -22,12 +22,12 @@ def windows(df):
 
 @pytest.mark.parametrize("name", ["room_counts", "alerts", "op_pairing", "history_check"])
 def test_no_window_over_a_whole_key(spark, name):
-    """Row-level windows are partitioned by (key, chunk); windows keyed by
-    the key alone only order chunk summaries."""
+    """Row-level windows are partitioned by (key, partition); windows keyed by
+    the key alone only order the summaries of its partitions."""
     ws = windows(entry.queries()[name](spark, SF_SMALL))
     assert ws
     for part, order in ws:
-        assert CHUNK.search(part) or CHUNK.search(order), (part, order)
+        assert PART.search(part) or PART.search(order), (part, order)
 
 
 def test_similarity_has_no_cross_join(spark):

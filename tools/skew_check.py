@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from ripplekit.plans.ordered import Scan, chunk_by_width, ordered_scan  # noqa: E402
+from ripplekit.plans.ordered import Scan, ordered_scan  # noqa: E402
 from ripplekit.session import local_session  # noqa: E402
 
 
@@ -27,8 +27,7 @@ def main() -> None:
         F.col("id").alias("t"), (F.col("id") % 11).alias("x"))
     w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     plain = df.select("k", "t", F.sum("x").over(w).alias("s"))
-    chunked = ordered_scan(df, ["k"], ["t"], chunk_by_width(F.col("t"), 1 << 18),
-                           [Scan("s", "sum", F.col("x"))])
+    chunked = ordered_scan(df, ["k"], ["t"], [Scan("s", "sum", F.col("x"))])
     for rep in range(2):
         for label, out in (("per-key window", plain), ("ordered scan", chunked)):
             t = time.time()
