@@ -4,26 +4,34 @@ Two keyed stateful operators in one query, both in append mode: the
 student stage uses ``applyInPandasWithState`` (the state of a key travels
 with its rows as Arrow batches) and the room stage
 ``transformWithStateInPandas`` (Spark allows only one
-``applyInPandasWithState`` per query):
+``applyInPandasWithState`` per query).  Both handle all rows of a key in a
+micro-batch at once, with array operations:
 
-1. per student: the current room (C1); every update emits ``-1`` for the
-   old room (``sub = 0``) and ``+1`` for the new one (``sub = 1``);
-2. per room: count (C2), capacity, whether a count exists, and the previous
-   alert result; every count or capacity update of a room that has both
-   is a joined update (C3) and is folded into an alert (C4).
+1. per student: the old room is the room before, shifted by one row, with
+   the state in front (C1); every update emits ``-1`` for the old room
+   (``sub = 0``) and ``+1`` for the new one (``sub = 1``);
+2. per room: the count is a running sum (C2), the capacity the last one set,
+   a joined update (C3) a row where both exist, and an alert (C4) compares a
+   joined update with the joined update before it.
 
 Every input update is emitted downstream, not only the last one per
 micro-batch (C5), so the output equals the batch job
-``operators.occupancy.alerts`` row for row.  Inside a micro-batch the rows
-of a key are handled in ``(seq, sub)`` order; micro-batches are processed
-in arrival order.  Offsets, state (RocksDB, set on the session when
-starting) and the sink's commit log live
-in the checkpoint folder, which gives exactly-once output across restarts
-(C6, C7); a fresh checkpoint folder starts a run afresh (C8).
-
-The source is any streaming DataFrame with the log schema (Kafka topics in
-production, files in tests); :func:`replay_log` replays a batch log through
-files.
+``operators.occupancy.alerts`` row for row.
+
+Order: rows carry ``ts, src, part, off`` (broker timestamp, source, topic
+partition, offset) and a key's rows of a micro-batch are handled in that
+order.  Within one topic partition this is the order of the offsets, as long
+as the broker's timestamps do not fall (log-append time); all updates of a
+student or of a capacity share a key and thus a partition.  Across topics and
+partitions it is the order of the timestamps; of equal ones the capacity
+counts first.  Micro-batches are processed in arrival order, and a micro-batch
+has at most ``rows_per_batch`` rows (``maxOffsetsPerTrigger``, or files of
+that size with ``maxFilesPerTrigger``), which bounds what one key can bring
+into a task.
+
+Offsets, state (RocksDB, set on the session when starting) and the sink's
+commit log live in the checkpoint folder, which gives exactly-once output
+across restarts (C6, C7); a fresh checkpoint folder starts a run afresh (C8).
 """
 
 from __future__ import annotations
@@ -40,37 +48,26 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ripplekit.functions.strings import strict_int
-from ripplekit.plans.lineage import ensure_checkpoint_dir
 
 # The per-key functions below run in Python workers.  They are shipped by
 # value, so workers need not have this package installed or on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+ROWS_PER_BATCH = 1_000_000   # of a micro-batch, at most
+ORDER = ["ts", "src", "part", "off"]
+_ORDER_SQL = "ts long, src string, part int, off long"
+
 LOG_SCHEMA = T.StructType([
-    T.StructField("seq", T.LongType()),
-    T.StructField("src", T.StringType()),
+    T.StructField("ts", T.LongType()),
+    T.StructField("src", T.StringType()),      # 'student' | 'class'
+    T.StructField("part", T.IntegerType()),
+    T.StructField("off", T.LongType()),
     T.StructField("key", T.StringType()),
     T.StructField("val", T.StringType()),
 ])
 
-UPDATE_SCHEMA = T.StructType([
-    T.StructField("seq", T.LongType()),
-    T.StructField("sub", T.IntegerType()),
-    T.StructField("room", T.StringType()),
-    T.StructField("delta", T.IntegerType()),
-    T.StructField("is_cap", T.BooleanType()),
-    T.StructField("cap", T.IntegerType()),
-])
-
-ALERT_SCHEMA = T.StructType([
-    T.StructField("seq", T.LongType()),
-    T.StructField("sub", T.IntegerType()),
-    T.StructField("room", T.StringType()),
-    T.StructField("value", T.StringType()),
-])
-
-_STUDENT_STATE = T.StructType([T.StructField("room", T.StringType())])
-
+_UPDATE = f"{_ORDER_SQL}, sub int, room string, delta int, is_cap boolean, cap int"
+_ALERT = f"{_ORDER_SQL}, sub int, room string, value string"
 _ROOM_STATE = T.StructType([
     T.StructField("cnt", T.LongType()),
     T.StructField("seen", T.BooleanType()),
@@ -79,134 +76,120 @@ _ROOM_STATE = T.StructType([
 ])
 
 
-def _nullable(x):
-    return None if x is None or (isinstance(x, float) and pd.isna(x)) or x is pd.NA else x
-
-
 def _ordered(pdfs: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
-    """The rows of one key in ``by`` order (usually a single, sorted frame)."""
-    parts = list(pdfs)
-    batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    keys = batch[by[0]]
-    if len(by) == 1 and keys.is_monotonic_increasing:
-        return batch
-    return batch.sort_values(by, kind="stable")
+    """The rows of one key in this micro-batch, in order."""
+    return pd.concat(list(pdfs), ignore_index=True).sort_values(by, kind="stable", ignore_index=True)
 
 
 def student_rooms(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     """Stage 1, keyed by student: turns moves into room count deltas."""
-    batch = _ordered(pdfs, ["seq"])
-    cur = state.get[0] if state.exists else None
-    out_seq, out_sub, out_room = [], [], []
-    for seq, val in zip(batch["seq"].tolist(), batch["val"].tolist()):
-        new = _nullable(val)
-        if cur is not None:
-            out_seq.append(seq); out_sub.append(0); out_room.append(cur)
-        if new is not None:
-            out_seq.append(seq); out_sub.append(1); out_room.append(new)
-        cur = new
-    if cur is None:
-        if state.exists:
-            state.remove()
-    else:
-        state.update((cur,))
-    if out_seq:
-        sub = np.array(out_sub, dtype=np.int32)
-        n = len(out_seq)
-        yield pd.DataFrame({
-            "seq": np.array(out_seq, dtype=np.int64), "sub": sub, "room": out_room,
-            "delta": np.where(sub == 0, -1, 1).astype(np.int32),
-            "is_cap": np.zeros(n, dtype=bool),
-            "cap": pd.array([None] * n, dtype="Int32"),
-        })
+    batch = _ordered(pdfs, ORDER)
+    new = batch["val"].astype(object).where(batch["val"].notna(), None)
+    old = new.shift(1)
+    old.iloc[0] = state.get[0] if state.exists else None
+    last = new.iloc[-1]
+    if last is not None:
+        state.update((last,))
+    elif state.exists:
+        state.remove()
+    out = pd.concat([batch[ORDER].assign(sub=sub, room=room, delta=delta)[room.notna()]
+                     for sub, room, delta in ((0, old, -1), (1, new, 1))], ignore_index=True)
+    if len(out):
+        yield out.assign(is_cap=False, cap=pd.array([None] * len(out), dtype="Int32"))
+
+
+def room_alerts(batch: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
+    """Alerts and next state of one room from its ordered updates."""
+    cnt0, seen0, cap0, over0 = state
+    is_cap = batch["is_cap"].to_numpy(bool)
+    cnt = cnt0 + np.cumsum(np.where(is_cap, 0, batch["delta"].to_numpy(np.int64)))
+    seen = np.logical_or.accumulate(~is_cap) | bool(seen0)
+    # the capacity of the last capacity row so far, or of the state; NaN: none
+    caps = np.append(pd.to_numeric(batch["cap"], errors="coerce").to_numpy(float, na_value=np.nan),
+                     np.nan if cap0 is None else cap0)
+    cap = caps[np.maximum.accumulate(np.where(is_cap, np.arange(len(batch)), -1))]
+    at = np.flatnonzero(seen & ~np.isnan(cap))
+    over = cnt[at] > cap[at]
+    # count of the joined update before if it was over, else NaN
+    before = np.where(over, cnt[at].astype(float), np.nan)
+    prev = np.append(np.nan if over0 is None else float(over0), before)[:len(at)]
+    tell = over | (prev > cnt[at])
+    value = np.where(over, cnt[at].astype(str), "OK")[tell]
+    out = batch[[*ORDER, "sub", "room"]].iloc[at[tell]].assign(value=value)
+    if len(at):
+        over0 = int(cnt[at[-1]]) if over[-1] else None
+    return out, (int(cnt[-1]), bool(seen[-1]), None if np.isnan(cap[-1]) else int(cap[-1]), over0)
 
 
 class RoomAlerts(StatefulProcessor):
-    """Stage 2, keyed by room: count, capacity, join and alert fold."""
+    """Stage 2, keyed by room: count, capacity, join and alert."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("room", _ROOM_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        room = key[0]
-        batch = _ordered(rows, ["seq", "sub"])
         got = self.state.get()
-        cnt, seen, cap, prev_over = got if got is not None else (0, False, None, None)
-        out_seq, out_sub, out_val = [], [], []
-        for seq, sub, delta, is_cap, new_cap in zip(
-                batch["seq"].tolist(), batch["sub"].tolist(), batch["delta"].tolist(),
-                batch["is_cap"].tolist(), batch["cap"].tolist()):
-            if is_cap:
-                new_cap = _nullable(new_cap)
-                cap = None if new_cap is None else int(new_cap)
-            else:
-                cnt += int(delta)
-                seen = True
-            if not seen or cap is None:
-                continue  # no joined update; a deletion reaches no one
-            if cnt > cap:
-                out_seq.append(seq); out_sub.append(sub); out_val.append(str(cnt))
-                prev_over = cnt
-            elif prev_over is not None and prev_over > cnt:
-                out_seq.append(seq); out_sub.append(sub); out_val.append("OK")
-                prev_over = None
-            else:
-                prev_over = None
-        self.state.update((int(cnt), bool(seen), cap, prev_over))
-        if out_seq:
-            yield pd.DataFrame({
-                "seq": np.array(out_seq, dtype=np.int64),
-                "sub": np.array(out_sub, dtype=np.int32),
-                "room": [room] * len(out_seq),
-                "value": out_val,
-            })
+        out, state = room_alerts(_ordered(rows, [*ORDER, "sub"]),
+                                 (0, False, None, None) if got is None else tuple(got))
+        self.state.update(state)
+        if len(out):
+            yield out
 
     def close(self) -> None:
         pass
 
 
 def alerts_stream(log: DataFrame) -> DataFrame:
-    """Streaming ``seq, sub, room, value`` alerts from a streaming log."""
-    students = log.where(F.col("src") == "student").select("seq", "key", "val")
+    """Streaming alerts (order columns, ``sub, room, value``) from a streaming
+    log of :data:`LOG_SCHEMA`."""
+    students = log.where(F.col("src") == "student").select(*ORDER, "key", "val")
     deltas = students.groupBy("key").applyInPandasWithState(
-        student_rooms, outputStructType=UPDATE_SCHEMA, stateStructType=_STUDENT_STATE,
+        student_rooms, outputStructType=_UPDATE, stateStructType="room string",
         outputMode="append", timeoutConf="NoTimeout")
     caps = log.where(F.col("src") == "class").select(
-        "seq", F.lit(0).alias("sub"), F.col("key").alias("room"), F.lit(0).alias("delta"),
+        *ORDER, F.lit(0).alias("sub"), F.col("key").alias("room"), F.lit(0).alias("delta"),
         F.lit(True).alias("is_cap"), strict_int(F.col("val"), "capacity").alias("cap"))
-    updates = deltas.unionByName(caps)
-    return updates.groupBy("room").transformWithStateInPandas(
-        statefulProcessor=RoomAlerts(), outputStructType=ALERT_SCHEMA,
-        outputMode="Append", timeMode="None")
+    return deltas.unionByName(caps).groupBy("room").transformWithStateInPandas(
+        statefulProcessor=RoomAlerts(), outputStructType=_ALERT, outputMode="Append", timeMode="None")
+
+
+def topic_records(raw: DataFrame, src: str) -> DataFrame:
+    """Log rows from the columns of a topic (``key, value`` binary or string,
+    ``timestamp, partition, offset``).  A record without a key is dropped, as
+    by a table that is read from a topic; a null value deletes."""
+    return raw.where(F.col("key").isNotNull()).select(
+        F.unix_millis("timestamp").alias("ts"), F.lit(src).alias("src"), F.col("partition").cast("int").alias("part"),
+        F.col("offset").cast("long").alias("off"), F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("val"))
 
 
 def topic_log(spark: SparkSession, bootstrap: str, student_topic: str, class_topic: str,
-              starting_offsets: str = "earliest") -> DataFrame:
+              starting_offsets: str = "earliest", rows_per_batch: int = ROWS_PER_BATCH) -> DataFrame:
     """The streaming log from two Kafka topics of ``key`` / ``value``
     strings (a null value deletes), as produced by console producers with
-    ``parse.key=true`` and ``key.separator=,``.
-
-    Records are ordered by broker timestamp, then offset: ``seq =
-    unix_millis(timestamp) * 2^20 + offset mod 2^20`` (unique while a topic
-    partition takes fewer than 2^20 records per millisecond).  Needs the
-    Kafka connector on the classpath."""
+    ``parse.key=true`` and ``key.separator=,``; a micro-batch takes at most
+    ``rows_per_batch`` records, half from each topic.  Needs the Kafka
+    connector on the classpath."""
     def one(topic: str, src: str) -> DataFrame:
         try:
             raw = (spark.readStream.format("kafka")
                    .option("kafka.bootstrap.servers", bootstrap)
                    .option("subscribe", topic)
+                   .option("maxOffsetsPerTrigger", max(1, rows_per_batch // 2))
                    .option("startingOffsets", starting_offsets).load())
         except Exception as e:  # connector missing
             raise RuntimeError("the Kafka source needs the spark-sql-kafka connector "
                                "on the classpath; use a file source instead") from e
-        seq = (F.unix_millis("timestamp") * F.lit(1 << 20)
-               + F.col("offset") % F.lit(1 << 20))
-        return raw.select(seq.alias("seq"), F.lit(src).alias("src"),
-                          F.col("key").cast("string").alias("key"),
-                          F.col("value").cast("string").alias("val"))
+        return topic_records(raw, src)
     return one(student_topic, "student").unionByName(one(class_topic, "class"))
 
 
+def alert_messages(alerts: DataFrame) -> DataFrame:
+    """K4: ``key string, value string`` (room, alert): the columns that a
+    topic sink takes."""
+    return alerts.select(F.col("room").alias("key"), "value")
+
+
 def _use_rocksdb(spark: SparkSession) -> None:
     key = "spark.sql.streaming.stateStore.providerClass"
     want = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -230,51 +213,59 @@ def start_alerts(spark: SparkSession, log: DataFrame, out_dir: str, checkpoint:
     return w.start()
 
 
-def _run_once(spark: SparkSession, in_dir: str, out_dir: str, ckpt: str):
-    # One file per micro-batch, oldest first: the files are offered in log
-    # order, so micro-batches arrive in log order.
+def _stage(log: DataFrame, path: str, rows_per_batch: int, first_time: int) -> int:
+    """Write ``log`` as files of about ``rows_per_batch`` rows, cut by ``ts``
+    in one distributed write, and give them modification times in that order:
+    a file stream takes older files first.  Returns the time behind them."""
+    spark = log.sparkSession
+    n = max(1, -(-log.count() // rows_per_batch))
+    # the progress of every micro-batch is kept, for its counts
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(2 * n + 100))
+    log.repartitionByRange(n, "ts").write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted(str(f.getPath()) for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    for k, f in enumerate(files):
+        fs.setTimes(spark._jvm.org.apache.hadoop.fs.Path(f), first_time + 1000 * k, -1)
+    return first_time + 1000 * len(files)
+
+
+def _run_once(spark: SparkSession, in_dir: str, out_dir: str, ckpt: str) -> list[dict]:
+    """Consume what is there, a file per micro-batch; returns the observed
+    counts of the micro-batches."""
     stream = (spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1)
               .parquet(f"{in_dir}/*"))
     q = start_alerts(spark, stream, out_dir, ckpt, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return q
-
-
-def replay_log(spark: SparkSession, log: DataFrame, workdir: str, rows_per_batch: int = 1_000_000,
-               min_batches: int = 4, restart_each_batch: bool = False) -> DataFrame:
-    """Replay a batch log through the stream and return the alerts.
-
-    The log is staged once, cut into consecutive ``seq`` ranges of about
-    ``rows_per_batch`` rows (at least ``min_batches``), and each range is
-    offered as one new file, in order; one ``availableNow`` run consumes a
-    file per micro-batch, so state crosses micro-batches as in a
-    long-running query.  ``restart_each_batch`` instead stops and restarts
-    the query from its checkpoint after every file (recovery test).
-    ``workdir`` must be on shared storage on a cluster (use
-    ``plans.lineage.scratch_path``).  This is a test harness; production
-    reads the topics with the Kafka source."""
-    ensure_checkpoint_dir(spark)
+    seen = [p["observedMetrics"]["alerts"] for p in q.recentProgress if "alerts" in p.get("observedMetrics", {})]
+    return [{k: m[k] for k in ("alerts", "recoveries")} for m in seen]
+
+
+def replay_log(spark: SparkSession, log: DataFrame, workdir: str, rows_per_batch: int = ROWS_PER_BATCH,
+               restart: bool = False, progress: list | None = None) -> DataFrame:
+    """Replay a batch log ``seq, src, key, val`` through the stream and return
+    the alerts, ``seq, sub, room, value``.
+
+    The log is staged as files in ``seq`` order of about ``rows_per_batch``
+    rows; one ``availableNow`` run consumes a file per micro-batch, so state
+    crosses micro-batches as in a long-running query.  With ``restart`` the
+    second half of the log is staged and consumed by a new query on the same
+    checkpoint.  ``progress`` collects the observed counts.  ``workdir`` must
+    be on shared storage on a cluster (use ``plans.lineage.scratch_path``)."""
     out_dir, ckpt, in_dir = f"{workdir}/out", f"{workdir}/checkpoint", f"{workdir}/in"
-    # Materialise the log once; bounds and slices are read from the copy.
-    staged = f"{workdir}/staged"
-    log.select(*[F.col(f.name).cast(f.dataType) for f in LOG_SCHEMA.fields]).write.parquet(staged)
-    copy = spark.read.schema(LOG_SCHEMA).parquet(staged)
-    stats = copy.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"),
-                     F.count(F.lit(1)).alias("n")).first()
-    if stats["lo"] is None:
-        return spark.createDataFrame([], ALERT_SCHEMA)
-    lo, hi = int(stats["lo"]), int(stats["hi"])
-    batches = max(min_batches, -(-int(stats["n"]) // rows_per_batch))
-    step = -(-(hi - lo + 1) // batches)
-    for b in range(batches):
-        # a bounded slice (about rows_per_batch rows) written as one file;
-        # the seq range is pushed down to the parquet scan
-        part = copy.where((F.col("seq") >= lo + b * step) & (F.col("seq") < lo + (b + 1) * step))
-        part.coalesce(1).write.parquet(f"{in_dir}/b{b:06d}")
-        if restart_each_batch:
-            _run_once(spark, in_dir, out_dir, ckpt)
-    if not restart_each_batch:
-        _run_once(spark, in_dir, out_dir, ckpt)
-    return spark.read.schema(ALERT_SCHEMA).parquet(out_dir)
+    rows = log.select(F.col("seq").cast("long").alias("ts"), F.col("src"), F.lit(0).alias("part"),
+                      F.lit(0).cast("long").alias("off"), "key", "val")
+    ends = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    if ends["lo"] is None:
+        return spark.createDataFrame([], "seq long, sub int, room string, value string")
+    middle = F.lit((ends["lo"] + ends["hi"]) // 2)
+    waves = [rows.where(F.col("ts") <= middle), rows.where(F.col("ts") > middle)] if restart else [rows]
+    time = 1_000_000_000_000
+    for k, wave in enumerate(waves):
+        time = _stage(wave, f"{in_dir}/w{k}", rows_per_batch, time)
+        seen = _run_once(spark, in_dir, out_dir, ckpt)
+        if progress is not None:
+            progress += seen
+    return spark.read.schema(_ALERT).parquet(out_dir).select(F.col("ts").alias("seq"), "sub", "room", "value")

@@ -2,12 +2,14 @@
 
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import rows
 from ripplekit.operators import occupancy
 from ripplekit.plans.lineage import scratch_path
-import pytest
-
-from ripplekit.streaming.occupancy import LOG_SCHEMA, replay_log, start_alerts, topic_log
+from ripplekit.streaming.occupancy import (LOG_SCHEMA, ORDER, alert_messages, replay_log, start_alerts,
+                                           topic_log, topic_records)
 
 LOG = "seq long, src string, key string, val string"
 
@@ -25,45 +27,55 @@ def random_log(seed, n=300):
     return out
 
 
-def test_stream_equals_batch_across_restarts(spark):
-    log = spark.createDataFrame(random_log(5), LOG)
-    want = rows(occupancy.alerts(log), "seq", "sub", "room", "value")
-    got = rows(replay_log(spark, log, scratch_path(spark, "stream-test"), min_batches=3,
-                          restart_each_batch=True), "seq", "sub", "room", "value")
-    assert got == want and len(want) > 10
-
-
-def test_stream_equals_batch_in_one_run(spark):
-    log = spark.createDataFrame(random_log(6), LOG)
+@pytest.mark.parametrize("restart", [False, True])
+@pytest.mark.parametrize("size", [40, 1000])
+def test_stream_equals_batch(spark, restart, size):
+    log = spark.createDataFrame(random_log(size), LOG)
     want = rows(occupancy.alerts(log), "seq", "sub", "room", "value")
-    got = rows(replay_log(spark, log, scratch_path(spark, "stream-one"), min_batches=5),
-               "seq", "sub", "room", "value")
+    seen = []
+    got = rows(replay_log(spark, log, scratch_path(spark, "stream-test"), rows_per_batch=size,
+                          restart=restart, progress=seen), "seq", "sub", "room", "value")
     assert got == want and len(want) > 10
+    assert sum(p["alerts"] for p in seen) == len(want)
+    assert sum(p["recoveries"] for p in seen) == sum(r[3] == "OK" for r in want)
 
 
 def test_rerun_on_same_checkpoint_adds_nothing(spark):
     work = scratch_path(spark, "stream-rerun")
     log = spark.createDataFrame(random_log(9, 120), LOG)
-    first = rows(replay_log(spark, log, work, min_batches=2))
+    replay_log(spark, log, work, rows_per_batch=60)
+    first = rows(spark.read.parquet(f"{work}/out"))
     # a new run over the same input folder and checkpoint sees no new files
     stream = spark.readStream.schema(LOG_SCHEMA).parquet(f"{work}/in/*")
     q = start_alerts(spark, stream, f"{work}/out", f"{work}/checkpoint")
     q.awaitTermination()
-    again = rows(spark.read.parquet(f"{work}/out"))
-    assert again == first
-
-
-def test_observed_metrics_count_alerts(spark):
-    from ripplekit.plans.lineage import scratch_path as sp
-    work = sp(spark, "stream-observe")
-    data = random_log(11, 150)
-    spark.createDataFrame(data, LOG).write.parquet(f"{work}/in/b0")
-    stream = spark.readStream.schema(LOG_SCHEMA).parquet(f"{work}/in/*")
-    q = start_alerts(spark, stream, f"{work}/out", f"{work}/checkpoint")
+    assert rows(spark.read.parquet(f"{work}/out")) == first
+
+
+def test_topic_records(spark):
+    """Rows shaped like two topics: order by time, then source, partition and
+    offset; records without a key are dropped."""
+    raw = spark.createDataFrame(
+        [(b"s1", b"R", 1, 0, 5), (b"s2", b"R", 1, 1, 5), (None, b"R", 2, 0, 6), (b"s1", None, 3, 0, 1 << 21),
+         (b"s2", b"Q", 3, 0, (1 << 21) + 1)], "key binary, value binary, ms long, partition int, offset long") \
+        .withColumn("timestamp", F.timestamp_millis("ms"))
+    caps = spark.createDataFrame([(b"R", b"0", 1, 0, 5)],
+                                 "key binary, value binary, ms long, partition int, offset long") \
+        .withColumn("timestamp", F.timestamp_millis("ms"))
+    log = topic_records(raw, "student").unionByName(topic_records(caps, "class"))
+    assert log.schema.simpleString() == LOG_SCHEMA.simpleString()
+    got = [(r.ts, r.src, r.part, r.off, r.key, r.val) for r in log.orderBy(*ORDER).collect()]
+    assert got == [(1, "class", 0, 5, "R", "0"), (1, "student", 0, 5, "s1", "R"), (1, "student", 1, 5, "s2", "R"),
+                   (3, "student", 0, 1 << 21, "s1", None), (3, "student", 0, (1 << 21) + 1, "s2", "Q")]
+    # the stages see them in that order, in one micro-batch
+    work = scratch_path(spark, "stream-topic")
+    log.repartition(3).write.parquet(f"{work}/in/w0")
+    q = start_alerts(spark, spark.readStream.schema(LOG_SCHEMA).parquet(f"{work}/in/*"),
+                     f"{work}/out", f"{work}/checkpoint")
     q.awaitTermination()
-    seen = sum(p["observedMetrics"]["alerts"]["alerts"] for p in q.recentProgress
-               if "alerts" in p.get("observedMetrics", {}))
-    assert seen == spark.read.parquet(f"{work}/out").count() > 0
+    out = spark.read.parquet(f"{work}/out").orderBy(*ORDER, "sub")
+    assert [(r.key, r.value) for r in alert_messages(out).collect()] == [
+        ("R", "1"), ("R", "2"), ("R", "1"), ("R", "OK")]
 
 
 def test_kafka_source_needs_the_connector(spark):
@@ -79,13 +91,3 @@ def test_replay_of_empty_log(spark):
     empty = spark.createDataFrame([], LOG)
     out = replay_log(spark, empty, scratch_path(spark, "stream-empty"))
     assert out.count() == 0 and out.columns == ["seq", "sub", "room", "value"]
-
-
-@pytest.mark.parametrize("seed", [5, 8])
-def test_batched_stream_equals_batch(spark, small_hot, seed):
-    from ripplekit.streaming.batched import replay_log_batched
-    log = spark.createDataFrame(random_log(seed), LOG)
-    want = rows(occupancy.alerts(log), "seq", "sub", "room", "value")
-    got = rows(replay_log_batched(spark, log, scratch_path(spark, "stream-batched"),
-                                  min_batches=4), "seq", "sub", "room", "value")
-    assert got == want and len(want) > 10
