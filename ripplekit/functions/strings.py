@@ -23,9 +23,12 @@ def space_tokens(line) -> Column:
 
 
 def text_lines(text) -> Column:
-    """Lines of a text value, split on ``\\r\\n``, ``\\r`` or ``\\n``, the line
-    terminators of a text-file scan."""
-    return F.split(_c(text), "\r\n|\r|\n", -1)
+    """Lines of a text value as a text-file scan gives them: every ``\\r\\n``,
+    ``\\r`` or ``\\n`` ends a line, so a final one starts no further line and
+    an empty text has no line."""
+    body = F.regexp_replace(_c(text), r"(\r\n|\r|\n)\z", "")
+    return F.when(_c(text) != "", F.split(body, "\r\n|\r|\n", -1)) \
+        .otherwise(F.array().cast("array<string>"))
 
 
 def comma_fields(line) -> Column:

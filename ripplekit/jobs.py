@@ -9,17 +9,29 @@ from pyspark.sql import functions as F
 
 from ripplekit.operators import compare, digests, history, kvlog, occupancy, ratings, words
 from ripplekit.plans.lineage import scratch_path
-from ripplekit.plans.parallel import spread_if_narrow
 from ripplekit.sources import derived
 from ripplekit.sources.tables import table
-from ripplekit.sources.text import lines_of_column, parse_matrix
+from ripplekit.sources.sinks import write_lines
+from ripplekit.sources.text import lines_of_column, parse_key_value, parse_matrix, read_lines, read_oplog, titles
 
 
 # -- W1 ----------------------------------------------------------------------
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread_if_narrow(table(spark, sf_dir, "documents").select("text"))
-    return words.word_count(lines_of_column(docs, "text"))
+    return words.word_count(lines_of_column(table(spark, sf_dir, "documents"), "text"))
+
+
+def text_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 from text files to text files: the documents' lines are written
+    (K2), scanned (S1) and counted; the counts are written as ``word,n`` lines
+    (K1), written again over those, sorted within each file (K3, O1), and
+    read back (S8)."""
+    src, out = scratch_path(spark, "lines"), scratch_path(spark, "word-counts")
+    write_lines(lines_of_column(table(spark, sf_dir, "documents"), "text"), src, ["value"])
+    counts = words.word_count(read_lines(spark, src))
+    write_lines(counts, out, ["word", "n"])
+    write_lines(counts, out, ["word", "n"], mode="overwrite", sort_by=["word"])
+    return read_lines(spark, out)
 
 
 # -- M0-M4 -------------------------------------------------------------------
@@ -52,8 +64,19 @@ def ratings_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings.ratings_per_user(_matrix(spark, sf_dir))
 
 
+def matrix_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the titles alone, read from the matrix as a text file."""
+    path = scratch_path(spark, "matrix")
+    write_lines(derived.matrix_lines(spark, sf_dir), path, ["value"])
+    return titles(read_lines(spark, path))
+
+
+# Suppliers whose counts agree in at least so many of twelve months.
+MIN_SIMILARITY = 7
+
+
 def similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ratings.similarity(_matrix(spark, sf_dir))
+    return ratings.similarity(_matrix(spark, sf_dir), MIN_SIMILARITY)
 
 
 # -- X1 ----------------------------------------------------------------------
@@ -90,12 +113,37 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                       scratch_path(spark, "stream-alerts"))
 
 
-def stream_alerts_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same stream with ``foreachBatch``: every micro-batch is solved by
-    the skew-safe batch scans, seeded with state tables."""
-    from ripplekit.streaming.batched import replay_log_batched
-    return replay_log_batched(spark, derived.occupancy_log(spark, sf_dir),
-                              scratch_path(spark, "stream-alerts-batched"))
+def stream_alerts_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same replay, but the query stops after half of the log and
+    a new one goes on from its checkpoint."""
+    from ripplekit.streaming.occupancy import replay_log
+    return replay_log(spark, derived.occupancy_log(spark, sf_dir),
+                      scratch_path(spark, "stream-restart"), restart=True)
+
+
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: how many alerts and recoveries the monitored stream reported, from
+    its progress, next to nothing else: one row."""
+    from ripplekit.streaming.occupancy import replay_log
+    seen: list[dict] = []
+    replay_log(spark, derived.occupancy_log(spark, sf_dir), scratch_path(spark, "stream-counts"), progress=seen)
+    return spark.createDataFrame([(sum(p["alerts"] for p in seen), sum(p["recoveries"] for p in seen))],
+                                 "alerts long, recoveries long")
+
+
+def ingested_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 into C1: the student moves as ``key,value`` console lines (no comma:
+    a deletion), scanned from text with their position, and their latest
+    state."""
+    path = scratch_path(spark, "moves")
+    moves = derived.occupancy_log(spark, sf_dir).where("src = 'student'")
+    line = F.concat_ws(",", F.format_string("%020d", "seq"), "key", "val")
+    write_lines(moves.select(line.alias("value")), path, ["value"])
+    scanned = read_lines(spark, path).select(
+        F.substring_index("value", ",", 1).cast("long").alias("seq"),
+        F.substring("value", 22, 1 << 30).alias("value"))
+    log = parse_key_value(scanned, keep=("seq",)).withColumn("src", F.lit("student"))
+    return occupancy.latest_state(log)
 
 
 # -- L1-L6 -------------------------------------------------------------------
@@ -115,9 +163,7 @@ def bulk_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     load (later positions win within the load)."""
     log = _put_log(spark, sf_dir)
     split = log.agg(F.floor((F.max("seq") + 1) / 2)).scalar()
-    old = kvlog.latest_by_key(log.where(F.col("seq") < split))
-    load = log.where(F.col("seq") >= split)
-    return kvlog.bulk_upsert(old, load, pos="seq")
+    return kvlog.apply_loads(log, F.col("seq") >= split)
 
 
 def lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,12 +180,23 @@ def snapshot_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def op_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.operation_log(spark, sf_dir)
+def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4 with a small bound: that the snapshot takes more than one file, that
+    none has more rows than the bound, and the rows of all."""
+    path, bound = scratch_path(spark, "snapshot"), 10
+    kvlog.snapshot_export(kvlog.latest_by_key(_put_log(spark, sf_dir)), path, records_per_file=bound)
+    files = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg((F.count(F.lit(1)) > 1).alias("several"), (F.max("n") <= bound).alias("bounded"),
+                     F.sum("n").alias("n"))
 
 
 def op_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kvlog.pair_operations(derived.operation_log(spark, sf_dir))
+    return kvlog.pair_operations(read_oplog(spark, derived.operation_log(spark, sf_dir)))
+
+
+def op_report_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one report of the whole run."""
+    return kvlog.throughput_report(op_pairing(spark, sf_dir), [])
 
 
 def op_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,6 +249,8 @@ def hash_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 JOBS = {
     "word_count": word_count,
+    "text_word_count": text_word_count,
+    "matrix_titles": matrix_titles,
     "rating_lines": rating_lines,
     "top_users": top_users,
     "total_ratings": total_ratings,
@@ -203,13 +262,16 @@ JOBS = {
     "room_status": room_status,
     "alerts": alerts,
     "stream_alerts": stream_alerts,
-    "stream_alerts_batched": stream_alerts_batched,
+    "stream_alerts_restarted": stream_alerts_restarted,
+    "stream_counts": stream_counts,
+    "ingested_state": ingested_state,
     "latest_by_key": latest_by_key,
     "bulk_upsert": bulk_upsert,
     "lookup_default": lookup_default,
     "snapshot_export": snapshot_export,
-    "op_log": op_log,
+    "snapshot_files": snapshot_files,
     "op_pairing": op_pairing,
+    "op_report_total": op_report_total,
     "op_report": op_report,
     "op_report_by_thread": op_report_by_thread,
     "history_check": history_check,

@@ -1,7 +1,9 @@
 """Consistency check of a read/write history (per-key zone test).
 
-For a history whose written values are unique, every key is checked with
-the zone test of Gibbons and Korach ("Testing Shared Memories", SIAM J.
+The test needs written values that are unique per key.  A value written
+twice (or the initial value written at all) is reported as
+``duplicate_write`` (score 2) and its key is not tested further; every other
+key is checked with the zone test of Gibbons and Korach ("Testing Shared Memories", SIAM J.
 Comput. 1997):
 
 * operations are grouped into clusters ``(key, value)``: the write of the
@@ -31,17 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripplekit.plans.lineage import materialize
-from ripplekit.plans.ordered import Scan, chunk_by_width, ordered_scan
+from ripplekit.plans.ordered import Scan, ordered_scan
 
 NEG_INF = -(1 << 62)
 POS_INF = 1 << 62
-# Zone order is log time (µs): chunks of about 4 s keep window partitions of
-# a hot key bounded.
-ZONE_CHUNK = 1 << 22
 
 
 def clusters(ops: DataFrame) -> DataFrame:
-    """``k, v, has_write, ws, rf, f, s`` per cluster from paired operations
+    """``k, v, has_write, duplicate, ws, rf, f, s`` per cluster from paired operations
     (``operators.kvlog.pair_operations``)."""
     is_w = F.col("op") == "w"
     done = F.col("status") == "ok"
@@ -53,40 +52,44 @@ def clusters(ops: DataFrame) -> DataFrame:
         F.min(F.when(F.col("op") == "w", F.col("finish"))).alias("wf"),
         F.min(F.when(F.col("op") == "r", F.col("finish"))).alias("rf"),
         F.count(F.when(F.col("op") == "r", 1)).alias("n_reads"),
+        F.count(F.when(F.col("op") == "w", 1)).alias("n_writes"),
         F.min("finish").alias("f"), F.max("start").alias("s"))
     initial = F.col("v") == ""
     # A pending write nobody read is dropped; the virtual initial write is
     # folded into the '' cluster instead of being materialised per key.
     wf_pending_unread = (F.col("wf") == F.lit(POS_INF)) & (F.col("n_reads") == 0)
-    g = g.where(~(wf_pending_unread & ~initial))
+    g = g.where(~(wf_pending_unread & ~initial & (F.col("n_writes") == 1)))
     return g.select(
         "k", "v",
         (F.col("ws").isNotNull() | initial).alias("has_write"),
+        (F.col("n_writes") > F.when(initial, 0).otherwise(1)).alias("duplicate"),
         F.when(initial, F.lit(NEG_INF)).otherwise(F.col("ws")).alias("ws"),
         "rf",
         F.when(initial, F.lit(NEG_INF + 1)).otherwise(F.col("f")).alias("f"),
         F.when(initial, F.greatest(F.col("s"), F.lit(NEG_INF))).otherwise(F.col("s")).alias("s"))
 
 
-def check_history(ops: DataFrame, chunk_width: int = ZONE_CHUNK) -> DataFrame:
+def check_history(ops: DataFrame, partitions: int | None = None) -> DataFrame:
     """``k, v, score int, reason string``: one row per offending cluster."""
-    # One row per cluster, written once: the zone scan's two branches and the
-    # junk report read it instead of re-running the pairing.
+    # One row per cluster, written once: the zone scan and the reports read it
+    # instead of re-running the pairing.
     c = materialize(clusters(ops), "history-clusters")
     junk = c.where(~F.col("has_write")).select(
         "k", "v", F.lit(2).alias("score"), F.lit("junk").alias("reason"))
-    z = c.where(F.col("has_write")).select(
+    twice = c.where("duplicate").select(
+        "k", "v", F.lit(2).alias("score"), F.lit("duplicate_write").alias("reason"))
+    z = c.where("has_write").join(twice.select("k").distinct(), "k", "left_anti").select(
         "k", "v", "ws", "rf",
         (F.col("f") < F.col("s")).alias("fwd"),
         F.least("f", "s").alias("lo"), F.greatest("f", "s").alias("hi"))
-    z = ordered_scan(z, ["k"], ["lo", "v"], chunk_by_width(F.col("lo"), chunk_width),
-                     [Scan("mh", "max_before", F.when(F.col("fwd"), F.col("hi")))])
+    z = ordered_scan(z, ["k"], ["lo", "v"],
+                     [Scan("mh", "max_before", F.when(F.col("fwd"), F.col("hi")))], partitions)
     reason = (F.when(F.col("rf") < F.col("ws"), F.lit("read_before_write"))
               .when(F.col("fwd") & (F.col("mh") > F.col("lo")), F.lit("overlap"))
               .when(~F.col("fwd") & (F.col("mh") > F.col("hi")), F.lit("containment")))
     bad = z.select("k", "v", F.lit(1).alias("score"), reason.alias("reason")) \
         .where(F.col("reason").isNotNull())
-    return junk.unionByName(bad)
+    return junk.unionByName(twice).unionByName(bad)
 
 
 def score_summary(checked: DataFrame) -> DataFrame:

@@ -10,34 +10,41 @@ summarised into throughput and latency (L6).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripplekit.functions.strings import truncate2
-from ripplekit.plans.ordered import Scan, chunk_by_width, ordered_scan
-
-# Log instants (µs) per chunk of the per-thread scan: about 4 s of log time,
-# so even a hot thread or key keeps window partitions to a few million rows.
-T_CHUNK = 1 << 22
+from ripplekit.plans.ordered import Scan, ordered_scan
 
 
 def latest_by_key(log: DataFrame, key: str = "key", value: str = "value",
                   seq: str = "seq") -> DataFrame:
     """L1: last write wins: ``key, value`` with the value of the largest
     ``seq``.  ``max_by`` aggregates partially before the shuffle."""
-    return log.groupBy(key).agg(F.max_by(F.struct(F.col(value).alias("v")), seq).alias("_l")) \
-        .select(key, F.col("_l.v").alias(value))
+    return _last(log, key, value, F.col(seq))
 
 
 def bulk_upsert(table: DataFrame, load: DataFrame, key: str = "key", value: str = "value",
                 pos: str | None = None) -> DataFrame:
     """L2: overwrite ``table`` with the rows of ``load``.  Within one load a
-    later position wins (``pos``; without it keys must be unique)."""
-    if pos is not None:
-        load = latest_by_key(load, key, value, pos)
-    load = load.select(key, value)
-    kept = table.select(key, value).join(load.select(key), on=key, how="left_anti")
-    return kept.unionByName(load)
+    later position wins (``pos``; without it keys must be unique).  Both
+    sides are tagged and meet in one aggregation."""
+    at = F.lit(0) if pos is None else F.col(pos)
+    both = table.select(key, value, F.lit(False).alias("_load"), F.lit(None).cast("long").alias("_pos")) \
+        .unionByName(load.select(key, value, F.lit(True).alias("_load"), at.cast("long").alias("_pos")))
+    return _last(both, key, value, F.struct("_load", "_pos"))
+
+
+def apply_loads(log: DataFrame, is_load: Column, key: str = "key", value: str = "value",
+                seq: str = "seq") -> DataFrame:
+    """L2 on one log that holds the table's rows and, where ``is_load``, those
+    of a bulk load: a load's row beats the table's, a later one an earlier."""
+    return _last(log.select(key, value, F.struct(is_load, F.col(seq)).alias("_at")), key, value, F.col("_at"))
+
+
+def _last(rows: DataFrame, key: str, value: str, at: Column) -> DataFrame:
+    return rows.groupBy(key).agg(F.max_by(F.struct(F.col(value).alias("v")), at).alias("_l")) \
+        .select(key, F.col("_l.v").alias(value))
 
 
 def lookup_default(keys: DataFrame, table: DataFrame, key: str = "key", value: str = "value",
@@ -60,15 +67,15 @@ def snapshot_export(table: DataFrame, path: str, records_per_file: int = 100_000
     table.write.mode(mode).option("maxRecordsPerFile", records_per_file).parquet(path)
 
 
-def pair_operations(oplog: DataFrame, chunk_width: int = T_CHUNK) -> DataFrame:
+def pair_operations(oplog: DataFrame, partitions: int | None = None) -> DataFrame:
     """One row per invocation: ``tid, op, k, v, start, finish, status``.
 
     A thread has at most one open operation, so an invocation is completed
     by the next log row of its thread when that row is a response on the
     same key; otherwise it is ``pending`` (``finish`` null).  ``v`` is the
     value written, or the value a completed read returned."""
-    s = ordered_scan(oplog, ["tid"], ["t"], chunk_by_width(F.col("t"), chunk_width),
-                     [Scan("nx", "lead", F.struct("phase", "t", "k", "v"))])
+    s = ordered_scan(oplog, ["tid"], ["t"],
+                     [Scan("nx", "lead", F.struct("phase", "t", "k", "v"))], partitions)
     inv = s.where(F.col("phase") == "inv")
     done = (F.col("nx.phase") == "res") & (F.col("nx.k") == F.col("k"))
     done = F.coalesce(done, F.lit(False))
@@ -85,7 +92,9 @@ def throughput_report(ops: DataFrame, by: list[str]) -> DataFrame:
     pending operations, total latency of completed ones (µs), their mean
     latency in milliseconds truncated to 2 decimals, and the throughput in
     operations per second, ``floor(1e6 * completed / span)``, with ``span``
-    from the first start to the last finish of the group."""
+    from the first start to the last finish of the group.  An empty ``by``
+    gives the one report of the whole run; a group without a completed
+    operation or without a span has null rates."""
     done = F.col("status") == "ok"
     lat = F.when(done, F.col("finish") - F.col("start"))
     agg = ops.groupBy(*by).agg(
@@ -96,5 +105,5 @@ def throughput_report(ops: DataFrame, by: list[str]) -> DataFrame:
     span = F.col("_t1") - F.col("_t0")
     return agg.select(
         *by, "n_ok", "n_pending", "total_latency_us",
-        truncate2(F.col("total_latency_us") / F.col("n_ok") / F.lit(1000.0)).alias("avg_latency_ms"),
-        F.floor(F.lit(1e6) * F.col("n_ok") / span).cast("long").alias("throughput_per_s"))
+        truncate2(F.try_divide("total_latency_us", "n_ok") / F.lit(1000.0)).alias("avg_latency_ms"),
+        F.floor(F.try_divide(F.lit(1e6) * F.col("n_ok"), span)).cast("long").alias("throughput_per_s"))

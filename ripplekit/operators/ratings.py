@@ -4,28 +4,18 @@
 M1 and M2 are row-local expressions (no shuffle for M1, one global partial
 aggregate for M2).  M3 explodes cells and aggregates per user with a partial
 aggregate, so a very wide or very tall matrix never gathers a user in one
-place.  M4 is the all-pairs similarity; its output is quadratic in the
-number of titles by definition, and the plan tiles that square into
-balanced blocks (see :func:`similarity`).
+place.  M4 gives the pairs of titles with a minimum number of equal ratings
+(see :func:`similarity`).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripplekit.plans.lineage import materialize
 
 
-def long_form(parsed: DataFrame) -> DataFrame:
-    """``title, usr int, cell string, rating int`` with one row per cell."""
-    return parsed.select("title", F.posexplode(F.arrays_zip("cells", "ratings")).alias("p", "c")) \
-        .select("title", (F.col("p") + 1).alias("usr"),
-                F.col("c.cells").alias("cell"), F.col("c.ratings").alias("rating"))
-
-
 def top_users(parsed: DataFrame) -> DataFrame:
     """M1: per title, the users holding the row maximum, in user order.
 
@@ -72,67 +62,56 @@ class DuplicateTitles(ValueError):
     pass
 
 
-def similarity(parsed: DataFrame, tile_titles: int = 2048, include_zero: bool = True,
-               on_ragged: str = "pad") -> DataFrame:
-    """M4: for every unordered pair of titles, the number of positions where
-    both ratings are equal and nonzero.  Output ``m1 < m2, n long``; pairs
-    with no match are emitted with 0 (``include_zero=False`` drops them).
-
-    Plan: the titles are cut into ``B`` hash blocks of about ``tile_titles``
-    titles.  Each title is sent to the ``B`` tiles ``(p, q), p <= q`` its
-    block takes part in, and tiles are equi-joined on ``(p, q)``: every task
-    compares two bounded blocks with a JVM expression, every pair is formed
-    exactly once, and the shuffle carries ``titles * B`` rows instead of the
-    quadratic output.  Title vectors are written once to the checkpoint
-    folder, since both join sides and the size check read them.
-
-    Titles must be unique; duplicates raise with the titles listed.  Rows of
-    different width are compared position by position, a missing cell
-    counting as blank (``on_ragged='pad'``) or raising (``'error'``).
+def similarity(parsed: DataFrame, min_score: int = 1, on_ragged: str = "pad") -> DataFrame:
+    """M4: for every unordered pair of titles with a score of at least
+    ``min_score`` the number of positions where both ratings are equal and
+    nonzero: ``m1 < m2, n long``.  Pairs below are no result, so the output
+    is as large as the number of similar pairs, not the square of the titles.
+
+    Plan: two titles that agree (nonzero) on at least ``min_score`` of ``w``
+    positions differ on at most ``w - min_score``; of ``w - min_score + 1``
+    groups of positions one is free of differences.  Titles are joined on
+    (group, its ratings), for groups without blanks or zeros, and the score
+    is computed for titles that meet; a pair that meets in several groups
+    counts in the first.  The more selective ``min_score``, the wider the
+    groups and the fewer the meetings.
+
+    Titles must be unique; otherwise an error names up to 20 of the repeated
+    ones and says how many there are.  Rows of different width are compared
+    position by position, a missing cell counting as blank
+    (``on_ragged='pad'``) or raising (``'error'``).
     """
-    vec = parsed.select("title",
-                        F.transform("ratings", lambda x: F.coalesce(x, F.lit(0))).alias("v"))
-    vec = materialize(vec, "title-vectors")
+    if min_score < 1:
+        raise ValueError("min_score must be at least 1: pairs without a match are no result")
+    vec = materialize(parsed.select(
+        "title", F.transform("ratings", lambda x: F.coalesce(x, F.lit(0))).alias("v")), "title-vectors")
     stats = vec.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("title").alias("nd"),
                     F.min(F.size("v")).alias("lo"), F.max(F.size("v")).alias("hi")).first()
-    n = int(stats["n"] or 0)
-    if n != int(stats["nd"] or 0):
-        dups = [r["title"] for r in vec.groupBy("title").count().where("count > 1")
-                .select("title").limit(20).collect()]
-        raise DuplicateTitles(f"titles must be unique; repeated: {dups}")
+    if stats["n"] != stats["nd"]:
+        again = vec.groupBy("title").count().where("count > 1")
+        some = [r["title"] for r in again.orderBy("title").limit(20).collect()]
+        raise DuplicateTitles(f"titles must be unique; {again.count()} repeated, such as {some}")
     if on_ragged == "error" and stats["lo"] != stats["hi"]:
         raise ValueError(f"rows differ in width ({stats['lo']}..{stats['hi']})")
-
-    spark = vec.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    blocks = max(1, math.ceil(n / tile_titles), math.ceil(math.sqrt(2 * par)))
-    tiles = blocks * (blocks + 1) // 2
-    # The join input is small but its output is quadratic: fix the number of
-    # join partitions from the tile count so adaptive coalescing cannot put
-    # all tiles into one task.
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(tiles, max(par, shuffle)))
-    blk = F.pmod(F.xxhash64("title"), F.lit(blocks)).cast("int")
-    left = vec.select(F.col("title").alias("ta"), F.col("v").alias("va"), blk.alias("p")) \
-        .withColumn("q", F.explode(F.sequence(F.col("p"), F.lit(blocks - 1)))) \
-        .repartition(parts, "p", "q")
-    right = vec.select(F.col("title").alias("tb"), F.col("v").alias("vb"), blk.alias("q")) \
-        .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("q")))) \
-        .repartition(parts, "p", "q")
-    pairs = left.join(right, on=["p", "q"], how="inner") \
-        .where((F.col("p") < F.col("q")) | (F.col("ta") < F.col("tb")))
     width = int(stats["hi"] or 0)
-    if width <= 64:
-        # narrow rows: an unrolled sum stays in generated code (no lambda,
-        # no per-pair array); a missing cell of a ragged row is null
-        score = sum((F.when((F.try_element_at("va", F.lit(i)) == F.try_element_at("vb", F.lit(i)))
-                            & (F.try_element_at("va", F.lit(i)) != 0), 1).otherwise(0)
-                     for i in range(1, width + 1)), F.lit(0))
-    else:
-        score = F.size(F.filter(F.arrays_zip("va", "vb"),
-                                lambda z: (z["va"] == z["vb"]) & (z["va"] != 0)))
-    out = pairs.select(F.least("ta", "tb").alias("m1"), F.greatest("ta", "tb").alias("m2"),
-                       score.cast("long").alias("n"))
-    if not include_zero:
-        out = out.where(F.col("n") > 0)
-    return out
+    n_groups = width - min_score + 1
+    if n_groups < 1:
+        return vec.select(F.col("title").alias("m1"), F.col("title").alias("m2"),
+                          F.lit(0).cast("long").alias("n")).where(F.lit(False))
+    cuts = [g * width // n_groups for g in range(n_groups + 1)]
+    groups = F.array(*[F.struct(F.lit(g).alias("g"), F.slice("v", lo + 1, hi - lo).alias("k"))
+                       for g, (lo, hi) in enumerate(zip(cuts, cuts[1:]))])
+    # A group counts only if the row is that wide and rates all its positions.
+    whole = F.array(*[F.lit(hi - lo) for lo, hi in zip(cuts, cuts[1:])])
+    keyed = vec.select("title", "v", F.explode(groups).alias("x")).select(
+        "title", "v", "x.g", "x.k").where((F.size("k") == whole[F.col("g")])
+                                          & F.forall("k", lambda r: r != 0))
+    a = keyed.select(F.col("title").alias("m1"), F.col("v").alias("va"), "g", "k")
+    b = keyed.select(F.col("title").alias("m2"), F.col("v").alias("vb"), "g", "k")
+    same = F.zip_with("va", "vb", lambda x, y: F.coalesce((x == y) & (x != 0), F.lit(False)))
+    met = a.join(b, ["g", "k"]).where("m1 < m2").select("m1", "m2", "g", same.alias("same"))
+    first = F.array_position(F.array(*[
+        F.forall(F.slice("same", lo + 1, hi - lo), lambda s: s) & (F.size("same") >= hi)
+        for lo, hi in zip(cuts, cuts[1:])]), F.lit(True))
+    n = F.size(F.filter("same", lambda s: s)).cast("long")
+    return met.where((first == F.col("g") + 1) & (n >= min_score)).select("m1", "m2", n.alias("n"))

@@ -9,6 +9,18 @@ from __future__ import annotations
 
 # -- shared derivations ---------------------------------------------------
 
+_WORDS = r"""
+lines AS (
+  SELECT unnest(regexp_split_to_array(regexp_replace(text, '(\r\n|\r|\n)\z', ''), '\r\n|\r|\n')) AS line
+  FROM documents WHERE text <> ''),
+toks AS (
+  SELECT CASE WHEN line = '' THEN ['']
+              WHEN rtrim(line, ' ') = '' THEN CAST([] AS VARCHAR[])
+              ELSE string_split(rtrim(line, ' '), ' ') END AS ws
+  FROM lines),
+words AS (SELECT unnest(ws) AS w FROM toks)
+"""
+
 _MATRIX = """
 li AS (SELECT l_suppkey, month(l_shipdate) AS m FROM lineitem),
 months AS (SELECT DISTINCT m FROM li),
@@ -70,6 +82,14 @@ status AS (
   WHERE seen > 0 AND capgrp > 0 AND cur_cap IS NOT NULL)
 """
 
+_ALERTS = """
+al AS (
+  SELECT seq, sub, room,
+         CASE WHEN cnt > cap THEN CAST(cnt AS VARCHAR)
+              WHEN lag(cnt) OVER w > lag(cap) OVER w AND lag(cnt) OVER w > cnt THEN 'OK' END AS value
+  FROM status WINDOW w AS (PARTITION BY room ORDER BY seq, sub))
+"""
+
 _OPLOG = """
 ops AS (
   SELECT event_id, event_id % 8 AS tid, 'key-' || CAST(user_id AS VARCHAR) AS k,
@@ -80,7 +100,8 @@ ops AS (
          event_id % 53 = 0 AS pending
   FROM events),
 wr AS (
-  SELECT k, event_id, 'value-' || CAST(event_id AS VARCHAR) AS wv,
+  SELECT k, event_id, CASE WHEN event_id % 101 = 1 THEN 'value-shared'
+                           ELSE 'value-' || CAST(event_id AS VARCHAR) END AS wv,
          row_number() OVER (PARTITION BY k ORDER BY event_id) AS wn
   FROM ops WHERE op = 'w'),
 cntw AS (
@@ -94,7 +115,8 @@ rd AS (
   LEFT JOIN wr w2 ON w2.k = o.k AND w2.wn = c.nb - 1),
 oplog AS (
   SELECT start AS t, tid, 'inv' AS phase, op, k,
-         CASE WHEN op = 'w' THEN 'value-' || CAST(event_id AS VARCHAR) END AS v
+         CASE WHEN op <> 'w' THEN NULL WHEN event_id % 101 = 1 THEN 'value-shared'
+              ELSE 'value-' || CAST(event_id AS VARCHAR) END AS v
   FROM rd
   UNION ALL
   SELECT finish AS t, tid, 'res' AS phase, op, k,
@@ -120,7 +142,7 @@ pairs AS (
 
 def _report(by: str) -> str:
     return f"""WITH {_OPLOG}
-SELECT {by}, count(CASE WHEN status = 'ok' THEN 1 END) AS n_ok,
+SELECT {by + "," if by else ""} count(CASE WHEN status = 'ok' THEN 1 END) AS n_ok,
        count(CASE WHEN status <> 'ok' THEN 1 END) AS n_pending,
        CAST(sum(CASE WHEN status = 'ok' THEN finish - start END) AS BIGINT) AS total_latency_us,
        floor(CAST(sum(CASE WHEN status = 'ok' THEN finish - start END) AS DOUBLE)
@@ -128,7 +150,7 @@ SELECT {by}, count(CASE WHEN status = 'ok' THEN 1 END) AS n_ok,
          AS avg_latency_ms,
        CAST(floor(1e6::DOUBLE * count(CASE WHEN status = 'ok' THEN 1 END)
                   / (max(finish) - min(start))) AS BIGINT) AS throughput_per_s
-FROM pairs GROUP BY {by}"""
+FROM pairs {"GROUP BY " + by if by else ""}"""
 
 
 _HISTORY = """
@@ -142,17 +164,19 @@ cl0 AS (
          min(CASE WHEN op = 'w' THEN fin END) AS wf,
          min(CASE WHEN op = 'r' THEN fin END) AS rf,
          count(CASE WHEN op = 'r' THEN 1 END) AS n_reads,
+         count(CASE WHEN op = 'w' THEN 1 END) AS n_writes,
          min(fin) AS f, max(start) AS s
   FROM evs GROUP BY k, v),
 cl AS (
   SELECT k, v, ws IS NOT NULL OR v = '' AS has_write,
+         n_writes > CASE WHEN v = '' THEN 0 ELSE 1 END AS duplicate,
          CASE WHEN v = '' THEN -4611686018427387904 ELSE ws END AS ws, rf,
          CASE WHEN v = '' THEN -4611686018427387903 ELSE f END AS f, s
   FROM cl0
-  WHERE v = '' OR NOT (wf = 4611686018427387904 AND n_reads = 0)),
+  WHERE v = '' OR NOT (wf = 4611686018427387904 AND n_reads = 0 AND n_writes = 1)),
 zones AS (
   SELECT k, v, ws, rf, f < s AS fwd, least(f, s) AS lo, greatest(f, s) AS hi
-  FROM cl WHERE has_write),
+  FROM cl WHERE has_write AND k NOT IN (SELECT k FROM cl WHERE duplicate)),
 flagged AS (
   SELECT z.k, z.v,
          CASE WHEN z.rf < z.ws THEN 'read_before_write'
@@ -165,6 +189,8 @@ flagged AS (
 checked AS (
   SELECT k, v, 2 AS score, 'junk' AS reason FROM cl WHERE NOT has_write
   UNION ALL
+  SELECT k, v, 2 AS score, 'duplicate_write' AS reason FROM cl WHERE duplicate
+  UNION ALL
   SELECT k, v, 1 AS score, reason FROM flagged WHERE reason IS NOT NULL)
 """
 
@@ -173,10 +199,13 @@ _DIGEST = "'$s2$' || md5(CAST(doc_id AS VARCHAR)) || '$' || sha256(md5(CAST(doc_
 _HASHES = """
 hs AS (
   SELECT event_id AS id,
-         CASE WHEN event_id % 7 = 0 THEN '$3a$' WHEN event_id % 7 = 1 THEN '$2x$' ELSE '$2a$' END
+         CASE WHEN event_id % 7 = 0 THEN '$3a$' WHEN event_id % 7 = 1 THEN '$2x$'
+              WHEN event_id % 7 = 2 THEN '$2$' ELSE '$2a$' END
          || CASE WHEN event_id % 11 = 0 THEN '99' WHEN event_id % 5 = 0 THEN '06' ELSE '12' END
-         || '$'
-         || CASE WHEN event_id % 13 = 0
+         || CASE WHEN event_id % 17 = 0 THEN '-' ELSE '$' END
+         || CASE WHEN event_id % 13 = 1
+                 THEN substr(md5(CAST(event_id AS VARCHAR)) || md5(CAST(event_id + 1 AS VARCHAR)), 1, 52)
+                 WHEN event_id % 13 = 0
                  THEN substr(md5(CAST(event_id AS VARCHAR)) || md5(CAST(event_id + 1 AS VARCHAR)), 1, 20)
                  ELSE substr(md5(CAST(event_id AS VARCHAR)) || md5(CAST(event_id + 1 AS VARCHAR)), 1, 53)
             END AS hash
@@ -209,14 +238,14 @@ c AS (
 
 def queries_sql() -> dict[str, str]:
     return {
-        "word_count": r"""
-WITH lines AS (SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM documents),
-toks AS (
-  SELECT CASE WHEN line = '' THEN ['']
-              WHEN rtrim(line, ' ') = '' THEN CAST([] AS VARCHAR[])
-              ELSE string_split(rtrim(line, ' '), ' ') END AS ws
-  FROM lines)
-SELECT w AS word, count(*) AS n FROM (SELECT unnest(ws) AS w FROM toks) GROUP BY w""",
+        "word_count": f"""WITH {_WORDS}
+SELECT w AS word, count(*) AS n FROM words GROUP BY w""",
+
+        "text_word_count": f"""WITH {_WORDS}
+SELECT w || ',' || CAST(count(*) AS VARCHAR) AS value FROM words GROUP BY w""",
+
+        "matrix_titles": f"""WITH {_MATRIX}
+SELECT split_part(value, ',', 1) AS title FROM lines""",
 
         "rating_lines": f"""WITH {_MATRIX}
 SELECT p.title, CAST(len(p.cells) AS INTEGER) AS width,
@@ -242,16 +271,11 @@ FROM long HAVING count(*) > 0""",
 SELECT usr, CAST(sum(CASE WHEN cell <> '' THEN 1 ELSE 0 END) AS BIGINT) AS n
 FROM long GROUP BY usr""",
 
-        "similarity": f"""WITH {_MATRIX},
-titles AS (SELECT DISTINCT title FROM parsed),
-allpairs AS (SELECT a.title AS m1, b.title AS m2 FROM titles a JOIN titles b ON a.title < b.title),
-nz AS (
-  SELECT a.title AS m1, b.title AS m2, count(*) AS n
-  FROM long a JOIN long b
-    ON a.usr = b.usr AND a.rating = b.rating AND a.rating <> 0 AND a.title < b.title
-  GROUP BY a.title, b.title)
-SELECT p.m1, p.m2, CAST(coalesce(nz.n, 0) AS BIGINT) AS n
-FROM allpairs p LEFT JOIN nz ON nz.m1 = p.m1 AND nz.m2 = p.m2""",
+        "similarity": f"""WITH {_MATRIX}
+SELECT a.title AS m1, b.title AS m2, count(*) AS n
+FROM long a JOIN long b
+  ON a.usr = b.usr AND a.rating = b.rating AND a.rating <> 0 AND a.title < b.title
+GROUP BY a.title, b.title HAVING count(*) >= 7""",
 
         "output_diff": """
 WITH a AS (SELECT o_orderpriority || ',' || o_orderstatus AS line FROM orders WHERE o_orderkey % 3 <> 0),
@@ -273,12 +297,7 @@ SELECT seq, sub, room, cnt FROM tl WHERE delta <> 0""",
         "room_status": f"""WITH {_OCCUPANCY}
 SELECT seq, sub, room, cap, cnt FROM status""",
 
-        "alerts": f"""WITH {_OCCUPANCY},
-al AS (
-  SELECT seq, sub, room,
-         CASE WHEN cnt > cap THEN CAST(cnt AS VARCHAR)
-              WHEN lag(cnt) OVER w > lag(cap) OVER w AND lag(cnt) OVER w > cnt THEN 'OK' END AS value
-  FROM status WINDOW w AS (PARTITION BY room ORDER BY seq, sub))
+        "alerts": f"""WITH {_OCCUPANCY}, {_ALERTS}
 SELECT seq, sub, room, value FROM al WHERE value IS NOT NULL""",
 
         "latest_by_key": """
@@ -318,8 +337,20 @@ SELECT key, value FROM (
          row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
 WHERE rn = 1""",
 
-        "op_log": f"""WITH {_OPLOG}
-SELECT t, tid, phase, op, k, v FROM oplog""",
+        "snapshot_files": """
+SELECT true AS several, true AS bounded, count(DISTINCT user_id) AS n FROM events""",
+
+        "ingested_state": f"""WITH {_OCCUPANCY}
+SELECT src, key, val FROM (
+  SELECT src, key, val, row_number() OVER (PARTITION BY src, key ORDER BY seq DESC) AS rn
+  FROM log WHERE src = 'student')
+WHERE rn = 1 AND val IS NOT NULL""",
+
+        "stream_counts": f"""WITH {_OCCUPANCY}, {_ALERTS}
+SELECT count(*) AS alerts, count(CASE WHEN value = 'OK' THEN 1 END) AS recoveries
+FROM al WHERE value IS NOT NULL""",
+
+        "op_report_total": _report(""),
 
         "op_pairing": f"""WITH {_OPLOG}
 SELECT tid, op, k, v, start, finish, status FROM pairs""",

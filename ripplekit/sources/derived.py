@@ -14,13 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplekit.plans.lineage import materialize
-from ripplekit.plans.ordered import Scan, chunk_by_width, ordered_scan
+from ripplekit.plans.lineage import materialize, scratch_path
+from ripplekit.plans.ordered import Scan, ordered_scan
 from ripplekit.sources.tables import table
 
-# Width of the order chunks used by skew-safe scans over event ids.
-EVENT_CHUNK = 1 << 18
-
 
 def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value string`` lines ``s_name,c1,...,cM``: one cell per month that
@@ -29,11 +26,11 @@ def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     are none.  Suppliers without lines get all-blank rows."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", F.month("l_shipdate").alias("m"))
-    # The month set is a scalar subquery: at most 12 values, built with a
-    # partial aggregate, never a join against the data.
-    months = li.agg(F.array_sort(F.collect_set("m"))).scalar()
-    per_sup = (li.groupBy("l_suppkey", "m").agg(F.count(F.lit(1)).alias("n"))
-               .groupBy("l_suppkey")
+    counts = materialize(li.groupBy("l_suppkey", "m").agg(F.count(F.lit(1)).alias("n")), "supplier-months")
+    # The month set is a scalar subquery over the grouped rows: at most 12
+    # values, never a join against the data.
+    months = counts.agg(F.array_sort(F.collect_set("m"))).scalar()
+    per_sup = (counts.groupBy("l_suppkey")
                .agg(F.map_from_entries(F.collect_list(F.struct("m", (F.col("n") % 6).alias("r"))))
                     .alias("cm")))
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -74,14 +71,15 @@ def occupancy_log(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(is_class, cap).otherwise(room).alias("val"))
 
 
-def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Operation log (``sources.text.OPLOG_SCHEMA``) of a key-value client.
+def operation_log(spark: SparkSession, sf_dir: str) -> str:
+    """Path of an operation log (``sources.text.OPLOG_SCHEMA``) of a key-value client.
 
     Per event: thread ``event_id % 8``, key ``key-<user_id>``, a write for
     click / purchase / signup events, else a read; invocation at
     ``event_id*1000``, response after ``(5 + floor(value) % 70) * 100 + 1 +
     event_id % 8``; no response when ``event_id % 53 = 0``.  Writes store
-    ``value-<event_id>``.  A read returns the latest earlier write on its key
+    ``value-<event_id>``, but ``value-shared`` when ``event_id % 101 = 1``, so
+    that some keys write a value twice.  A read returns the latest earlier write on its key
     (``''`` if none); every 97th event returns the write before that one
     when it exists (a stale read) and every 101st returns junk."""
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
@@ -95,19 +93,17 @@ def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") * 1000 + (F.lit(5) + F.floor(F.col("value")) % 70) * 100
          + 1 + F.col("event_id") % 8).cast("long").alias("finish"),
         ((F.col("event_id") % 53) == 0).alias("pending"))
-    chunk = chunk_by_width(F.col("event_id"), EVENT_CHUNK)
-    wval = F.concat(F.lit("value-"), F.col("event_id").cast("string"))
+    wval = F.when(F.col("event_id") % 101 == 1, F.lit("value-shared")).otherwise(
+        F.concat(F.lit("value-"), F.col("event_id").cast("string")))
     is_w = F.col("op") == "w"
     # Pass 1: every operation learns the latest write before it on its key
     # (for a write, that is its predecessor).  Pass 2: every operation learns
     # the latest earlier write together with that write's predecessor.
-    # Pass 1 is written before pass 2 reads it: both branches of pass 2 (rows
-    # and chunk summaries) then scan a table instead of repeating pass 1.
-    ops = ops.withColumn("_eck", chunk)
-    s1 = materialize(ordered_scan(ops, ["k"], ["event_id"], "_eck",
+    # Pass 1 is written before pass 2 samples and moves it.
+    s1 = materialize(ordered_scan(ops, ["k"], ["event_id"],
                                   [Scan("pw", "last_before", F.when(is_w, wval))]), "oplog-pass1")
     marker = F.when(is_w, F.struct(wval.alias("w1"), F.col("pw").alias("w2")))
-    scanned = ordered_scan(s1, ["k"], ["event_id"], "_eck", [Scan("lw", "last_before", marker)])
+    scanned = ordered_scan(s1, ["k"], ["event_id"], [Scan("lw", "last_before", marker)])
     e = F.col("event_id")
     read_val = (F.when(e % 101 == 0, F.concat(F.lit("junk-"), e.cast("string")))
                 .when((e % 97 == 0) & F.col("lw.w2").isNotNull(), F.col("lw.w2"))
@@ -117,9 +113,9 @@ def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = scanned.where(~F.col("pending")).select(
         F.col("finish").alias("t"), "tid", F.lit("res").alias("phase"), "op", "k",
         F.when(~is_w, read_val).alias("v"))
-    # The log is the input table of the log jobs: write it once to the shared
-    # checkpoint folder so pairing and history plans start from a scan.
-    return materialize(inv.unionByName(res), "oplog")
+    path = scratch_path(spark, "oplog")
+    inv.unionByName(res).write.parquet(path)
+    return path
 
 
 def diff_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -133,15 +129,18 @@ def diff_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def stored_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id long, hash string``: bcrypt-shaped strings with a mix of bad
-    versions, revisions, rounds, weak costs and short salts."""
+    """``id long, hash string``: bcrypt-shaped strings of every class of the
+    audit: bad versions, revisions, rounds and salts, missing ends of the
+    rounds, wrong lengths, weak costs, and the form without a revision."""
     e = F.col("event_id")
     ev = table(spark, sf_dir, "events").select("event_id")
     prefix = (F.when(e % 7 == 0, F.lit("$3a$")).when(e % 7 == 1, F.lit("$2x$"))
-              .otherwise(F.lit("$2a$")))
+              .when(e % 7 == 2, F.lit("$2$")).otherwise(F.lit("$2a$")))
     rounds = (F.when(e % 11 == 0, F.lit("99")).when(e % 5 == 0, F.lit("06"))
               .otherwise(F.lit("12")))
     body = F.concat(F.md5(e.cast("string")), F.md5((e + 1).cast("string")))
     body = F.substring(body, 1, 53)
-    body = F.when(e % 13 == 0, F.substring(body, 1, 20)).otherwise(body)
-    return ev.select(e.alias("id"), F.concat(prefix, rounds, F.lit("$"), body).alias("hash"))
+    body = (F.when(e % 13 == 0, F.substring(body, 1, 20)).when(e % 13 == 1, F.substring(body, 1, 52))
+            .otherwise(body))
+    end = F.when(e % 17 == 0, F.lit("-")).otherwise(F.lit("$"))
+    return ev.select(e.alias("id"), F.concat(prefix, rounds, end, body).alias("hash"))

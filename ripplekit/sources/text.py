@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ripplekit.functions.strings import comma_fields, strict_int, text_lines
+from ripplekit.functions.strings import comma_fields, first_field, strict_int, text_lines
 
 # Operation log: one row per invocation or response of a client thread.
 OPLOG_SCHEMA = T.StructType([
@@ -47,11 +47,17 @@ def parse_matrix(lines: DataFrame, col: str = "value", strict: bool = True) -> D
     return parsed.withColumn("ratings", F.transform("cells", conv))
 
 
-def parse_key_value(lines: DataFrame, col: str = "value") -> DataFrame:
+def titles(lines: DataFrame, col: str = "value") -> DataFrame:
+    """S3: ``title`` of every matrix line, the rest is not split."""
+    return lines.select(first_field(col).alias("title"))
+
+
+def parse_key_value(lines: DataFrame, col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Console-producer style ``key,value`` line; split at the first
-    comma only.  A line without a comma has a null value."""
+    comma only.  A line without a comma has a null value.  Columns in
+    ``keep`` (such as a position) stay."""
     parts = F.split(F.col(col), ",", 2)
-    return lines.select(parts[0].alias("key"),
+    return lines.select(*keep, parts[0].alias("key"),
                         F.when(F.size(parts) > 1, parts[1]).alias("val"))
 
 

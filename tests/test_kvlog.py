@@ -38,7 +38,7 @@ def _log(spark, entries):
     return spark.createDataFrame(entries, OPLOG_SCHEMA)
 
 
-def test_pairing_and_report(spark, small_hot):
+def test_pairing_and_report(spark):
     entries = [
         (0, 1, "inv", "w", "k", "v1"), (5, 1, "res", "w", "k", None),
         (10, 1, "inv", "r", "k", None), (30, 1, "res", "r", "k", "v1"),
@@ -46,7 +46,7 @@ def test_pairing_and_report(spark, small_hot):
         (50, 1, "inv", "r", "k", None), (60, 1, "res", "r", "k", "v2"),
         (2, 2, "inv", "r", "j", None), (9, 2, "res", "r", "j", ""),
     ]
-    p = kvlog.pair_operations(_log(spark, entries), chunk_width=16)
+    p = kvlog.pair_operations(_log(spark, entries), partitions=4)
     assert rows(p, "tid", "start", "op", "v", "finish", "status") == [
         (1, 0, "w", "v1", 5, "ok"), (1, 10, "r", "v1", 30, "ok"),
         (1, 40, "w", "v2", None, "pending"), (1, 50, "r", "v2", 60, "ok"),
@@ -56,3 +56,18 @@ def test_pairing_and_report(spark, small_hot):
     # 37 µs over 3 reads: 0.0123 ms, truncated
     assert (rep["r"].n_ok, rep["r"].total_latency_us, rep["r"].avg_latency_ms) == (3, 37, 0.01)
     assert rep["r"].throughput_per_s == 1_000_000 * 3 // 58
+    total = kvlog.throughput_report(p, []).collect()
+    assert [(r.n_ok, r.n_pending, r.total_latency_us) for r in total] == [(4, 1, 37 + 5)]
+
+
+def test_report_without_span_or_completions(spark):
+    p = spark.createDataFrame([("w", 5, 5, "ok"), ("r", 7, None, "pending")],
+                              "op string, start long, finish long, status string")
+    rep = {r.op: (r.n_ok, r.avg_latency_ms, r.throughput_per_s) for r in kvlog.throughput_report(p, ["op"]).collect()}
+    assert rep == {"w": (1, 0.0, None), "r": (0, None, None)}
+
+
+def test_loads_on_one_log(spark):
+    log = spark.createDataFrame([("a", "1", 0), ("b", "2", 1), ("a", "3", 5), ("a", "4", 4)],
+                                "key string, value string, seq long")
+    assert rows(kvlog.apply_loads(log, F.col("seq") >= 4)) == [("a", "3"), ("b", "2")]

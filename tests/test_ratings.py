@@ -97,46 +97,48 @@ def test_duplicate_titles_raise(spark):
 
 def test_zero_never_matches_and_ragged_pads(spark):
     got = rows(ratings.similarity(parsed(spark, ["A,0,3,2", "B,0,3", "C,1"])), "m1", "m2", "n")
-    assert got == [("A", "B", 1), ("A", "C", 0), ("B", "C", 0)]
+    assert got == [("A", "B", 1)]
     with pytest.raises(ValueError):
         ratings.similarity(parsed(spark, ["A,0,3,2", "B,0,3"]), on_ragged="error")
+    with pytest.raises(ValueError):
+        ratings.similarity(parsed(spark, ["A,0,3,2"]), 0)
 
 
-def _brute_similarity(matrix):
+def _brute_similarity(matrix, least):
     out = []
     titles = sorted(matrix)
     for i, a in enumerate(titles):
         for b in titles[i + 1:]:
             n = sum(1 for x, y in zip(matrix[a], matrix[b]) if x == y and x != 0)
-            out.append((a, b, n))
+            if n >= least:
+                out.append((a, b, n))
     return out
 
 
-@pytest.mark.parametrize("tile", [1, 3, 1000])
-def test_similarity_tiles_match_brute_force(spark, tile):
-    rnd = random.Random(7)
-    matrix = {f"t{i:03d}": [rnd.choice([0, 0, 1, 2, 3]) for _ in range(6)] for i in range(23)}
+@pytest.mark.parametrize("least, width", [(1, 6), (2, 6), (4, 6), (6, 6), (7, 6), (3, 70)])
+def test_similarity_matches_brute_force(spark, least, width):
+    rnd = random.Random(least)
+    matrix = {f"t{i:03d}": [rnd.choice([0, 0, 1, 2]) for _ in range(rnd.randint(width - 2, width))]
+              for i in range(30)}
     lines = [t + "," + ",".join("" if x == 0 else str(x) for x in v) for t, v in matrix.items()]
-    got = rows(ratings.similarity(parsed(spark, lines), tile_titles=tile), "m1", "m2", "n")
-    assert got == _brute_similarity(matrix)
-    nz = rows(ratings.similarity(parsed(spark, lines), tile_titles=tile, include_zero=False))
-    assert nz == [r for r in _brute_similarity(matrix) if r[2] > 0]
+    got = rows(ratings.similarity(parsed(spark, lines), least), "m1", "m2", "n")
+    assert got == _brute_similarity(matrix, least)
+
+
+def test_duplicates_are_counted_in_the_error(spark):
+    lines = [f"T{i % 30},1" for i in range(60)]
+    with pytest.raises(ratings.DuplicateTitles, match="30 repeated"):
+        ratings.similarity(parsed(spark, lines))
 
 
 def _top_users_text(line):
-    """Step-by-step model of the original per-row loop (running maximum
-    starting at 1; a tie appends a comma and the index)."""
-    cells = line.split(",")
-    out, mx = "", 1
-    for i, c in enumerate(cells[1:], start=1):
-        if c == "":
-            continue
-        v = int(c)
-        if v > mx:
-            mx, out = v, str(i)
-        elif v == mx:
-            out += "," + str(i)
-    return cells[0] + "," + out
+    """The rule: users who hold the largest rating of at least 1, joined by
+    commas; a further comma in front if that rating is exactly 1."""
+    title, *cells = line.split(",")
+    values = {u: int(c) for u, c in enumerate(cells, start=1) if c}
+    best = max([v for v in values.values() if v >= 1], default=None)
+    users = [str(u) for u, v in values.items() if v == best]
+    return ",".join([title] + [""] * (best == 1) + users) if users else title + ","
 
 
 from hypothesis import given, settings  # noqa: E402
@@ -146,7 +148,7 @@ from hypothesis import strategies as st  # noqa: E402
 @settings(max_examples=6, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["", "0", "1", "2", "5", "-1"]), max_size=7),
                 min_size=1, max_size=25))
-def test_top_users_legacy_text_matches_loop_model(spark, rows_cells):
+def test_top_users_legacy_text_matches_the_rule(spark, rows_cells):
     lines = [f"t{i}," + ",".join(cells) if cells else f"t{i}"
              for i, cells in enumerate(rows_cells)]
     top = ratings.top_users(parsed(spark, lines))
