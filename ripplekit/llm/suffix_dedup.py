@@ -12,17 +12,20 @@ arranged without losing a repeat:
    than ``length + CLASS`` bytes.  All windows of an entry share a core of
    ``length - CLASS + 1`` bytes around the anchor; its hash is the entry's key.
    Every window lies in one entry, and equal windows in entries of one key.
-2. *Keys.*  Tasks send packed keys, string hashes and places by hash segment.
+2. *Keys.*  A first pass counts the different strings of every key and finds
+   the frequent keys, at most 2^20 at any corpus size; see 3.  Then tasks
+   send packed keys, string hashes and places by hash segment.
    An entry whose key occurs once holds no repeat.  Of equal strings under a
    key one is kept: their windows are repeats all.
 3. *Suffix arrays.*  Different strings under one key are cut from the texts
    and meet in a collection; its Burrows-Wheeler transform and common
    prefixes tell which windows repeat.  Where more than ``CROWD`` different
-   strings share a key, each of their windows is grouped by a 96-bit hash
-   instead, so that no collection grows with a frequent passage.
+   strings share a key, and for frequent keys, each window is grouped by a
+   96-bit hash instead, of equal ones once per task, so that neither a
+   collection nor a segment grows with a frequent passage.
 4. *Cut.*  Every document learns its repeated windows and drops their bytes.
 
-Nothing is broadcast or collected, and the texts are shuffled once (all joins
+Only the frequent keys (eight bytes each) are collected, and the texts are shuffled once (all joins
 read the same exchange).
 """
 
@@ -40,6 +43,7 @@ LENGTH = 400
 GRAM = 100
 CLASS = 50
 CROWD = 4096
+FREQUENT_BITS = 20
 SEGMENT_CHARS = 1 << 24   # characters of text whose entries meet in one segment
 FLUSH = 1_000_000
 SLICE = 1 << 20
@@ -50,6 +54,8 @@ _SPAN = np.dtype([("start", "<u4"), ("len", "<u4")])
 _ENTRY_COLS = ("key", "sh", "start", "len", "many", "docs", "lens", "kspans", "kdocs", "klens")
 _ENTRY = "seg int, " + ", ".join(f"{c} binary" for c in _ENTRY_COLS)
 _STRING_COLS = ("data", "len", "key", "start", "many", "docs", "lens")
+_WINDOW_COLS = ("key", "key2", "start", "many", "docs", "lens", "kspans", "kdocs", "klens")
+_WINDOW = "seg int, " + ", ".join(f"{c} binary" for c in _WINDOW_COLS)
 _STRING = "seg int, " + ", ".join(f"{c} binary" for c in _STRING_COLS)
 
 
@@ -157,7 +163,7 @@ def _first_of_groups(*keys):
     return new
 
 
-def _entries(n_seg, length, gram, klass):
+def _entries(n_seg, length, gram, klass, frequent):
     def flush(held):
         key, sh, start, size, docs = (np.concatenate(c) for c in zip(*held))
         order = np.lexsort((start, docs, sh, key))
@@ -180,6 +186,9 @@ def _entries(n_seg, length, gram, klass):
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             for lo, hi, buf, offs in C.slices(b, most=SLICE):
                 first, last, doc, key, sh = _entries_of(buf, offs, length, gram, klass)
+                if len(frequent):
+                    rare = ~np.isin(key, frequent)
+                    first, last, doc, key, sh = first[rare], last[rare], doc[rare], key[rare], sh[rare]
                 held.append((key, sh, (first - offs[doc]).astype(np.uint32),
                              (last - first + length).astype(np.uint16), ids[lo:hi][doc]))
                 n += len(first)
@@ -191,6 +200,42 @@ def _entries(n_seg, length, gram, klass):
     return run
 
 
+def _key_counts(n_seg, length, gram, klass):
+    """Distinct strings per key in some slices, by segment."""
+    def flush(held):
+        key, sh = (np.concatenate(c) for c in zip(*held))
+        order = np.lexsort((sh, key))
+        key, sh = key[order], sh[order]
+        key, n = np.unique(key[_first_of_groups(key, sh)], return_counts=True)
+        order, at = C.segment_order((key >> np.uint64(20)) % np.uint64(n_seg), n_seg)
+        key, n = key[order], n[order].astype(np.uint32)
+        used = np.flatnonzero(np.diff(at))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int32()), *(pa.array([x[at[s]:at[s + 1]].tobytes() for s in used], pa.binary())
+                                           for x in (key, n))], names=["seg", "key", "n"])
+
+    def run(batches):
+        held, n = [], 0
+        for b in batches:
+            for _, _, buf, offs in C.slices(b, most=SLICE):
+                held.append(_entries_of(buf, offs, length, gram, klass)[3:])
+                n += len(held[-1][0])
+                if n >= FLUSH:
+                    yield from flush(held)
+                    held, n = [], 0
+        if n:
+            yield from flush(held)
+    return run
+
+
+def _frequent(least):
+    def run(table: pa.Table) -> pa.Table:
+        key, at = np.unique(C.joined(table, "key", np.uint64), return_inverse=True)
+        n = np.bincount(at, weights=C.joined(table, "n", np.uint32))
+        return pa.table({"key": pa.array(key[n > least].view(np.int64))})
+    return run
+
+
 def _docs(table, docs="docs", lens="lens"):
     return np.repeat(C.joined(table, docs, np.int64), C.joined(table, lens, np.int32))
 
@@ -279,12 +324,28 @@ def _suffix_arrays(length):
     return run
 
 
+def _window_rows(key, key2, at, many, docs, n_seg, length):
+    """Windows by the segment of their hash: one of equal windows goes on, the
+    others are known to repeat."""
+    order = np.lexsort((key2, key))
+    key, key2, at, docs = key[order], key2[order].astype(np.uint32), at[order].astype(np.uint32), docs[order]
+    new = _first_of_groups(key, key2)
+    group = np.cumsum(new) - 1
+    again = ((np.bincount(group) > 1) | (np.bincount(group, weights=many[order]) > 0))[group].astype(np.uint8)
+    rep, rest = np.flatnonzero(new), np.flatnonzero(~new)
+    rep, rest = rep[np.argsort(docs[rep], kind="stable")], rest[np.argsort(docs[rest], kind="stable")]
+    spans = np.zeros(len(rest), _SPAN)
+    spans["start"], spans["len"] = at[rest], length
+    seg = (key >> np.uint64(20)) % np.uint64(n_seg)
+    yield from _rows([_by_seg(seg[rep], n_seg, [key[rep], key2[rep], at[rep], again[rep]], docs[rep]),
+                      _by_seg(seg[rest], n_seg, [spans], docs[rest])], [6, 3], _WINDOW_COLS)
+
+
 def _single_windows(n_seg, length):
     """Every window of the strings of crowded keys, by its own hash."""
     def run(batches):
         for b in batches:
-            t = pa.Table.from_batches([b])
-            data, offs, start, many, docs = _collect(t)
+            data, offs, start, many, docs = _collect(pa.Table.from_batches([b]))
             keys, keys2, at, of = [], [], [], []
             for i in range(len(docs)):
                 s = data[offs[i]:offs[i + 1]]
@@ -294,10 +355,27 @@ def _single_windows(n_seg, length):
                 at.append(start[i] + w)
                 of.append(np.full(len(w), i))
             key, key2, at, of = map(np.concatenate, (keys, keys2, at, of))
-            yield from _rows([_by_seg((key >> np.uint64(20)) % np.uint64(n_seg), n_seg,
-                                      [key, key2.astype(np.uint32), at.astype(np.uint32),
-                                       many[of].astype(np.uint8)], docs[of])],
-                             [6], ("key", "key2", "start", "many", "docs", "lens"))
+            yield from _window_rows(key, key2, at, many[of], docs[of], n_seg, length)
+    return run
+
+
+def _frequent_windows(frequent, n_seg, length, gram, klass):
+    """Every window of the entries of frequent keys, by its own hash."""
+    def run(batches):
+        for b in batches:
+            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+            for lo, hi, buf, offs in C.slices(b, most=SLICE):
+                first, last, doc, key, _ = _entries_of(buf, offs, length, gram, klass)
+                hit = np.isin(key, frequent)
+                n = (last - first + 1)[hit]
+                if not len(n):
+                    continue
+                w = np.arange(n.sum()) + np.repeat(first[hit] - (np.cumsum(n) - n), n)
+                of = np.repeat(doc[hit], n)
+                size = int(offs[-1])
+                yield from _window_rows(
+                    _Rolling(buf, size)(w, w + length), _Rolling(buf, size, 99)(w, w + length),
+                    w - offs[of], np.zeros(len(w), bool), ids[lo:hi][of], n_seg, length)
     return run
 
 
@@ -312,7 +390,9 @@ def _equal_windows(length):
         hit = ((np.bincount(group) > 1) | (np.bincount(group, weights=many) > 0))[group]
         span = np.zeros(int(hit.sum()), _SPAN)
         span["start"], span["len"] = start[hit], length
-        return C.per_document(docs[hit], span, "spans")
+        known = np.frombuffer(C.joined(table, "kspans", np.uint8).tobytes(), _SPAN)
+        return C.per_document(np.concatenate([docs[hit], _docs(table, "kdocs", "klens")]),
+                              np.concatenate([span, known]), "spans")
     return run
 
 
@@ -359,17 +439,24 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, klass:
     repeat inside one document counts; rows without an id are left out; ids
     must be unique, other columns are not read."""
     d = C.id_and_text(docs, id_col, text_col)
-    n_seg = C.segments_for(d, SEGMENT_CHARS, 64)
-    asks = (d.mapInArrow(_entries(n_seg, length, gram, klass), _ENTRY)
+    chars = d.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
+    n_seg = max(64, -(-chars // SEGMENT_CHARS))
+    # A text has no more entries than characters: at most 2^FREQUENT_BITS keys
+    # have more strings than this.
+    least = max(crowd, chars >> FREQUENT_BITS)
+    found = d.select("text").mapInArrow(_key_counts(n_seg, length, gram, klass), "seg int, key binary, n binary") \
+        .groupBy("seg").applyInArrow(_frequent(least), "key long").collect()
+    frequent = np.sort(np.array([r.key for r in found], np.int64).view(np.uint64))
+    asks = (d.mapInArrow(_entries(n_seg, length, gram, klass, frequent), _ENTRY)
             .groupBy("seg").applyInArrow(_shared_keys(crowd), "doc_id long, asks binary")
             .groupBy("doc_id").agg(F.collect_list("asks").alias("asks")))
     asked = d.join(asks, "doc_id").select("doc_id", "text", "asks")
     sent = asked.mapInArrow(_strings(n_seg, SEND), _STRING) \
         .groupBy("seg").applyInArrow(_suffix_arrays(length), "doc_id long, spans binary")
-    spread = asked.mapInArrow(_strings(n_seg, SPREAD), _STRING) \
-        .mapInArrow(_single_windows(n_seg, length),
-                    "seg int, key binary, key2 binary, start binary, many binary, docs binary, lens binary") \
-        .groupBy("seg").applyInArrow(_equal_windows(length), "doc_id long, spans binary")
-    spans = sent.unionByName(spread).groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
+    spread = asked.mapInArrow(_strings(n_seg, SPREAD), _STRING).mapInArrow(_single_windows(n_seg, length), _WINDOW)
+    if len(frequent):
+        spread = spread.unionByName(d.mapInArrow(_frequent_windows(frequent, n_seg, length, gram, klass), _WINDOW))
+    single = spread.groupBy("seg").applyInArrow(_equal_windows(length), "doc_id long, spans binary")
+    spans = sent.unionByName(single).groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
     return d.join(asks, "doc_id", "left").join(spans, "doc_id", "left").select("doc_id", "text", "asks", "spans") \
         .mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

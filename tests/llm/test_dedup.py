@@ -116,9 +116,11 @@ def brute_suffix(docs, length):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("crowd", [1, 4096])
+@pytest.mark.parametrize("crowd,frequent", [(1, 0), (1, 20), (4096, 20)])
 @pytest.mark.parametrize("flush", [20, 1_000_000])
-def test_suffix_dedup(spark, crowd, flush, monkeypatch):
+def test_suffix_dedup(spark, crowd, frequent, flush, monkeypatch):
+    # few bits: no key is frequent, so that crowded keys are met as well
+    monkeypatch.setattr(suffix_dedup, "FREQUENT_BITS", frequent)
     monkeypatch.setattr(suffix_dedup, "FLUSH", flush)
     docs = odd_texts(1)
     got = suffix_dedup.suffix_dedup(frame(spark, docs, "asks"), 40, gram=10, klass=6, crowd=crowd)
