@@ -140,7 +140,9 @@ def score_patterns(found: DataFrame, rounds: int = ROUNDS, min_confidence: float
     seeds = edges.where("kind >= 0").select("inst", "kind").distinct().withColumn("score", F.lit(1.0))
     unknown = edges.where("kind = -1").select("pat", "inst") \
         .join(seeds.select("inst").distinct(), "inst", "left_anti")
-    links = edges.select("pat", "inst").distinct()
+    # Written, so that a very common instance or pattern can be split in joins.
+    links = materialize(edges.select("pat", "inst").distinct(), "pii-links")
+    unknown = materialize(unknown, "pii-unknown")
     scores, good = seeds, None
     for r in range(rounds):
         good = materialize(
