@@ -1,6 +1,5 @@
 """L7 zone test against a brute-force search for a linearization."""
 
-import itertools
 import random
 
 import pytest

@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql.utils import CapturedException
 
 from conftest import lines_df, rows
