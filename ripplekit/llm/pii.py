@@ -4,8 +4,10 @@
    Other words that look like identifiers (an at sign or three digits, at
    least five characters) are candidates of unknown kind.
 2. *Patterns.*  Every seed and candidate induces lexical patterns from its
-   context: the two words before it, and the word before it with its own
-   shape (letters ``a``, digits ``9``, runs as one).
+   context: the two words before it, the word before it with its own shape
+   (letters ``a``, digits ``9``, runs as one), and for card and phone numbers
+   the form alone (every digit as ``9``).  Numbers side by side fail the rules
+   together: parts of them that pass a rule alone are candidates by form.
 3. *Scores.*  Patterns and instances (identifier strings) form a graph.  In
    each round a pattern's confidence for a kind is the share of the scores
    of its distinct instances; an unknown instance takes the best confidence
@@ -30,6 +32,7 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 MIN_CONFIDENCE = 0.9
 MIN_SUPPORT = 5.0
+MOST_WORDS = 4      # of a number inside a failed match
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -60,41 +63,78 @@ def _emails(text: str):
         at = text.find("@", max(free, at + 1))
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
+def _is_card(match: str) -> bool:
+    digits = [int(c) for c in match if c not in " -"]
+    return 12 <= len(digits) <= 19 and _luhn(digits)
+
+
+def _is_phone(match: str) -> bool:
+    return 9 <= sum(c.isdigit() for c in match) <= 15
+
+
+_CHECKS = {2: (_CARD, _is_card), 3: (_PHONE, _is_phone)}
+
+
+def base_spans(text: str, failed: list | None = None) -> list[tuple[int, int, int]]:
     """``(start, kind number, end)`` of the seeds, sorted; code points, end
-    exclusive."""
+    exclusive.  ``failed`` takes the places of card and phone matches that
+    did not pass their checks."""
     out = [(s, 0, e) for s, e in _emails(text)]
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
             if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
                 out.append((m.start(), 1, m.end()))
-        for m in _CARD.finditer(text):
-            if m.end() - m.start() >= 12:
-                digits = [int(c) for c in m.group() if c not in " -"]
-                if 12 <= len(digits) <= 19 and _luhn(digits):
-                    out.append((m.start(), 2, m.end()))
-        for m in _PHONE.finditer(text):
-            if 9 <= sum(c.isdigit() for c in m.group()) <= 15:
-                out.append((m.start(), 3, m.end()))
+        for kind, (rule, check) in _CHECKS.items():
+            for m in rule.finditer(text):
+                if m.end() - m.start() >= 9:
+                    if check(m.group()):
+                        out.append((m.start(), kind, m.end()))
+                    elif failed is not None:
+                        failed.append((m.start(), m.end()))
     return sorted(out)
 
 
-def shape(value: str) -> str:
-    return re.sub(r"a+", "a", re.sub(r"9+", "9", "".join(
-        "9" if c.isdigit() else "a" if c.isalpha() else c for c in value[:256])))
+def _form(value: str) -> str:
+    """Digits as 9, letters as a."""
+    return "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in value[:256])
 
 
-def _context(text: str, start: int, value: str) -> list[str]:
+def shape(value: str) -> str:
+    return re.sub(r"a+", "a", re.sub(r"9+", "9", _form(value)))
+
+
+def _inside(text: str, lo: int, hi: int):
+    """Runs of up to ``MOST_WORDS`` words of a failed match that pass the check
+    of a kind by themselves: ``start, kind, end``.  Numbers that stand side by
+    side make one match, which fails."""
+    words = [(lo + m.start(), lo + m.end()) for m in re.finditer(r"[^ ]+", text[lo:hi])]
+    for i in range(len(words)):
+        for j in range(i, min(i + MOST_WORDS, len(words))):
+            s, e = words[i][0], words[j][1]
+            for kind, (rule, check) in _CHECKS.items():
+                if rule.fullmatch(text, s, e) and check(text[s:e]):
+                    yield s, kind, e
+
+
+def _context(text: str, start: int, value: str, kind: int) -> list[str]:
+    if kind in _CHECKS:
+        own = [f"f {KINDS[kind]} {_form(value)}"]
+    else:
+        own = []
     before = [_NOT_WORD.sub("", w).lower() for w in text[max(0, start - 80):start].split()[-2:]]
     before = [""] * (2 - len(before)) + before
-    return ["w " + " ".join(before), "s " + before[1] + " " + shape(value)]
+    return ["w " + " ".join(before), "s " + before[1] + " " + shape(value), *own]
 
 
 def mentions(text: str) -> tuple[list, list]:
     """Seeds, and every seed and candidate with its kind (-1: unknown),
     instance and patterns."""
-    base = base_spans(text)
-    found = [(s, k, e) for s, k, e in base]
+    failed: list[tuple[int, int]] = []
+    base = base_spans(text, failed)
+    found = [(s, k, e, _context(text, s, text[s:e], k)) for s, k, e in base]
+    for s, k, e in {x for region in failed for x in _inside(text, *region)}:
+        if all(e <= a or z <= s for a, _, z in base):
+            found.append((s, -1, e, [f"f {KINDS[k]} {_form(text[s:e])}"]))
     if base or "@" in text or _DIGIT.search(text):
         i, reach = 0, 0
         for m in _CANDIDATE.finditer(text):
@@ -108,8 +148,8 @@ def mentions(text: str) -> tuple[list, list]:
                 continue
             v = text[s:e]
             if "@" in v or sum(c.isdigit() for c in v) >= 3:
-                found.append((s, -1, e))
-    return base, [(s, k, e, text[s:e].lower()[:256], _context(text, s, text[s:e])) for s, k, e in found]
+                found.append((s, -1, e, _context(text, s, v, -1)))
+    return base, [(s, k, e, text[s:e].lower()[:256], pats) for s, k, e, pats in found]
 
 
 _SPAN = "struct<start:int,kind:int,end:int>"

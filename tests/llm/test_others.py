@@ -113,7 +113,9 @@ def test_topk_of_nothing(spark):
 # -- packing ------------------------------------------------------------------------
 
 def test_packing_round_trip(spark):
-    docs = odd_texts(9) + [(1000, "word " * 9000), (1001, "It's  don't 123 x. y, z.. é. <|endoftext|> İ ΣΑΣ a.b")]
+    docs = odd_texts(9) + [(1000, "word " * 9000), (1001, "It's  don't 123 x. y, z.. é. <|endoftext|> İ ΣΑΣ a.b"),
+                         (1002, "J\u030c H\u0331. A\u0301 I\u0307 e\u0301. \u1e9e K\u212a"),
+                         (1003, "\x1cA.\x1fb \u00a0c\u3000D. \x85 \x00x")]
     got = packing.pack(frame(spark, docs, "ids")).collect()
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     for i, t in docs:
@@ -209,6 +211,18 @@ def test_patterns_discover_what_the_rules_miss(spark):
         assert [tuple(s) for s in got[i].base] == brute_base(docs[i][1]) and got[i].spans == got[i].base
 
 
+def test_numbers_side_by_side(spark):
+    docs = [(i, f"word{i} +1 (606) 555-78{i:02d} and thing {c}") for i, c in enumerate(
+        ["4111111111111111", "5500000000000004", "4012888888881881", "5555555555554444", "4222222222222220",
+         "5105105105105100", "4000056655665556", "5200828282828210", "4242424242424242", "6011111111111117"])]
+    both = "x +1 (569) 555-6633 4795326016703902 y"
+    got = {r.doc_id: r for r in pii.find_pii(frame(spark, docs + [(50, both), (51, "id 4795326016703903 7")])).collect()}
+    assert got[50].base == [] and got[51].spans == []
+    assert [(pii.KINDS[s["kind"]], both[s["start"]:s["end"]]) for s in got[50].spans] == [
+        ("phone", "+1 (569) 555-6633"), ("card", "4795326016703902")]
+    assert pii._redact(both, [dict(zip(("start", "kind", "end"), s)) for s in got[50].spans]) == "x [PHONE] [CARD] y"
+
+
 def test_redaction_and_nothing(spark):
     assert pii._redact("mail a@b.c now", [{"start": 5, "kind": 0, "end": 10}]) == "mail [EMAIL] now"
     assert pii._redact("abcdef", [{"start": 1, "kind": 0, "end": 4}, {"start": 2, "kind": 1, "end": 5}]) == "a[EMAIL]f"
