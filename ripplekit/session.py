@@ -6,13 +6,38 @@ depends on these settings for correctness, only for speed.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from ripplekit.plans.lineage import own_checkpoint_dir
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python workers import it;
+    once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="ripplekit-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = f"{folder}/ripplekit.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(path)
+
+
 def local_session(cores: int | None = None, app: str = "ripplekit",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -42,4 +67,5 @@ def local_session(cores: int | None = None, app: str = "ripplekit",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     own_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
