@@ -57,17 +57,15 @@ def _least(lcp: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 
 def collection_bwt(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Transform (symbol 0 ends a string, others are byte values in their
-    order, numbered from 1) and common prefixes (with the suffix before) of
-    the strings ``data[offs[i]:offs[i + 1]]``."""
+    """Transform (symbol 0 ends a string, others are the values of ``data`` in
+    their order, numbered from 1) and common prefixes (with the suffix
+    before) of the strings ``data[offs[i]:offs[i + 1]]``."""
     n = len(offs) - 1
     lens = np.diff(offs)
-    used = np.flatnonzero(np.bincount(data, minlength=256))
-    code = np.zeros(256, np.int64)
-    code[used] = np.arange(1, len(used) + 1)
+    used, text = np.unique(data, return_inverse=True)
     size = len(used) + 1
-    kind = np.uint8 if size <= 256 else np.uint16
-    text = code.astype(kind)[data]
+    kind = np.uint8 if size <= 256 else np.uint16 if size <= 1 << 16 else np.uint32
+    text = (text + 1).astype(kind)
 
     def symbol(who, t):
         """Symbol before the suffix of t symbols: 0 for the whole string."""

@@ -18,8 +18,9 @@ arranged without losing a repeat:
    An entry whose key occurs once holds no repeat.  Of equal strings under a
    key one is kept: their windows are repeats all.
 3. *Suffix arrays.*  Different strings under one key are cut from the texts
-   and meet in a collection; its Burrows-Wheeler transform and common
-   prefixes tell which windows repeat.  Where more than ``CROWD`` different
+   and meet in a collection, with one symbol in place of the core, which all
+   their windows contain; its Burrows-Wheeler transform and common prefixes
+   tell which windows repeat.  Where more than ``CROWD`` different
    strings share a key, and for frequent keys, each window is grouped by a
    96-bit hash instead, of equal ones once per task, so that neither a
    collection nor a segment grows with a frequent passage.
@@ -33,6 +34,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,11 +51,11 @@ FLUSH = 1_000_000
 SLICE = 1 << 20
 
 KNOWN, SEND, SPREAD = 1, 2, 3
-_ASK = np.dtype([("key", "<u8"), ("start", "<u4"), ("len", "<u2"), ("what", "u1"), ("many", "u1")])
+_ASK = np.dtype([("key", "<u8"), ("start", "<u4"), ("len", "<u2"), ("left", "u1"), ("what", "u1"), ("many", "u1")])
 _SPAN = np.dtype([("start", "<u4"), ("len", "<u4")])
-_ENTRY_COLS = ("key", "sh", "start", "len", "many", "docs", "lens", "kspans", "kdocs", "klens")
+_ENTRY_COLS = ("key", "sh", "start", "len", "left", "many", "docs", "lens", "kspans", "kdocs", "klens")
 _ENTRY = "seg int, " + ", ".join(f"{c} binary" for c in _ENTRY_COLS)
-_STRING_COLS = ("data", "len", "key", "start", "many", "docs", "lens")
+_STRING_COLS = ("data", "len", "left", "key", "core", "start", "many", "docs", "lens")
 _WINDOW_COLS = ("key", "key2", "start", "many", "docs", "lens", "kspans", "kdocs", "klens")
 _WINDOW = "seg int, " + ", ".join(f"{c} binary" for c in _WINDOW_COLS)
 _STRING = "seg int, " + ", ".join(f"{c} binary" for c in _STRING_COLS)
@@ -102,11 +104,12 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def _entries_of(buf, offs, length, gram, klass):
-    """Entries of a slice: first and last window, document, key, string hash."""
+    """Entries of a slice: first and last window, bytes before the core,
+    document, key, string hash."""
     n = int(offs[-1])
     z = np.zeros(0, np.int64)
     if n < length:
-        return z, z, z, z.astype(np.uint64), z.astype(np.uint64)
+        return z, z, z, z, z.astype(np.uint64), z.astype(np.uint64)
     roll = _Rolling(buf, n)
     at = np.arange(n - gram + 1)
     bits = np.uint64(max(1, int(n).bit_length()))
@@ -120,7 +123,7 @@ def _entries_of(buf, offs, length, gram, klass):
     np.add.at(inside, hi, -1)
     s = np.flatnonzero(np.cumsum(inside)[:len(anchor)] > 0)
     if not len(s):
-        return z, z, z, z.astype(np.uint64), z.astype(np.uint64)
+        return z, z, z, z, z.astype(np.uint64), z.astype(np.uint64)
     a = anchor[s]
     k = (a - s) // klass
     doc = np.searchsorted(offs, s, "right") - 1
@@ -129,7 +132,7 @@ def _entries_of(buf, offs, length, gram, klass):
     a, k, doc = a[new], k[new], doc[new]
     core = a - k * klass
     key = C.mix(roll(core, core + length - klass + 1) ^ k.astype(np.uint64))
-    return first, last, doc, key, roll(first, last + length)
+    return first, last, core - first, doc, key, roll(first, last + length)
 
 
 def _by_seg(seg, n_seg, arrays, docs):
@@ -165,9 +168,9 @@ def _first_of_groups(*keys):
 
 def _entries(n_seg, length, gram, klass, frequent):
     def flush(held):
-        key, sh, start, size, docs = (np.concatenate(c) for c in zip(*held))
+        key, sh, start, size, left, docs = (np.concatenate(c) for c in zip(*held))
         order = np.lexsort((start, docs, sh, key))
-        key, sh, start, size, docs = key[order], sh[order], start[order], size[order], docs[order]
+        key, sh, start, size, left, docs = (x[order] for x in (key, sh, start, size, left, docs))
         new = _first_of_groups(key, sh)
         group = np.cumsum(new) - 1
         many = (np.bincount(group) > 1)[group].astype(np.uint8)
@@ -177,20 +180,21 @@ def _entries(n_seg, length, gram, klass, frequent):
         spans["start"], spans["len"] = start[rest], size[rest]
         seg = (key >> np.uint64(20)) % np.uint64(n_seg)
         yield from _rows(
-            [_by_seg(seg[rep], n_seg, [key[rep], sh[rep], start[rep], size[rep], many[rep]], docs[rep]),
-             _by_seg(seg[rest], n_seg, [spans], docs[rest])], [7, 3], _ENTRY_COLS)
+            [_by_seg(seg[rep], n_seg, [key[rep], sh[rep], start[rep], size[rep], left[rep], many[rep]],
+                     docs[rep]),
+             _by_seg(seg[rest], n_seg, [spans], docs[rest])], [8, 3], _ENTRY_COLS)
 
     def run(batches):
         held, n = [], 0
         for b in batches:
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             for lo, hi, buf, offs in C.slices(b, most=SLICE):
-                first, last, doc, key, sh = _entries_of(buf, offs, length, gram, klass)
+                first, last, left, doc, key, sh = _entries_of(buf, offs, length, gram, klass)
                 if len(frequent):
                     rare = ~np.isin(key, frequent)
-                    first, last, doc, key, sh = first[rare], last[rare], doc[rare], key[rare], sh[rare]
+                    first, last, left, doc, key, sh = (x[rare] for x in (first, last, left, doc, key, sh))
                 held.append((key, sh, (first - offs[doc]).astype(np.uint32),
-                             (last - first + length).astype(np.uint16), ids[lo:hi][doc]))
+                             (last - first + length).astype(np.uint16), left.astype(np.uint8), ids[lo:hi][doc]))
                 n += len(first)
                 if n >= FLUSH:
                     yield from flush(held)
@@ -218,7 +222,7 @@ def _key_counts(n_seg, length, gram, klass):
         held, n = [], 0
         for b in batches:
             for _, _, buf, offs in C.slices(b, most=SLICE):
-                held.append(_entries_of(buf, offs, length, gram, klass)[3:])
+                held.append(_entries_of(buf, offs, length, gram, klass)[4:])
                 n += len(held[-1][0])
                 if n >= FLUSH:
                     yield from flush(held)
@@ -244,9 +248,9 @@ def _shared_keys(crowd):
     def run(table: pa.Table) -> pa.Table:
         key, sh = C.joined(table, "key", np.uint64), C.joined(table, "sh", np.uint64)
         start, size = C.joined(table, "start", np.uint32), C.joined(table, "len", np.uint16)
-        many, docs = C.joined(table, "many", np.uint8), _docs(table)
+        left, many, docs = C.joined(table, "left", np.uint8), C.joined(table, "many", np.uint8), _docs(table)
         order = np.lexsort((start, docs, sh, key))
-        key, sh, start, size, many, docs = (x[order] for x in (key, sh, start, size, many, docs))
+        key, sh, start, size, left, many, docs = (x[order] for x in (key, sh, start, size, left, many, docs))
         if not len(key):
             return pa.table({"doc_id": pa.array([], pa.int64()), "asks": pa.array([], pa.binary())})
         new_key, new_str = _first_of_groups(key), _first_of_groups(key, sh)
@@ -255,7 +259,7 @@ def _shared_keys(crowd):
         again = ((total > 1) | (np.bincount(of_str, weights=many) > 0))[of_str]
         strings = np.bincount(of_key, weights=new_str).astype(np.int64)[of_key]
         ask = np.zeros(len(key), _ASK)
-        ask["key"], ask["start"], ask["len"], ask["many"] = key, start, size, again
+        ask["key"], ask["start"], ask["len"], ask["left"], ask["many"] = key, start, size, left, again
         ask["what"] = np.where(new_str & (strings > 1), np.where(strings > crowd, SPREAD, SEND),
                                np.where(again, KNOWN, 0))
         hit = ask["what"] > 0
@@ -267,50 +271,64 @@ def _shared_keys(crowd):
     return run
 
 
-def _strings(n_seg, what):
-    """The strings asked for, by the segment of their key."""
+def _strings(n_seg, what, core):
+    """The strings asked for, by the segment of their key, without the
+    ``core`` bytes that those of a key share (0: whole), and its hash."""
     def run(batches):
         for b in batches:
             texts = b.column("text").cast(pa.large_binary())
-            pieces, asks, docs = [], [], []
+            pieces, asks, docs, cores = [], [], [], []
             for doc, text, packed in zip(b.column("doc_id").to_pylist(), texts, b.column("asks").to_pylist()):
                 ask = np.frombuffer(b"".join(packed), _ASK)
                 ask = ask[ask["what"] == what]
                 if len(ask):
                     t = text.as_buffer()
-                    pieces += [t[s:s + n] for s, n in zip(ask["start"].tolist(), ask["len"].tolist())]
+                    for s, n, left in zip(ask["start"].tolist(), ask["len"].tolist(), ask["left"].tolist()):
+                        at = s + left
+                        cores.append(xxhash.xxh64_intdigest(t[at:at + core], 7))
+                        pieces.append(bytes(t[s:at]) + bytes(t[at + core:s + n]))
                     asks.append(ask)
                     docs.append(np.full(len(ask), doc))
             if not pieces:
                 continue
-            ask, docs = np.concatenate(asks), np.concatenate(docs)
+            ask, docs, cores = np.concatenate(asks), np.concatenate(docs), np.array(cores, np.uint64)
             order, at = C.segment_order((ask["key"] >> np.uint64(20)) % np.uint64(n_seg), n_seg)
             rows = []
             for s in np.flatnonzero(np.diff(at)):
                 i = order[at[s]:at[s + 1]]
                 ids, lens = C.runs(docs[i])
-                rows.append([int(s), b"".join(bytes(pieces[j]) for j in i), *(ask[c][i].tobytes() for c in (
-                    "len", "key", "start", "many")), ids.tobytes(), lens.tobytes()])
+                rows.append([int(s), b"".join(pieces[j] for j in i), ask["len"][i].tobytes(),
+                             ask["left"][i].tobytes(), ask["key"][i].tobytes(), cores[i].tobytes(),
+                             ask["start"][i].tobytes(), ask["many"][i].tobytes(), ids.tobytes(), lens.tobytes()])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))],
                 names=["seg", *_STRING_COLS])
     return run
 
 
-def _collect(table: pa.Table):
-    size = C.joined(table, "len", np.uint16).astype(np.int64)
-    data = C.joined(table, "data", np.uint8)
-    return (data, np.concatenate([[0], np.cumsum(size)]), C.joined(table, "start", np.uint32).astype(np.int64),
-            C.joined(table, "many", np.uint8) > 0, _docs(table))
-
-
-def _suffix_arrays(length):
+def _suffix_arrays(length, core):
+    """Repeated windows of the strings of a segment.  One symbol stands for
+    the core of a key, which each of its windows contains: a window is then
+    ``length - core + 1`` symbols long."""
     def run(table: pa.Table) -> pa.Table:
-        data, offs, start, many, docs = _collect(table)
+        size = C.joined(table, "len", np.uint16).astype(np.int64)
+        left = C.joined(table, "left", np.uint8).astype(np.int64)
+        start = C.joined(table, "start", np.uint32).astype(np.int64)
+        many, docs = C.joined(table, "many", np.uint8) > 0, _docs(table)
+        if not len(size):
+            return pa.table({"doc_id": pa.array([], pa.int64()), "spans": pa.array([], pa.binary())})
+        both = np.stack([C.joined(table, "key", np.uint64), C.joined(table, "core", np.uint64)])
+        order = np.lexsort(both)
+        name = np.empty(len(size), np.int64)
+        name[order] = np.cumsum(_first_of_groups(both[0][order], both[1][order]))
+        offs = np.concatenate([[0], np.cumsum(size - core + 1)])
+        data = np.empty(offs[-1], np.int32)
+        is_core = np.zeros(offs[-1], bool)
+        is_core[offs[:-1] + left] = True
+        data[~is_core], data[is_core] = C.joined(table, "data", np.uint8), 256 + name
         out_docs, spans = [], []
-        for i, hits in enumerate(repeated_starts(data, offs, length)):
-            n = offs[i + 1] - offs[i] - length + 1
-            hits = np.arange(n) if many[i] else hits
+        for i, hits in enumerate(repeated_starts(data, offs, length - core + 1)):
+            hits = np.arange(size[i] - length + 1) if many[i] else hits
             if len(hits):
                 first = np.concatenate([[True], np.diff(hits) > 1])
                 lo, hi = hits[first], hits[np.append(first[1:], True)]
@@ -345,7 +363,10 @@ def _single_windows(n_seg, length):
     """Every window of the strings of crowded keys, by its own hash."""
     def run(batches):
         for b in batches:
-            data, offs, start, many, docs = _collect(pa.Table.from_batches([b]))
+            t = pa.Table.from_batches([b])
+            data, docs, many = C.joined(t, "data", np.uint8), _docs(t), C.joined(t, "many", np.uint8) > 0
+            start = C.joined(t, "start", np.uint32).astype(np.int64)
+            offs = np.concatenate([[0], np.cumsum(C.joined(t, "len", np.uint16).astype(np.int64))])
             keys, keys2, at, of = [], [], [], []
             for i in range(len(docs)):
                 s = data[offs[i]:offs[i + 1]]
@@ -365,7 +386,7 @@ def _frequent_windows(frequent, n_seg, length, gram, klass):
         for b in batches:
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             for lo, hi, buf, offs in C.slices(b, most=SLICE):
-                first, last, doc, key, _ = _entries_of(buf, offs, length, gram, klass)
+                first, last, _, doc, key, _ = _entries_of(buf, offs, length, gram, klass)
                 hit = np.isin(key, frequent)
                 n = (last - first + 1)[hit]
                 if not len(n):
@@ -451,9 +472,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, klass:
             .groupBy("seg").applyInArrow(_shared_keys(crowd), "doc_id long, asks binary")
             .groupBy("doc_id").agg(F.collect_list("asks").alias("asks")))
     asked = d.join(asks, "doc_id").select("doc_id", "text", "asks")
-    sent = asked.mapInArrow(_strings(n_seg, SEND), _STRING) \
-        .groupBy("seg").applyInArrow(_suffix_arrays(length), "doc_id long, spans binary")
-    spread = asked.mapInArrow(_strings(n_seg, SPREAD), _STRING).mapInArrow(_single_windows(n_seg, length), _WINDOW)
+    core = length - klass + 1
+    sent = asked.mapInArrow(_strings(n_seg, SEND, core), _STRING) \
+        .groupBy("seg").applyInArrow(_suffix_arrays(length, core), "doc_id long, spans binary")
+    spread = asked.mapInArrow(_strings(n_seg, SPREAD, 0), _STRING).mapInArrow(_single_windows(n_seg, length), _WINDOW)
     if len(frequent):
         spread = spread.unionByName(d.mapInArrow(_frequent_windows(frequent, n_seg, length, gram, klass), _WINDOW))
     single = spread.groupBy("seg").applyInArrow(_equal_windows(length), "doc_id long, spans binary")
