@@ -9,15 +9,16 @@ corpus (:func:`segments_for`), so one segment always holds about as much.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of text that a task looks at together; bounds its arrays.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -26,9 +27,24 @@ _M1, _M2, _GOLD = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB
                                           0x9E3779B97F4A7C15))
 
 
+# Rows and bytes of a batch that goes to Python, at most.
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python workers in small batches; a session that has
+    smaller ones keeps them."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = re.fullmatch(r"(-?\d+)b?", spark.conf.get(key))
+        if not now or not 0 < int(now[1]) <= most:
+            spark.conf.set(key, str(most))
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id long, text string`` of the rows that have an id; a null text
     counts as empty."""
+    bounded_batches(docs.sparkSession)
     return docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"))

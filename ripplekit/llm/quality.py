@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripplekit.llm import subword
+from ripplekit.llm.common import bounded_batches
 
 CLASSES = ("0", "1")
 
@@ -30,4 +31,5 @@ def with_quality(docs: DataFrame, model: subword.Model, text_col: str = "text",
     """``docs`` with ``out double``: the probability of label 1.  Null and
     empty texts get the probability that the labels alone suggest; no row is
     left out, and a column named ``out`` is replaced."""
+    bounded_batches(docs.sparkSession)
     return docs.withColumn(out, F.round(subword.posterior_column(model, text_col)[1], 9))

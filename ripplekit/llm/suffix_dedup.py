@@ -47,8 +47,8 @@ CLASS = 50
 CROWD = 4096
 FREQUENT_BITS = 20
 SEGMENT_CHARS = 1 << 24   # characters of text whose entries meet in one segment
-FLUSH = 1_000_000
-SLICE = 1 << 20
+FLUSH = 400_000
+SLICE = 1 << 19
 
 KNOWN, SEND, SPREAD = 1, 2, 3
 _ASK = np.dtype([("key", "<u8"), ("start", "<u4"), ("len", "<u2"), ("left", "u1"), ("what", "u1"), ("many", "u1")])
