@@ -35,7 +35,8 @@ from ripplekit.plans.lineage import materialize
 WINDOW = 2048
 END_ID = 1
 BUCKET_PIECES = 1 << 13
-KNOWN_WORDS = 1_000_000   # a Python worker that knows more words begins anew
+KNOWN_WORDS = 600_000   # that a Python worker remembers; beyond it only short ones stay
+SHORT = 8               # bytes of a short word
 
 
 # A full stop or comma between an ASCII letter and white space is a token
@@ -43,6 +44,30 @@ KNOWN_WORDS = 1_000_000   # a Python worker that knows more words begins anew
 _STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D]|$)")
 
 
+class _Growing:
+    """An array that doubles its room when it is full."""
+
+    def __init__(self, dtype):
+        self.room, self.n = np.zeros(1 << 16, dtype), 0
+
+    def append(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.room):
+            self.room = np.resize(self.room, 2 * (self.n + len(more)))
+        self.room[self.n:self.n + len(more)] = more
+        self.n += len(more)
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[:self.n]
+
+
+def _lower(text: bytes) -> bytes:
+    """A-Z in lower case, unless the text has combining marks (U+0300 and
+    behind): the tokenizer composes characters before it lower-cases, and some
+    compositions exist for small letters only."""
+    return text if b"\xcc" in text or b"\xcd" in text else text.lower()
+
+
 class WordIds:
     """Ids of whole texts, word by word.
 
@@ -59,12 +84,31 @@ class WordIds:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
-        self.forget()
+        self.known: dict[bytes, int] = {}
+        self.flat, self.first, self.lens = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.first, self.lens = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        """Keep short words only, which are the frequent ones (none, if these
+        are too many themselves)."""
+        kept = [(w, c) for w, c in self.known.items() if len(w) <= SHORT]
+        kept = kept if len(kept) <= KNOWN_WORDS // 2 else []
+        codes = np.array([c for _, c in kept], np.int64)
+        flat, lens = self._gather(codes), self.lens.values[codes]
+        self.known, self.flat, self.first, self.lens = {}, *(_Growing(x) for x in (np.uint32, np.int64, np.int64))
+        self._add([w for w, _ in kept], flat, lens)
+
+    def _add(self, names: list[bytes], flat: np.ndarray, lens: np.ndarray) -> None:
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
+        self.first.append(self.flat.n + np.cumsum(lens) - lens)
+        self.lens.append(lens)
+        self.flat.append(flat)
+
+    def _gather(self, codes: np.ndarray) -> np.ndarray:
+        """Ids of the words of these numbers, one behind the other."""
+        lens = self.lens.values[codes]
+        ends = np.cumsum(lens)
+        total = int(ends[-1]) if len(codes) else 0
+        return self.flat.values[np.arange(total) + np.repeat(self.first.values[codes] - (ends - lens), lens)]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -72,8 +116,7 @@ class WordIds:
     def learn(self, new: list[bytes]) -> None:
         """Take in words with their ids, each as the tokenizer gives them for
         the word alone."""
-        flats, lens, names, rest = [self.flat], [self.lens], [], []
-        letters = []
+        letters, rest = [], []
         for w in new:
             t = w.decode()
             (letters if t.isalpha() and t.lower().isalpha() else rest).append(w)
@@ -82,36 +125,27 @@ class WordIds:
             ids = np.array(self._ids([b" ".join(part).decode()])[0], np.uint32)
             last = np.flatnonzero(self.ends[ids])
             if len(last) == len(part):
-                names += part
-                flats.append(ids)
-                lens.append(np.diff(last, prepend=-1))
+                self._add(part, ids, np.diff(last, prepend=-1))
             else:
                 rest += part
         if rest:
             each = self._ids([w.decode() for w in rest])
-            names += rest
-            flats.append(np.fromiter(chain.from_iterable(each), np.uint32))
-            lens.append(np.fromiter(map(len, each), np.int64, len(each)))
-        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
-        self.flat, self.lens = np.concatenate(flats), np.concatenate(lens)
-        self.first = np.cumsum(self.lens) - self.lens
+            self._add(rest, np.fromiter(chain.from_iterable(each), np.uint32),
+                      np.fromiter(map(len, each), np.int64, len(each)))
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of every text."""
         if len(self.known) > KNOWN_WORDS:
             self.forget()
-        words = [_STOP.sub(rb" \1", t.lower()).split() for t in texts]   # bytes: A-Z only
+        words = [_STOP.sub(rb" \1", _lower(t)).split() for t in texts]
         every = list(chain.from_iterable(words))
         codes = np.fromiter(map(self.known.get, every, repeat(-1)), np.int64, len(every))
         missing = np.flatnonzero(codes < 0).tolist()
         if missing:
             self.learn(list({every[i] for i in missing}))
             codes[missing] = [self.known[every[i]] for i in missing]
-        lens = self.lens[codes]
-        ends = np.cumsum(lens)
-        total = int(ends[-1]) if len(every) else 0
-        ids = self.flat[np.arange(total) + np.repeat(self.first[codes] - (ends - lens), lens)]
-        at = np.concatenate([[0], ends])[np.cumsum([0, *map(len, words)])]
+        ids = self._gather(codes)
+        at = np.concatenate([[0], np.cumsum(self.lens.values[codes])])[np.cumsum([0, *map(len, words)])]
         return [ids[a:b] for a, b in zip(at[:-1], at[1:])]
 
 
@@ -120,7 +154,7 @@ def _tokenizer(path: str) -> WordIds:
     return WordIds(path)
 
 
-def _batches(texts: list[bytes], most: int = C.SLICE_BYTES // 2):
+def _batches(texts: list[bytes], most: int = C.SLICE_BYTES):
     held, size = [], 0
     for t in texts:
         held.append(t)
