@@ -18,6 +18,7 @@ from ripplekit.llm import mixing, packing, pii, quality, simhash
 from ripplekit.llm.common import unused
 from ripplekit.llm.queries import MIX
 from ripplekit.plans.lineage import materialize
+from ripplekit.session import ship_package
 from ripplekit.sources.tables import table
 
 
@@ -50,9 +51,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tokens match the targets."""
     labelled = table(spark, sf_dir, "labels").select("doc_id").distinct() \
         .join(docs.select("doc_id", F.col("lang").alias("label")), "doc_id")
-    model, fitted = mixing.mix(docs, labelled, MIX)
-    rated = mixing.with_copies(docs, model, fitted)
-    return rated.select(*docs.columns)
+    model, fitted, _ = mixing.mix(docs, labelled, MIX)
+    return mixing.with_copies(docs, model, fitted)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,6 +74,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))

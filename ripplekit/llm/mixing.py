@@ -20,11 +20,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripplekit.llm import subword
-from ripplekit.llm.common import unused
+from ripplekit.llm.common import bounded_batches, unused
 from ripplekit.plans.lineage import materialize
 
 GRAIN = 0.01      # posteriors are rounded to this
@@ -68,6 +69,7 @@ def n_tokens(text_col: str = "text") -> Column:
 
 def with_posterior(docs: DataFrame, model: subword.Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``tokens long`` and ``posterior array<double>``."""
+    bounded_batches(docs.sparkSession)
     p = subword.posterior_column(model, text_col)
     return docs.withColumn("tokens", n_tokens(text_col)).withColumn("posterior", F.transform(
         p, lambda x: F.round(x / GRAIN) * GRAIN))
@@ -87,10 +89,13 @@ def fit_mix(scored: DataFrame, domains: tuple[str, ...], weights: dict[str, floa
     if not total:
         return mix
     share = F.col("tokens") / F.lit(float(total))
-    # The trace bounds the largest eigenvalue, so the step is a safe one.
-    trace = cells.agg(F.sum(share * sum((F.col("posterior")[d] ** 2 / t for d, t in enumerate(targets)),
-                                        F.lit(0.0))).alias("x")).first()["x"]
-    mix = Mix(domains, targets, (), 1.0 / (trace + pull), pull)
+    # The step is one over the largest curvature of the loss.
+    k = len(domains)
+    products = cells.agg(*[F.sum(share * F.col("posterior")[a] * F.col("posterior")[b])
+                           for a in range(k) for b in range(k)]).first()
+    root = np.sqrt(targets)
+    curvature = np.linalg.eigvalsh(np.array(list(products)).reshape(k, k) / np.outer(root, root)).max()
+    mix = Mix(domains, targets, (), 1.0 / (curvature + pull), pull)
     before = None
     for _ in range(steps):
         rated = cells.select(share.alias("w"), "posterior", mix.rate(F.col("posterior")).alias("rate"))
@@ -111,20 +116,22 @@ def copies(rate: Column, id_col: str = "doc_id") -> Column:
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float = 1.0,
-        rows: int = subword.SAMPLE_ROWS) -> tuple[subword.Model, Mix]:
+        rows: int = subword.SAMPLE_ROWS) -> tuple[subword.Model, Mix, DataFrame]:
     """Fit both models: domains are the keys of ``weights``; ``labelled`` is
-    ``doc_id, label string`` and at most ``rows`` of it are used."""
+    ``doc_id, label string`` and at most ``rows`` of it are used.  The third
+    result is a written table ``doc_id, tokens, posterior`` of all rows, so
+    that the texts are classified once."""
     domains = tuple(sorted(weights))
     model = subword.train(docs, labelled, domains, rows, ngrams=(3,))
-    scored = materialize(with_posterior(docs.select("text"), model).select("tokens", "posterior"), "mix-posteriors")
-    return model, fit_mix(scored, domains, weights, budget)
+    scored = materialize(with_posterior(docs.select("doc_id", "text"), model)
+                         .select("doc_id", "tokens", "posterior"), "mix-posteriors")
+    return model, fit_mix(scored, domains, weights, budget), scored
 
 
-def rated(docs: DataFrame, model: subword.Model, fitted: Mix) -> DataFrame:
-    """``docs`` with ``tokens, posterior, rate, copies``.  Null texts are
-    empty; rows that repeat get one rate; rows with a null id draw alike;
-    columns of those names are replaced."""
-    r = with_posterior(docs, model).withColumn("rate", fitted.rate(F.col("posterior")))
+def rated(scored: DataFrame, fitted: Mix) -> DataFrame:
+    """``scored`` with ``rate, copies``.  Rows that repeat get one rate; rows
+    with a null id draw alike; columns of those names are replaced."""
+    r = scored.withColumn("rate", fitted.rate(F.col("posterior")))
     return r.withColumn("copies", copies(F.col("rate")))
 
 

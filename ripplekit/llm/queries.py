@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplekit.llm import fingerprints, lm_scoring, mixing, packing, pii, quality, simhash, substring_dedup, suffix_dedup, topk
+from ripplekit.llm import (fingerprints, lm_scoring, mixing, packing, pii, quality, simhash, substring_dedup,
+                           suffix_dedup, topk)
 from ripplekit.sources.tables import table
 
 
@@ -69,8 +70,8 @@ def mix_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model, fitted = mixing.mix(docs, mix_labels(spark, sf_dir), MIX)
-    return mixing.rated(docs, model, fitted).select(
+    model, fitted, scored = mixing.mix(docs, mix_labels(spark, sf_dir), MIX)
+    return mixing.rated(scored, fitted).select(
         "doc_id", "tokens", *[F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(model.classes)],
         "rate", "copies")
 
@@ -87,8 +88,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.spans_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_suffix_dedup, op4_quality_classifier, op5_document_fingerprints, op6_exact_topk,
-                                   op7_simhash_near_dedup, op8_mixing, op9_packing, op10_pii)}
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op2_lm_scoring, op3_suffix_dedup, op4_quality_classifier, op5_document_fingerprints,
+    op6_exact_topk, op7_simhash_near_dedup, op8_mixing, op9_packing, op10_pii)}
 
 ORACLE = {
     "op1_substring_dedup": r"""

@@ -148,8 +148,8 @@ def test_mix_of_texts(spark):
     texts = [(i, ("the of and to in " if i % 4 else "der die und das zu ") * (i % 5 + 1)) for i in range(80)]
     docs = frame(spark, texts + [(200, None), (201, "")], "rate")
     labelled = spark.createDataFrame([(i, "en" if i % 4 else "de") for i in range(0, 80)], "doc_id long, label string")
-    model, m = mixing.mix(docs, labelled, {"en": 0.5, "de": 0.5})
-    r = mixing.rated(docs, model, m)
+    model, m, scored = mixing.mix(docs, labelled, {"en": 0.5, "de": 0.5})
+    r = mixing.rated(scored, m)
     total = r.agg(F.sum("tokens")).first()[0]
     de = r.agg(F.sum(F.expr("rate * tokens * posterior[0]"))).first()[0]
     assert abs(de / total - 0.5) < 0.05
@@ -161,6 +161,6 @@ def test_mix_of_texts(spark):
 
 def test_mix_of_nothing(spark):
     none = frame(spark, [])
-    model, m = mixing.mix(none, spark.createDataFrame([], "doc_id long, label string"), {"a": 1.0, "b": 1.0})
-    assert mixing.rated(none, model, m).count() == 0
+    model, m, scored = mixing.mix(none, spark.createDataFrame([], "doc_id long, label string"), {"a": 1.0, "b": 1.0})
+    assert mixing.rated(scored, m).count() == 0 and mixing.with_copies(none, model, m).count() == 0
     assert m.errors == ()
