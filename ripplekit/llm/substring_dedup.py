@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ripplekit.llm import common as C
 
 SEGMENT_CHARS = 1 << 24   # characters of text whose windows meet in one segment
-FLUSH = 2_000_000         # windows that a task packs together
+FLUSH = 1_200_000         # windows that a task packs together
 EXACT_SHARE = 4           # segments of the first pass that share one of the second
 DEPTH = 2                 # rows of the count-min sketch
 CELLS_PER_WINDOW = 4      # width of a row, in cells per window of the segment
