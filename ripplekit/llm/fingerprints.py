@@ -15,8 +15,6 @@ paragraphs do not count.  Everything here is DataFrame functions only.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,8 +105,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     edge = firsts.select(
         "first", F.coalesce(F.lag("bucket").over(by),
                             F.max("bucket").over(by.rowsBetween(Window.unboundedPreceding,
-                                                                Window.unboundedFollowing))).alias("before"),
-        (F.row_number().over(by) == 1).alias("wraps"))
+                                                                Window.unboundedFollowing))).alias("before"))
     placed = d.join(F.broadcast(upto.select("cell", "bucket")), "cell") \
         .select("bucket", F.lit(0).alias("guest"), "doc_id", "text")
     # A guest sorts behind all documents of the bucket that it visits.
