@@ -57,8 +57,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their token ids and their place in
-    sequences of 2048 tokens."""
-    return packing.pack(docs, with_ids=True)
+    sequences of 2048 tokens.  Other stages' workers need the memory of the
+    words, so these are not kept between tasks."""
+    return packing.pack(docs, with_ids=True, keep_words=False)
 
 
 STAGES = [

@@ -84,6 +84,9 @@ class WordIds:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
+        self.empty()
+
+    def empty(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat, self.first, self.lens = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
 
@@ -94,7 +97,7 @@ class WordIds:
         kept = kept if len(kept) <= KNOWN_WORDS // 2 else []
         codes = np.array([c for _, c in kept], np.int64)
         flat, lens = self._gather(codes), self.lens.values[codes]
-        self.known, self.flat, self.first, self.lens = {}, *(_Growing(x) for x in (np.uint32, np.int64, np.int64))
+        self.empty()
         self._add([w for w, _ in kept], flat, lens)
 
     def _add(self, names: list[bytes], flat: np.ndarray, lens: np.ndarray) -> None:
@@ -166,9 +169,14 @@ def _batches(texts: list[bytes], most: int = C.SLICE_BYTES):
         yield held
 
 
-def _pieces(path: str, window: int, end_id: int, with_ids: bool):
+def _pieces(path: str, window: int, end_id: int, with_ids: bool, keep_words: bool):
     def run(batches):
         tok = _tokenizer(path)
+        yield from pieces(tok, batches)
+        if not keep_words:
+            tok.empty()
+
+    def pieces(tok, batches):
         end = np.array([end_id], np.uint32)
         kept = "<u2" if len(tok.ends) <= 1 << 16 else "<u4"
         for b in batches:
@@ -251,7 +259,7 @@ def _pack(window: int):
 
 
 def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, tokenizer: str | None = None,
-         with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         with_ids: bool = True, keep_words: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens[, ids], sequence_id,
     offset``: one row per piece; ``ids`` are little-endian, of 16 bits if all
     ids of the tokenizer fit, else of 32; ``ids_crc32`` is of 32-bit ids.
@@ -259,11 +267,12 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, tokenizer:
     A null text is empty: its only id is the end id.  Rows without an id are
     left out; a row that repeats is packed again; other columns are not read.
     ``tokenizer`` is the path of a tokenizer file that every executor has;
-    the tokens of an added token's text are what the tokenizer says."""
+    ``keep_words`` lets Python workers remember words from task to task
+    (faster, but their memory stays taken while they wait); the tokens of an added token's text are what the tokenizer says."""
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     cols = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
     pieces = C.id_and_text(docs, id_col, text_col).mapInArrow(
-        _pieces(path, window, end_id, with_ids), cols + ", ids binary")
+        _pieces(path, window, end_id, with_ids, keep_words), cols + ", ids binary")
     if not with_ids:
         pieces = pieces.drop("ids")
     pieces = materialize(pieces, "pieces")
