@@ -5,19 +5,23 @@
 2. Document i with n_i tokens and posterior p_i gets a rate r_i >= 0 such
    that the expected tokens per domain, sum_i r_i n_i p_id, come as close as
    possible (least squares, relative to the target) to weight_d times the
-   token budget; a small pull towards rate one (``PULL``) picks among the
-   many solutions the one that changes least.
-3. Projected gradient: a step needs the domain totals at the current rates,
-   one aggregation in Spark whose result is a number per domain.  A rate
-   depends on its posterior alone, so rows with one posterior are summed
-   once and each step runs over these sums; the rates at a step follow from
-   the totals of the steps before it.
+   token budget; a vanishing pull towards rate one (``PULL``) picks among the
+   many solutions the one that changes least and moves the totals by about
+   ``PULL`` times the rate.
+3. The best rates are max(0, 1 + sum_d p_id y_d) with one number y_d per
+   domain, the maximum of the concave dual.  Newton steps find it: each needs
+   the domain totals and their products at the current rates, one aggregation
+   in Spark of a few numbers.  A rate depends on its posterior alone, so rows
+   with one posterior are summed once and each step runs over these sums.
+   Totals that stay away from their targets (a domain that the documents do
+   not have) are reported.
 4. A document of rate r is used floor(r) times, and once more with the
    probability of the rest, drawn from a hash of its id.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,36 +33,32 @@ from ripplekit.llm.common import bounded_batches, unused
 from ripplekit.plans.lineage import materialize
 
 GRAIN = 0.01      # posteriors are rounded to this
-PULL = 0.02       # weight of (rate - 1)^2
-STEPS = 60        # gradient steps at most
-TOLERANCE = 1e-6  # largest change of a domain's share in the last step
+PULL = 1e-6       # weight of (rate - 1)^2
+STEPS = 60        # evaluations of the dual at most
+TOLERANCE = 1e-6  # of the gradient, relative to the target
+MOST_MISS = 0.01  # of a total, relative to its target; beyond it is reported
+
+_log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class Mix:
-    """Targets, and the errors (relative to the target's root) and step width
-    of every gradient step: all that a rate depends on."""
+    """Targets, the errors of the expected totals (relative to the targets;
+    none without tokens) and the slopes of the rate: all that a rate depends
+    on."""
 
     domains: tuple[str, ...]
     targets: tuple[float, ...]
-    errors: tuple[tuple[float, ...], ...]
-    step: float
+    errors: tuple[float, ...]
+    slopes: tuple[float, ...]
     pull: float
 
     def rate(self, posterior: Column) -> Column:
         """Rate of a document from its posterior."""
-        scale = [1 / t ** 0.5 for t in self.targets]
-        history = F.array(*[F.array(*[F.lit(float(x * s)) for x, s in zip(e, scale)]) for e in self.errors]) \
-            if self.errors else F.array().cast("array<array<double>>")
-
-        def dot(e):
-            total = F.lit(0.0)
-            for d in range(len(self.domains)):
-                total = total + posterior[d] * e[d]
-            return total
-
-        return F.aggregate(history, F.lit(1.0), lambda r, e: F.greatest(
-            F.lit(0.0), r - F.lit(self.step) * (dot(e) + F.lit(self.pull) * (r - F.lit(1.0)))))
+        r = F.lit(1.0)
+        for d, y in enumerate(self.slopes):
+            r = r + posterior[d] * F.lit(float(y))
+        return F.greatest(F.lit(0.0), r)
 
 
 def n_tokens(text_col: str = "text") -> Column:
@@ -85,28 +85,43 @@ def fit_mix(scored: DataFrame, domains: tuple[str, ...], weights: dict[str, floa
     targets = tuple(budget * max(weights.get(d, 0.0), 1e-6) / total_w for d in domains)
     cells = materialize(scored.groupBy("posterior").agg(F.sum("tokens").alias("tokens")), "mix-cells")
     total = cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0
-    mix = Mix(domains, targets, (), 0.0, pull)
     if not total:
-        return mix
-    share = F.col("tokens") / F.lit(float(total))
-    # The step is one over the largest curvature of the loss.
-    k = len(domains)
-    products = cells.agg(*[F.sum(share * F.col("posterior")[a] * F.col("posterior")[b])
-                           for a in range(k) for b in range(k)]).first()
-    root = np.sqrt(targets)
-    curvature = np.linalg.eigvalsh(np.array(list(products)).reshape(k, k) / np.outer(root, root)).max()
-    mix = Mix(domains, targets, (), 1.0 / (curvature + pull), pull)
-    before = None
-    for _ in range(steps):
-        rated = cells.select(share.alias("w"), "posterior", mix.rate(F.col("posterior")).alias("rate"))
-        got = rated.agg(*[F.sum(F.col("w") * F.col("rate") * F.col("posterior")[d]).alias(f"d{d}")
-                          for d in range(len(domains))]).first()
-        errors = tuple((g - t) / t ** 0.5 for g, t in zip(got, targets))
-        mix = Mix(domains, targets, (*mix.errors, errors), mix.step, pull)
-        if before and max(abs(a - b) for a, b in zip(errors, before)) < TOLERANCE:
+        return Mix(domains, targets, (), (), pull)
+    k, goal = len(domains), np.array(targets)
+    share, posterior = F.col("tokens") / F.lit(float(total)), F.col("posterior")
+
+    def at(y):
+        """Dual loss, totals and products of the domains at slopes ``y``."""
+        r = Mix(domains, targets, (), tuple(y), pull).rate(posterior)
+        got = cells.select(share.alias("w"), "posterior", r.alias("r")).agg(
+            F.sum(F.col("w") * F.col("r") * F.col("r") / 2),
+            *[F.sum(F.col("w") * F.col("r") * posterior[d]) for d in range(k)],
+            *[F.sum(F.when(F.col("r") > 0, F.col("w") * posterior[d] * posterior[e]).otherwise(0.0))
+              for d in range(k) for e in range(k)]).first()
+        got = np.array(list(got))
+        return got[0] + pull * (goal @ y**2) / 2 - goal @ y, got[1:1 + k], got[1 + k:].reshape(k, k)
+
+    y = np.zeros(k)
+    loss, totals, products = at(y)
+    used = 1
+    while used < steps:
+        gradient = totals + pull * goal * y - goal
+        if (np.abs(gradient) <= TOLERANCE * goal).all():
             break
-        before = errors
-    return mix
+        step = -np.linalg.solve(products + pull * np.diag(goal), gradient)
+        slope, width = gradient @ step, 1.0
+        while used < steps:
+            new = at(y + width * step)
+            used += 1
+            if new[0] <= loss + 1e-4 * width * slope + 1e-12 * max(1.0, abs(loss)):
+                y, (loss, totals, products) = y + width * step, new
+                break
+            width /= 2
+    errors = (totals - goal) / goal
+    for d, e in zip(domains, errors):
+        if abs(e) > MOST_MISS:
+            _log.warning("mix: the tokens of %s miss their target by %.3g of it", d, e)
+    return Mix(domains, targets, tuple(errors.tolist()), tuple(y.tolist()), pull)
 
 
 def copies(rate: Column, id_col: str = "doc_id") -> Column:

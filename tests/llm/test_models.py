@@ -144,6 +144,30 @@ def test_mix_is_the_least_squares_solution(spark):
         assert loss(np.maximum(0, rate + rng.normal(0, 0.05, len(rate)))) >= best - 1e-6
 
 
+@pytest.mark.parametrize("hot", [0.97, 0.985])
+def test_mix_of_rare_domains_meets_the_targets_by_default(spark, hot, caplog):
+    shares, weights = [hot] + [(1 - hot) / 3] * 3, {"a": 0.5, "b": 0.2, "c": 0.2, "d": 0.1}
+    data = [(10 * i + j, round(1e5 * x), [float(k == i) for k in range(4)])
+            for i, x in enumerate(shares) for j in range(10)]
+    data += [(100 + j, 50 * j, [0.9, 0.06, 0.03, 0.01]) for j in range(10)]
+    scored = spark.createDataFrame(data, "doc_id long, tokens long, posterior array<double>")
+    m = mixing.fit_mix(scored, tuple(weights), weights)
+    r = scored.withColumn("rate", m.rate(F.col("posterior")))
+    total = sum(n for _, n, _ in data)
+    for d, t in enumerate(weights.values()):
+        got = r.agg(F.sum(F.col("rate") * F.col("tokens") * F.col("posterior")[d])).first()[0]
+        assert abs(got / total - t) < 0.001 * t
+    assert not caplog.records
+
+
+def test_mix_reports_a_domain_that_is_not_there(spark, caplog):
+    scored = spark.createDataFrame([(i, 10, [1.0, 0.0]) for i in range(20)],
+                                   "doc_id long, tokens long, posterior array<double>")
+    m = mixing.fit_mix(scored, ("a", "b"), {"a": 0.5, "b": 0.5})
+    assert abs(m.errors[0]) < 0.001 and m.errors[1] == -1
+    assert [x.args[0] for x in caplog.records] == ["b"]
+
+
 def test_mix_of_texts(spark):
     texts = [(i, ("the of and to in " if i % 4 else "der die und das zu ") * (i % 5 + 1)) for i in range(80)]
     docs = frame(spark, texts + [(200, None), (201, "")], "rate")
