@@ -7,18 +7,21 @@
    context: the two words before it, the word before it with its own shape
    (letters ``a``, digits ``9``, runs as one), and for card and phone numbers
    the form alone (every digit as ``9``).  Numbers side by side fail the rules
-   together: parts of them that pass a rule alone are candidates by form.
+   together: all parts of them that pass a rule alone are candidates by form.
 3. *Scores.*  Patterns and instances (identifier strings) form a graph.  In
    each round a pattern's confidence for a kind is the share of the scores
    of its distinct instances; an unknown instance takes the best confidence
    of its patterns that reach ``MIN_CONFIDENCE`` with ``MIN_SUPPORT``
    instances behind them.  Rounds are joins and aggregations in Spark.
 4. *Discovery.*  Occurrences of unknown instances in a pattern of high
-   confidence are added as spans of its kind.  The seeds always stay.
+   confidence are added as spans of its kind; of parts that overlap, the
+   longest.  The seeds always stay.
 """
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 
 import pyarrow as pa
@@ -32,7 +35,6 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 MIN_CONFIDENCE = 0.9
 MIN_SUPPORT = 5.0
-MOST_WORDS = 4      # of a number inside a failed match
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -73,6 +75,7 @@ def _is_phone(match: str) -> bool:
 
 
 _CHECKS = {2: (_CARD, _is_card), 3: (_PHONE, _is_phone)}
+_MOST_DIGITS = {2: 19, 3: 15}   # that the checks let pass
 
 
 def base_spans(text: str, failed: list | None = None) -> list[tuple[int, int, int]]:
@@ -104,18 +107,57 @@ def shape(value: str) -> str:
 
 
 def _inside(text: str, lo: int, hi: int):
-    """Runs of up to ``MOST_WORDS`` words of a failed match that pass the check
-    of a kind by themselves: ``start, kind, end``.  Numbers that stand side by
-    side make one match, which fails."""
+    """All runs of words of a failed match that pass the check of a kind by
+    themselves: ``start, kind, end``.  Numbers that stand side by side make
+    one match, which fails.  A run ends where its digits exceed what the kind
+    can have; every word of a card has a digit, and a phone number starts with
+    the plus that only the first word of a match has."""
     words = [(lo + m.start(), lo + m.end()) for m in re.finditer(r"[^ ]+", text[lo:hi])]
-    for i in range(len(words)):
-        for j in range(i, min(i + MOST_WORDS, len(words))):
-            s, e = words[i][0], words[j][1]
-            for kind, (rule, check) in _CHECKS.items():
-                if rule.fullmatch(text, s, e) and check(text[s:e]):
+    digits = [sum(c.isdigit() for c in text[s:e]) for s, e in words]
+    for kind, (rule, check) in _CHECKS.items():
+        for i in range(1 if kind == 3 else len(words)):
+            s, n = words[i][0], 0
+            if kind == 3 and text[s] != "+":
+                break
+            for j in range(i, len(words)):
+                n, e = n + digits[j], words[j][1]
+                if n > _MOST_DIGITS[kind] or kind == 2 and not digits[j]:
+                    break
+                if n >= 9 and digits[j] and rule.fullmatch(text, s, e) and check(text[s:e]):
                     yield s, kind, e
 
 
+def longest(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of ``(start, kind, end)`` that may overlap, those apart from each other
+    that cover most, the longer ones if several do; and any other that covers
+    a word that these do not."""
+    spans = sorted(set(spans), key=lambda x: (x[2], x[0], x[1]))
+    ends = [x[2] for x in spans]
+    best: list[tuple[int, int]] = [(0, 0)]      # covered, minus the number of spans
+    before = []
+    for n, (s, _, e) in enumerate(spans):
+        before.append(bisect.bisect_right(ends, s, 0, n))
+        c, m = best[before[n]]
+        best.append(max(best[n], (c + e - s, m - 1)))
+    out, n = [], len(spans)
+    while n:
+        if best[n] == best[n - 1]:
+            n -= 1
+        else:
+            out.append(spans[n - 1])
+            n = before[n - 1]
+    out.reverse()
+    starts, stops, chosen = [x[0] for x in out], [x[2] for x in out], set(out)
+    for x in spans:
+        at, k = x[0], bisect.bisect_right(stops, x[0])
+        # Two characters between whole words are blanks.
+        while x not in chosen and k < len(out) and starts[k] - at <= 2 and at < x[2]:
+            at, k = stops[k], k + 1
+        if x not in chosen and x[2] - at > 2:
+            out.append(x)
+    return sorted(out)
+
+
 def _context(text: str, start: int, value: str, kind: int) -> list[str]:
     if kind in _CHECKS:
         own = [f"f {KINDS[kind]} {_form(value)}"]
@@ -132,8 +174,10 @@ def mentions(text: str) -> tuple[list, list]:
     failed: list[tuple[int, int]] = []
     base = base_spans(text, failed)
     found = [(s, k, e, _context(text, s, text[s:e], k)) for s, k, e in base]
+    starts = [a for a, _, _ in base]
+    reached = [0, *itertools.accumulate((z for _, _, z in base), max)]
     for s, k, e in {x for region in failed for x in _inside(text, *region)}:
-        if all(e <= a or z <= s for a, _, z in base):
+        if reached[bisect.bisect_left(starts, e)] <= s:
             found.append((s, -1, e, [f"f {KINDS[k]} {_form(text[s:e])}"]))
     if base or "@" in text or _DIGIT.search(text):
         i, reach = 0, 0
@@ -170,6 +214,14 @@ def _extract(batches):
             names=["doc_id", "base", "found"])
 
 
+def _longest(added: Column) -> Column:
+    @F.arrow_udf(f"array<{_SPAN}>")
+    def cut(spans: pa.Array) -> pa.Array:
+        return pa.array([[dict(zip(("start", "kind", "end"), x)) for x in longest(
+            [(y["start"], y["kind"], y["end"]) for y in row])] for row in spans.to_pylist()], pa.list_(_P_SPAN))
+    return cut(added)
+
+
 def score_patterns(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
                    min_support: float = MIN_SUPPORT) -> DataFrame:
     """``pat, kind, confidence`` of the patterns of high confidence, from
@@ -211,7 +263,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
              .join(good, "pat").groupBy("doc_id", "start", "end")
              .agg(F.min_by("kind", F.struct(-F.col("confidence"), F.col("kind"))).alias("kind")))
     per_doc = added.groupBy("doc_id").agg(F.collect_list(F.struct(
-        F.col("start"), F.col("kind"), F.col("end"))).alias("added"))
+        F.col("start"), F.col("kind"), F.col("end"))).alias("added")) \
+        .select("doc_id", _longest(F.col("added")).alias("added"))
     none = F.array().cast(f"array<{_SPAN}>")
     return rows.select("doc_id", "base").join(per_doc, "doc_id", "left").select(
         "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("added", none))).alias("spans"))

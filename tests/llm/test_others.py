@@ -223,6 +223,52 @@ def test_numbers_side_by_side(spark):
     assert pii._redact(both, [dict(zip(("start", "kind", "end"), s)) for s in got[50].spans]) == "x [PHONE] [CARD] y"
 
 
+def grouped_card(groups, seed):
+    rnd = random.Random(seed)
+    while True:
+        c = " ".join("".join(rnd.choice("0123456789") for _ in range(n)) for n in groups)
+        if pii._is_card(c):
+            return c
+
+
+def test_long_numbers_side_by_side(spark):
+    cards = [grouped_card((4, 4, 4, 4), i) for i in range(60)]
+    wide = [grouped_card((4, 4, 4, 4, 2), i) for i in range(60)]
+    docs = [(100 + i, f"word {c} end") for i, c in enumerate(cards[4:] + wide[4:])]
+    for i in range(10, 40):
+        docs += [(200 + i, f"w{i} +33 6 12 34 {i} 78 x"), (300 + i, f"w{i} +1 415 555 {i} 71 x"),
+                 (400 + i, f"w{i} +1 415 5{i} 26 x")]
+    both = {50: ("+33 6 12 34 56 78", "4111 1111 1111 1111"), 51: ("+1 415 555 26 71", "4111 1111 1111 1111"),
+            52: (cards[1], wide[2]), 53: (wide[0], wide[1])}
+    docs += [(i, f"call {a} {b} now") for i, (a, b) in both.items()]
+    got = {r.doc_id: r for r in pii.find_pii(frame(spark, docs)).collect()}
+    for i, pair in both.items():
+        text = dict(docs)[i]
+        assert got[i].base == [] and tuple(text[s["start"]:s["end"]] for s in got[i].spans) == pair, i
+        marks = ["[PHONE]" if x.startswith("+") else "[CARD]" for x in pair]
+        assert pii._redact(text, [s.asDict() for s in got[i].spans]) == f"call {marks[0]} {marks[1]} now"
+
+
+def test_parts_of_a_failed_match_are_all_tried():
+    rnd = random.Random(2)
+    parts = ["+1", "12", "4111", "1111", "4111-1111", "(415)", "-", "0", "555-26", "7" * 25, "71.", ".9"]
+    for _ in range(500):
+        text = " ".join(rnd.choice(parts) for _ in range(rnd.randint(1, 14)))
+        for kind, (rule, check) in pii._CHECKS.items():
+            for m in rule.finditer(text):
+                words = [(m.start() + w.start(), m.start() + w.end()) for w in re.finditer("[^ ]+", m.group())]
+                want = {(s, k, e) for s, _ in words for _, e in words if s < e
+                        for k, (r, c) in pii._CHECKS.items() if r.fullmatch(text, s, e) and c(text[s:e])}
+                assert set(pii._inside(text, m.start(), m.end())) == want, text
+
+
+def test_longest_parts_cover_all_that_parts_cover():
+    assert pii.longest([(0, 3, 13), (0, 3, 16), (17, 2, 36)]) == [(0, 3, 16), (17, 2, 36)]
+    assert pii.longest([(0, 3, 17), (0, 3, 22), (18, 2, 37)]) == [(0, 3, 17), (18, 2, 37)]
+    assert pii.longest([(0, 2, 20), (15, 2, 34)]) == [(0, 2, 20), (15, 2, 34)]
+    assert pii.longest([]) == []
+
+
 def test_redaction_and_nothing(spark):
     assert pii._redact("mail a@b.c now", [{"start": 5, "kind": 0, "end": 10}]) == "mail [EMAIL] now"
     assert pii._redact("abcdef", [{"start": 1, "kind": 0, "end": 4}, {"start": 2, "kind": 1, "end": 5}]) == "a[EMAIL]f"
