@@ -53,6 +53,22 @@ def test_stupid_backoff(spark, size, part, flush, monkeypatch):
     assert rows(got, "doc_id", "n_words", "score") == brute_scores(docs, size)
 
 
+@pytest.mark.parametrize("part,flush", [(1 << 22, 1 << 20), (7, 30)])
+def test_stupid_backoff_of_all_words(spark, part, flush, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PART_TOKENS", part)
+    monkeypatch.setattr(lm_scoring, "FLUSH", flush)
+    docs = odd_texts(5) + [(1000, "the Quetzal of the"), (1001, "a Quetzal of x"), (1002, "the Okapi of the")]
+    # A size of all tokens keeps every word.
+    want = brute_scores(docs, sum(len((t or "").split()) for _, t in docs))
+    got = lm_scoring.score(frame(spark, docs, "keys"), None)
+    assert rows(got, "doc_id", "n_words", "score") == want
+    twice = lm_scoring.score(frame(spark, [(1, "a b c"), (1, "a b c"), (1, "c a b"), (2, "a b"), (3, None)]), None)
+    each = brute_scores([(1, "a b c"), (4, "a b c"), (5, "c a b"), (2, "a b"), (3, None)], 11)
+    s = {i: x for i, _, x in each}
+    assert rows(twice, "doc_id", "n_words", "score") == [(1, 9, s[1] + s[4] + s[5]), (2, 2, s[2]), (3, 0, 0)]
+    assert lm_scoring.score(frame(spark, []), None).count() == 0
+
+
 def test_scores_of_an_empty_table(spark):
     assert lm_scoring.score(frame(spark, [])).count() == 0
     assert rows(lm_scoring.score(frame(spark, [(1, None)])), "doc_id", "n_words", "score") == [(1, 0, 0)]
