@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplekit.llm import (fingerprints, lm_scoring, mixing, packing, pii, quality, simhash, substring_dedup,
-                           suffix_dedup, topk)
+from ripplekit.llm import (divergence, fingerprints, lm_scoring, mixing, packing, pii, quality, simhash,
+                           substring_dedup, suffix_dedup, topk)
 from ripplekit.sources.tables import table
 
 
@@ -88,9 +88,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.spans_text(F.col("spans")).alias("spans"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_lm_scoring, op3_suffix_dedup, op4_quality_classifier, op5_document_fingerprints,
-    op6_exact_topk, op7_simhash_near_dedup, op8_mixing, op9_packing, op10_pii)}
+    op6_exact_topk, op7_simhash_near_dedup, op8_mixing, op9_packing, op10_pii, op11_source_divergence)}
 
 ORACLE = {
     "op1_substring_dedup": r"""
@@ -151,4 +155,35 @@ s AS (
 r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+t AS (SELECT lang, source, r, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS k FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+size AS (SELECT lang, sum(k)::HUGEINT AS total, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+total AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, term, coalesce(c.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (coalesce(total.total, 0) + 2 * size.v) AS p,
+    1 + 1000000000::HUGEINT * (kept.k + 2) // (size.total + 2 * size.v) AS q
+  FROM g JOIN kept USING (lang) JOIN size USING (lang) LEFT JOIN c USING (lang, source, term)
+  LEFT JOIN total USING (lang, source)),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+  FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank::INT AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+      FROM (FROM pairs UNION ALL FROM terms))
+WHERE part = 'pair' OR rank <= 10""",
 }
