@@ -94,6 +94,17 @@ def slices(batch: pa.RecordBatch, text_col: str = "text",
         lo = hi
 
 
+def parts(text: bytes, gap: re.Pattern, most: int = SLICE_BYTES) -> Iterator[bytes]:
+    """A text cut into parts of about ``most`` bytes, in front of a ``gap``."""
+    lo = 0
+    while len(text) - lo > most:
+        found = gap.search(text, lo + most)
+        hi = found.start() if found else len(text)
+        yield text[lo:hi]
+        lo = hi
+    yield text[lo:]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (all arithmetic is modulo 2^64)."""
     x = (x ^ (x >> np.uint64(30))) * _M1

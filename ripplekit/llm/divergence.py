@@ -47,17 +47,6 @@ _BITSETS = "lang string, block int, terms long, source string, n long, words bin
 _PAIRS = "lang string, source string, item string, value long"
 
 
-def _parts(text: bytes, most: int = C.SLICE_BYTES):
-    """A text cut into parts of about ``most`` bytes, never inside a term."""
-    lo = 0
-    while len(text) - lo > most:
-        gap = _GAP.search(text, lo + most)
-        hi = gap.start() if gap else len(text)
-        yield text[lo:hi]
-        lo = hi
-    yield text[lo:]
-
-
 def _count_terms(batches):
     counts: dict[tuple[str, str], Counter] = {}
     docs: dict[tuple[str, str], Counter] = {}
@@ -79,7 +68,7 @@ def _count_terms(batches):
             n = counts.setdefault(group, Counter())
             d = docs.setdefault(group, Counter())
             seen: set[bytes] = set()
-            for part in _parts(text.as_py().lower()):   # bytes: A-Z only
+            for part in C.parts(text.as_py().lower(), _GAP):   # bytes: A-Z only
                 terms = _TERM.findall(part)
                 n.update(terms)
                 seen.update(terms)

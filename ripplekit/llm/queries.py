@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplekit.llm import (divergence, fingerprints, lm_scoring, mixing, packing, pii, quality, simhash,
+from ripplekit.llm import (divergence, fingerprints, licenses, lm_scoring, mixing, packing, pii, quality, simhash,
                            substring_dedup, suffix_dedup, topk)
 from ripplekit.sources.tables import table
 
@@ -92,9 +92,19 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, spans = F.col("base"), F.col("spans")
+    first = F.transform(base, lambda b: b["first_word"])
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(first).alias("first_word"), F.array_max(first).alias("last_word"),
+        licenses.labels_text(base).alias("base_labels"), licenses.labels_text(base, spans).alias("labels"), "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_lm_scoring, op3_suffix_dedup, op4_quality_classifier, op5_document_fingerprints,
-    op6_exact_topk, op7_simhash_near_dedup, op8_mixing, op9_packing, op10_pii, op11_source_divergence)}
+    op6_exact_topk, op7_simhash_near_dedup, op8_mixing, op9_packing, op10_pii, op11_source_divergence,
+    op12_license_scan)}
 
 ORACLE = {
     "op1_substring_dedup": r"""

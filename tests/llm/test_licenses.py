@@ -1,0 +1,132 @@
+"""Licence scan against plain searches."""
+
+import os
+import random
+import re
+import sys
+
+sys.path.insert(0, os.path.dirname(__file__))
+
+from common_data import frame, odd_texts  # noqa: E402
+from ripplekit.llm import licenses  # noqa: E402
+from ripplekit.llm.license_texts import PHRASES, TEMPLATES  # noqa: E402
+from ripplekit.llm.queries import op12_license_scan  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+def words(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def places(ws, phrases=PHRASES):
+    out = []
+    for phrase, label in phrases:
+        p = words(phrase)
+        out += [(i, label) for i in range(len(ws) - len(p) + 1) if p and ws[i:i + len(p)] == p]
+    return sorted(out)
+
+
+def all_matches(ws, sequences, least):
+    """(sequence, first, end, first and end in it) of all matches that cannot
+    be longer on either side, by trying all."""
+    out = set()
+    for k, q in enumerate(sequences):
+        for i in range(len(ws)):
+            for j in range(len(q)):
+                if ws[i] == q[j] and (i == 0 or j == 0 or ws[i - 1] != q[j - 1]):
+                    n = 1
+                    while i + n < len(ws) and j + n < len(q) and ws[i + n] == q[j + n]:
+                        n += 1
+                    if n >= least:
+                        out.add((k, i, i + n, j, j + n))
+    return out
+
+
+def test_matching_statistics_and_phrases():
+    rnd = random.Random(3)
+    for _ in range(200):
+        word = lambda: rnd.choice("abcd")
+        templates = tuple((f"t{k}", " ".join(word() for _ in range(rnd.randint(0, 12)))) for k in range(4))
+        phrases = tuple((" ".join(word() for _ in range(rnd.randint(1, 3))), f"p{k}") for k in range(3))
+        s = licenses.Scanner(phrases, templates, 2, 3, 0.5)
+        ws = [rnd.choice("abcdx") for _ in range(rnd.randint(0, 40))]
+        stream, lo = licenses.Stream(s), 0
+        while lo < len(ws):   # in parts of any size
+            hi = lo + rnd.randint(1, 9)
+            stream.feed([w.encode() for w in ws[lo:hi]])
+            lo = hi
+        stream._end()
+        assert stream.n == len(ws)
+        assert sorted((i, s.labels[p]) for p, i in stream.base) == places(ws, phrases)
+        got = [(t - len(phrases), *m) for t, *m in stream.matches]
+        assert len(got) == len(set(got)) and set(got) == all_matches(ws, [words(t) for _, t in templates], 2)
+
+
+def found(spark, texts, **kw):
+    df = licenses.scan(frame(spark, list(enumerate(texts))), **kw)
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_spans_of_planted_templates(spark):
+    """Whole, changed and cut templates among other words."""
+    rnd = random.Random(5)
+    noise = lambda n: " ".join(rnd.choice(["lorem", "ipsum", "the", "of", "software"]) for _ in range(n))
+    for t, (label, text) in enumerate(TEMPLATES):
+        ws = text.split()
+        changed = list(ws)
+        for i in range(7, len(ws) - 5, 12):
+            changed[i] = "other words"
+        texts = [f"{noise(30)}\n{text}. {noise(9)}", f"{noise(5)} {' '.join(changed)} {noise(5)}".upper(),
+                 " ".join(ws[:len(ws) // 3]), f"{text} {noise(3)} {text}"]
+        got = found(spark, texts)
+        for d in (0, 1, 3):
+            assert label in [s.label for s in got[d].spans], (t, d)
+        whole = [s for s in got[0].spans if s.template == t]
+        assert [(s.first_word, s.last_word, s.share) for s in whole] == [(30, 29 + len(words(text)), 1.0)]
+        assert got[0].score == 1.0
+        assert t not in [s.template for s in got[2].spans]
+        assert len([s for s in got[3].spans if s.template == t and s.share == 1.0]) == 2
+
+
+def test_odd_rows(spark):
+    texts = odd_texts() + [(1000, "MIT MIT license apache  License, general public license. mit-license"),
+                           (1001, "General Public license"), (1001, "general public\tlicense" * 2)]
+    df = licenses.scan(frame(spark, texts, "base"))
+    got = sorted((r.doc_id, r.n_words, tuple((b.first_word, b.label) for b in r.base)) for r in df.collect())
+    want = sorted((i, len(words(t)), tuple(places(words(t)))) for i, t in texts)
+    assert got == want
+    rows = {r.doc_id: r for r in df.collect()}
+    assert rows[1000].score == 1.0 and rows[-20].score == 0.0 and not rows[-20].spans
+    empty = frame(spark, [])
+    assert licenses.scan(empty).count() == 0
+    assert licenses.scan(frame(spark, [(None, "mit license")])).count() == 0
+
+
+def test_long_text_in_parts():
+    """A text longer than a part: nothing is lost at the cuts."""
+    from ripplekit.llm import common
+    text = ("Released under the MIT License. " * 50 + TEMPLATES[2][1] + " x ").encode() * 3
+    s = licenses.Scanner(PHRASES, TEMPLATES, 4, 12, 0.75)
+    results = []
+    for most in (37, 64, 1 << 20):
+        stream = licenses.Stream(s)
+        for part in common.parts(text, licenses._BREAK, most):
+            stream.feed(licenses.words_of(part))
+        results.append((stream.n, stream.base, stream.chains()))
+    assert results[0] == results[1] == results[2] and len(results[0][1]) == 150
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: r for r in op12_license_scan(spark, SF).collect()}
+    assert len(got) == len(docs)
+    for d in docs:
+        r, at = got[d.doc_id], places(words(d.text))
+        starts = [i for i, _ in at]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word) == (
+            len(words(d.text)), len(at), min(starts, default=None), max(starts, default=None))
+        assert r.base_labels == ",".join(sorted({x for _, x in at}))
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+        assert 0 <= r.score <= 1 and (r.score == 1.0 or not at)
