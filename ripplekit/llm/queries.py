@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplekit.llm import (divergence, fingerprints, licenses, lm_scoring, mixing, packing, pii, quality, simhash,
-                           substring_dedup, suffix_dedup, topk)
+from ripplekit.llm import (divergence, fingerprints, licenses, lm_scoring, mixing, packing, pii, prefix_trie, quality,
+                           simhash, substring_dedup, suffix_dedup, topk)
 from ripplekit.sources.tables import table
 
 
@@ -101,10 +101,14 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         licenses.labels_text(base).alias("base_labels"), licenses.labels_text(base, spans).alias("labels"), "score")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_lm_scoring, op3_suffix_dedup, op4_quality_classifier, op5_document_fingerprints,
     op6_exact_topk, op7_simhash_near_dedup, op8_mixing, op9_packing, op10_pii, op11_source_divergence,
-    op12_license_scan)}
+    op12_license_scan, op13_prefix_trie)}
 
 ORACLE = {
     "op1_substring_dedup": r"""
@@ -196,4 +200,42 @@ SELECT lang, source, part, item, value, rank::INT AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
       FROM (FROM pairs UNION ALL FROM terms))
 WHERE part = 'pair' OR rank <= 10""",
+    "op13_prefix_trie": r"""
+WITH own AS (
+  SELECT c, k, chars, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, k) AS pos
+  FROM (SELECT conv_id AS c, turn, coalesce(role, '') AS role, length(coalesce(text, '')) AS chars,
+          md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+        FROM conversations WHERE conv_id IS NOT NULL)),
+-- CRC-32, bit by bit, of the decimal id
+convs AS (
+  SELECT c, c - c % 100 AS base, xor(list_reduce(
+      list_prepend(4294967295::UBIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), [0::UBIGINT for i in range(8)]),
+        lambda x, y: CASE WHEN x & 1::UBIGINT = 1 THEN xor(x >> 1::UBIGINT, 3988292384::UBIGINT)
+                          ELSE x >> 1::UBIGINT END)), 4294967295::UBIGINT) % 6 AS h
+  FROM (SELECT DISTINCT c FROM own)),
+rebuilt AS (
+  SELECT convs.c, pos AS d, k, chars FROM convs JOIN own ON own.c = convs.base AND pos <= h
+  UNION ALL
+  SELECT convs.c, pos - h + least(h, (SELECT count(*) FROM own o WHERE o.c = convs.base)) AS d, k, chars
+  FROM convs JOIN own ON own.c = convs.c AND pos > h),
+rows AS (
+  SELECT c, d, chars, string_agg(k, '') OVER (PARTITION BY c ORDER BY d) AS path FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+nodes AS (
+  SELECT d, path, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM rows GROUP BY d, path),
+ends AS (
+  SELECT path, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS sha
+  FROM (SELECT c, arg_max(path, d) AS path FROM rows GROUP BY c) GROUP BY path),
+children AS (
+  SELECT path[:-33] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+below AS (
+  SELECT r.path, count(*) FILTER (WHERE ch.n IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved
+  FROM nodes n LEFT JOIN children ch ON ch.path = n.path JOIN rows r ON r.c = n.conv_id AND r.d <= n.d
+  GROUP BY r.path)
+SELECT n.conv_id, n.d::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+  coalesce(ch.n, 0)::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens,
+  coalesce(e.sha, sha256('')) AS ends_sha256
+FROM nodes n JOIN below b USING (path) LEFT JOIN children ch ON ch.path = n.path
+LEFT JOIN nodes up ON up.path = n.path[:-33] AND up.d = n.d - 1 LEFT JOIN ends e ON e.path = n.path""",
 }
