@@ -131,6 +131,82 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "alerts long, recoveries long")
 
 
+def _in_batches(spark: SparkSession, sf_dir: str, least: int = 4) -> tuple[DataFrame, int]:
+    """The occupancy log, and rows per micro-batch so that there are ``least``
+    micro-batches or more and state crosses them at every size."""
+    from ripplekit.streaming.occupancy import ROWS_PER_BATCH
+    log = derived.occupancy_log(spark, sf_dir)
+    return log, max(1, min(ROWS_PER_BATCH, log.count() // least))
+
+
+def _streamed(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    from ripplekit.streaming.occupancy import replay_updates
+    log, size = _in_batches(spark, sf_dir)
+    rows = replay_updates(spark, log, scratch_path(spark, f"stream-{kind}"), rows_per_batch=size)
+    return rows.where(F.col("kind") == kind)
+
+
+def stream_room_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 as a stream: the count updates among the tagged updates of one
+    replay."""
+    return _streamed(spark, sf_dir, "count").select("seq", "sub", "room", "cnt")
+
+
+def stream_room_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 as a stream: the joined updates among the tagged updates."""
+    return _streamed(spark, sf_dir, "joined").select("seq", "sub", "room", "cap", "cnt")
+
+
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state that a replayed query has left in its checkpoint, read
+    back: both input tables and the count table."""
+    from ripplekit.streaming import occupancy as stream
+    from ripplekit.streaming.state import latest_tables
+    work = scratch_path(spark, "stream-state")
+    log, size = _in_batches(spark, sf_dir)
+    stream.replay_log(spark, log, work, rows_per_batch=size, restart=True)
+    return latest_tables(spark, f"{work}/checkpoint")
+
+
+def stream_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: updates of the student, capacity, count and joined tables and
+    alerts, as a listener has counted them while the query ran; one row per
+    table."""
+    from ripplekit.streaming import occupancy as stream
+    from ripplekit.streaming.monitor import monitored
+    work, runs = scratch_path(spark, "stream-monitor"), []
+
+    def begin(rows, checkpoint):
+        updates = stream.observed(stream.room_stream(stream.observed_log(rows)))
+        runs.append(stream.start(updates, checkpoint, path=f"{work}/out", partition_by=("kind",)))
+        return runs[-1]
+
+    log, size = _in_batches(spark, sf_dir)
+    with monitored(spark) as monitor:
+        stream.replay(spark, log, work, begin, size)
+        for q in runs:
+            monitor.wait(q.runId)
+        totals = {k: n for q in runs for metric in monitor.totals(q.id).values() for k, n in metric.items()}
+    return spark.createDataFrame([(k, int(n)) for k, n in totals.items()], "name string, n long")
+
+
+def stream_batch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 with a sink that is fed by ``foreachBatch``: the alerts, committed a
+    micro-batch at a time under its number."""
+    from ripplekit.streaming import occupancy as stream
+    from ripplekit.streaming.batch_table import BatchTable
+    work = scratch_path(spark, "stream-batches")
+    table_ = BatchTable(spark, f"{work}/table", "ts long, sub int, room string, value string")
+
+    def begin(rows, checkpoint):
+        alerts_ = stream.alerts_stream(rows).select("ts", "sub", "room", "value")
+        return stream.start(alerts_, checkpoint, each_batch=table_.each_batch)
+
+    log, size = _in_batches(spark, sf_dir)
+    stream.replay(spark, log, work, begin, size, restart=True)
+    return table_.read().select(F.col("ts").alias("seq"), "sub", "room", "value")
+
+
 def ingested_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 into C1: the student moves as ``key,value`` console lines (no comma:
     a deletion), scanned from text with their position, and their latest
@@ -264,6 +340,11 @@ JOBS = {
     "stream_alerts": stream_alerts,
     "stream_alerts_restarted": stream_alerts_restarted,
     "stream_counts": stream_counts,
+    "stream_room_counts": stream_room_counts,
+    "stream_room_status": stream_room_status,
+    "stream_state": stream_state,
+    "stream_monitor": stream_monitor,
+    "stream_batch_table": stream_batch_table,
     "ingested_state": ingested_state,
     "latest_by_key": latest_by_key,
     "bulk_upsert": bulk_upsert,

@@ -350,6 +350,22 @@ WHERE rn = 1 AND val IS NOT NULL""",
 SELECT count(*) AS alerts, count(CASE WHEN value = 'OK' THEN 1 END) AS recoveries
 FROM al WHERE value IS NOT NULL""",
 
+        "stream_state": f"""WITH {_OCCUPANCY}
+SELECT src, key, val FROM (
+  SELECT src, key, val, row_number() OVER (PARTITION BY src, key ORDER BY seq DESC) AS rn FROM log)
+WHERE rn = 1 AND val IS NOT NULL
+UNION ALL
+SELECT 'count' AS src, room AS key, CAST(arg_max(cnt, seq * 2 + sub) AS VARCHAR) AS val
+FROM tl WHERE delta <> 0 GROUP BY room""",
+
+        "stream_monitor": f"""WITH {_OCCUPANCY}, {_ALERTS}
+SELECT 'student' AS name, count(*) AS n FROM log WHERE src = 'student'
+UNION ALL SELECT 'capacity', count(*) FROM log WHERE src = 'class'
+UNION ALL SELECT 'count', count(*) FROM tl WHERE delta <> 0
+UNION ALL SELECT 'joined', count(*) FROM status
+UNION ALL SELECT 'alert', count(*) FROM al WHERE value IS NOT NULL
+UNION ALL SELECT 'recovery', count(*) FROM al WHERE value = 'OK'""",
+
         "op_report_total": _report(""),
 
         "op_pairing": f"""WITH {_OPLOG}

@@ -1,4 +1,4 @@
-"""The occupancy alerts as a Structured Streaming query.
+"""Room counts, joined updates and alerts as a Structured Streaming query.
 
 Two keyed stateful operators in one query, both in append mode: the
 student stage uses ``applyInPandasWithState`` (the state of a key travels
@@ -12,11 +12,13 @@ micro-batch at once, with array operations:
    (``sub = 0``) and ``+1`` for the new one (``sub = 1``);
 2. per room: the count is a running sum (C2), the capacity the last one set,
    a joined update (C3) a row where both exist, and an alert (C4) compares a
-   joined update with the joined update before it.
+   joined update with the joined update before it.  The three come out of the
+   one operator as rows tagged with their ``kind``, of which a query asks for
+   those that it needs.
 
 Every input update is emitted downstream, not only the last one per
-micro-batch (C5), so the output equals the batch job
-``operators.occupancy.alerts`` row for row.
+micro-batch (C5), so the output equals the batch jobs ``room_counts``,
+``room_status`` and ``alerts`` of ``operators.occupancy`` row for row.
 
 Order: rows carry ``ts, src, part, off`` (broker timestamp, source, topic
 partition, offset) and a key's rows of a micro-batch are handled in that
@@ -32,12 +34,16 @@ into a task.
 Offsets, state (RocksDB, set on the session when starting) and the sink's
 commit log live in the checkpoint folder, which gives exactly-once output
 across restarts (C6, C7); a fresh checkpoint folder starts a run afresh (C8).
+``streaming.state`` reads the state of a checkpoint as tables,
+``streaming.monitor`` counts the updates of a running query (K5) and
+``streaming.batch_table`` is an exactly-once sink without a commit log of its
+own (C6).
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -67,6 +73,8 @@ LOG_SCHEMA = T.StructType([
 ])
 
 _UPDATE = f"{_ORDER_SQL}, sub int, room string, delta int, is_cap boolean, cap int"
+KINDS = ("count", "joined", "alert")   # C2, C3, C4
+_ROOM_UPDATE = f"{_ORDER_SQL}, sub int, room string, kind string, cap int, cnt long, value string"
 _ALERT = f"{_ORDER_SQL}, sub int, room string, value string"
 _ROOM_STATE = T.StructType([
     T.StructField("cnt", T.LongType()),
@@ -98,8 +106,9 @@ def student_rooms(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataF
         yield out.assign(is_cap=False, cap=pd.array([None] * len(out), dtype="Int32"))
 
 
-def room_alerts(batch: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
-    """Alerts and next state of one room from its ordered updates."""
+def room_updates(batch: pd.DataFrame, state: tuple, kinds: tuple[str, ...]) -> tuple[pd.DataFrame, tuple]:
+    """Updates of these kinds and the next state of one room from its ordered
+    changes."""
     cnt0, seen0, cap0, over0 = state
     is_cap = batch["is_cap"].to_numpy(bool)
     cnt = cnt0 + np.cumsum(np.where(is_cap, 0, batch["delta"].to_numpy(np.int64)))
@@ -114,23 +123,35 @@ def room_alerts(batch: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]
     before = np.where(over, cnt[at].astype(float), np.nan)
     prev = np.append(np.nan if over0 is None else float(over0), before)[:len(at)]
     tell = over | (prev > cnt[at])
-    value = np.where(over, cnt[at].astype(str), "OK")[tell]
-    out = batch[[*ORDER, "sub", "room"]].iloc[at[tell]].assign(value=value)
+    rows = {"count": np.flatnonzero(~is_cap), "joined": at, "alert": at[tell]}
+    parts = []
+    for kind in kinds:
+        i = rows[kind]
+        none = pd.array([None] * len(i), dtype="Int32")
+        parts.append(batch[[*ORDER, "sub", "room"]].iloc[i].assign(
+            kind=kind,
+            cap=pd.array(cap[i], dtype="Int32") if kind == "joined" else none,
+            cnt=none.astype("Int64") if kind == "alert" else pd.array(cnt[i], dtype="Int64"),
+            value=np.where(over, cnt[at].astype(str), "OK")[tell] if kind == "alert" else None))
     if len(at):
         over0 = int(cnt[at[-1]]) if over[-1] else None
-    return out, (int(cnt[-1]), bool(seen[-1]), None if np.isnan(cap[-1]) else int(cap[-1]), over0)
+    return (pd.concat([p for p in parts if len(p)], ignore_index=True) if any(map(len, parts)) else parts[0],
+            (int(cnt[-1]), bool(seen[-1]), None if np.isnan(cap[-1]) else int(cap[-1]), over0))
 
 
-class RoomAlerts(StatefulProcessor):
+class RoomUpdates(StatefulProcessor):
     """Stage 2, keyed by room: count, capacity, join and alert."""
 
+    def __init__(self, kinds: tuple[str, ...]):
+        self.kinds = kinds
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("room", _ROOM_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         got = self.state.get()
-        out, state = room_alerts(_ordered(rows, [*ORDER, "sub"]),
-                                 (0, False, None, None) if got is None else tuple(got))
+        out, state = room_updates(_ordered(rows, [*ORDER, "sub"]),
+                                  (0, False, None, None) if got is None else tuple(got), self.kinds)
         self.state.update(state)
         if len(out):
             yield out
@@ -139,9 +160,12 @@ class RoomAlerts(StatefulProcessor):
         pass
 
 
-def alerts_stream(log: DataFrame) -> DataFrame:
-    """Streaming alerts (order columns, ``sub, room, value``) from a streaming
-    log of :data:`LOG_SCHEMA`."""
+def room_stream(log: DataFrame, kinds: tuple[str, ...] = KINDS) -> DataFrame:
+    """Tagged updates from a streaming log of :data:`LOG_SCHEMA`: order
+    columns, ``sub, room, kind`` and, by kind, ``cnt`` (``count``), ``cap,
+    cnt`` (``joined``) or ``value`` (``alert``)."""
+    if not kinds or not set(kinds) <= set(KINDS):
+        raise ValueError(f"kinds must be some of {KINDS}, not {kinds!r}")
     students = log.where(F.col("src") == "student").select(*ORDER, "key", "val")
     deltas = students.groupBy("key").applyInPandasWithState(
         student_rooms, outputStructType=_UPDATE, stateStructType="room string",
@@ -150,7 +174,13 @@ def alerts_stream(log: DataFrame) -> DataFrame:
         *ORDER, F.lit(0).alias("sub"), F.col("key").alias("room"), F.lit(0).alias("delta"),
         F.lit(True).alias("is_cap"), strict_int(F.col("val"), "capacity").alias("cap"))
     return deltas.unionByName(caps).groupBy("room").transformWithStateInPandas(
-        statefulProcessor=RoomAlerts(), outputStructType=_ALERT, outputMode="Append", timeMode="None")
+        statefulProcessor=RoomUpdates(tuple(kinds)), outputStructType=_ROOM_UPDATE, outputMode="Append",
+        timeMode="None")
+
+
+def alerts_stream(log: DataFrame) -> DataFrame:
+    """Streaming alerts: order columns, ``sub, room, value``."""
+    return room_stream(log, ("alert",)).select(*ORDER, "sub", "room", "value")
 
 
 def topic_records(raw: DataFrame, src: str) -> DataFrame:
@@ -197,20 +227,43 @@ def _use_rocksdb(spark: SparkSession) -> None:
         spark.conf.set(key, want)
 
 
+def observed(updates: DataFrame) -> DataFrame:
+    """Tagged updates whose numbers of counts, joined updates, alerts and
+    recoveries are reported per micro-batch as the metric ``updates``."""
+    of = lambda c: F.count(F.when(c, 1))
+    return updates.observe(
+        "updates", *[of(F.col("kind") == k).alias(k) for k in KINDS], of(F.col("value") == "OK").alias("recovery"))
+
+
+def observed_log(log: DataFrame) -> DataFrame:
+    """The log, whose numbers of student and capacity updates (deletions
+    included) are reported per micro-batch as the metric ``log``."""
+    return log.observe("log", *[F.count(F.when(F.col("src") == s, 1)).alias(n)
+                                for s, n in (("student", "student"), ("class", "capacity"))])
+
+
+def start(rows: DataFrame, checkpoint: str, available_now: bool = True, **sink):
+    """Start a query on a streaming DataFrame; ``sink``: ``path`` (and
+    ``partition_by``) for an exactly-once parquet folder, or ``each_batch``, a
+    function of a micro-batch's rows and number."""
+    _use_rocksdb(rows.sparkSession)
+    w = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    if "each_batch" in sink:
+        return w.foreachBatch(sink["each_batch"]).start()
+    return w.format("parquet").option("path", sink["path"]).partitionBy(*sink.get("partition_by", ())).start()
+
+
 def start_alerts(spark: SparkSession, log: DataFrame, out_dir: str, checkpoint: str,
                  available_now: bool = True):
     """Start the alert query on a streaming log with an exactly-once
     parquet sink; returns the ``StreamingQuery``."""
-    _use_rocksdb(spark)
     # Per micro-batch counts in the query progress (``observedMetrics``),
     # the monitoring counterpart of printing every update.
     out = alerts_stream(log).observe(
         "alerts", F.count(F.lit(1)).alias("alerts"),
         F.count(F.when(F.col("value") == "OK", 1)).alias("recoveries"))
-    w = (out.writeStream.format("parquet").outputMode("append")
-         .option("path", out_dir).option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
-    return w.start()
+    return start(out, checkpoint, available_now, path=out_dir)
 
 
 def _stage(log: DataFrame, path: str, rows_per_batch: int, first_time: int) -> int:
@@ -230,42 +283,65 @@ def _stage(log: DataFrame, path: str, rows_per_batch: int, first_time: int) -> i
     return first_time + 1000 * len(files)
 
 
-def _run_once(spark: SparkSession, in_dir: str, out_dir: str, ckpt: str) -> list[dict]:
-    """Consume what is there, a file per micro-batch; returns the observed
-    counts of the micro-batches."""
-    stream = (spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1)
-              .parquet(f"{in_dir}/*"))
-    q = start_alerts(spark, stream, out_dir, ckpt, available_now=True)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    seen = [p["observedMetrics"]["alerts"] for p in q.recentProgress if "alerts" in p.get("observedMetrics", {})]
-    return [{k: m[k] for k in ("alerts", "recoveries")} for m in seen]
-
-
-def replay_log(spark: SparkSession, log: DataFrame, workdir: str, rows_per_batch: int = ROWS_PER_BATCH,
-               restart: bool = False, progress: list | None = None) -> DataFrame:
-    """Replay a batch log ``seq, src, key, val`` through the stream and return
-    the alerts, ``seq, sub, room, value``.
+def replay(spark: SparkSession, log: DataFrame, workdir: str, begin: Callable, rows_per_batch: int = ROWS_PER_BATCH,
+           restart: bool = False) -> list[dict] | None:
+    """Replay a batch log ``seq, src, key, val`` through a streaming query and
+    return the progress of its micro-batches (None: the log is empty and
+    nothing was started).
 
     The log is staged as files in ``seq`` order of about ``rows_per_batch``
-    rows; one ``availableNow`` run consumes a file per micro-batch, so state
-    crosses micro-batches as in a long-running query.  With ``restart`` the
-    second half of the log is staged and consumed by a new query on the same
-    checkpoint.  ``progress`` collects the observed counts.  ``workdir`` must
-    be on shared storage on a cluster (use ``plans.lineage.scratch_path``)."""
-    out_dir, ckpt, in_dir = f"{workdir}/out", f"{workdir}/checkpoint", f"{workdir}/in"
+    rows; ``begin(stream, checkpoint)`` starts an ``availableNow`` query, which
+    consumes a file per micro-batch, so state crosses micro-batches as in a
+    long-running query.  With ``restart`` the second half of the log is staged
+    and consumed by a new query on the same checkpoint.  ``workdir`` must be on
+    shared storage on a cluster (use ``plans.lineage.scratch_path``)."""
+    in_dir, checkpoint = f"{workdir}/in", f"{workdir}/checkpoint"
     rows = log.select(F.col("seq").cast("long").alias("ts"), F.col("src"), F.lit(0).alias("part"),
                       F.lit(0).cast("long").alias("off"), "key", "val")
     ends = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     if ends["lo"] is None:
-        return spark.createDataFrame([], "seq long, sub int, room string, value string")
+        return None
     middle = F.lit((ends["lo"] + ends["hi"]) // 2)
     waves = [rows.where(F.col("ts") <= middle), rows.where(F.col("ts") > middle)] if restart else [rows]
-    time = 1_000_000_000_000
+    time, seen = 1_000_000_000_000, []
     for k, wave in enumerate(waves):
         time = _stage(wave, f"{in_dir}/w{k}", rows_per_batch, time)
-        seen = _run_once(spark, in_dir, out_dir, ckpt)
-        if progress is not None:
-            progress += seen
+        stream = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{in_dir}/*")
+        q = begin(stream, checkpoint)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        seen += q.recentProgress
+    return seen
+
+
+def replay_log(spark: SparkSession, log: DataFrame, workdir: str, rows_per_batch: int = ROWS_PER_BATCH,
+               restart: bool = False, progress: list | None = None) -> DataFrame:
+    """Replay a log (see :func:`replay`) and return the alerts, ``seq, sub,
+    room, value``.  ``progress`` collects the observed counts."""
+    out_dir = f"{workdir}/out"
+    seen = replay(spark, log, workdir, lambda stream, checkpoint: start_alerts(spark, stream, out_dir, checkpoint),
+                  rows_per_batch, restart)
+    if seen is None:
+        return spark.createDataFrame([], "seq long, sub int, room string, value string")
+    if progress is not None:
+        got = [p["observedMetrics"]["alerts"] for p in seen if "alerts" in p.get("observedMetrics", {})]
+        progress += [{k: m[k] for k in ("alerts", "recoveries")} for m in got]
     return spark.read.schema(_ALERT).parquet(out_dir).select(F.col("ts").alias("seq"), "sub", "room", "value")
+
+
+def replay_updates(spark: SparkSession, log: DataFrame, workdir: str, kinds: tuple[str, ...] = KINDS,
+                   rows_per_batch: int = ROWS_PER_BATCH, restart: bool = False) -> DataFrame:
+    """Replay a log and return the updates of these kinds, ``seq, sub, room,
+    kind, cap, cnt, value``; the sink has a folder per kind."""
+    out_dir = f"{workdir}/updates"
+    cols = "sub int, room string, kind string, cap int, cnt long, value string"
+
+    def begin(stream, checkpoint):
+        return start(observed(room_stream(observed_log(stream), kinds)), checkpoint, path=out_dir,
+                     partition_by=("kind",))
+
+    if replay(spark, log, workdir, begin, rows_per_batch, restart) is None:
+        return spark.createDataFrame([], f"seq long, {cols}")
+    return spark.read.schema(_ROOM_UPDATE).parquet(out_dir) \
+        .select(F.col("ts").alias("seq"), "sub", "room", "kind", "cap", "cnt", "value")
