@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplekit.operators import compare, digests, history, kvlog, occupancy, ratings, words
-from ripplekit.plans.lineage import scratch_path
+from ripplekit.plans.lineage import materialize, scratch_path
 from ripplekit.sources import derived
+from ripplekit.sources.bucketed import buckets_for, write_bucketed
 from ripplekit.sources.tables import table
 from ripplekit.sources.sinks import write_lines
-from ripplekit.sources.text import lines_of_column, parse_key_value, parse_matrix, read_lines, read_oplog, titles
+from ripplekit.sources.text import (good_operations, lines_of_column, parse_key_value, parse_matrix, parse_oplog,
+                                    read_lines, read_oplog, titles)
 
 
 # -- W1 ----------------------------------------------------------------------
@@ -86,6 +88,20 @@ def output_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.multiset_diff(a, b, ["line"])
 
 
+def output_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheap check first: per pair of results whether they are equal and,
+    only if not, by how many rows they differ."""
+    a, b = derived.diff_sides(spark, sf_dir)
+    repeated = a.unionByName(a.orderBy("line").limit(1))
+    pairs = {"slices": (a, b), "reordered": (a, a.repartition("line")), "repeated": (a, repeated)}
+    out = []
+    for name, (x, y) in pairs.items():
+        differing = compare.diff_if_any(x, y).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long"))
+        out.append(compare.check(x, y).select(
+            F.lit(name).alias("pair"), "equal", "n_left", "n_right", differing.scalar().alias("n_diff")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 # -- C1-C4 -------------------------------------------------------------------
 
 def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,6 +263,13 @@ def lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kvlog.lookup_default(keys, kvlog.latest_by_key(_put_log(spark, sf_dir)))
 
 
+def lookup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 against a table that is bucketed by key: only the keys move."""
+    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
+    puts = kvlog.latest_by_key(_put_log(spark, sf_dir))
+    return kvlog.lookup_default(keys, write_bucketed(puts, ["key"], buckets_for(keys)))
+
+
 def snapshot_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the table as a chunked snapshot under the shared checkpoint
     folder and read it back."""
@@ -270,6 +293,19 @@ def op_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kvlog.pair_operations(read_oplog(spark, derived.operation_log(spark, sf_dir)))
 
 
+def json_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 as text: the operation log from JSON lines, some of them damaged;
+    operations are paired from the good ones."""
+    lines = read_lines(spark, derived.operation_log_json(spark, sf_dir))
+    return kvlog.pair_operations(good_operations(parse_oplog(lines)))
+
+
+def json_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the JSON log by their state."""
+    lines = read_lines(spark, derived.operation_log_json(spark, sf_dir))
+    return parse_oplog(lines).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+
+
 def op_report_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one report of the whole run."""
     return kvlog.throughput_report(op_pairing(spark, sf_dir), [])
@@ -304,9 +340,9 @@ def salted_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.salted_digest(docs, "text", salt=_doc_salt()).select("doc_id", "digest")
 
 
-def verify_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of the documents checked against an altered copy: every 7th
-    text changed, every 11th stored digest cut short (malformed)."""
+def _values_and_digests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Texts, every 7th changed, and stored digests of the unchanged ones,
+    every 11th cut short (malformed)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     stored = digests.salted_digest(docs, "text", salt=_doc_salt()).select(
         "doc_id",
@@ -316,9 +352,23 @@ def verify_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit("."))).otherwise(F.col("text"))
          .alias("text"))
+    return values, stored
+
+
+def verify_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the documents checked against an altered copy."""
+    values, stored = _values_and_digests(spark, sf_dir)
     return digests.verify_digest(values, stored, on="doc_id", col="text")
 
 
+def verify_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the texts in a table bucketed by id and the digests in a
+    table: only the digests move."""
+    values, stored = _values_and_digests(spark, sf_dir)
+    return digests.verify_digest(write_bucketed(values, ["doc_id"], buckets_for(values)),
+                                 materialize(stored, "digests"), on="doc_id", col="text")
+
+
 def hash_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.audit_hashes(derived.stored_hashes(spark, sf_dir), "hash", min_cost=10)
 
@@ -333,6 +383,7 @@ JOBS = {
     "ratings_per_user": ratings_per_user,
     "similarity": similarity,
     "output_diff": output_diff,
+    "output_check": output_check,
     "latest_state": latest_state,
     "room_counts": room_counts,
     "room_status": room_status,
@@ -349,9 +400,12 @@ JOBS = {
     "latest_by_key": latest_by_key,
     "bulk_upsert": bulk_upsert,
     "lookup_default": lookup_default,
+    "lookup_bucketed": lookup_bucketed,
     "snapshot_export": snapshot_export,
     "snapshot_files": snapshot_files,
     "op_pairing": op_pairing,
+    "json_pairing": json_pairing,
+    "json_bad_lines": json_bad_lines,
     "op_report_total": op_report_total,
     "op_report": op_report,
     "op_report_by_thread": op_report_by_thread,
@@ -359,5 +413,6 @@ JOBS = {
     "history_summary": history_summary,
     "salted_digest": salted_digest,
     "verify_digest": verify_digest,
+    "verify_bucketed": verify_bucketed,
     "hash_audit": hash_audit,
 }

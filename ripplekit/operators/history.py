@@ -16,14 +16,15 @@ Comput. 1997):
 * score 1: a read finished before its write started (``read_before_write``),
   two forward zones of a key overlap (``overlap``: reported for the one
   starting later), or a backward zone lies inside a forward zone
-  (``containment``).
+  (``containment``).  ``other`` is the value of the forward zone that it
+  overlaps or lies in: of all that started before, the one that ends last.
 
 Pending writes count with an infinite finish when some read returned their
 value, otherwise they are dropped; pending reads are dropped.  All instants
 must be distinct.
 
 Plan: one aggregation per cluster, then a running maximum of forward-zone
-ends per key in zone order (``plans.ordered``, bounded window partitions
+ends, with the zone's value as its argument, per key in zone order (``plans.ordered``, bounded window partitions
 even for a hot key) instead of a self-join of clusters.
 """
 
@@ -70,25 +71,29 @@ def clusters(ops: DataFrame) -> DataFrame:
 
 
 def check_history(ops: DataFrame, partitions: int | None = None) -> DataFrame:
-    """``k, v, score int, reason string``: one row per offending cluster."""
+    """``k, v, score int, reason string, other string``: one row per offending
+    cluster; ``other`` is null unless the reason is an overlap or containment."""
     # One row per cluster, written once: the zone scan and the reports read it
     # instead of re-running the pairing.
     c = materialize(clusters(ops), "history-clusters")
+    none = F.lit(None).cast("string").alias("other")
     junk = c.where(~F.col("has_write")).select(
-        "k", "v", F.lit(2).alias("score"), F.lit("junk").alias("reason"))
+        "k", "v", F.lit(2).alias("score"), F.lit("junk").alias("reason"), none)
     twice = c.where("duplicate").select(
-        "k", "v", F.lit(2).alias("score"), F.lit("duplicate_write").alias("reason"))
+        "k", "v", F.lit(2).alias("score"), F.lit("duplicate_write").alias("reason"), none)
     z = c.where("has_write").join(twice.select("k").distinct(), "k", "left_anti").select(
         "k", "v", "ws", "rf",
         (F.col("f") < F.col("s")).alias("fwd"),
         F.least("f", "s").alias("lo"), F.greatest("f", "s").alias("hi"))
     z = ordered_scan(z, ["k"], ["lo", "v"],
-                     [Scan("mh", "max_before", F.when(F.col("fwd"), F.col("hi")))], partitions)
+                     [Scan("last", "arg_max_before", F.struct(F.when(F.col("fwd"), F.col("hi")).alias("hi"), "v"))],
+                     partitions)
     reason = (F.when(F.col("rf") < F.col("ws"), F.lit("read_before_write"))
-              .when(F.col("fwd") & (F.col("mh") > F.col("lo")), F.lit("overlap"))
-              .when(~F.col("fwd") & (F.col("mh") > F.col("hi")), F.lit("containment")))
-    bad = z.select("k", "v", F.lit(1).alias("score"), reason.alias("reason")) \
-        .where(F.col("reason").isNotNull())
+              .when(F.col("fwd") & (F.col("last.hi") > F.col("lo")), F.lit("overlap"))
+              .when(~F.col("fwd") & (F.col("last.hi") > F.col("hi")), F.lit("containment")))
+    bad = z.select("k", "v", F.lit(1).alias("score"), reason.alias("reason"), "last").where("reason is not null") \
+        .select("k", "v", "score", "reason",
+                F.when(F.col("reason") != "read_before_write", F.col("last.v")).alias("other"))
     return junk.unionByName(twice).unionByName(bad)
 
 

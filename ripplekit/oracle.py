@@ -140,6 +140,11 @@ pairs AS (
 """
 
 
+# Lines of the JSON log that are damaged, by their instant.
+_LINE_STATE = """CASE WHEN t % 59 = 0 OR t % 71 = 0 THEN 'malformed' WHEN t % 61 = 0 THEN 'missing_field'
+  WHEN t % 67 = 0 THEN 'bad_value' ELSE 'ok' END"""
+
+
 def _report(by: str) -> str:
     return f"""WITH {_OPLOG}
 SELECT {by + "," if by else ""} count(CASE WHEN status = 'ok' THEN 1 END) AS n_ok,
@@ -186,12 +191,20 @@ flagged AS (
                                          AND o.lo < z.lo AND o.hi > z.hi) THEN 'containment'
          END AS reason
   FROM zones z),
+pairs_of AS (
+  SELECT f.k, f.v, f.reason, o.v AS other, o.hi
+  FROM flagged f JOIN zones z ON z.k = f.k AND z.v = f.v
+  JOIN zones o ON o.k = z.k AND o.fwd AND o.lo < z.lo
+    AND o.hi > CASE WHEN f.reason = 'overlap' THEN z.lo ELSE z.hi END
+  WHERE f.reason IN ('overlap', 'containment')),
 checked AS (
-  SELECT k, v, 2 AS score, 'junk' AS reason FROM cl WHERE NOT has_write
+  SELECT k, v, 2 AS score, 'junk' AS reason, CAST(NULL AS VARCHAR) AS other FROM cl WHERE NOT has_write
+  UNION ALL
+  SELECT k, v, 2 AS score, 'duplicate_write' AS reason, NULL AS other FROM cl WHERE duplicate
   UNION ALL
-  SELECT k, v, 2 AS score, 'duplicate_write' AS reason FROM cl WHERE duplicate
+  SELECT k, v, 1 AS score, reason, NULL AS other FROM flagged WHERE reason = 'read_before_write'
   UNION ALL
-  SELECT k, v, 1 AS score, reason FROM flagged WHERE reason IS NOT NULL)
+  SELECT k, v, 1 AS score, reason, arg_max(other, hi) AS other FROM pairs_of GROUP BY k, v, reason)
 """
 
 _DIGEST = "'$s2$' || md5(CAST(doc_id AS VARCHAR)) || '$' || sha256(md5(CAST(doc_id AS VARCHAR)) || text)"
@@ -371,12 +384,18 @@ UNION ALL SELECT 'recovery', count(*) FROM al WHERE value = 'OK'""",
         "op_pairing": f"""WITH {_OPLOG}
 SELECT tid, op, k, v, start, finish, status FROM pairs""",
 
+        "json_pairing": f"""WITH {_OPLOG.replace("FROM oplog WINDOW", f"FROM oplog WHERE {_LINE_STATE} = 'ok' WINDOW")}
+SELECT tid, op, k, v, start, finish, status FROM pairs""",
+
+        "json_bad_lines": f"""WITH {_OPLOG}
+SELECT {_LINE_STATE} AS state, count(*) AS n FROM oplog GROUP BY 1""",
+
         "op_report": _report("op"),
 
         "op_report_by_thread": _report("tid"),
 
         "history_check": f"""WITH {_OPLOG}, {_HISTORY}
-SELECT k, v, score, reason FROM checked""",
+SELECT k, v, score, reason, other FROM checked""",
 
         "history_summary": f"""WITH {_OPLOG}, {_HISTORY}
 SELECT score, count(*) AS n FROM checked GROUP BY score""",
@@ -403,6 +422,19 @@ SELECT doc_id,
        NOT good AS malformed
 FROM j""",
 
+        "output_check": """
+WITH a AS (SELECT o_orderpriority || ',' || o_orderstatus AS line FROM orders WHERE o_orderkey % 3 <> 0),
+b AS (SELECT o_orderpriority || ',' || o_orderstatus AS line FROM orders WHERE o_orderkey % 3 <> 1),
+c AS (SELECT * FROM a UNION ALL (SELECT line FROM a ORDER BY line LIMIT 1)),
+sides AS (
+  SELECT 'reordered' AS pair, line, 1 AS l, 1 AS r FROM a
+  UNION ALL SELECT 'slices', line, 1, 0 FROM a UNION ALL SELECT 'slices', line, 0, 1 FROM b
+  UNION ALL SELECT 'repeated', line, 1, 0 FROM a UNION ALL SELECT 'repeated', line, 0, 1 FROM c),
+net AS (SELECT pair, line, sum(l) AS l, sum(r) AS r FROM sides GROUP BY ALL)
+SELECT pair, bool_and(l = r) AS equal, CAST(sum(l) AS BIGINT) AS n_left, CAST(sum(r) AS BIGINT) AS n_right,
+       CAST(sum(abs(l - r)) AS BIGINT) AS n_diff
+FROM net GROUP BY pair""",
+
         "hash_audit": f"""WITH {_HASHES}
 SELECT class,
        CASE WHEN class IN ('BAD_VERSION', 'BAD_REVISION', 'MISSING_ROUNDS') THEN NULL

@@ -18,6 +18,7 @@ of the job.  The scan has one path for all keys and sizes:
    partitions, and joined back.
 
 Keys must be non-null and the order columns must be unique within a key.
+Helper columns get names that the input does not have.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ripplekit.plans.lineage import materialize
 
-KINDS = ("lag", "lead", "sum", "last", "last_before", "max_before")
+KINDS = ("lag", "lead", "sum", "last", "last_before", "max_before", "arg_max_before")
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,10 @@ class Scan:
       ``last``         last non-null value up to and including this row
       ``last_before``  last non-null value strictly before this row
       ``max_before``   maximum strictly before this row
+      ``arg_max_before``  ``expr`` is a struct of two fields: the row with the
+                       largest first field (nulls left out) strictly before
+                       this row, as that struct; of equal ones the larger
+                       second field
     """
 
     out: str
@@ -59,8 +64,12 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], specs: list[S
     for s in specs:
         if s.kind not in KINDS:
             raise ValueError(f"unknown scan kind {s.kind!r}")
-    part = "_part"
-    base = df.select("*", *[s.expr.alias(f"_e{i}") for i, s in enumerate(specs)])
+    prefix = "_"   # of helper columns: none that the input has
+    while any(c.lower().startswith((f"{prefix}part", *(f"{prefix}{x}{i}" for x in "eslc" for i in range(len(specs)))))
+              for c in df.columns):
+        prefix += "_"
+    part, name = f"{prefix}part", lambda x, i: f"{prefix}{x}{i}"
+    base = df.select("*", *[s.expr.alias(name("e", i)) for i, s in enumerate(specs)])
     ranged = base.repartitionByRange(partitions, *keys, *order) if partitions \
         else base.repartitionByRange(*keys, *order)
     placed = materialize(ranged.select("*", F.spark_partition_id().alias(part)), "ordered")
@@ -75,7 +84,10 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], specs: list[S
 
     cols, aggs, carries = [], [], []
     for i, s in enumerate(specs):
-        e, summary = F.col(f"_e{i}"), F.col(f"_s{i}")
+        e, summary = F.col(name("e", i)), F.col(name("s", i))
+        if s.kind == "arg_max_before":   # a struct with a null first field does not take part
+            first = base.schema[name("e", i)].dataType.fieldNames()[0]
+            e = F.when(e.getField(first).isNotNull(), e)
         row = F.struct(e.alias("v"))
         non_null = F.max_by(e, F.when(e.isNotNull(), at))
         local, total, carry = {
@@ -87,22 +99,23 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], specs: list[S
             "last_before": lambda: (F.last(e, ignorenulls=True).over(before), non_null,
                                     F.last(summary, ignorenulls=True).over(past)),
             "max_before": lambda: (F.max(e).over(before), F.max(e), F.max(summary).over(past)),
+            "arg_max_before": lambda: (F.max(e).over(before), F.max(e), F.max(summary).over(past)),
         }[s.kind]()
-        cols.append(local.alias(f"_l{i}"))
-        aggs.append(total.alias(f"_s{i}"))
-        carries.append(carry.alias(f"_c{i}"))
+        cols.append(local.alias(name("l", i)))
+        aggs.append(total.alias(name("s", i)))
+        carries.append(carry.alias(name("c", i)))
     scanned = placed.select("*", *cols)
     carry = placed.groupBy(*keys, part).agg(*aggs).select(*keys, part, *carries)
     joined = scanned.join(carry, on=[*keys, part])
 
     out = []
     for i, s in enumerate(specs):
-        local, carried = F.col(f"_l{i}"), F.col(f"_c{i}")
+        local, carried = F.col(name("l", i)), F.col(name("c", i))
         if s.kind in ("lag", "lead"):
             v = F.coalesce(local, carried).getField("v")
         elif s.kind == "sum":
             v = F.coalesce(local + carried, local, carried)
-        elif s.kind == "max_before":
+        elif s.kind in ("max_before", "arg_max_before"):
             v = F.greatest(local, carried)
         else:
             v = F.coalesce(local, carried)

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from ripplekit.plans.lineage import materialize, scratch_path
 from ripplekit.plans.ordered import Scan, ordered_scan
+from ripplekit.sources.sinks import write_lines
 from ripplekit.sources.tables import table
+from ripplekit.sources.text import OPLOG_SCHEMA, read_oplog
 
 
 def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +120,24 @@ def operation_log(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def operation_log_json(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the operation log as JSON lines of which some are damaged, by
+    their instant ``t``: cut in the middle (``t % 59 = 0``), a word instead of
+    the instant (``t % 71 = 0``), without a phase (``t % 61 = 0``), an unknown
+    phase (``t % 67 = 0``); the first that applies."""
+    log = read_oplog(spark, operation_log(spark, sf_dir))
+    t, line = F.col("t"), F.col("value")
+    whole = log.select("t", F.to_json(F.struct(*OPLOG_SCHEMA.fieldNames())).alias("value"))
+    damaged = (F.when(t % 59 == 0, F.expr("substring(value, 1, length(value) div 2)"))
+               .when(t % 71 == 0, F.regexp_replace(line, '"t":[0-9]+', '"t":"soon"'))
+               .when(t % 61 == 0, F.regexp_replace(line, '"phase":"[a-z]+",', ""))
+               .when(t % 67 == 0, F.regexp_replace(line, '"phase":"[a-z]+"', '"phase":"maybe"'))
+               .otherwise(line))
+    path = scratch_path(spark, "oplog-json")
+    write_lines(whole.select(damaged.alias("value")), path, ["value"])
+    return path
+
+
 def diff_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two overlapping result sets of ``line string``: ``priority,status``
     of orders with ``o_orderkey % 3 <> 0`` and ``<> 1``."""

@@ -3,6 +3,9 @@ ingest lines, the operation-log schema and the calibration report."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +69,36 @@ def read_oplog(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).schema(OPLOG_SCHEMA).load(path)
 
 
+def render_oplog(log: DataFrame) -> DataFrame:
+    """The operation log as JSON lines, ``value string`` (null fields are left
+    out)."""
+    return log.select(F.to_json(F.struct(*OPLOG_SCHEMA.fieldNames())).alias("value"))
+
+
+def parse_oplog(lines: DataFrame, col: str = "value") -> DataFrame:
+    """S9 from JSON lines: the log's columns by the explicit schema, ``line``
+    and ``state``: ``ok``, ``malformed`` (no JSON object, or a value of another
+    type), ``missing_field`` (one that may not be null) or ``bad_value`` (an
+    unknown ``phase`` or ``op``).  Blank lines are left out, as by the JSON
+    source; unknown fields are ignored."""
+    fields = [T.StructField(f.name, f.dataType) for f in OPLOG_SCHEMA]
+    schema = T.StructType([*fields, T.StructField("_malformed", T.StringType())])
+    row = F.from_json(col, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
+    parsed = lines.where(F.trim(F.col(col)) != "").select(F.col(col).alias("line"), row.alias("row"))
+    field = lambda f: F.col(f"row.{f}")
+    missing = [field(f.name).isNull() for f in OPLOG_SCHEMA if not f.nullable]
+    state = (F.when(F.col("row").isNull() | field("_malformed").isNotNull(), F.lit("malformed"))
+             .when(reduce(or_, missing), F.lit("missing_field"))
+             .when(~field("phase").isin("inv", "res") | ~field("op").isin("w", "r"), F.lit("bad_value"))
+             .otherwise(F.lit("ok")))
+    return parsed.select(*[field(f.name).alias(f.name) for f in OPLOG_SCHEMA], "line", state.alias("state"))
+
+
+def good_operations(parsed: DataFrame) -> DataFrame:
+    """The usable rows of :func:`parse_oplog`."""
+    return parsed.where("state = 'ok'").select(*OPLOG_SCHEMA.fieldNames())
+
+
 def parse_calibration(lines: DataFrame, col: str = "value") -> DataFrame:
     """Timing report lines ``Throughput for logRounds=<c>: <x>`` and
     ``Latency for logRounds=<c>: <ms>`` -> ``cost int, metric string,

@@ -107,3 +107,49 @@ def test_keys_with_duplicates_do_not_hide_others(spark):
             (0, "w", "b", "y", 10, 11, "ok"), (1, "r", "b", "", 12, 13, "ok")]
     got = sorted((r.k, r.v, r.reason) for r in check_history(spark.createDataFrame(data, OPS)).collect())
     assert got == [("b", "y", "containment"), ("k", "v", "duplicate_write")]
+
+
+def test_the_other_value(spark):
+    """What a zone overlaps or lies in: the zone that ends last among those
+    that started before."""
+    data = [
+        (0, "w", "k", "a", 1, 2, "ok"), (1, "r", "k", "a", 50, 51, "ok"),      # forward zone 2..50
+        (0, "w", "k", "b", 3, 4, "ok"), (1, "r", "k", "b", 20, 21, "ok"),      # 4..20 overlaps a
+        (0, "w", "k", "c", 30, 35, "ok"),                                      # 30..35 lies in a
+        (0, "w", "k", "d", 60, 61, "ok"), (1, "r", "k", "d", 70, 71, "ok"),    # 61..70 alone
+        (0, "r", "k", "e", 80, 81, "ok"), (1, "w", "k", "e", 90, 91, "ok"),    # read before its write
+        (1, "r", "k", "junk", 95, 96, "ok"),
+    ]
+    got = sorted((r.v, r.reason, r.other) for r in check_history(spark.createDataFrame(data, OPS), 5).collect())
+    assert got == [("b", "overlap", "a"), ("c", "containment", "a"), ("e", "read_before_write", None),
+                   ("junk", "junk", None)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_the_other_value_is_an_offence(spark, seed):
+    """Against all pairs of zones of random histories."""
+    rnd = random.Random(100 + seed)
+    data = []
+    for h in range(30):
+        for op, v, s, f in random_history(rnd, 8):
+            data.append((0, op, f"key{h}", v, s, f, "ok"))
+    zones = {}
+    for _, op, k, v, s, f, _ in data:
+        z = zones.setdefault((k, v), {"f": f, "s": s, "w": v == ""})
+        z["f"], z["s"] = min(z["f"], f), max(z["s"], s)
+        z["w"] = z["w"] or op == "w"
+    span = {}
+    for (k, v), z in zones.items():
+        f = -1 if v == "" else z["f"]
+        span[k, v] = (f < z["s"], min(f, z["s"]), max(f, z["s"]))
+    seen = 0
+    for r in check_history(spark.createDataFrame(data, OPS), 7).collect():
+        if r.reason in ("overlap", "containment"):
+            seen += 1
+            fwd, lo, hi = span[r.k, r.v]
+            inside = [(o_hi, v) for (k, v), (o_fwd, o_lo, o_hi) in span.items()
+                      if k == r.k and o_fwd and o_lo < lo and o_hi > (lo if fwd else hi)]
+            assert r.other == max(inside)[1]
+        else:
+            assert r.other is None
+    assert seen > 10

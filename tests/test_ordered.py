@@ -66,3 +66,25 @@ def test_a_key_takes_up_partitions_of_bounded_size(spark):
         ordered.materialize = keep
     sizes = [r["count"] for r in placed[0].groupBy("_part").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 3 * 4000 / 8
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 11, None])
+def test_argument_of_the_running_maximum(spark, partitions):
+    rnd = random.Random(partitions)
+    data = [(f"k{min(2, rnd.randint(0, 6))}", i, rnd.choice([None, rnd.randint(0, 400)]), f"v{i}") for i in range(200)]
+    df = spark.createDataFrame(data, "k string, seq long, x int, v string")
+    out = ordered_scan(df, ["k"], ["seq"], [
+        Scan("best", "arg_max_before", F.struct("x", "v"))], partitions).collect()
+    assert len(out) == len(data)
+    for r in out:
+        before = [(x, v) for k, i, x, v in data if k == r.k and i < r.seq and x is not None]
+        assert (None if r.best is None else tuple(r.best)) == max(before, default=None)
+
+
+def test_input_with_the_helpers_names(spark):
+    df = spark.createDataFrame([("a", i, i * i, 7, 8, 9) for i in range(20)],
+                               "k string, seq long, _part int, _e0 int, _S0 int, __c0 int")
+    out = ordered_scan(df, ["k"], ["seq"], [Scan("s", "sum", F.col("_part").cast("long"))], 3)
+    assert out.columns == [*df.columns, "s"]
+    got = sorted((r.seq, r._part, r._e0, r._S0, r["__c0"], r.s) for r in out.collect())
+    assert got == [(i, i * i, 7, 8, 9, sum(j * j for j in range(i + 1))) for i in range(20)]
