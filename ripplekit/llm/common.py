@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of text that a task looks at together; bounds its arrays.
@@ -50,6 +50,12 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def text_hash(text_col: str = "text") -> Column:
+    """64-bit hash of a text, null counted as empty: tells rows of one id with
+    different texts apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with underscores behind it until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}
@@ -173,6 +179,12 @@ def segment_order(seg: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         [[0], np.cumsum(np.bincount(seg.astype(np.int64), minlength=n))])
 
 
+def segment_of_document(docs: np.ndarray, n: int) -> np.ndarray:
+    """Segment by a hash of the document, for what needs no other rows: a
+    value that very many documents share does not gather in its segment."""
+    return mix(docs.astype(np.int64).view(np.uint64) * _GOLD) % np.uint64(n)
+
+
 def runs(docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values and lengths of the runs of equal neighbours."""
     if not len(docs):

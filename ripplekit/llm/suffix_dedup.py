@@ -18,8 +18,8 @@ arranged without losing a repeat:
    An entry whose key occurs once holds no repeat.  Of equal strings under a
    key one is kept: their windows are repeats all.
 3. *Suffix arrays.*  Different strings under one key are cut from the texts
-   and meet in a collection, with one symbol in place of the core, which all
-   their windows contain; its Burrows-Wheeler transform and common prefixes
+   and meet in a collection (whole keys, about ``COLLECTION`` symbols),
+   with one symbol in place of the core, which all their windows contain; its Burrows-Wheeler transform and common prefixes
    tell which windows repeat.  Where more than ``CROWD`` different
    strings share a key, and for frequent keys, each window is grouped by a
    96-bit hash instead, of equal ones once per task, so that neither a
@@ -49,6 +49,9 @@ FREQUENT_BITS = 20
 SEGMENT_CHARS = 1 << 24   # characters of text whose entries meet in one segment
 FLUSH = 400_000
 SLICE = 1 << 19
+PLACE_BITS = np.uint64(32)   # of a place in a slice; a document is shorter than 4 GB
+COLLECTION = 1 << 20         # symbols of a collection, next to those of its last key
+WINDOWS = 400_000            # that are hashed together
 
 KNOWN, SEND, SPREAD = 1, 2, 3
 _ASK = np.dtype([("key", "<u8"), ("start", "<u4"), ("len", "<u2"), ("left", "u1"), ("what", "u1"), ("many", "u1")])
@@ -112,10 +115,11 @@ def _entries_of(buf, offs, length, gram, klass):
         return z, z, z, z, z.astype(np.uint64), z.astype(np.uint64)
     roll = _Rolling(buf, n)
     at = np.arange(n - gram + 1)
-    bits = np.uint64(max(1, int(n).bit_length()))
-    g = roll(at, at + gram) >> bits << bits | at.astype(np.uint64)
+    # The same hash bits in every slice, so that equal windows agree; the
+    # others hold the place.
+    g = roll(at, at + gram) >> PLACE_BITS << PLACE_BITS | at.astype(np.uint64)
     g = _sliding_min(g, length - gram + 1)          # one per window start
-    anchor = (g & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    anchor = (g & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
     # windows inside a document
     inside = np.zeros(n + 1, np.int32)
     lo, hi = offs[:-1], np.maximum(offs[:-1], offs[1:] - length + 1)
@@ -182,7 +186,7 @@ def _entries(n_seg, length, gram, klass, frequent):
         yield from _rows(
             [_by_seg(seg[rep], n_seg, [key[rep], sh[rep], start[rep], size[rep], left[rep], many[rep]],
                      docs[rep]),
-             _by_seg(seg[rest], n_seg, [spans], docs[rest])], [8, 3], _ENTRY_COLS)
+             _by_seg(C.segment_of_document(docs[rest], n_seg), n_seg, [spans], docs[rest])], [8, 3], _ENTRY_COLS)
 
     def run(batches):
         held, n = [], 0
@@ -317,25 +321,32 @@ def _suffix_arrays(length, core):
         many, docs = C.joined(table, "many", np.uint8) > 0, _docs(table)
         if not len(size):
             return pa.table({"doc_id": pa.array([], pa.int64()), "spans": pa.array([], pa.binary())})
-        both = np.stack([C.joined(table, "key", np.uint64), C.joined(table, "core", np.uint64)])
-        order = np.lexsort(both)
-        name = np.empty(len(size), np.int64)
-        name[order] = np.cumsum(_first_of_groups(both[0][order], both[1][order]))
-        offs = np.concatenate([[0], np.cumsum(size - core + 1)])
-        data = np.empty(offs[-1], np.int32)
-        is_core = np.zeros(offs[-1], bool)
-        is_core[offs[:-1] + left] = True
-        data[~is_core], data[is_core] = C.joined(table, "data", np.uint8), 256 + name
+        rest, at = C.joined(table, "data", np.uint8), np.concatenate([[0], np.cumsum(size - core)])
+        both = np.stack([C.joined(table, "core", np.uint64), C.joined(table, "key", np.uint64)])
+        order = np.lexsort(both)                    # by key, then core
+        name = np.cumsum(_first_of_groups(both[1][order], both[0][order]))
+        new_key = np.flatnonzero(_first_of_groups(both[1][order]))
+        symbols = np.concatenate([[0], np.cumsum(size[order] - core + 1)])
+        # whole keys; a collection begins less than COLLECTION symbols behind the one before
+        cuts = np.append(new_key[_first_of_groups(symbols[new_key] // COLLECTION)], len(order)).tolist()
         out_docs, spans = [], []
-        for i, hits in enumerate(repeated_starts(data, offs, length - core + 1)):
-            hits = np.arange(size[i] - length + 1) if many[i] else hits
-            if len(hits):
-                first = np.concatenate([[True], np.diff(hits) > 1])
-                lo, hi = hits[first], hits[np.append(first[1:], True)]
-                span = np.zeros(len(lo), _SPAN)
-                span["start"], span["len"] = start[i] + lo, hi - lo + length
-                spans.append(span)
-                out_docs.append(np.full(len(lo), docs[i]))
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            mine = order[lo:hi]
+            offs = symbols[lo:hi + 1] - symbols[lo]
+            data = np.empty(offs[-1], np.int32)
+            is_core = np.zeros(offs[-1], bool)
+            is_core[offs[:-1] + left[mine]] = True
+            data[~is_core] = np.concatenate([rest[at[i]:at[i + 1]] for i in mine])
+            data[is_core] = 256 + name[lo:hi]
+            for i, hits in zip(mine, repeated_starts(data, offs, length - core + 1)):
+                hits = np.arange(size[i] - length + 1) if many[i] else hits
+                if len(hits):
+                    first = np.concatenate([[True], np.diff(hits) > 1])
+                    a, z = hits[first], hits[np.append(first[1:], True)]
+                    span = np.zeros(len(a), _SPAN)
+                    span["start"], span["len"] = start[i] + a, z - a + length
+                    spans.append(span)
+                    out_docs.append(np.full(len(a), docs[i]))
         if not spans:
             return pa.table({"doc_id": pa.array([], pa.int64()), "spans": pa.array([], pa.binary())})
         return C.per_document(np.concatenate(out_docs), np.concatenate(spans), "spans")
@@ -356,7 +367,8 @@ def _window_rows(key, key2, at, many, docs, n_seg, length):
     spans["start"], spans["len"] = at[rest], length
     seg = (key >> np.uint64(20)) % np.uint64(n_seg)
     yield from _rows([_by_seg(seg[rep], n_seg, [key[rep], key2[rep], at[rep], again[rep]], docs[rep]),
-                      _by_seg(seg[rest], n_seg, [spans], docs[rest])], [6, 3], _WINDOW_COLS)
+                      _by_seg(C.segment_of_document(docs[rest], n_seg), n_seg, [spans], docs[rest])],
+                     [6, 3], _WINDOW_COLS)
 
 
 def _single_windows(n_seg, length):
@@ -367,16 +379,17 @@ def _single_windows(n_seg, length):
             data, docs, many = C.joined(t, "data", np.uint8), _docs(t), C.joined(t, "many", np.uint8) > 0
             start = C.joined(t, "start", np.uint32).astype(np.int64)
             offs = np.concatenate([[0], np.cumsum(C.joined(t, "len", np.uint16).astype(np.int64))])
-            keys, keys2, at, of = [], [], [], []
+            held, n = [], 0
             for i in range(len(docs)):
                 s = data[offs[i]:offs[i + 1]]
                 w = np.arange(len(s) - length + 1)
-                keys.append(_Rolling(s, len(s))(w, w + length))
-                keys2.append(_Rolling(s, len(s), 99)(w, w + length))
-                at.append(start[i] + w)
-                of.append(np.full(len(w), i))
-            key, key2, at, of = map(np.concatenate, (keys, keys2, at, of))
-            yield from _window_rows(key, key2, at, many[of], docs[of], n_seg, length)
+                held.append((_Rolling(s, len(s))(w, w + length), _Rolling(s, len(s), 99)(w, w + length),
+                             start[i] + w, np.full(len(w), i)))
+                n += len(w)
+                if n >= WINDOWS or i + 1 == len(docs):
+                    key, key2, at, of = map(np.concatenate, zip(*held))
+                    yield from _window_rows(key, key2, at, many[of], docs[of], n_seg, length)
+                    held, n = [], 0
     return run
 
 
