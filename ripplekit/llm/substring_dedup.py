@@ -7,7 +7,9 @@ a window whose words also start in a document with a smaller id.
    hash segment, the sketch cells that it touched (32 bits from which the
    rows of the segment's sketch take their cell) and how often, saturated
    at two documents.  A window that several documents of one task share is
-   sent once for the task.
+   sent once for the task; that it repeats in the others is known, and goes by
+   a hash of the document, so that a line on very many documents does not
+   gather in the segment of its windows.
 2. *Merge.*  Each segment adds the partition sketches into one count-min
    sketch and answers every document with the cells whose estimate is two
    documents or more.  A sketch never underestimates, so no repeated window
@@ -110,7 +112,7 @@ def _partition_sketches(n, n_seg):
         rep, rest = np.flatnonzero(new_key), np.flatnonzero(~new_key)
         rep, rest = rep[np.argsort(docs[rep], kind="stable")], rest[np.argsort(docs[rest], kind="stable")]
         yield from _emit(
-            _by_segment(seg[rest], n_seg, [cells[rest]], docs[rest]),
+            _by_segment(C.segment_of_document(docs[rest], n_seg), n_seg, [cells[rest]], docs[rest]),
             _by_segment(seg[rep], n_seg, [cells[rep], many[rep].astype(np.uint8)], docs[rep]),
             2, 1, _S_ARROW)
 
@@ -160,7 +162,7 @@ def _candidates(n, n_seg):
         ask, known = ask[np.argsort(docs[ask], kind="stable")], known[np.argsort(docs[known], kind="stable")]
         seg = _segment_of(k1, n_seg)
         yield from _emit(
-            _by_segment(seg[known], n_seg, [pos[known]], docs[known]),
+            _by_segment(C.segment_of_document(docs[known], n_seg), n_seg, [pos[known]], docs[known]),
             _by_segment(seg[ask], n_seg, [k1[ask], k2[ask], pos[ask]], docs[ask]),
             3, 1, _E_ARROW)
 

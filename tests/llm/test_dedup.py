@@ -1,11 +1,13 @@
 """Substring, suffix-array and SimHash deduplication against brute force."""
 
+import hashlib
 import os
 import random
 import sys
 from collections import Counter, defaultdict
 from itertools import combinations, product
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -14,10 +16,13 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 from common_data import frame, odd_texts, rows  # noqa: E402
 
-from ripplekit.llm import bwt, simhash, substring_dedup, suffix_dedup  # noqa: E402
+from ripplekit.llm import bwt, queries, simhash, substring_dedup, suffix_dedup  # noqa: E402
 from ripplekit.llm.components import components  # noqa: E402
 
 
+SF = "/root/testdata/sf0.001"
+
+
 def words_of(text):
     return (text or "").encode().split()
 
@@ -47,6 +52,27 @@ def test_substring_dedup(spark, n, flush, monkeypatch):
     assert rows(got, "doc_id", "n_words", "n_removed", "kept_text") == brute_substring(docs, n)
 
 
+def test_substring_query_and_sql(spark):
+    """The registered query, its SQL and brute force on the smallest tables."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    want = [(i, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for i, n, gone, kept in brute_substring(docs, 13)]
+    cols = ("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert rows(queries.op1_substring_dedup(spark, SF), *cols) == sorted(want, key=repr)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    rel = con.sql(queries.ORACLE["op1_substring_dedup"])
+    assert sorted((tuple(dict(zip(rel.columns, r))[c] for c in cols) for r in rel.fetchall()), key=repr) == \
+        sorted(want, key=repr)
+
+
+def test_suffix_query(spark):
+    """The registered query with its 400 bytes on the smallest tables."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    want = [(i, n, gone, spans, hashlib.sha256(kept).hexdigest()) for i, n, gone, spans, kept in brute_suffix(docs, 400)]
+    assert rows(queries.op3_suffix_dedup(spark, SF), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+    assert sum(w[2] for w in want) > 0
+
+
 def test_substring_rows_without_id_and_repeats(spark):
     docs = [(None, "a b c d"), (1, "a b c d"), (1, "a b c d"), (2, "a b c x")]
     got = rows(substring_dedup.substring_dedup(frame(spark, docs), 3), "doc_id", "n_removed", "kept_text")
@@ -117,11 +143,9 @@ def brute_suffix(docs, length):
 
 
 @pytest.mark.parametrize("crowd,frequent", [(1, 0), (1, 20), (4096, 20)])
-@pytest.mark.parametrize("flush", [20, 1_000_000])
-def test_suffix_dedup(spark, crowd, frequent, flush, monkeypatch):
+def test_suffix_dedup(spark, crowd, frequent, monkeypatch):
     # few bits: no key is frequent, so that crowded keys are met as well
     monkeypatch.setattr(suffix_dedup, "FREQUENT_BITS", frequent)
-    monkeypatch.setattr(suffix_dedup, "FLUSH", flush)
     docs = odd_texts(1)
     got = suffix_dedup.suffix_dedup(frame(spark, docs, "asks"), 40, gram=10, klass=6, crowd=crowd)
     want = [(a, b, c, d, bytearray(e)) for a, b, c, d, e in brute_suffix(docs, 40)]
@@ -129,6 +153,83 @@ def test_suffix_dedup(spark, crowd, frequent, flush, monkeypatch):
         got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept")] == want
 
 
+def in_this_process(run, docs):
+    """Rows of a task function over documents, without Spark."""
+    import pyarrow as pa
+    batch = pa.record_batch({"doc_id": pa.array([i for i, _ in docs], pa.int64()),
+                             "text": pa.array([t or "" for _, t in docs])})
+    return [r for b in run([batch]) for r in b.to_pylist()]
+
+
+def test_collections_and_batches_of_any_size(monkeypatch):
+    """Tiny flushes, collections and window batches give the same windows."""
+    import pyarrow as pa
+    docs = odd_texts(1)
+    want = brute_suffix(docs, 40)
+    gone_of = {i: n for i, _, n, _, _ in want}
+    for flush, collection, windows, crowd in ((20, 1, 3, 4096), (50, 60, 7, 2), (10**6, 10**6, 10**6, 4096)):
+        for name, v in (("FLUSH", flush), ("COLLECTION", collection), ("WINDOWS", windows)):
+            monkeypatch.setattr(suffix_dedup, name, v)
+        entries = in_this_process(suffix_dedup._entries(4, 40, 10, 6, np.zeros(0, np.uint64)), docs)
+        asks = defaultdict(list)
+        for seg in range(4):
+            t = pa.Table.from_pylist([r for r in entries if r["seg"] == seg], pa.schema(
+                [("seg", pa.int32()), *((c, pa.binary()) for c in suffix_dedup._ENTRY_COLS)]))
+            for r in suffix_dedup._shared_keys(crowd)(t).to_pylist():
+                asks[r["doc_id"]].append(r["asks"])
+        text = dict(docs)
+        asked = pa.record_batch({"doc_id": list(asks), "text": [text[i] or "" for i in asks],
+                                 "asks": list(asks.values())})
+        spans = defaultdict(list)
+        for what, core, step, cols in ((suffix_dedup.SEND, 35, None, suffix_dedup._STRING_COLS),
+                                       (suffix_dedup.SPREAD, 0, suffix_dedup._single_windows(4, 40),
+                                        suffix_dedup._WINDOW_COLS)):
+            rows_ = list(suffix_dedup._strings(4, what, core)([asked]))
+            if step:
+                rows_ = list(step(rows_))
+            merge = suffix_dedup._equal_windows(40) if step else suffix_dedup._suffix_arrays(40, core)
+            rows_ = [r for b in rows_ for r in b.to_pylist()]
+            for seg in range(4):
+                t = pa.Table.from_pylist([r for r in rows_ if r["seg"] == seg], pa.schema(
+                    [("seg", pa.int32()), *((c, pa.binary()) for c in cols)]))
+                for r in merge(t).to_pylist():
+                    spans[r["doc_id"]].append(r["spans"])
+        cut = next(iter(suffix_dedup._cut([pa.record_batch({
+            "doc_id": list(text), "text": [t or "" for t in text.values()],
+            "asks": pa.array([asks.get(i) for i in text], pa.list_(pa.binary())),
+            "spans": pa.array([spans.get(i) for i in text], pa.list_(pa.binary()))})])))
+        assert {r["doc_id"]: r["n_removed"] for r in cut.to_pylist()} == gone_of
+
+
+def test_a_passage_on_all_documents_does_not_gather():
+    """What is known to repeat spreads over the segments."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    footer = " ".join(word() for _ in range(13))
+    docs = [(i, " ".join(word() for _ in range(40)) + " " + footer) for i in range(3000)]
+    rows_ = in_this_process(substring_dedup._partition_sketches(13, 16), docs)
+    known = [len(r["kcells"]) // 4 for r in rows_]
+    assert sum(known) >= 2999 and max(known) <= 2 * sorted(known)[len(known) // 2]
+    passage = " ".join(word() for _ in range(70))
+    docs = [(i, passage + " " + word()) for i in range(3000)]
+    rows_ = in_this_process(suffix_dedup._entries(16, 400, 100, 50, np.zeros(0, np.uint64)), docs)
+    known = [len(r["kspans"]) for r in rows_]
+    assert sum(known) > 0 and max(known) <= 2 * sorted(known)[len(known) // 2]
+
+
+def test_equal_windows_agree_in_slices_of_any_size():
+    """The anchor of a window does not depend on what stands around it."""
+    rng = np.random.default_rng(8)
+    window = rng.integers(97, 101, 60).astype(np.uint8)
+    for n in (60, 70, 1000, 70_000):
+        buf = np.concatenate([rng.integers(97, 101, n - 60).astype(np.uint8), window, np.zeros(8, np.uint8)])
+        first, last, left, _, key, _ = suffix_dedup._entries_of(buf, np.array([0, n]), 60, 10, 6)
+        at = np.flatnonzero((first <= n - 60) & (n - 60 <= last))
+        assert len(at) == 1
+        keys = {int(key[at[0]])} if n == 60 else keys | {int(key[at[0]])}
+    assert len(keys) == 1
+
+
 def brute_fingerprint(text, n=3):
     w = (text or "").encode().lower().split()
     sh = [b" ".join(w[i:i + n]) for i in range(len(w) - n + 1)] or ([b" ".join(w)] if w else [])
