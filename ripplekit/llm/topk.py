@@ -19,7 +19,7 @@ BLOCK = 8192       # candidates with one score array
 QUERY_BLOCK = 256  # queries scored together
 SCALE = 64
 
-_HITS = "query_id long, vec_id long, score long"
+_HITS = "query_id long, of_id long, vec_id long, score long"
 _SAFE = 1 << 62
 
 
@@ -51,8 +51,9 @@ def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def _search(k):
     def run(key, queries: pa.Table, block: pa.Table) -> pa.Table:
-        out_q, out_v, out_s = [], [], []
+        out_q, out_n, out_v, out_s = [], [], [], []
         qids, q = _matrix(queries)
+        numbers = queries.column("of_id").to_numpy()
         ids, m = _matrix(block)
         order = np.argsort(ids, kind="stable")
         ids, m = ids[order], m[order]
@@ -83,10 +84,11 @@ def _search(k):
                     above, level = at[s[at] > edge], at[s[at] == edge]
                     at = np.concatenate([above, level[:k - len(above)]])
                 out_q.append(np.full(len(at), qid))
+                out_n.append(np.full(len(at), numbers[lo + i]))
                 out_v.append(ids[at])
                 out_s.append(s[at])
         cat = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
-        return pa.table({"query_id": cat(out_q), "vec_id": cat(out_v), "score": cat(out_s)})
+        return pa.table({"query_id": cat(out_q), "of_id": cat(out_n), "vec_id": cat(out_v), "score": cat(out_s)})
     return run
 
 
@@ -97,8 +99,12 @@ def topk_search(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col:
     ties go to the smaller id.  Vectors of unequal length are compared on the
     dimensions both have; a score beyond the long range is cut to it.  Rows
     without an id or with a vector that is null or not finite take no part;
-    a repeated row counts as a candidate of its own."""
-    q, c = quantised(queries, id_col, vec_col, scale), quantised(candidates, id_col, vec_col, scale)
+    a repeated row counts as a candidate of its own.  Queries with equal id and
+    quantised vector are asked once; different vectors under one id are
+    queries of their own, whose results all bear that id."""
+    c = quantised(candidates, id_col, vec_col, scale)
+    # the vectors under one id, few as a rule, are told apart by a hash
+    q = quantised(queries, id_col, vec_col, scale).withColumn("of_id", F.xxhash64("v")).dropDuplicates(["id", "of_id"])
     n = c.count()
     n_blocks = max(1, -(-n // BLOCK))
     q_blocks = max(1, -(-q.count() // BLOCK))
@@ -108,6 +114,6 @@ def topk_search(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col:
     cand = cand.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
     hits = asked.groupBy("block", "part").cogroup(cand.groupBy("block", "part")) \
         .applyInArrow(_search(k), _HITS)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id", "of_id").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
