@@ -17,17 +17,16 @@ grow with the corpus.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from ripplekit.llm import common as C
 from ripplekit.plans.lineage import materialize
@@ -35,13 +34,13 @@ from ripplekit.plans.lineage import materialize
 WINDOW = 2048
 END_ID = 1
 BUCKET_PIECES = 1 << 13
-KNOWN_WORDS = 600_000   # that a Python worker remembers; beyond it only short ones stay
-SHORT = 8               # bytes of a short word
+KNOWN_WORDS = 600_000   # that a Python worker remembers; beyond it only the frequent ones stay
 
-
-# A full stop or comma between an ASCII letter and white space is a token
-# group of its own, so it may as well be a word.
-_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D]|$)")
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[97:123] = True
+_STOP[[44, 46]] = True
 
 
 class _Growing:
@@ -61,11 +60,54 @@ class _Growing:
         return self.room[:self.n]
 
 
-def _lower(text: bytes) -> bytes:
-    """A-Z in lower case, unless the text has combining marks (U+0300 and
-    behind): the tokenizer composes characters before it lower-cases, and some
-    compositions exist for small letters only."""
-    return text if b"\xcc" in text or b"\xcd" in text else text.lower()
+class _Codes:
+    """Hash table from word hashes to numbers counted from 0, with open
+    addressing; whole arrays are looked up and added at once."""
+
+    def __init__(self):
+        self.keys, self.checks = _Growing(np.uint64), _Growing(np.uint64)
+        self._place(1 << 16)
+
+    def _place(self, slots: int) -> None:
+        self.mask = np.uint64(slots - 1)
+        self.slot_key, self.slot_code = np.zeros(slots, np.uint64), np.full(slots, -1, np.int32)
+        self._insert(self.keys.values, np.arange(self.keys.n))
+
+    def _insert(self, keys: np.ndarray, codes: np.ndarray) -> None:
+        at = keys & self.mask
+        while len(keys):
+            free = np.flatnonzero(self.slot_code[at] < 0)
+            _, first = np.unique(at[free], return_index=True)   # one word a slot
+            put = free[first]
+            self.slot_key[at[put]], self.slot_code[at[put]] = keys[put], codes[put]
+            rest = np.ones(len(keys), bool)
+            rest[put] = False
+            keys, codes, at = keys[rest], codes[rest], (at[rest] + np.uint64(1)) & self.mask
+
+    def add(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Numbers of new words."""
+        codes = np.arange(self.keys.n, self.keys.n + len(keys))
+        self.keys.append(keys)
+        self.checks.append(checks)
+        if 2 * self.keys.n > len(self.slot_key):
+            self._place(1 << (4 * self.keys.n).bit_length())
+        else:
+            self._insert(keys, codes)
+        return codes
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Numbers of words, -1 for unknown ones."""
+        out = np.full(len(keys), -1, np.int64)
+        at, live = keys & self.mask, np.arange(len(keys))
+        while len(live):
+            code, same = self.slot_code[at], self.slot_key[at] == keys[live]
+            hit = (code >= 0) & same
+            out[live[hit]] = code[hit]
+            on = np.flatnonzero((code >= 0) & ~same)
+            live, at = live[on], (at[on] + np.uint64(1)) & self.mask
+        known = np.flatnonzero(out >= 0)
+        out[known[self.checks.values[out[known]] != checks[known]]] = -1
+        return out
 
 
 class WordIds:
@@ -73,13 +115,19 @@ class WordIds:
 
     The tokenizer lower-cases and never joins characters across white space,
     so the ids of a text are those of its lower-case words (runs without
-    ASCII white space) in order, and it is asked for a word once.  Words of
-    letters only are one token group each: many are given to it in one text,
-    and the ids that end a group tell them apart."""
+    ASCII white space) in order, and it is asked for a word once; after that a
+    word is known by 128 bits of hash.  A full stop or comma between an ASCII
+    letter and white space is a token group of its own, so it counts as a
+    word.  Words of letters only are one token group each: many are given to
+    the tokenizer in one text, and the ids that end a group tell them apart."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark runs the tasks side by side
         self.tokenizer = Tokenizer.from_file(path)
+        # for words of a-z, which its first two steps only pass on
+        self.of_letters = Tokenizer.from_file(path)
+        self.of_letters.normalizer = normalizers.Sequence([])
+        self.of_letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
@@ -87,24 +135,27 @@ class WordIds:
         self.empty()
 
     def empty(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.codes = _Codes()
         self.flat, self.first, self.lens = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
+        self.seen = np.zeros(0, np.int64)   # how often each word came
 
     def forget(self) -> None:
-        """Keep short words only, which are the frequent ones (none, if these
-        are too many themselves)."""
-        kept = [(w, c) for w, c in self.known.items() if len(w) <= SHORT]
-        kept = kept if len(kept) <= KNOWN_WORDS // 2 else []
-        codes = np.array([c for _, c in kept], np.int64)
-        flat, lens = self._gather(codes), self.lens.values[codes]
+        """Keep the most frequent half of the words that may be known."""
+        kept = np.argsort(-self.seen, kind="stable")[:KNOWN_WORDS // 2]
+        kept = kept[self.seen[kept] > 1]
+        keys, checks, seen = self.codes.keys.values[kept], self.codes.checks.values[kept], self.seen[kept]
+        flat, lens = self._gather(kept), self.lens.values[kept]
         self.empty()
-        self._add([w for w, _ in kept], flat, lens)
+        self._add(keys, checks, flat, np.cumsum(lens) - lens, lens)
+        self.seen[:] = seen // 2
 
-    def _add(self, names: list[bytes], flat: np.ndarray, lens: np.ndarray) -> None:
-        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
-        self.first.append(self.flat.n + np.cumsum(lens) - lens)
+    def _add(self, keys, checks, flat, first, lens) -> np.ndarray:
+        """Take in words whose ids are ``lens`` of ``flat`` from ``first`` on."""
+        self.first.append(self.flat.n + first)
         self.lens.append(lens)
         self.flat.append(flat)
+        self.seen = np.append(self.seen, np.zeros(len(keys), np.int64))
+        return self.codes.add(keys, checks)
 
     def _gather(self, codes: np.ndarray) -> np.ndarray:
         """Ids of the words of these numbers, one behind the other."""
@@ -113,43 +164,81 @@ class WordIds:
         total = int(ends[-1]) if len(codes) else 0
         return self.flat.values[np.arange(total) + np.repeat(self.first.values[codes] - (ends - lens), lens)]
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, new: list[bytes]) -> None:
-        """Take in words with their ids, each as the tokenizer gives them for
-        the word alone."""
-        letters, rest = [], []
-        for w in new:
-            t = w.decode()
-            (letters if t.isalpha() and t.lower().isalpha() else rest).append(w)
-        for lo in range(0, len(letters), 1000):
-            part = letters[lo:lo + 1000]
-            ids = np.array(self._ids([b" ".join(part).decode()])[0], np.uint32)
-            last = np.flatnonzero(self.ends[ids])
-            if len(last) == len(part):
-                self._add(part, ids, np.diff(last, prepend=-1))
-            else:
-                rest += part
+    def _ids(self, texts: list[str], tokenizer: Tokenizer | None = None) -> list[list[int]]:
+        return [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[bytes], keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Numbers of new words, each with the ids that the tokenizer gives
+        for the word alone."""
+        texts = [w.decode() for w in words]
+        kinds: list[list[int]] = [[], [], []]   # of a-z, of letters, others
+        for i, (w, t) in enumerate(zip(words, texts)):
+            kinds[2 if not (t.isalpha() and t.lower().isalpha()) else 0 if w.isalpha() and w.islower() else 1].append(i)
+        *plain, rest = kinds
+        parts = []   # numbers in the list, ids, ids per word
+        for letters, tokenizer in zip(plain, (self.of_letters, self.tokenizer)):
+            for lo in range(0, len(letters), 1000):
+                part = letters[lo:lo + 1000]
+                ids = np.array(self._ids([" ".join([texts[i] for i in part])], tokenizer)[0], np.uint32)
+                last = np.flatnonzero(self.ends[ids])
+                if len(last) == len(part):
+                    parts.append((part, ids, np.diff(last, prepend=-1)))
+                else:
+                    rest += part
         if rest:
-            each = self._ids([w.decode() for w in rest])
-            self._add(rest, np.fromiter(chain.from_iterable(each), np.uint32),
-                      np.fromiter(map(len, each), np.int64, len(each)))
-
-    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of every text."""
-        if len(self.known) > KNOWN_WORDS:
+            each = self._ids([texts[i] for i in rest])
+            parts.append((rest, np.fromiter(chain.from_iterable(each), np.uint32),
+                          np.fromiter(map(len, each), np.int64, len(each))))
+        order = np.concatenate([p[0] for p in parts]).astype(np.int64)
+        flat, lens = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
+        codes = np.empty(len(words), np.int64)
+        codes[order] = self._add(keys[order], checks[order], flat, np.cumsum(lens) - lens, lens)
+        return codes
+
+    def __call__(self, buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
+        """Ids of every text of a slice (``common.slices``)."""
+        if self.codes.keys.n > KNOWN_WORDS:
             self.forget()
-        words = [_STOP.sub(rb" \1", _lower(t)).split() for t in texts]
-        every = list(chain.from_iterable(words))
-        codes = np.fromiter(map(self.known.get, every, repeat(-1)), np.int64, len(every))
-        missing = np.flatnonzero(codes < 0).tolist()
-        if missing:
-            self.learn(list({every[i] for i in missing}))
-            codes[missing] = [self.known[every[i]] for i in missing]
+        buf = _lower(buf, offs)
+        starts, ends, doc = _words(buf, offs)
+        keys, checks = (C.word_hashes(buf, starts, ends, seed) for seed in (0x5EED, 0xC0DE))
+        codes = self.codes.find(keys, checks)
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            _, one, of = np.unique(keys[missing], return_index=True, return_inverse=True)
+            new = missing[one]
+            data = buf.tobytes()
+            words = [data[a:z] for a, z in zip(starts[new].tolist(), ends[new].tolist())]
+            codes[missing] = self.learn(words, keys[new], checks[new])[of]
+        self.seen += np.bincount(codes, minlength=len(self.seen))
         ids = self._gather(codes)
-        at = np.concatenate([[0], np.cumsum(self.lens.values[codes])])[np.cumsum([0, *map(len, words)])]
-        return [ids[a:b] for a, b in zip(at[:-1], at[1:])]
+        words_before = np.searchsorted(doc, np.arange(len(offs)))
+        at = np.concatenate([[0], np.cumsum(self.lens.values[codes])])[words_before]
+        return [ids[a:z] for a, z in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def _lower(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """A-Z in lower case, but not in texts with combining marks (U+0300 and
+    behind): the tokenizer composes characters before it lower-cases, and some
+    compositions exist for small letters only."""
+    low = _LOWER[buf]
+    marks = np.flatnonzero((buf == 0xCC) | (buf == 0xCD))
+    for d in np.unique(np.searchsorted(offs, marks, "right") - 1).tolist():
+        low[offs[d]:offs[d + 1]] = buf[offs[d]:offs[d + 1]]
+    return low
+
+
+def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and document numbers of the words, with a full stop or
+    comma behind a letter as a word of its own."""
+    starts, ends, doc = C.word_spans(buf, offs)
+    stop = _STOP[buf[ends - 1]] & _LETTER[buf[ends - 2]] & (ends - starts > 1)
+    at = np.repeat(np.arange(len(starts)), 1 + stop)
+    second = np.flatnonzero(np.concatenate([[False], at[1:] == at[:-1]])) if len(at) else at
+    starts, ends = starts[at], ends[at]
+    starts[second] = ends[second] - 1
+    ends[second - 1] -= 1
+    return starts, ends, doc[at]
 
 
 @lru_cache(maxsize=2)
@@ -157,18 +246,6 @@ def _tokenizer(path: str) -> WordIds:
     return WordIds(path)
 
 
-def _batches(texts: list[bytes], most: int = C.SLICE_BYTES):
-    held, size = [], 0
-    for t in texts:
-        held.append(t)
-        size += len(t)
-        if size >= most:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def _pieces(path: str, window: int, end_id: int, with_ids: bool, keep_words: bool):
     def run(batches):
         tok = _tokenizer(path)
@@ -181,10 +258,10 @@ def _pieces(path: str, window: int, end_id: int, with_ids: bool, keep_words: boo
         kept = "<u2" if len(tok.ends) <= 1 << 16 else "<u4"
         for b in batches:
             rows = [[], [], [], [], [], []]
-            doc_ids = iter(b.column("doc_id").to_pylist())
-            for group in _batches(b.column("text").cast(pa.large_binary()).to_pylist()):
-                for ids in tok(group):
-                    doc, ids = next(doc_ids), np.concatenate([ids, end])
+            doc_ids = b.column("doc_id").to_pylist()
+            for lo, hi, buf, offs in C.slices(b):
+                for doc, ids in zip(doc_ids[lo:hi], tok(buf, offs)):
+                    ids = np.concatenate([ids, end])
                     for start in range(0, len(ids), window):
                         part = ids[start:start + window]
                         for col, v in zip(rows, (doc, start, len(part), zlib.crc32(part.astype("<u4").tobytes()),
