@@ -9,10 +9,14 @@
    the form alone (every digit as ``9``).  Numbers side by side fail the rules
    together: all parts of them that pass a rule alone are candidates by form.
 3. *Scores.*  Patterns and instances (identifier strings) form a graph.  In
-   each round a pattern's confidence for a kind is the share of the scores
-   of its distinct instances; an unknown instance takes the best confidence
-   of its patterns that reach ``MIN_CONFIDENCE`` with ``MIN_SUPPORT``
-   instances behind them.  Rounds are joins and aggregations in Spark.
+   each round a pattern's support for a kind is the sum of the scores of its
+   distinct instances, and its confidence that support's share of all
+   supports plus ``UNKNOWN_WEIGHT`` for each instance without a score: what is
+   unknown speaks against a pattern less than what is known to be of another
+   kind, but a pattern around which most is unknown is not trusted.  An unknown
+   instance takes the best confidence of its patterns that reach
+   ``MIN_CONFIDENCE`` with ``MIN_SUPPORT`` instances behind them.  Rounds are
+   joins and aggregations in Spark.
 4. *Discovery.*  Occurrences of unknown instances in a pattern of high
    confidence are added as spans of its kind; of parts that overlap, the
    longest.  The seeds always stay.
@@ -25,6 +29,7 @@ import itertools
 import re
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +40,8 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 MIN_CONFIDENCE = 0.9
 MIN_SUPPORT = 5.0
+UNKNOWN_WEIGHT = 0.25
+LONG = 64   # characters of a word or identifier above which its hash stands for it
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -44,7 +51,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _CANDIDATE = re.compile(r"[^\s,;|\"'<>()\[\]]*[0-9@][^\s,;|\"'<>()\[\]]*")
-_NOT_WORD = re.compile(r"[\W_]+")
+_WORD = re.compile(r"[^\W_]+")
 
 
 def _luhn(digits: list[int]) -> bool:
@@ -99,7 +106,13 @@ def base_spans(text: str, failed: list | None = None) -> list[tuple[int, int, in
 
 def _form(value: str) -> str:
     """Digits as 9, letters as a."""
-    return "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in value[:256])
+    return "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in value)
+
+
+def _name(value: str) -> str:
+    """What stands for a word, form or identifier in the graph: all of it, or
+    128 bits of hash and its length if it is long."""
+    return value if len(value) <= LONG else f"#{len(value)}-{xxhash.xxh3_128_hexdigest(value.encode())}"
 
 
 def shape(value: str) -> str:
@@ -158,27 +171,44 @@ def longest(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _context(text: str, start: int, value: str, kind: int) -> list[str]:
+class _Words:
+    """The words of a text (runs of letters and digits), found when first
+    asked for."""
+
+    def __init__(self, text: str):
+        self.text, self.starts, self.ends = text, None, None
+
+    def before(self, at: int) -> list[str]:
+        """The two words before a place, '' where there is none; of a word that
+        goes on there the part before it."""
+        if self.starts is None:
+            spans = [m.span() for m in _WORD.finditer(self.text)]
+            self.starts, self.ends = [x[0] for x in spans], [x[1] for x in spans]
+        n = bisect.bisect_left(self.starts, at)
+        near = [_name(self.text[self.starts[i]:min(self.ends[i], at)].lower()) for i in range(max(0, n - 2), n)]
+        return [""] * (2 - len(near)) + near
+
+
+def _context(words: _Words, start: int, value: str, kind: int) -> list[str]:
     if kind in _CHECKS:
-        own = [f"f {KINDS[kind]} {_form(value)}"]
+        own = [f"f {KINDS[kind]} {_name(_form(value))}"]
     else:
         own = []
-    before = [_NOT_WORD.sub("", w).lower() for w in text[max(0, start - 80):start].split()[-2:]]
-    before = [""] * (2 - len(before)) + before
-    return ["w " + " ".join(before), "s " + before[1] + " " + shape(value), *own]
+    before = words.before(start)
+    return ["w " + " ".join(before), "s " + before[1] + " " + _name(shape(value)), *own]
 
 
 def mentions(text: str) -> tuple[list, list]:
     """Seeds, and every seed and candidate with its kind (-1: unknown),
     instance and patterns."""
     failed: list[tuple[int, int]] = []
-    base = base_spans(text, failed)
-    found = [(s, k, e, _context(text, s, text[s:e], k)) for s, k, e in base]
+    base, words = base_spans(text, failed), _Words(text)
+    found = [(s, k, e, _context(words, s, text[s:e], k)) for s, k, e in base]
     starts = [a for a, _, _ in base]
     reached = [0, *itertools.accumulate((z for _, _, z in base), max)]
     for s, k, e in {x for region in failed for x in _inside(text, *region)}:
         if reached[bisect.bisect_left(starts, e)] <= s:
-            found.append((s, -1, e, [f"f {KINDS[k]} {_form(text[s:e])}"]))
+            found.append((s, -1, e, [f"f {KINDS[k]} {_name(_form(text[s:e]))}"]))
     if base or "@" in text or _DIGIT.search(text):
         i, reach = 0, 0
         for m in _CANDIDATE.finditer(text):
@@ -192,12 +222,12 @@ def mentions(text: str) -> tuple[list, list]:
                 continue
             v = text[s:e]
             if "@" in v or sum(c.isdigit() for c in v) >= 3:
-                found.append((s, -1, e, _context(text, s, v, -1)))
-    return base, [(s, k, e, text[s:e].lower()[:256], pats) for s, k, e, pats in found]
+                found.append((s, -1, e, _context(words, s, v, -1)))
+    return base, [(s, k, e, _name(text[s:e].lower()), pats) for s, k, e, pats in found]
 
 
 _SPAN = "struct<start:int,kind:int,end:int>"
-_FOUND = f"doc_id long, base array<{_SPAN}>, found array<struct<start:int,kind:int,end:int,inst:string,pats:array<string>>>"
+_FOUND = f"doc_id long, text_hash long, base array<{_SPAN}>, found array<struct<start:int,kind:int,end:int,inst:string,pats:array<string>>>"
 _P_SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
 _P_FOUND = pa.struct([*_P_SPAN, pa.field("inst", pa.string()), pa.field("pats", pa.list_(pa.string()))])
 
@@ -210,8 +240,8 @@ def _extract(batches):
             base.append([dict(zip(("start", "kind", "end"), t)) for t in x])
             found.append([dict(zip(("start", "kind", "end", "inst", "pats"), t)) for t in y])
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(base, pa.list_(_P_SPAN)), pa.array(found, pa.list_(_P_FOUND))],
-            names=["doc_id", "base", "found"])
+            [b.column("doc_id"), b.column("text_hash"), pa.array(base, pa.list_(_P_SPAN)),
+             pa.array(found, pa.list_(_P_FOUND))], names=["doc_id", "text_hash", "base", "found"])
 
 
 def _longest(added: Column) -> Column:
@@ -223,9 +253,9 @@ def _longest(added: Column) -> Column:
 
 
 def score_patterns(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
-                   min_support: float = MIN_SUPPORT) -> DataFrame:
-    """``pat, kind, confidence`` of the patterns of high confidence, from
-    ``found(kind, inst, pats)``."""
+                   min_support: float = MIN_SUPPORT, unknown_weight: float = UNKNOWN_WEIGHT) -> DataFrame:
+    """``pat, kind, confidence, support, n`` of the patterns of high
+    confidence, from ``found(kind, inst, pats)``; ``n``: distinct instances."""
     edges = materialize(found.select(F.explode("pats").alias("pat"), "inst", "kind").distinct(), "pii-edges")
     size = materialize(edges.groupBy("pat").agg(F.countDistinct("inst").alias("n"))
                        .where(F.col("n") >= min_support), "pii-patterns")
@@ -237,11 +267,16 @@ def score_patterns(found: DataFrame, rounds: int = ROUNDS, min_confidence: float
     unknown = materialize(unknown, "pii-unknown")
     scores, good = seeds, None
     for r in range(rounds):
+        # An instance of several kinds or of a score below one counts as known in part.
+        known = scores.groupBy("inst").agg(F.least(F.sum("score"), F.lit(1.0)).alias("known"))
+        supports = links.join(scores, "inst").groupBy("pat", "kind").agg(F.sum("score").alias("support"))
+        total = supports.groupBy("pat").agg(F.sum("support").alias("total")) \
+            .join(links.join(known, "inst").groupBy("pat").agg(F.sum("known").alias("known")), "pat")
+        against = F.col("total") + unknown_weight * (F.col("n") - F.col("known"))
         good = materialize(
-            links.join(scores, "inst").groupBy("pat", "kind").agg(F.sum("score").alias("support"))
-            .join(size, "pat").select("pat", "kind", "support", (F.col("support") / F.col("n")).alias("confidence"))
-            .where((F.col("confidence") >= min_confidence) & (F.col("support") >= min_support))
-            .select("pat", "kind", "confidence"), "pii-good")
+            supports.join(size, "pat").join(total, "pat")
+            .select("pat", "kind", (F.col("support") / against).alias("confidence"), "support", "n")
+            .where((F.col("confidence") >= min_confidence) & (F.col("support") >= min_support)), "pii-good")
         if r + 1 < rounds:
             scores = materialize(seeds.unionByName(
                 unknown.join(good, "pat").groupBy("inst", "kind").agg(F.max("confidence").alias("score"))),
@@ -250,24 +285,27 @@ def score_patterns(found: DataFrame, rounds: int = ROUNDS, min_confidence: float
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, base, spans``: arrays of ``start, kind, end`` (kind: place
-    in :data:`KINDS`) sorted by start and kind; ``spans`` holds the seeds and
-    what the patterns add.
+    """``doc_id, text_hash, base, spans``: arrays of ``start, kind, end``
+    (kind: place in :data:`KINDS`) sorted by start and kind; ``spans`` holds
+    the seeds and what the patterns add.
 
     A null text is empty and has no spans; rows without an id are left out;
-    rows with one id share what is added; other columns are not read."""
-    rows = materialize(C.id_and_text(docs, id_col, text_col).mapInArrow(_extract, _FOUND), "pii-mentions")
-    found = rows.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
-    good = score_patterns(found)
-    added = (found.where("kind = -1").select("doc_id", "start", "end", F.explode("pats").alias("pat"))
-             .join(good, "pat").groupBy("doc_id", "start", "end")
+    rows that share an id are told apart by ``text_hash``
+    (``common.text_hash``); other columns are not read."""
+    texts = C.id_and_text(docs, id_col, text_col).withColumn("text_hash", C.text_hash())
+    rows = materialize(texts.mapInArrow(_extract, _FOUND), "pii-mentions")
+    key = ["doc_id", "text_hash"]
+    found = rows.select(*key, F.explode("found").alias("f")).select(*key, "f.*")
+    good = score_patterns(found).select("pat", "kind", "confidence")
+    added = (found.where("kind = -1").select(*key, "start", "end", F.explode("pats").alias("pat"))
+             .join(good, "pat").groupBy(*key, "start", "end")
              .agg(F.min_by("kind", F.struct(-F.col("confidence"), F.col("kind"))).alias("kind")))
-    per_doc = added.groupBy("doc_id").agg(F.collect_list(F.struct(
+    per_doc = added.groupBy(*key).agg(F.collect_list(F.struct(
         F.col("start"), F.col("kind"), F.col("end"))).alias("added")) \
-        .select("doc_id", _longest(F.col("added")).alias("added"))
+        .select(*key, _longest(F.col("added")).alias("added"))
     none = F.array().cast(f"array<{_SPAN}>")
-    return rows.select("doc_id", "base").join(per_doc, "doc_id", "left").select(
-        "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("added", none))).alias("spans"))
+    return rows.select(*key, "base").join(per_doc, key, "left").select(
+        *key, "base", F.array_sort(F.concat("base", F.coalesce("added", none))).alias("spans"))
 
 
 def spans_text(spans: Column) -> Column:

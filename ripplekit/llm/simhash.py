@@ -67,13 +67,16 @@ def fingerprint(text: bytes, n: int) -> int:
 
 
 def simhash(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id long, fp long`` (the 64 bits as a signed number)."""
+    """``doc_id long, fp long, text_hash long`` (the 64 bits as a signed
+    number, and ``common.text_hash``)."""
     def run(batches):
         for b in batches:
             fps = [fingerprint(t, shingle) for t in b.column("text").cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
-    return C.id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+                [b.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64)), b.column("text_hash")],
+                names=["doc_id", "fp", "text_hash"])
+    return C.id_and_text(docs, id_col, text_col).withColumn("text_hash", C.text_hash()) \
+        .mapInArrow(run, "doc_id long, fp long, text_hash long")
 
 
 # -- partitions and thresholds --------------------------------------------------
@@ -255,6 +258,9 @@ def links(fps: DataFrame, distance: int = 2, parts: int = 3) -> DataFrame:
     """``u long, v long``: links between the distinct values of ``fp`` that
     connect exactly those which lie within ``distance`` bits, directly or
     through others."""
+    if distance % 2:
+        # An odd distance 2r + 1: one side flips one bit more.
+        raise ValueError("distance must be even")
     groups = partition_bits(correlations(fps), parts)
     costs = [_costs(c, len(g), distance) for c, g in zip(_lead_counts(fps, groups), groups)]
     met = fps.select("fp").mapInArrow(_meetings(groups, costs, distance), "place long, fp long")
@@ -266,9 +272,6 @@ def links(fps: DataFrame, distance: int = 2, parts: int = 3) -> DataFrame:
     flips = [sum(1 << f for f in c) for r in range(distance // 2 + 1) for c in combinations(range(BITS), r)]
     flips = [f - (1 << BITS) if f >> 63 else f for f in flips]
     crowd = shared.where(F.col("n") > MEET).select("fp").distinct()
-    if distance % 2:
-        # An odd distance 2r + 1: one side flips one bit more.
-        raise ValueError("distance must be even")
     around = crowd.select("fp", F.explode(F.array(*[F.lit(f) for f in flips])).alias("f")) \
         .select("fp", F.col("fp").bitwiseXOR(F.col("f")).alias("place"))
     many = around.groupBy("place").agg(F.min("fp").alias("v"), F.collect_set("fp").alias("fps")) \
@@ -278,8 +281,10 @@ def links(fps: DataFrame, distance: int = 2, parts: int = 3) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, parts: int = 3,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id long, fp long, component_id long``: the smallest document that
-    is reached over links of at most ``distance`` bits, itself included.
+    """``doc_id long, fp long, component_id long, text_hash long``, one row
+    per row: the smallest document that is reached over links of at most
+    ``distance`` bits (an even number, else an error), itself included.  Rows
+    that share an id stand in the component of their own text.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.  A null text is
     empty and has fingerprint zero; a text of fewer words than a shingle is
@@ -293,4 +298,4 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, parts:
     # Written, so that the join by fingerprint has two plain exchanges and a
     # fingerprint with very many documents can be split.
     classes = materialize(of.join(least, "root").select("fp", "component_id"), "simhash-classes")
-    return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(classes, "fp").select("doc_id", "fp", "component_id", "text_hash")

@@ -7,6 +7,7 @@ import re
 import sys
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import public_tokenizers
@@ -23,6 +24,8 @@ from ripplekit.llm import fingerprints as fp  # noqa: E402
 from ripplekit.llm import packing, pii, simhash, topk  # noqa: E402
 from ripplekit.llm import queries as Q  # noqa: E402
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_eleven_queries():
     import __spark_entry__ as entry
@@ -105,6 +108,29 @@ def test_topk(spark, block, monkeypatch):
     assert got == sorted(want, key=repr)
 
 
+def test_topk_of_repeated_queries(spark):
+    """A query row that repeats is asked once; vectors that share an id are
+    queries of their own."""
+    vecs = spark.createDataFrame([(i, [float(i)]) for i in (1, 2, 3, 4)], "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(9, [1.0]), (9, [1.0]), (9, [-1.0]), (None, [1.0])],
+                                  "vec_id long, embedding array<double>")
+    got = rows(topk.topk_search(asked, vecs, 3), "query_id", "rank", "vec_id", "score")
+    up = [(9, 1, 4, 64 * 256), (9, 2, 3, 64 * 192), (9, 3, 2, 64 * 128)]
+    down = [(9, 1, 1, -64 * 64), (9, 2, 2, -64 * 128), (9, 3, 3, -64 * 192)]
+    assert got == sorted(up + down, key=repr)
+    # repeated candidates count each
+    got = rows(topk.topk_search(asked.limit(2), vecs.unionByName(vecs), 3), "query_id", "rank", "vec_id", "score")
+    assert got == [(9, 1, 4, 64 * 256), (9, 2, 4, 64 * 256), (9, 3, 3, 64 * 192)]
+
+
+def test_topk_query_and_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF}/embeddings.parquet')")
+    rel = con.sql(Q.ORACLE["op6_exact_topk"]).select("query_id, rank, vec_id, score")
+    assert rows(Q.op6_exact_topk(spark, SF), "query_id", "rank", "vec_id", "score") == \
+        sorted(rel.fetchall(), key=repr)
+
+
 def test_topk_of_nothing(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.topk_search(none, none).count() == 0
@@ -139,6 +165,61 @@ def test_packing_round_trip(spark):
         assert at <= 2048
 
 
+def word_ids(tok, texts):
+    data = [t.encode() for t in texts]
+    buf = np.frombuffer(b"".join(data) + bytes(8), np.uint8)
+    return [x.tolist() for x in tok(buf, np.concatenate([[0], np.cumsum([len(t) for t in data])]))]
+
+
+def test_word_ids_are_the_tokenizers(monkeypatch):
+    """On random strings of letters, marks, stops and white space, also when
+    the memory of words is full again and again."""
+    tok = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    rnd = random.Random(12)
+    alphabet = ["a", "b", "the", "ing", "Z", "É", "é", "ß", "İ", "Σ", "\u0301", "\u030c", ".", ",", "..", "'s", "'",
+                "1", "٣", " ", "  ", "\n", "\t", "\x1f", "\u00a0", "-", "\x00", "日本", "\U0001F600", "x" * 30]
+    for known in (600_000, 40, 0):
+        monkeypatch.setattr(packing, "KNOWN_WORDS", known)
+        for _ in range(40):
+            texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(rnd.randint(1, 12))]
+            assert word_ids(tok, texts) == [tok.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert word_ids(tok, [""]) == [[]]
+
+
+def test_word_numbers():
+    """The hash table against a dictionary, with equal keys of other words."""
+    codes, want = packing._Codes(), {}
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        keys = rng.integers(0, 1 << 63, 9000).astype(np.uint64) << np.uint64(14) | rng.integers(0, 9, 9000).astype(np.uint64)
+        keys = np.unique(keys)
+        keys = keys[[int(k) not in want for k in keys]]
+        want |= dict(zip(keys.tolist(), codes.add(keys, keys + np.uint64(1)).tolist()))
+    some = np.array(list(want), np.uint64)
+    assert codes.find(some, some + np.uint64(1)).tolist() == list(want.values())
+    assert (codes.find(some, some) == -1).all() and (codes.find(some ^ np.uint64(1 << 13), some) == -1).all()
+
+
+def test_packing_query(spark):
+    """The registered query: ids and lengths by the tokenizer, little padding."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = Q.op9_packing(spark, SF).collect()
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = {}
+    for r in got:
+        pieces.setdefault(r.doc_id, []).append(r)
+    assert set(pieces) == {d.doc_id for d in docs}
+    for d in docs:
+        ids = np.array(tok.encode(d.text or "", add_special_tokens=False).ids + [1], "<u4")
+        at = 0
+        for r in sorted(pieces[d.doc_id], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at:at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
+    sequences = len({r.sequence_id for r in got})
+    assert sum(r.length for r in got) >= 0.97 * 2048 * (sequences - 1)
+
+
 def test_best_fit_decreasing_is_the_plain_rule():
     rng = np.random.default_rng(1)
     for _ in range(50):
@@ -211,6 +292,63 @@ def test_patterns_discover_what_the_rules_miss(spark):
         assert [tuple(s) for s in got[i].base] == brute_base(docs[i][1]) and got[i].spans == got[i].base
 
 
+def test_unknown_instances_weigh_less(spark):
+    """Five seeds and two unknown numbers behind the same words: trusted; five
+    seeds and twenty unknown ones: not."""
+    docs = [(i, f"Call office line +1 (606) 555-78{i:02d} now") for i in range(6)]
+    docs += [(10 + i, f"Call office line 60655578{i:02d}x now") for i in range(2)]
+    docs += [(20 + i, f"See item code +1 (707) 555-78{i:02d} now") for i in range(6)]
+    docs += [(30 + i, f"See item code 70755578{i:02d}y now") for i in range(20)]
+    got = {r.doc_id: r for r in pii.find_pii(frame(spark, docs)).collect()}
+    for i, text in docs:
+        added = [(pii.KINDS[s["kind"]], text[s["start"]:s["end"]]) for s in got[i].spans[len(got[i].base):]]
+        assert added == ([("phone", text.split()[3])] if 10 <= i < 20 else [])
+
+
+def test_whole_identifiers_and_words_count():
+    """Identifiers that share hundreds of characters are two, and the words
+    before an identifier are found however long they are."""
+    long = "k" * 300
+    _, found = pii.mentions(f"{long}1@x.yz {long}2@x.yz and {'w' * 500} very{'w' * 200}: a@b.cd")
+    insts = [f[3] for f in found]
+    assert len(set(insts)) == 3 and all(len(x) < 100 for x in insts)
+    pats = found[2][4]
+    _, other = pii.mentions(f"{'w' * 501} very{'w' * 200}: a@b.cd")
+    assert pats[0] != other[0][4][0] and pats[1] == other[0][4][1]
+    _, near = pii.mentions("so call me: a@b.cd, x.y@b.cd")
+    assert [f[4][0] for f in near] == ["w call me", "w b cd"]
+    assert pii.mentions("a@b.cd")[1][0][4][0] == "w  "
+
+
+def test_rows_that_share_an_id(spark):
+    """Spans, groups and redacted texts go by id and text."""
+    a, b = "mail a@b.cd now", "a long text before x.yz@mail.org and more"
+    docs = [(7, a), (7, b), (7, b), (8, None), (8, "")]
+    got = rows(pii.find_pii(frame(spark, docs)), "doc_id", "base")
+    spans = {t: [(s, k, e) for s, k, e in brute_base(t or "")] for _, t in docs}
+    assert sorted(map(str, ([tuple(s) for s in x] for _, x in got))) == sorted(str(spans[t]) for _, t in docs)
+    out = rows(corpus_pipeline.redact_pii(spark, frame(spark, docs + [(None, a)]), SF), "doc_id", "text")
+    assert out == sorted([(7, "mail [EMAIL] now"), (7, "a long text before [EMAIL] and more"),
+                          (7, "a long text before [EMAIL] and more"), (8, None), (8, ""), (None, a)], key=repr)
+
+
+def test_near_dedup_of_rows_that_share_an_id(spark):
+    """One row per group, none of another group lost."""
+    t = {x: " ".join(random.Random(x).choice("lmnopq") * 5 + str(random.Random(x * 7 + i).random()) for i in range(40))
+         for x in range(5)}
+    docs = [(3, t[0]), (7, t[0]), (7, t[1]), (9, t[2]), (9, t[2]), (11, t[3]), (11, t[3]), (12, t[3]), (13, t[4]),
+            (None, t[0])]
+    out = rows(corpus_pipeline.near_dedup(spark, frame(spark, docs, "often"), SF), "doc_id", "text")
+    assert out == sorted([(3, t[0]), (7, t[1]), (9, t[2]), (11, t[3]), (13, t[4]), (None, t[0])], key=repr)
+    # two texts of one id in one group: one of them stays
+    near = t[0] + " x"
+    out = corpus_pipeline.near_dedup(spark, frame(spark, [(5, t[0]), (5, t[0]), (5, near), (6, near), (6, t[1])]), SF)
+    fps = rows(simhash.near_duplicates(frame(spark, [(1, t[0]), (2, near)])), "component_id")
+    if fps == [(1,), (1,)]:
+        got = rows(out, "doc_id", "text")
+        assert len(got) == 2 and (6, t[1]) in got and got[0] in ((5, t[0]), (5, near))
+
+
 def test_numbers_side_by_side(spark):
     docs = [(i, f"word{i} +1 (606) 555-78{i:02d} and thing {c}") for i, c in enumerate(
         ["4111111111111111", "5500000000000004", "4012888888881881", "5555555555554444", "4222222222222220",
