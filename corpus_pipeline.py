@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplekit.llm import mixing, packing, pii, quality, simhash
-from ripplekit.llm.common import unused
+from ripplekit.llm.common import text_hash, unused
 from ripplekit.llm.queries import MIX
 from ripplekit.plans.lineage import materialize
 from ripplekit.session import ship_package
@@ -30,19 +30,36 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays."""
-    groups = simhash.near_duplicates(docs, shingle=3, distance=2)
-    losers = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group stays: of the smallest id in it; of several texts
+    under that id that of the smallest hash, of several rows with that text
+    one.  Rows of one id whose texts lie in different groups are judged each
+    by its own text."""
+    groups = materialize(simhash.near_duplicates(docs, shingle=3, distance=2), "near-duplicates")
+    same = groups.where("doc_id = component_id").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    first = same.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"), F.min_by("n", "text_hash").alias("n"))
+    losers = groups.where("doc_id <> component_id").select("doc_id", "text_hash").distinct().unionByName(
+        same.join(first, ["doc_id", "text_hash"], "left_anti").select("doc_id", "text_hash"))
+    hash_, often = unused(docs, "text_hash"), unused(docs, "often")
+    key = [docs["doc_id"], F.col(hash_)]
+    named = lambda df: df.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
+    of = lambda df: (key[0] == df["_doc"]) & (key[1] == df["_hash"])
+    losers, repeated = named(losers), named(first.where("n > 1"))
+    left = docs.withColumn(hash_, text_hash()).join(losers, of(losers), "left_anti")
+    left = left.join(repeated, of(repeated), "left").withColumn(often, F.col("_doc").isNotNull()) \
+        .drop("_doc", "_hash")
+    # Rows that repeat are few, and combine before they move.
+    row = F.struct(*docs.columns)
+    once = left.where(often).groupBy("doc_id", hash_).agg(F.min_by(row, F.xxhash64(row)).alias("row"))
+    return left.where(~F.col(often)).select(*docs.columns).unionByName(once.select("row.*").select(*docs.columns))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind in brackets; rows
-    that share an id must share their text."""
-    name = unused(docs, "spans")
-    spans = pii.find_pii(docs).where(F.size("spans") > 0).select("doc_id", F.col("spans").alias(name)) \
-        .dropDuplicates(["doc_id"])
-    return docs.join(spans, "doc_id", "left") \
+    that share an id each by what was found in their own text."""
+    name, hash_ = unused(docs, "spans"), unused(docs, "text_hash")
+    spans = pii.find_pii(docs).where(F.size("spans") > 0).groupBy("doc_id", "text_hash") \
+        .agg(F.first("spans").alias(name)).withColumnRenamed("text_hash", hash_)
+    return docs.withColumn(hash_, text_hash()).join(spans, ["doc_id", hash_], "left") \
         .withColumn("text", pii.redacted(F.col("text"), F.col(name))).select(*docs.columns)
 
 
@@ -51,8 +68,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tokens match the targets."""
     labelled = table(spark, sf_dir, "labels").select("doc_id").distinct() \
         .join(docs.select("doc_id", F.col("lang").alias("label")), "doc_id")
-    model, fitted, _ = mixing.mix(docs, labelled, MIX)
-    return mixing.with_copies(docs, model, fitted)
+    tokens, posterior = unused(docs, "tokens"), unused(docs, "posterior")
+    _, fitted, scored = mixing.mix(docs, labelled, MIX, keep=tuple(docs.columns), tokens=tokens, posterior=posterior)
+    return mixing.repeated(scored, fitted, docs.columns, posterior)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
