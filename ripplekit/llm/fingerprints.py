@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 LANES = 64                # 16-bit values of a paragraph's vector: 1,024 bits
 _PER_HASH = 4
 _MOD = 1 << 32
-CELLS = 1 << 14           # equal ranges of ids whose sizes are counted
-BUCKET_CHARS = 1 << 18    # characters of text in a bucket of neighbours
+BUCKET_CHARS = 1 << 18    # characters of text in a bucket of neighbours, on average
+MOST_BUCKETS = 1 << 17    # beyond these buckets grow with the corpus
+SAMPLE_IDS = 1 << 20      # ids that the buckets' bounds are taken from, about
 
 
 def paragraphs(text: Column) -> Column:
@@ -80,43 +81,57 @@ def fingerprints(texts: DataFrame, keys: list[str], text_col: str, keep: tuple[s
     return agg.select(*keys, *keep, F.array(*[f"_l{i}" for i in range(LANES)]).alias("lanes"))
 
 
+def _bounds(docs: DataFrame, chars: int) -> list[int]:
+    """Ids that part the documents into buckets of about equal numbers, from
+    the ids of at most about ``SAMPLE_IDS`` rows picked by a hash; any bounds
+    give the same result."""
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).first()
+    buckets = min(MOST_BUCKETS, -(-(size["chars"] or 0) // chars), size["n"])
+    if buckets < 2:
+        return []
+    every = max(1, size["n"] // SAMPLE_IDS)
+    shares = F.split(F.lit(",".join(str(k / buckets) for k in range(1, buckets))), ",").cast("array<double>")
+    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
+    found = picked.agg(F.percentile_approx("doc_id", shares, F.lit(10 * buckets)).alias("b")).first()["b"]
+    return sorted(set(found or []))
+
+
+def _bucket(bounds: list[int]) -> Column:
+    """How many bounds are not above ``doc_id``, by halving steps."""
+    if not bounds:
+        return F.lit(0)
+    at = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda n, step: F.when(
+        (n + step <= len(bounds)) & (F.try_element_at(at, n + step) <= F.col("doc_id")), n + step).otherwise(n))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """``bucket, doc_id, text, next_text`` with the text of the next document
-    by ascending ``doc_id`` (after the last: the first).
-
-    Ids are dealt into neighbouring buckets of about ``BUCKET_CHARS``
-    characters: sizes are counted in ``CELLS`` equal ranges of ids, and only
-    that table (at most ``CELLS`` rows) is sorted as a whole and broadcast.
-    A window runs within each bucket; the first document of a bucket is also
-    put behind the last of the bucket before."""
-
-    ends = docs.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-    lo, hi = (ends["lo"], ends["hi"]) if ends["lo"] is not None else (0, 0)
-    width = max(1, -(-(hi - lo + 1) // CELLS))
-    cell = ((F.col("doc_id").cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)"))
-            / F.lit(width).cast("decimal(20,0)")).cast("decimal(38,6)")
-    d = docs.withColumn("cell", F.floor(cell).cast("int"))
-    sizes = d.groupBy("cell").agg(F.sum(F.length("text") + 1).alias("chars"), F.min("doc_id").alias("first"))
-    w = Window.orderBy("cell")
-    upto = sizes.select("cell", "first", F.floor(
-        (F.sum("chars").over(w) - F.col("chars")) / F.lit(BUCKET_CHARS)).alias("bucket"))
-    firsts = upto.groupBy("bucket").agg(F.min("first").alias("first"))
+    """``bucket, guest, rank, doc_id, text, next_text`` with the text of the
+    next document by ascending ``doc_id`` (after the last: the first).
+
+    Documents are dealt into buckets of neighbours by bounds taken from the
+    ids themselves, at most ``MOST_BUCKETS``, whatever gaps the ids have.  A
+    window runs within each bucket; the first document of a bucket is also put
+    behind the last of the bucket before, as its ``guest`` (without a next
+    text).  Only the first id of each bucket is broadcast."""
+    d = docs.withColumn("bucket", _bucket(_bounds(docs, BUCKET_CHARS)))
+    firsts = d.groupBy("bucket").agg(F.min("doc_id").alias("first"))
     by = Window.orderBy("bucket")
     edge = firsts.select(
         "first", F.coalesce(F.lag("bucket").over(by),
                             F.max("bucket").over(by.rowsBetween(Window.unboundedPreceding,
                                                                 Window.unboundedFollowing))).alias("before"))
-    placed = d.join(F.broadcast(upto.select("cell", "bucket")), "cell") \
-        .select("bucket", F.lit(0).alias("guest"), "doc_id", "text")
+    placed = d.select("bucket", F.lit(0).alias("guest"), "doc_id", "text")
     # A guest sorts behind all documents of the bucket that it visits.
-    guests = d.join(F.broadcast(edge), d["doc_id"] == edge["first"]).select(
+    guests = docs.join(F.broadcast(edge), docs["doc_id"] == edge["first"]).select(
         F.col("before").alias("bucket"), F.lit(1).alias("guest"), "doc_id", "text")
     # Rows that share the first id: only one of them is the guest.
     guests = guests.groupBy("bucket", "guest", "doc_id").agg(F.min("text").alias("text"))
     near = Window.partitionBy("bucket").orderBy("guest", "doc_id", "text")
     return placed.unionByName(guests).select(
-        "bucket", "guest", "doc_id", "text", F.lead("text").over(near).alias("next_text"),
-        F.row_number().over(near).alias("rank")).where("guest = 0").drop("guest")
+        "bucket", "guest", "doc_id", "text", F.row_number().over(near).alias("rank"),
+        F.when(F.col("guest") == 0, F.lead("text").over(near)).alias("next_text"))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -125,26 +140,27 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     The edited text is the text with its last floor(n/2) code points replaced
     by the first as many (or all) of the next document.  A null text is
     empty; rows without an id are left out; rows that share an id follow one
-    another by text; other columns are not read."""
+    another by text; other columns are not read.  Every text is hashed once:
+    the next document's fingerprint is taken from its own row (or that of the
+    guest)."""
     d = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
+    keys = ["bucket", "rank", "guest", "doc_id"]
     t = with_next(d).select(
-        "bucket", "rank", "doc_id", "text", "next_text", n.cast("long").alias("n_chars"),
+        *keys, "text", n.cast("long").alias("n_chars"),
         F.concat(F.substring("text", F.lit(1), n - half),
                  F.substring("next_text", F.lit(1), half)).alias("edited"))
-    t = t.select("bucket", "rank", "doc_id", "n_chars",
-                 F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-                 F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")),
-                                   F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")),
-                                   F.struct(F.lit(2).alias("kind"), F.col("next_text").alias("text"))))
-                 .alias("v"))
-    keys = ["bucket", "rank", "doc_id"]
+    own = F.struct(F.lit(0).alias("kind"), F.col("text").alias("text"))
+    edited = F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"))
+    t = t.select(*keys, "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+                 F.explode(F.when(F.col("guest") == 0, F.array(own, edited)).otherwise(F.array(own))).alias("v"))
     f = fingerprints(t.select(*keys, "n_chars", "edited_sha256", "v.kind", "v.text"),
                      [*keys, "kind"], "text", keep=("n_chars", "edited_sha256"))
     lanes = [F.max(F.when(F.col("kind") == k, F.col("lanes"))).alias(name)
-             for k, name in enumerate(("lanes", "edited_lanes", "next_lanes"))]
-    return f.groupBy(*keys).agg(F.first("n_chars").alias("n_chars"),
-                                F.first("edited_sha256").alias("edited_sha256"), *lanes) \
-        .drop("bucket", "rank")
+             for k, name in enumerate(("lanes", "edited_lanes"))]
+    f = f.groupBy(*keys).agg(F.first("n_chars").alias("n_chars"),
+                             F.first("edited_sha256").alias("edited_sha256"), *lanes)
+    near = Window.partitionBy("bucket").orderBy("rank")
+    return f.withColumn("next_lanes", F.lead("lanes").over(near)).where("guest = 0").drop("bucket", "rank", "guest")

@@ -87,6 +87,35 @@ def test_fingerprints_of_extreme_ids_and_nothing(spark):
     assert fp.edited_fingerprints(frame(spark, [])).count() == 0
 
 
+def test_buckets_follow_the_ids(spark, monkeypatch):
+    """One far id, or gaps, leave the buckets about equal."""
+    monkeypatch.setattr(fp, "BUCKET_CHARS", 400)
+    monkeypatch.setattr(fp, "SAMPLE_IDS", 300)
+    ids = [*range(600), *range(10**6, 10**6 + 400), 2**62, -2**62]
+    docs = spark.createDataFrame([(i, "some text " * 4) for i in ids], "doc_id long, text string")
+    sizes = [r["count"] for r in fp.with_next(docs).where("guest = 0").groupBy("bucket").count().collect()]
+    assert sum(sizes) == len(ids) and len(sizes) >= 50 and max(sizes) <= 5 * len(ids) / len(sizes)
+    got = {r.doc_id: r for r in fp.with_next(docs).where("guest = 0").collect()}
+    assert len(got) == len(ids) and all(r.next_text for r in got.values())
+
+
+def test_fingerprint_query(spark):
+    """The registered query against texts and fingerprints put together here."""
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    nxt = docs[1:] + docs[:1]
+    edited = [(i, t[:len(t) - len(t) // 2] + u[:len(t) // 2]) for (i, t), (_, u) in zip(docs, nxt)]
+    own, new = ({r.doc_id: r.lanes for r in fp.fingerprints(spark.createDataFrame(x, "doc_id long, text string"),
+                                                            ["doc_id"], "text").collect()} for x in (docs, edited))
+    hexed = lambda lanes: "".join(f"{x:08x}" for x in lanes)
+    got = {r.doc_id: r for r in Q.op5_document_fingerprints(spark, SF).collect()}
+    for (i, t), (j, u), (_, e) in zip(docs, nxt, edited):
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(e.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (hexed(own[i]), hexed(new[i]))
+        assert 0 <= r.near_edited <= 1 and (r.near_next == 1) == (own[i] == own[j])
+    assert len(got) == len(docs)
+
+
 # -- search -------------------------------------------------------------------------
 
 @pytest.mark.parametrize("block", [3, 8192])
