@@ -21,7 +21,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "score")
+    return lm_scoring.score(table(spark, sf_dir, "documents"), vocabulary_size=None).select("doc_id", "n_words", "score")
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,12 +128,10 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_rem
     ELSE coalesce(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(ps, i)), ' '), '') END) AS kept_sha256
 FROM words LEFT JOIN gone USING (doc_id)""",
     "op2_lm_scoring": r"""
-WITH tok AS (
+WITH t AS (
   SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i
   FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents)),
-total AS (SELECT count(*) AS n FROM tok),
-vocab AS (SELECT w FROM tok GROUP BY w HAVING count(*) * 65536 >= (SELECT n FROM total)),
-t AS (SELECT doc_id, i, CASE WHEN v.w IS NULL THEN '' ELSE tok.w END AS w FROM tok LEFT JOIN vocab v USING (w)),
+total AS (SELECT count(*) AS n FROM t),
 own1 AS (SELECT doc_id, w, count(*) AS o FROM t GROUP BY ALL),
 c1 AS (SELECT w, sum(o) AS c FROM own1 GROUP BY w),
 len AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
