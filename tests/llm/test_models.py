@@ -5,6 +5,7 @@ import os
 import sys
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -204,3 +205,66 @@ def test_mix_of_nothing(spark):
     model, m, scored = mixing.mix(none, spark.createDataFrame([], "doc_id long, label string"), {"a": 1.0, "b": 1.0})
     assert mixing.rated(scored, m).count() == 0 and mixing.with_copies(none, model, m).count() == 0
     assert m.errors == ()
+
+
+def test_mixing_query(spark):
+    """The registered query against words, posteriors and rates put together
+    here: tokens, totals that meet the targets, copies by their draw."""
+    got = Q.op8_mixing(spark, SF).collect()
+    texts = dict(rows(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text"))
+    assert len(got) == len(texts)
+    domains = sorted(Q.MIX)
+    total = sum(r.tokens for r in got)
+    for r in got:
+        assert r.tokens == len((texts[r.doc_id] or "").encode().split())
+        assert abs(sum(r[f"p_{d}"] for d in domains) - 1) < 0.03
+        assert r.rate >= 0 and r.copies in (int(r.rate), int(r.rate) + 1)
+    for d in domains:
+        assert abs(sum(r.rate * r.tokens * r[f"p_{d}"] for r in got) / total - Q.MIX[d]) < 0.01 * Q.MIX[d]
+    # the copies' tokens are near the rates' tokens
+    assert abs(sum(r.copies * r.tokens for r in got) / sum(r.rate * r.tokens for r in got) - 1) < 0.1
+
+
+def plain_steps():
+    """Posteriors, and rates by projected steps in numpy."""
+    rng = np.random.default_rng(3)
+    m = mixing.Mix(("a", "b", "c"), (0.5, 0.3, 0.2), (), tuple(tuple(x) for x in rng.normal(0, 0.3, (9, 4))),
+                   (0.5, 2.0, 3.0), 0.4, 1e-3)
+    p = rng.dirichlet(np.ones(3), 50)
+    rate, last = np.ones(50), np.ones(50)
+    for momentum, *excess in m.steps:
+        looked = rate + momentum * (rate - last)
+        new = np.maximum(0, looked - m.size * (p @ m.reach) * (p @ excess + m.pull * (looked - 1)))
+        rate, last = new, rate
+    return p, rate, m
+
+
+def test_rate_column(spark):
+    p, want, m = plain_steps()
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(p)], "id long, posterior array<double>")
+    got = dict(rows(df.select("id", m.rate(F.col("posterior")).alias("r")), "id", "r"))
+    assert np.allclose([got[i] for i in range(len(p))], want, atol=1e-12)
+
+
+def test_scores_put_together(spark):
+    """Scores of the quality model against words and n-grams averaged here."""
+    texts = ["ab cd ab", "", "x", None, "zz zz", "\u00e9t\u00e9 ab"]
+    rng = np.random.default_rng(1)
+    m = subword.Model(("0", "1"), rng.normal(size=(1 << 10, 2)).astype(np.float32), np.array([0.1, -0.2]), (3, 4), 10)
+    got = quality.with_quality(frame(spark, list(enumerate(texts))), m).select("doc_id", "score").collect()
+    each = subword.posteriors(pa.array(texts), m)
+    for r in got:
+        assert abs(r.score - each[r.doc_id, 1]) < 1e-8
+    prior = np.exp(m.bias) / np.exp(m.bias).sum()
+    assert abs(each[1, 1] - prior[1]) < 1e-12 and abs(each[3, 1] - prior[1]) < 1e-12
+
+
+def test_lm_query_and_sql(spark):
+    """The registered query, its SQL and brute force on the smallest tables."""
+    small = "/root/testdata/sf0.001"
+    docs = rows(spark.read.parquet(f"{small}/documents.parquet"), "doc_id", "text")
+    want = brute_scores(docs, sum(len((t or "").split()) for _, t in docs))
+    assert rows(Q.op2_lm_scoring(spark, small), "doc_id", "n_words", "score") == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{small}/documents.parquet')")
+    assert sorted(con.sql(Q.ORACLE["op2_lm_scoring"]).select("doc_id, n_words, score").fetchall(), key=repr) == want
