@@ -33,11 +33,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def own_checkpoint_dir(spark: SparkSession) -> str:
-    """Like :func:`ensure_checkpoint_dir`, but a session without the setting
-    gets a temporary folder that goes with the process: for local sessions
-    (tests, the bench, the driver's checks) only."""
+    """Like :func:`ensure_checkpoint_dir`, but a local session without the
+    setting (tests, the bench, the driver's checks) gets a temporary folder
+    that goes with the process; on a cluster it stays an error."""
     sc = spark.sparkContext
-    if not sc.getCheckpointDir() and not spark.conf.get(_CONF, None):
+    if not sc.getCheckpointDir() and not spark.conf.get(_CONF, None) and sc.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="ripplekit-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)

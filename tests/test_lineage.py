@@ -24,3 +24,20 @@ def test_no_folder_is_an_error(spark, monkeypatch):
     if not spark.conf.get("spark.checkpoint.dir", None):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             lineage.scratch_path(spark, "x")
+
+
+def test_only_a_local_session_gets_a_folder_of_its_own(spark, monkeypatch):
+    sc = type(spark.sparkContext)
+    monkeypatch.setattr(sc, "getCheckpointDir", lambda self: None)
+    made = []
+    monkeypatch.setattr(sc, "setCheckpointDir", lambda self, folder: made.append(folder))
+    if spark.conf.get("spark.checkpoint.dir", None):
+        pytest.skip("the session names a folder")
+    monkeypatch.setattr(sc, "master", "spark://somewhere:7077", raising=False)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        lineage.own_checkpoint_dir(spark)
+    assert not made
+    monkeypatch.setattr(sc, "master", "local[2]", raising=False)
+    with pytest.raises(RuntimeError):   # the folder is made, then not found by the stub
+        lineage.own_checkpoint_dir(spark)
+    assert len(made) == 1
