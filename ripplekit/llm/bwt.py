@@ -12,17 +12,17 @@ each round reads once from front to back and writes anew.
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 
+from ripplekit.llm.common import spill_file
+
 
 class _Column:
-    """An array in a temporary file, replaced as a whole; the file goes with
-    the object."""
+    """An array in a spill file, replaced as a whole; the file goes with the
+    object."""
 
     def __init__(self, dtype):
-        self.dtype, self.file, self.n = dtype, tempfile.TemporaryFile(), 0
+        self.dtype, self.file, self.n = dtype, spill_file(), 0
 
     def write(self, values: np.ndarray) -> None:
         self.file.seek(0)

@@ -9,7 +9,9 @@ corpus (:func:`segments_for`), so one segment always holds about as much.
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,6 +73,12 @@ def segments_for(docs: DataFrame, chars: int, least: int, text_col: str = "text"
     return max(least, -(-total // chars))
 
 
+def spill_file():
+    """A nameless file for what a task cannot hold, in the folder where Spark's
+    own sorts spill; it goes when it is closed, and no other task can see it."""
+    return tempfile.TemporaryFile(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None)
+
+
 def binary_parts(col: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (from 0) of a string or binary Arrow column."""
     if isinstance(col, pa.ChunkedArray):

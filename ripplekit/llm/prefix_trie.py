@@ -28,14 +28,13 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import os
-import tempfile
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ripplekit.llm.common import spill_file
 from ripplekit.plans.lineage import materialize
 from ripplekit.plans.ordered import Scan, ordered_scan
 
@@ -184,8 +183,7 @@ class SpillingQueue:
         mine = sorted(r[:-1] for r in self.heap if r[-1] < 0)
         self.heap = [r for r in self.heap if r[-1] >= 0]
         heapq.heapify(self.heap)
-        folder = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None
-        file = tempfile.TemporaryFile(dir=folder)
+        file = spill_file()
         file.write(np.array(mine, "<i8").tobytes())
         file.seek(0)
         self.runs.append(self._records(file))
