@@ -12,6 +12,7 @@ removes when the application is done with its results.
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -53,11 +54,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files behind results that are written:
+    its cleaner acts when the driver has let go of them and collects
+    garbage, which between two large jobs it may not do by itself."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application; results that were
     not yet collected or written elsewhere can no longer be read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(spark, _root(spark))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
