@@ -27,9 +27,9 @@ from ripplekit.llm import queries as Q  # noqa: E402
 SF = "/root/testdata/sf0.001"
 
 
-def test_eleven_queries():
+def test_one_query_per_operator():
     import __spark_entry__ as entry
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in entry.queries()) == 1
     assert "pipeline" in entry.queries()
 
