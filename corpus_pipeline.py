@@ -39,18 +39,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = same.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"), F.min_by("n", "text_hash").alias("n"))
     losers = groups.where("doc_id <> component_id").select("doc_id", "text_hash").distinct().unionByName(
         same.join(first, ["doc_id", "text_hash"], "left_anti").select("doc_id", "text_hash"))
-    hash_, often = unused(docs, "text_hash"), unused(docs, "often")
-    key = [docs["doc_id"], F.col(hash_)]
-    named = lambda df: df.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
-    of = lambda df: (key[0] == df["_doc"]) & (key[1] == df["_hash"])
-    losers, repeated = named(losers), named(first.where("n > 1"))
-    left = docs.withColumn(hash_, text_hash()).join(losers, of(losers), "left_anti")
-    left = left.join(repeated, of(repeated), "left").withColumn(often, F.col("_doc").isNotNull()) \
-        .drop("_doc", "_hash")
-    # Rows that repeat are few, and combine before they move.
+    hash_ = unused(docs, "text_hash")
+    hashed = docs.withColumn(hash_, text_hash())
+
+    def of(df):
+        return (hashed["doc_id"] == df["_doc"]) & (hashed[hash_] == df["_hash"])
+    # Written, so that their sizes are known and a few do not move the texts.
+    named = [F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")]
+    repeated = materialize(first.where("n > 1").select(*named), "repeated-rows")
+    gone = materialize(losers.select(*named).unionByName(repeated), "near-duplicates-gone")
     row = F.struct(*docs.columns)
-    once = left.where(often).groupBy("doc_id", hash_).agg(F.min_by(row, F.xxhash64(row)).alias("row"))
-    return left.where(~F.col(often)).select(*docs.columns).unionByName(once.select("row.*").select(*docs.columns))
+    once = hashed.join(repeated, of(repeated)).groupBy("doc_id", hash_).agg(F.min_by(row, F.xxhash64(row)).alias("row"))
+    return hashed.join(gone, of(gone), "left_anti").select(*docs.columns) \
+        .unionByName(once.select("row.*").select(*docs.columns))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
