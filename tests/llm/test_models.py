@@ -56,7 +56,8 @@ def test_stupid_backoff(spark, size, part, flush, monkeypatch):
 
 @pytest.mark.parametrize("part,flush", [(1 << 22, 1 << 20), (7, 30)])
 def test_stupid_backoff_of_all_words(spark, part, flush, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "PART_TOKENS", part)
+    monkeypatch.setattr(lm_scoring, "ALL_PART_TOKENS", part)
+    monkeypatch.setattr(lm_scoring, "FREQUENT", 1 << 18 if part > 9 else 16)
     monkeypatch.setattr(lm_scoring, "FLUSH", flush)
     docs = odd_texts(5) + [(1000, "the Quetzal of the"), (1001, "a Quetzal of x"), (1002, "the Okapi of the")]
     # A size of all tokens keeps every word.
