@@ -10,11 +10,17 @@ place.  M4 gives the pairs of titles with a minimum number of equal ratings
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import combinations
+from math import comb
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripplekit.plans.lineage import materialize
 
+MAX_KEYS = 64   # of a title in the similarity join
+BLOCK = 1000    # items of a list, about
+
 
 def top_users(parsed: DataFrame) -> DataFrame:
     """M1: per title, the users holding the row maximum, in user order.
@@ -68,13 +74,15 @@ def similarity(parsed: DataFrame, min_score: int = 1, on_ragged: str = "pad") ->
     nonzero: ``m1 < m2, n long``.  Pairs below are no result, so the output
     is as large as the number of similar pairs, not the square of the titles.
 
-    Plan: two titles that agree (nonzero) on at least ``min_score`` of ``w``
-    positions differ on at most ``w - min_score``; of ``w - min_score + 1``
-    groups of positions one is free of differences.  Titles are joined on
-    (group, its ratings), for groups without blanks or zeros, and the score
-    is computed for titles that meet; a pair that meets in several groups
-    counts in the first.  The more selective ``min_score``, the wider the
-    groups and the fewer the meetings.
+    Plan: titles with equal ratings form one class, whose ratings are
+    compared once.  The positions are cut into groups so that ``min_score``
+    equal ones put at least ``r`` into one group (see
+    :func:`_position_keys`); ratings meet on ``r`` equal positions of a group,
+    without blanks or zeros, and a pair that meets on several counts at its
+    first.  The more selective ``min_score``, the fewer the meetings.  What
+    shares a key, and the titles of a class, lie in lists of about ``BLOCK``,
+    and pairs of lists are dealt over the tasks, so neither a frequent key nor
+    a large class is one task's work.
 
     Titles must be unique; otherwise an error names up to 20 of the repeated
     ones and says how many there are.  Rows of different width are compared
@@ -94,24 +102,91 @@ def similarity(parsed: DataFrame, min_score: int = 1, on_ragged: str = "pad") ->
     if on_ragged == "error" and stats["lo"] != stats["hi"]:
         raise ValueError(f"rows differ in width ({stats['lo']}..{stats['hi']})")
     width = int(stats["hi"] or 0)
-    n_groups = width - min_score + 1
-    if n_groups < 1:
+    if width < min_score:
         return vec.select(F.col("title").alias("m1"), F.col("title").alias("m2"),
                           F.lit(0).cast("long").alias("n")).where(F.lit(False))
-    cuts = [g * width // n_groups for g in range(n_groups + 1)]
-    groups = F.array(*[F.struct(F.lit(g).alias("g"), F.slice("v", lo + 1, hi - lo).alias("k"))
-                       for g, (lo, hi) in enumerate(zip(cuts, cuts[1:]))])
-    # A group counts only if the row is that wide and rates all its positions.
-    whole = F.array(*[F.lit(hi - lo) for lo, hi in zip(cuts, cuts[1:])])
-    keyed = vec.select("title", "v", F.explode(groups).alias("x")).select(
-        "title", "v", "x.g", "x.k").where((F.size("k") == whole[F.col("g")])
-                                          & F.forall("k", lambda r: r != 0))
-    a = keyed.select(F.col("title").alias("m1"), F.col("v").alias("va"), "g", "k")
-    b = keyed.select(F.col("title").alias("m2"), F.col("v").alias("vb"), "g", "k")
-    same = F.zip_with("va", "vb", lambda x, y: F.coalesce((x == y) & (x != 0), F.lit(False)))
-    met = a.join(b, ["g", "k"]).where("m1 < m2").select("m1", "m2", "g", same.alias("same"))
-    first = F.array_position(F.array(*[
-        F.forall(F.slice("same", lo + 1, hi - lo), lambda s: s) & (F.size("same") >= hi)
-        for lo, hi in zip(cuts, cuts[1:])]), F.lit(True))
-    n = F.size(F.filter("same", lambda s: s)).cast("long")
-    return met.where((first == F.col("g") + 1) & (n >= min_score)).select("m1", "m2", n.alias("n"))
+    vec = vec.select("title", F.concat("v", F.array_repeat(F.lit(0), F.lit(width) - F.size("v"))).alias("v"))
+    classes = vec.select("v").distinct()
+    groups, keys = _position_keys(width, min_score)
+    keyed = classes.select("v", F.explode(F.array(*[
+        F.struct(F.lit(g).alias("g"), F.array(*[F.get("v", p) for p in key]).alias("k"))
+        for g, key in enumerate(keys)])).alias("x")).select("v", "x.g", "x.k").where(~F.array_contains("k", 0))
+    lists = materialize(_blocks(materialize(keyed, "title-keys"), ["g", "k"], "v"), "title-lists")
+    met = _pairs_of_blocks(lists.join(_second(lists), ["g", "k"]).where("i <= j"),
+                           ["g", "k", "i", "j"], F.col("i") == F.col("j"), ["g"])
+    n = _n_equal("x", "y", width)
+    first = F.coalesce(*[F.when(F.size(h) >= r, F.slice(h, 1, r)) for h, r in (
+        (_equal_positions("x", "y", lo, hi), r) for lo, hi, r in groups)])
+    at_first = first == F.array(*[F.array(*map(F.lit, key)) for key in keys])[F.col("g")]
+    near = met.where(n >= min_score).where(at_first).select("x", "y", n.alias("n"))
+    own = classes.select(F.col("v").alias("x"), F.col("v").alias("y"), _n_equal("v", "v", width).alias("n"))
+    alike = materialize(near.unionByName(own.where(F.col("n") >= min_score)), "similar-ratings")
+
+    members = materialize(_blocks(vec, ["v"], "title"), "class-lists")
+    both = alike.join(members.withColumnsRenamed({"v": "x"}), "x") \
+        .join(_second(members).withColumnsRenamed({"v": "y"}), "y").where("x != y OR i <= j")
+    titles = _pairs_of_blocks(both, ["x", "y", "i", "j"], (F.col("x") == F.col("y")) & (F.col("i") == F.col("j")),
+                              ["n"], ("t1", "t2"))
+    return titles.select(F.least("t1", "t2").alias("m1"), F.greatest("t1", "t2").alias("m2"),
+                         F.col("n").cast("long").alias("n"))
+
+
+def _position_keys(width: int, least: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, ...]]]:
+    """Groups ``(from, to, r)`` of positions so that ``least`` of ``width``
+    positions put at least ``r`` into one group, and the sets of ``r``
+    positions of a group, the keys.  ``p`` groups have ``r = ceil(least / p)``;
+    the fewest groups, hence the longest keys, are taken that give up to
+    ``MAX_KEYS`` keys, else ``width - least + 1`` groups of which one is
+    whole."""
+    def cut(p):
+        cuts = [g * width // p for g in range(p + 1)]
+        return list(zip(cuts, cuts[1:]))
+
+    for p in range(1, least + 1):
+        r = -(-least // p)
+        if sum(comb(hi - lo, r) for lo, hi in cut(p)) <= MAX_KEYS:
+            groups = [(lo, hi, r) for lo, hi in cut(p)]
+            break
+    else:
+        groups = [(lo, hi, hi - lo) for lo, hi in cut(width - least + 1)]
+    return groups, [key for lo, hi, r in groups for key in combinations(range(lo, hi), r)]
+
+
+def _equal_positions(x: str, y: str, lo: int, hi: int) -> Column:
+    return F.filter(F.array(*[F.lit(p) for p in range(lo, hi)]),
+                    lambda p: (F.get(x, p) == F.get(y, p)) & (F.get(x, p) != 0))
+
+
+def _n_equal(x: str, y: str, width: int) -> Column:
+    """Positions where both ratings are equal and nonzero; of a narrow matrix
+    as one sum, which Spark compiles."""
+    if width > 16:
+        return F.size(_equal_positions(x, y, 0, width))
+    return sum((F.when((F.get(x, F.lit(p)) == F.get(y, F.lit(p))) & (F.get(x, F.lit(p)) != 0), 1).otherwise(0)
+                for p in range(width)), F.lit(0))
+
+
+def _blocks(rows: DataFrame, keys: list[str], item: str) -> DataFrame:
+    """The items of every key in lists of about ``BLOCK``, numbered ``i``:
+    ``keys, i, xs``."""
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n_blocks"))
+    return rows.join(sizes, keys).groupBy(*keys, F.pmod(F.xxhash64(item), F.col("n_blocks")).alias("i")) \
+        .agg(F.collect_list(item).alias("xs"))
+
+
+def _second(lists: DataFrame) -> DataFrame:
+    return lists.withColumnsRenamed({"i": "j", "xs": "ys"})
+
+
+def _pairs_of_blocks(lists: DataFrame, by: list[str], same: Column, keep: list[str],
+                     names: tuple[str, str] = ("x", "y")) -> DataFrame:
+    """Pairs of an item of ``xs`` and one of ``ys``, each pair once where both
+    are the ``same`` list."""
+    spark = lists.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    x, y = names
+    return (lists.withColumn("_same", same).where((F.size("xs") > 1) | ~F.col("_same"))
+            .repartition(tasks, *by)   # a fixed number: the pairs are many where the lists are small
+            .select(*keep, "_same", "ys", F.posexplode("xs").alias("_a", x))
+            .select(*keep, "_same", "_a", x, F.posexplode("ys").alias("_b", y))
+            .where(~F.col("_same") | (F.col("_a") < F.col("_b"))).select(*keep, x, y))

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.utils import CapturedException
 
 from conftest import lines_df, rows
@@ -124,6 +125,30 @@ def test_similarity_matches_brute_force(spark, least, width):
     assert got == _brute_similarity(matrix, least)
 
 
+def test_similarity_of_copies_and_frequent_keys(spark, monkeypatch):
+    """Classes of equal ratings and keys that most titles share, in lists of
+    a few: every pair once, and the work of one key in many tasks."""
+    monkeypatch.setattr(ratings, "BLOCK", 4)
+    rnd = random.Random(5)
+    kinds = [[1] * 4 + [rnd.choice([0, 1, 2]) for _ in range(8)] for _ in range(12)] + [[0] * 12, [3] * 12]
+    matrix = {f"t{i:03d}": rnd.choice(kinds) for i in range(90)}
+    lines = [t + "," + ",".join(str(x or "") for x in v) for t, v in matrix.items()]
+    similar = ratings.similarity(parsed(spark, lines), 7)
+    assert rows(similar, "m1", "m2", "n") == _brute_similarity(matrix, 7)
+    assert similar.groupBy(F.spark_partition_id()).count().count() == 4
+
+
+@pytest.mark.parametrize("width, least", [(12, 7), (6, 6), (6, 1), (70, 3), (9, 5), (7, 4)])
+def test_any_equal_positions_hold_a_key(width, least):
+    groups, keys = ratings._position_keys(width, least)
+    rnd = random.Random(width)
+    assert len(keys) == len(set(keys)) <= 68
+    for _ in range(300):
+        equal = set(rnd.sample(range(width), least))
+        assert any(equal.issuperset(key) for key in keys)
+    assert (width, least) != (12, 7) or {len(key) for key in keys} == {4}
+
+
 def test_duplicates_are_counted_in_the_error(spark):
     lines = [f"T{i % 30},1" for i in range(60)]
     with pytest.raises(ratings.DuplicateTitles, match="30 repeated"):
