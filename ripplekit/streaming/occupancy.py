@@ -4,8 +4,12 @@ Two keyed stateful operators in one query, both in append mode: the
 student stage uses ``applyInPandasWithState`` (the state of a key travels
 with its rows as Arrow batches) and the room stage
 ``transformWithStateInPandas`` (Spark allows only one
-``applyInPandasWithState`` per query).  Both handle all rows of a key in a
-micro-batch at once, with array operations:
+``applyInPandasWithState`` per query).  Spark calls a Python function once per
+group and micro-batch, which costs milliseconds; with a group per student or
+room, micro-batches times keys of them.  So students and rooms are dealt over
+``BUCKETS`` groups by the hash of their key: a group's state is the table of
+its keys, and all its rows of a micro-batch are handled at once, with array
+operations on rows sorted by key:
 
 1. per student: the old room is the room before, shifted by one row, with
    the state in front (C1); every update emits ``-1`` for the old room
@@ -48,7 +52,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -60,6 +64,7 @@ from ripplekit.functions.strings import strict_int
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_BATCH = 1_000_000   # of a micro-batch, at most
+BUCKETS = 256                # groups of keys; the state of a checkpoint is kept by them
 ORDER = ["ts", "src", "part", "off"]
 _ORDER_SQL = "ts long, src string, part int, off long"
 
@@ -76,52 +81,76 @@ _UPDATE = f"{_ORDER_SQL}, sub int, room string, delta int, is_cap boolean, cap i
 KINDS = ("count", "joined", "alert")   # C2, C3, C4
 _ROOM_UPDATE = f"{_ORDER_SQL}, sub int, room string, kind string, cap int, cnt long, value string"
 _ALERT = f"{_ORDER_SQL}, sub int, room string, value string"
-_ROOM_STATE = T.StructType([
-    T.StructField("cnt", T.LongType()),
-    T.StructField("seen", T.BooleanType()),
-    T.StructField("cap", T.IntegerType()),      # null: no capacity set
-    T.StructField("prev_over", T.LongType()),   # count of the previous joined update if over
+_STUDENT_STATE = "student array<string>, room array<string>"
+_ROOM_STATE = T.StructType([   # a column of the table of a group's rooms each
+    T.StructField("room", T.ArrayType(T.StringType())),
+    T.StructField("cnt", T.ArrayType(T.LongType())),
+    T.StructField("seen", T.ArrayType(T.BooleanType())),
+    T.StructField("cap", T.ArrayType(T.IntegerType())),      # null: no capacity set
+    T.StructField("prev_over", T.ArrayType(T.LongType())),   # count of the previous joined update if over
 ])
 
 
-def _ordered(pdfs: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
-    """The rows of one key in this micro-batch, in order."""
-    return pd.concat(list(pdfs), ignore_index=True).sort_values(by, kind="stable", ignore_index=True)
+def bucket(key: str) -> Column:
+    """The group of a student or room."""
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _ordered(pdfs: Iterator[pd.DataFrame], key: str, by: list[str]) -> tuple[pd.DataFrame, list, np.ndarray]:
+    """A group's rows of this micro-batch, key by key in order, the keys in
+    that order and where the rows of each begin."""
+    batch = pd.concat(list(pdfs), ignore_index=True)
+    code, keys = pd.factorize(batch[key].astype(object), use_na_sentinel=False)
+    batch = batch.assign(_key=code).sort_values(["_key", *by], kind="stable", ignore_index=True)
+    return (batch, [None if pd.isna(k) else k for k in keys],
+            np.searchsorted(batch["_key"].to_numpy(), np.arange(len(keys))))
 
 
 def student_rooms(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Stage 1, keyed by student: turns moves into room count deltas."""
-    batch = _ordered(pdfs, ORDER)
+    """Stage 1, keyed by the bucket of the student: turns moves into room count
+    deltas."""
+    batch, students, begin = _ordered(pdfs, "key", ORDER)
+    rooms = dict(zip(*state.get)) if state.exists else {}
     new = batch["val"].astype(object).where(batch["val"].notna(), None)
-    old = new.shift(1)
-    old.iloc[0] = state.get[0] if state.exists else None
-    last = new.iloc[-1]
-    if last is not None:
-        state.update((last,))
+    old = new.shift(1).to_numpy(object)
+    old[begin] = [rooms.get(s) for s in students]
+    rooms.update(zip(students, new.to_numpy(object)[np.append(begin[1:], len(batch)) - 1]))
+    rooms = {s: r for s, r in rooms.items() if r is not None}
+    if rooms:
+        state.update((list(rooms), list(rooms.values())))
     elif state.exists:
         state.remove()
     out = pd.concat([batch[ORDER].assign(sub=sub, room=room, delta=delta)[room.notna()]
-                     for sub, room, delta in ((0, old, -1), (1, new, 1))], ignore_index=True)
+                     for sub, room, delta in ((0, pd.Series(old, dtype=object), -1), (1, new, 1))],
+                    ignore_index=True)
     if len(out):
         yield out.assign(is_cap=False, cap=pd.array([None] * len(out), dtype="Int32"))
 
 
-def room_updates(batch: pd.DataFrame, state: tuple, kinds: tuple[str, ...]) -> tuple[pd.DataFrame, tuple]:
-    """Updates of these kinds and the next state of one room from its ordered
-    changes."""
-    cnt0, seen0, cap0, over0 = state
+def room_updates(batch: pd.DataFrame, begin: np.ndarray, state: list[tuple],
+                 kinds: tuple[str, ...]) -> tuple[pd.DataFrame, list[tuple]]:
+    """Updates of these kinds and the next states of some rooms, from their
+    states and ordered changes; those of a room begin at its ``begin``."""
+    n = len(batch)
+    at_room = np.repeat(np.arange(len(begin)), np.diff(begin, append=n))
+    cnt0, seen0, cap0, over0 = (
+        np.array([s[f] for s in state], dtype) for f, dtype in enumerate((np.int64, bool, float, float)))
     is_cap = batch["is_cap"].to_numpy(bool)
-    cnt = cnt0 + np.cumsum(np.where(is_cap, 0, batch["delta"].to_numpy(np.int64)))
-    seen = np.logical_or.accumulate(~is_cap) | bool(seen0)
-    # the capacity of the last capacity row so far, or of the state; NaN: none
-    caps = np.append(pd.to_numeric(batch["cap"], errors="coerce").to_numpy(float, na_value=np.nan),
-                     np.nan if cap0 is None else cap0)
-    cap = caps[np.maximum.accumulate(np.where(is_cap, np.arange(len(batch)), -1))]
+    # running sums over all rows, less what they were where the room begins
+    total = np.append(0, np.cumsum(np.where(is_cap, 0, batch["delta"].to_numpy(np.int64))))
+    cnt = total[1:] - total[begin][at_room] + cnt0[at_room]
+    moves = np.append(0, np.cumsum(~is_cap))
+    seen = (moves[1:] > moves[begin][at_room]) | seen0[at_room]
+    # the capacity of the room's last capacity row so far, or of its state; NaN: none
+    set_at = np.maximum.accumulate(np.where(is_cap, np.arange(n), -1))
+    caps = pd.to_numeric(batch["cap"], errors="coerce").to_numpy(float, na_value=np.nan)
+    cap = np.where(set_at >= begin[at_room], caps[set_at], cap0[at_room])
     at = np.flatnonzero(seen & ~np.isnan(cap))
     over = cnt[at] > cap[at]
-    # count of the joined update before if it was over, else NaN
+    # count of the room's joined update before if it was over, else NaN
     before = np.where(over, cnt[at].astype(float), np.nan)
-    prev = np.append(np.nan if over0 is None else float(over0), before)[:len(at)]
+    first = np.diff(at_room[at], prepend=-1) != 0
+    prev = np.where(first, over0[at_room[at]], np.append(np.nan, before)[:len(at)])
     tell = over | (prev > cnt[at])
     rows = {"count": np.flatnonzero(~is_cap), "joined": at, "alert": at[tell]}
     parts = []
@@ -133,26 +162,30 @@ def room_updates(batch: pd.DataFrame, state: tuple, kinds: tuple[str, ...]) -> t
             cap=pd.array(cap[i], dtype="Int32") if kind == "joined" else none,
             cnt=none.astype("Int64") if kind == "alert" else pd.array(cnt[i], dtype="Int64"),
             value=np.where(over, cnt[at].astype(str), "OK")[tell] if kind == "alert" else None))
-    if len(at):
-        over0 = int(cnt[at[-1]]) if over[-1] else None
-    return (pd.concat([p for p in parts if len(p)], ignore_index=True) if any(map(len, parts)) else parts[0],
-            (int(cnt[-1]), bool(seen[-1]), None if np.isnan(cap[-1]) else int(cap[-1]), over0))
+    last = np.append(begin[1:], n) - 1
+    over0[at_room[at]] = before      # of several, the last one stays
+    after = [(int(c), bool(s), None if np.isnan(k) else int(k), None if np.isnan(o) else int(o))
+             for c, s, k, o in zip(cnt[last], seen[last], cap[last], over0)]
+    return (pd.concat([p for p in parts if len(p)], ignore_index=True) if any(map(len, parts)) else parts[0], after)
 
 
 class RoomUpdates(StatefulProcessor):
-    """Stage 2, keyed by room: count, capacity, join and alert."""
+    """Stage 2, keyed by the bucket of the room: count, capacity, join and
+    alert."""
 
     def __init__(self, kinds: tuple[str, ...]):
         self.kinds = kinds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("room", _ROOM_STATE)
+        self.state = handle.getValueState("rooms", _ROOM_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch, rooms, begin = _ordered(rows, "room", [*ORDER, "sub"])
         got = self.state.get()
-        out, state = room_updates(_ordered(rows, [*ORDER, "sub"]),
-                                  (0, False, None, None) if got is None else tuple(got), self.kinds)
-        self.state.update(state)
+        table = {} if got is None else {room: row for room, *row in zip(*got)}
+        out, after = room_updates(batch, begin, [table.get(r, (0, False, None, None)) for r in rooms], self.kinds)
+        table.update(zip(rooms, after))
+        self.state.update((list(table), *map(list, zip(*table.values()))))
         if len(out):
             yield out
 
@@ -166,14 +199,14 @@ def room_stream(log: DataFrame, kinds: tuple[str, ...] = KINDS) -> DataFrame:
     cnt`` (``joined``) or ``value`` (``alert``)."""
     if not kinds or not set(kinds) <= set(KINDS):
         raise ValueError(f"kinds must be some of {KINDS}, not {kinds!r}")
-    students = log.where(F.col("src") == "student").select(*ORDER, "key", "val")
-    deltas = students.groupBy("key").applyInPandasWithState(
-        student_rooms, outputStructType=_UPDATE, stateStructType="room string",
+    students = log.where(F.col("src") == "student").select(*ORDER, "key", "val", bucket("key"))
+    deltas = students.groupBy("bucket").applyInPandasWithState(
+        student_rooms, outputStructType=_UPDATE, stateStructType=_STUDENT_STATE,
         outputMode="append", timeoutConf="NoTimeout")
     caps = log.where(F.col("src") == "class").select(
         *ORDER, F.lit(0).alias("sub"), F.col("key").alias("room"), F.lit(0).alias("delta"),
         F.lit(True).alias("is_cap"), strict_int(F.col("val"), "capacity").alias("cap"))
-    return deltas.unionByName(caps).groupBy("room").transformWithStateInPandas(
+    return deltas.unionByName(caps).select("*", bucket("room")).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=RoomUpdates(tuple(kinds)), outputStructType=_ROOM_UPDATE, outputMode="Append",
         timeMode="None")
 
@@ -245,13 +278,27 @@ def observed_log(log: DataFrame) -> DataFrame:
 def start(rows: DataFrame, checkpoint: str, available_now: bool = True, **sink):
     """Start a query on a streaming DataFrame; ``sink``: ``path`` (and
     ``partition_by``) for an exactly-once parquet folder, or ``each_batch``, a
-    function of a micro-batch's rows and number."""
-    _use_rocksdb(rows.sparkSession)
+    function of a micro-batch's rows and number.
+
+    A micro-batch opens and commits every state partition.  Its rows are
+    bounded, so partitions follow the cores, up to two for each, not the
+    session's number, which follows the whole input; a checkpoint keeps its
+    number."""
+    spark = rows.sparkSession
+    _use_rocksdb(spark)
     w = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     if "each_batch" in sink:
-        return w.foreachBatch(sink["each_batch"]).start()
-    return w.format("parquet").option("path", sink["path"]).partitionBy(*sink.get("partition_by", ())).start()
+        w = w.foreachBatch(sink["each_batch"])
+    else:
+        w = w.format("parquet").option("path", sink["path"]).partitionBy(*sink.get("partition_by", ()))
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        return w.start()    # the query runs in a copy of the session
+    finally:
+        spark.conf.set(key, before)
 
 
 def start_alerts(spark: SparkSession, log: DataFrame, out_dir: str, checkpoint: str,

@@ -28,19 +28,25 @@ def _state(spark: SparkSession, checkpoint: str, operator: str, batch: int | Non
     return reader.load(checkpoint)
 
 
+def _rows(tables: DataFrame) -> DataFrame:
+    """The rows of tables of which every group of keys holds one, as an array
+    per column."""
+    return tables.select(F.inline(F.arrays_zip(*tables.columns)))
+
+
 def student_rooms(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
     """``student string, room string``: where every student is (C1); students
     without a room have no state.  ``batch``: as of this micro-batch."""
     s = _state(spark, checkpoint, "applyInPandasWithState", batch)
-    return s.select(F.col("key.key").alias("student"), F.col("value.groupState.room").alias("room"))
+    return _rows(s.select("value.groupState.*"))
 
 
 def rooms(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
     """``room string, cnt long, seen boolean, cap int, prev_over long``: the
     count of a room (valid once a student was ``seen``), its capacity (null:
     none) and the count of its last joined update if that was over capacity."""
-    s = _state(spark, checkpoint, "transformWithStateInPandasExec", batch, stateVarName="room")
-    return s.select(F.col("key.room").alias("room"), "value.*")
+    s = _state(spark, checkpoint, "transformWithStateInPandasExec", batch, stateVarName="rooms")
+    return _rows(s.select("value.*"))
 
 
 def latest_tables(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:

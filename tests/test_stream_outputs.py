@@ -61,6 +61,47 @@ def test_state_is_read_back(spark):
     assert set(state.operator_ids(spark, checkpoint)) == {"applyInPandasWithState", "transformWithStateInPandasExec"}
 
 
+def test_keys_share_few_groups(spark, monkeypatch):
+    """Groups, which Python is called for, are as many as buckets, not keys;
+    keys that share one, and a student and a room without a name, stay apart."""
+    monkeypatch.setattr(stream, "BUCKETS", 2)
+    log = random_log(17, 160) + [(200, "student", None, "R1"), (201, "class", None, "1"), (202, "student", "s1", "R2"),
+                                 (203, "student", None, None), (204, "student", "s99", "R1")]
+    log = spark.createDataFrame(log, LOG)
+    work = scratch_path(spark, "buckets")
+    got = stream.replay_updates(spark, log, work, rows_per_batch=45)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    for kind, want in (("count", occupancy.room_counts(log.where("key IS NOT NULL"))),
+                       ("alert", occupancy.alerts(log.where("key IS NOT NULL")))):
+        extra = {(200, 1, "R1"), (203, 0, "R1")}
+        counted = [r for r in rows(got.where(F.col("kind") == kind), *want.columns) if r[:3] not in extra]
+        assert [r for r in counted if r[0] < 200] == [r for r in rows(want) if r[0] < 200]
+    moved = got.where("kind = 'count' AND seq >= 200").select("seq", "sub", "room")
+    assert {(200, 1, "R1"), (203, 0, "R1"), (204, 1, "R1")} <= set(rows(moved))
+    for operator, number in state.operator_ids(spark, f"{work}/checkpoint").items():
+        options = {"stateVarName": "rooms"} if operator.startswith("transform") else {}
+        kept = spark.read.format("statestore").option("operatorId", number).options(**options) \
+            .load(f"{work}/checkpoint")
+        assert 1 <= kept.count() <= 2
+    assert state.rooms(spark, f"{work}/checkpoint").where("room IS NULL AND cap = 1 AND NOT seen").count() == 1
+
+
+def test_partitions_follow_the_micro_batch(spark):
+    """State partitions are opened in every micro-batch: not more of them than
+    the cores can use, however large the input's own shuffles are."""
+    cores = spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    work = scratch_path(spark, "partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(50 * cores))
+    try:
+        stream.replay_log(spark, spark.createDataFrame(random_log(3, 40), LOG), work)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(50 * cores)
+        meta = spark.read.format("state-metadata").load(f"{work}/checkpoint")
+        assert {r.numPartitions for r in meta.collect()} == {2 * cores}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_monitor_counts_every_micro_batch(spark):
     """Many micro-batches, two runs on one checkpoint, and no more progress
     reports kept than one."""
