@@ -32,7 +32,7 @@ student or of a capacity share a key and thus a partition.  Across topics and
 partitions it is the order of the timestamps; of equal ones the capacity
 counts first.  Micro-batches are processed in arrival order, and a micro-batch
 has at most ``rows_per_batch`` rows (``maxOffsetsPerTrigger``, or files of
-that size with ``maxFilesPerTrigger``), which bounds what one key can bring
+that size with ``maxFilesPerTrigger``), which bounds what one group can bring
 into a task.
 
 Offsets, state (RocksDB, set on the session when starting) and the sink's
