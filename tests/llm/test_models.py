@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 from common_data import frame, odd_texts, rows  # noqa: E402
 
+from ripplekit.llm import common as C  # noqa: E402
 from ripplekit.llm import lm_scoring, mixing, quality, subword  # noqa: E402
 from ripplekit.llm import queries as Q  # noqa: E402
 
@@ -71,6 +72,48 @@ def test_stupid_backoff_of_all_words(spark, part, flush, monkeypatch):
     assert lm_scoring.score(frame(spark, []), None).count() == 0
 
 
+def test_a_pass_hashes_bigrams_once_and_sorts_once(monkeypatch):
+    """A scan of a pass does each step on a slice's words once."""
+    hashed, words = [], np.array([7, 9, 7, 9, 11], np.uint64) * C._GOLD
+    real = C.window_hashes
+    monkeypatch.setattr(C, "window_hashes", lambda *a: hashed.append(1) or real(*a))
+    monkeypatch.setattr(np, "lexsort", lambda *a: pytest.fail("sorted by two keys"))
+    monkeypatch.setattr(lm_scoring, "PASSES", 1)
+    order = np.argsort(words[[0, 1]])
+    voc = lm_scoring.Vocabulary(words[[0, 1]][order], np.array([5, 4])[order], 30)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a b a b c", "a c"], "text_hash": [3, 4]})
+    monkeypatch.setattr(lm_scoring, "_words", lambda b: iter([(0, 2, np.append(words, words[[0, 4]]),
+                                                             np.array([0, 0, 0, 0, 0, 1, 1]))]))
+    rows = list(lm_scoring._own_pairs(voc, np.ones(4, np.int64), 0)(iter([batch])))
+    assert len(hashed) == 1
+    own = np.concatenate([np.frombuffer(x, np.uint32) for r in rows for x in r.column("own").to_pylist()])
+    assert sorted(own) == [1, 1, 1, 2]      # ab twice, ba, bc; ac
+
+
+def test_places_of_hashes():
+    rng = np.random.default_rng(3)
+    for known in (rng.integers(0, 2**64, 1000, np.uint64), np.arange(300, dtype=np.uint64),
+                  np.arange(2**64 - 40, 2**64, dtype=np.uint64), np.zeros(0, np.uint64), np.array([5], np.uint64)):
+        known = np.unique(known)
+        keys = np.concatenate([known, known + np.uint64(1), rng.integers(0, 2**64, 50, np.uint64),
+                               np.array([0, 2**64 - 1], np.uint64)])
+        at, found = lm_scoring._places(known, keys)
+        assert found.tolist() == np.isin(keys, known).tolist()
+        assert (known[at[found]] == keys[found]).all()
+
+
+@pytest.mark.parametrize("docs", [1, 2, 300])
+def test_order_by_document_and_value(docs):
+    rng = np.random.default_rng(docs)
+    doc = np.sort(rng.integers(0, docs, 2000))
+    for values in (rng.integers(0, 2**64, 2000, np.uint64), rng.integers(0, 9, 2000).astype(np.uint64)):
+        order, size = lm_scoring._ordered(doc, values)
+        got = list(zip(doc[order].tolist(), values[order].tolist()))
+        assert got == sorted(zip(doc.tolist(), values.tolist()))
+        assert size.tolist() == [n for _, n in sorted(Counter(got).items())]
+    assert [len(x) for x in lm_scoring._ordered(doc[:0], values[:0])] == [0, 0]
+
+
 def test_scores_of_an_empty_table(spark):
     assert lm_scoring.score(frame(spark, [])).count() == 0
     assert rows(lm_scoring.score(frame(spark, [(1, None)])), "doc_id", "n_words", "score") == [(1, 0, 0)]
