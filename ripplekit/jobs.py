@@ -73,12 +73,10 @@ def matrix_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return titles(read_lines(spark, path))
 
 
-# Suppliers whose counts agree in at least so many of twelve months.
-MIN_SIMILARITY = 7
-
-
 def similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ratings.similarity(_matrix(spark, sf_dir), MIN_SIMILARITY)
+    """M4: all pairs of suppliers with the months in which their counts agree,
+    pairs without one too."""
+    return ratings.similarity(_matrix(spark, sf_dir), min_score=None)
 
 
 # -- X1 ----------------------------------------------------------------------

@@ -4,22 +4,24 @@
 M1 and M2 are row-local expressions (no shuffle for M1, one global partial
 aggregate for M2).  M3 explodes cells and aggregates per user with a partial
 aggregate, so a very wide or very tall matrix never gathers a user in one
-place.  M4 gives the pairs of titles with a minimum number of equal ratings
-(see :func:`similarity`).
+place.  M4 gives the pairs of titles with their number of equal ratings: all
+of them, or those with a minimum (see :func:`similarity`).
 """
 
 from __future__ import annotations
 
 from itertools import combinations
-from math import comb
+from math import ceil, comb, sqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplekit.plans.lineage import materialize
 
-MAX_KEYS = 64   # of a title in the similarity join
-BLOCK = 1000    # items of a list, about
+MAX_KEYS = 64     # of a title in the similarity join
+BLOCK = 1000      # items of a list, about
+CELLS = 1 << 22   # of a list of titles and their ratings, about
+TILES = 16        # pairs of lists of a task, about, where all titles are compared
 
 
 def top_users(parsed: DataFrame) -> DataFrame:
@@ -68,13 +70,15 @@ class DuplicateTitles(ValueError):
     pass
 
 
-def similarity(parsed: DataFrame, min_score: int = 1, on_ragged: str = "pad") -> DataFrame:
-    """M4: for every unordered pair of titles with a score of at least
-    ``min_score`` the number of positions where both ratings are equal and
-    nonzero: ``m1 < m2, n long``.  Pairs below are no result, so the output
-    is as large as the number of similar pairs, not the square of the titles.
+def similarity(parsed: DataFrame, min_score: int | None = 1, on_ragged: str = "pad") -> DataFrame:
+    """M4: for every unordered pair of titles the number of positions where
+    both ratings are equal and nonzero: ``m1 < m2, n long``.  With
+    ``min_score=None`` these are all pairs, as in the reference, also those
+    with 0; with a minimum, pairs below are no result, so the output is as
+    large as the number of similar pairs, not the square of the titles.
 
-    Plan: titles with equal ratings form one class, whose ratings are
+    Plan for all pairs: see :func:`_every_pair`.  Plan with a minimum:
+    titles with equal ratings form one class, whose ratings are
     compared once.  The positions are cut into groups so that ``min_score``
     equal ones put at least ``r`` into one group (see
     :func:`_position_keys`); ratings meet on ``r`` equal positions of a group,
@@ -89,8 +93,8 @@ def similarity(parsed: DataFrame, min_score: int = 1, on_ragged: str = "pad") ->
     position by position, a missing cell counting as blank
     (``on_ragged='pad'``) or raising (``'error'``).
     """
-    if min_score < 1:
-        raise ValueError("min_score must be at least 1: pairs without a match are no result")
+    if min_score is not None and min_score < 1:
+        raise ValueError("min_score must be at least 1, or None for all pairs")
     vec = materialize(parsed.select(
         "title", F.transform("ratings", lambda x: F.coalesce(x, F.lit(0))).alias("v")), "title-vectors")
     stats = vec.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("title").alias("nd"),
@@ -102,10 +106,12 @@ def similarity(parsed: DataFrame, min_score: int = 1, on_ragged: str = "pad") ->
     if on_ragged == "error" and stats["lo"] != stats["hi"]:
         raise ValueError(f"rows differ in width ({stats['lo']}..{stats['hi']})")
     width = int(stats["hi"] or 0)
-    if width < min_score:
+    if min_score is not None and width < min_score:
         return vec.select(F.col("title").alias("m1"), F.col("title").alias("m2"),
                           F.lit(0).cast("long").alias("n")).where(F.lit(False))
     vec = vec.select("title", F.concat("v", F.array_repeat(F.lit(0), F.lit(width) - F.size("v"))).alias("v"))
+    if min_score is None:
+        return _every_pair(vec, int(stats["n"]), width)
     classes = vec.select("v").distinct()
     groups, keys = _position_keys(width, min_score)
     keyed = classes.select("v", F.explode(F.array(*[
@@ -131,6 +137,30 @@ def similarity(parsed: DataFrame, min_score: int = 1, on_ragged: str = "pad") ->
                          F.col("n").cast("long").alias("n"))
 
 
+def _every_pair(vec: DataFrame, n: int, width: int) -> DataFrame:
+    """All pairs of the ``n`` titles and their scores.  The titles lie in lists
+    of about ``BLOCK`` (or ``CELLS`` cells), and each pair of lists ``i <= j``
+    is formed once: the titles of list ``i``, row by row, meet list ``j``.  So
+    a title is moved once per list, not once per title, a task holds one list
+    at a time and has about ``TILES`` pairs of lists however many titles there
+    are."""
+    tasks = _tasks(vec.sparkSession)
+    in_list = max(1, min(BLOCK, CELLS // max(1, width)))
+    n_lists = max(1, ceil(n / in_list), min(n, ceil(sqrt(2 * tasks))))
+    tasks = max(tasks, n_lists * (n_lists + 1) // 2 // TILES)
+    dealt = vec.select(F.pmod(F.xxhash64("title"), F.lit(n_lists)).cast("int").alias("i"), "title", "v")
+    rows = dealt.select("i", F.explode(F.sequence("i", F.lit(n_lists - 1))).alias("j"),
+                        F.col("title").alias("x"), F.col("v").alias("vx")).repartition(tasks, "i", "j")
+    lists = dealt.repartition(n_lists, "i").groupBy(F.col("i").alias("j")) \
+        .agg(F.collect_list(F.struct("title", "v")).alias("ys")) \
+        .select(F.explode(F.sequence(F.lit(0), "j")).alias("i"), "j", "ys").repartition(tasks, "i", "j")
+    # Not to be broadcast: the planner does not see how often a list is sent.
+    met = rows.join(lists.hint("merge"), ["i", "j"]).select("i", "j", "x", "vx", F.inline("ys").alias("y", "vy"))
+    return met.where("i != j OR x < y").select(
+        F.least("x", "y").alias("m1"), F.greatest("x", "y").alias("m2"),
+        _n_equal("vx", "vy", width).cast("long").alias("n"))
+
+
 def _position_keys(width: int, least: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, ...]]]:
     """Groups ``(from, to, r)`` of positions so that ``least`` of ``width``
     positions put at least ``r`` into one group, and the sets of ``r``
@@ -178,12 +208,15 @@ def _second(lists: DataFrame) -> DataFrame:
     return lists.withColumnsRenamed({"i": "j", "xs": "ys"})
 
 
+def _tasks(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def _pairs_of_blocks(lists: DataFrame, by: list[str], same: Column, keep: list[str],
                      names: tuple[str, str] = ("x", "y")) -> DataFrame:
     """Pairs of an item of ``xs`` and one of ``ys``, each pair once where both
     are the ``same`` list."""
-    spark = lists.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    tasks = _tasks(lists.sparkSession)
     x, y = names
     return (lists.withColumn("_same", same).where((F.size("xs") > 1) | ~F.col("_same"))
             .repartition(tasks, *by)   # a fixed number: the pairs are many where the lists are small

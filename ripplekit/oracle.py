@@ -285,10 +285,10 @@ SELECT usr, CAST(sum(CASE WHEN cell <> '' THEN 1 ELSE 0 END) AS BIGINT) AS n
 FROM long GROUP BY usr""",
 
         "similarity": f"""WITH {_MATRIX}
-SELECT a.title AS m1, b.title AS m2, count(*) AS n
-FROM long a JOIN long b
-  ON a.usr = b.usr AND a.rating = b.rating AND a.rating <> 0 AND a.title < b.title
-GROUP BY a.title, b.title HAVING count(*) >= 7""",
+SELECT a.title AS m1, b.title AS m2,
+       count(CASE WHEN a.rating = b.rating AND a.rating <> 0 THEN 1 END) AS n
+FROM long a JOIN long b ON a.usr = b.usr AND a.title < b.title
+GROUP BY a.title, b.title""",
 
         "output_diff": """
 WITH a AS (SELECT o_orderpriority || ',' || o_orderstatus AS line FROM orders WHERE o_orderkey % 3 <> 0),

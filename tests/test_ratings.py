@@ -138,6 +138,49 @@ def test_similarity_of_copies_and_frequent_keys(spark, monkeypatch):
     assert similar.groupBy(F.spark_partition_id()).count().count() == 4
 
 
+@pytest.mark.parametrize("width, block, cells", [(6, 1000, 1 << 22), (12, 4, 1 << 22), (70, 1000, 350), (0, 4, 1)])
+def test_all_pairs_match_brute_force(spark, monkeypatch, width, block, cells):
+    """Without a minimum every pair once, those without a match too; lists of
+    a few titles, or of few cells, change nothing."""
+    monkeypatch.setattr(ratings, "BLOCK", block)
+    monkeypatch.setattr(ratings, "CELLS", cells)
+    monkeypatch.setattr(ratings, "TILES", 2)
+    rnd = random.Random(width)
+    matrix = {f"t{i:03d}": [rnd.choice([0, 0, 1, 2]) for _ in range(rnd.randint(max(0, width - 2), width))]
+              for i in range(39)} | {"blank": [0] * width}
+    lines = [",".join([t, *(str(x or "") for x in v)]) for t, v in matrix.items()]
+    expected = _brute_similarity(matrix, 0)
+    assert len(expected) == 40 * 39 // 2 and any(n == 0 for *_, n in expected)
+    assert rows(ratings.similarity(parsed(spark, lines), None), "m1", "m2", "n") == expected
+
+
+def test_all_pairs_of_few_titles(spark):
+    for lines, expected in [(SAMPLE, SAMPLE_SIM), (["A,1"], []), ([], []), (["A,1", "B,2"], [("A", "B", 0)])]:
+        assert rows(ratings.similarity(parsed(spark, lines), None), "m1", "m2", "n") == expected
+
+
+def test_the_similarity_job_leaves_no_pair_out(spark, tmp_path):
+    """The job has no minimum: every pair of suppliers is a row, of the SQL
+    check too."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    lines = {1: {1: 1, 2: 2}, 2: {1: 1, 2: 3}, 3: {}, 4: {1: 1, 2: 2}, 5: {1: 6}}   # lines by month; 6 counts as 0
+    spark.createDataFrame([(k, f"S{k}") for k in lines], "s_suppkey long, s_name string") \
+        .write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(k, m) for k, v in lines.items() for m, n in v.items() for _ in range(n)],
+                          "l_suppkey long, m int") \
+        .select("l_suppkey", F.expr("make_timestamp(1995, m, 2, 0, 0, 0)").alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    expected = [("S1", "S2", 1), ("S1", "S3", 0), ("S1", "S4", 2), ("S1", "S5", 0), ("S2", "S3", 0),
+                ("S2", "S4", 1), ("S2", "S5", 0), ("S3", "S4", 0), ("S3", "S5", 0), ("S4", "S5", 0)]
+    assert rows(entry.queries()["similarity"](spark, str(tmp_path)), "m1", "m2", "n") == expected
+    con = duckdb.connect()
+    for t in ("supplier", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert sorted(con.execute(entry.oracle_sql()["similarity"]).fetchall()) == expected
+
+
 @pytest.mark.parametrize("width, least", [(12, 7), (6, 6), (6, 1), (70, 3), (9, 5), (7, 4)])
 def test_any_equal_positions_hold_a_key(width, least):
     groups, keys = ratings._position_keys(width, least)
